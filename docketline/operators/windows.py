@@ -75,6 +75,14 @@ def _split(df: DataFrame, case: str, ts: str, tie: Sequence[str], gap: str, late
                .drop("__prev", "__first", "__last", "__prev_tail", "__last_slice", part))
 
 
+def _slice_count(spark, hot_rows: int, hot_case_rows: int) -> int:
+    """Range slices for the hot rows: enough that a slice holds about
+    ``hot_case_rows`` rows, at most a few per task slot of the cluster."""
+    slots = max(spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(2, min(math.ceil(hot_rows / hot_case_rows), 4 * slots))
+
+
 def case_metrics(df: DataFrame, case: str = "numero_processo", ts: str = "data_movimento",
                  tie: Sequence[str] = ("codigo_movimento",),
                  gap: str = "dias_desde_ultimo_movimento",
@@ -100,7 +108,7 @@ def case_metrics(df: DataFrame, case: str = "numero_processo", ts: str = "data_m
     hot_keys = F.broadcast(hot.select(case))
     cold = df.join(hot_keys, case, "left_anti")
     hot_rows = df.join(hot_keys, case, "left_semi")
-    slices = max(2, math.ceil(stats["rows"] / hot_case_rows))
+    slices = _slice_count(df.sparkSession, stats["rows"], hot_case_rows)
     out_cold = _plain(cold, case, ts, tie, gap, latest, TIE).select(*cols, gap, latest)
     out_hot = _split(hot_rows, case, ts, tie, gap, latest, TIE, slices).select(*cols, gap, latest)
     return out_cold.unionByName(out_hot)

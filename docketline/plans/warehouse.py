@@ -56,6 +56,9 @@ class Gold:
     def silver(self) -> DataFrame:
         return self.table("silver")
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {t: self.table(t) for t in _TABLES}
+
     def dim(self, name: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
         """A dimension, broadcast only if its measured row count is within bounds."""
         df = self.table(f"dim_{name}")
@@ -86,14 +89,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def build_tables(spark: SparkSession, sf_dir: str, hot_case_rows: int | None = None
-                 ) -> dict[str, DataFrame]:
-    """The lazy gold plans from the fixture tables (nothing written)."""
-    flat = fixtures.movements(spark, sf_dir)
-    silver = build_silver(flat, processed_at=PROCESSED_AT, hot_case_rows=hot_case_rows)
-    return {"silver": silver}
-
-
 def materialize(spark: SparkSession, sf_dir: str, hot_case_rows: int | None = 5_000_000,
                 force: bool = False) -> Gold:
     """Write silver, then dimensions and fact from the written silver."""

@@ -43,8 +43,24 @@ def case_window(case: str, ts: str, tie: Sequence[str] = (), h: str = TIE):
 
 
 def _plain(df: DataFrame, case: str, ts: str, tie: Sequence[str], gap: str, latest: str,
-           h: str) -> DataFrame:
-    w = case_window(case, ts, tie, h)
+           h: str, dedup_order: Sequence[str] | None = None) -> DataFrame:
+    """Metrics with one hash exchange on the case and one sort.
+
+    With ``dedup_order`` the rows are first reduced to one per (case, ts,
+    *tie) - the greatest by ``dedup_order`` then row hash - by a window that
+    shares the exchange *and* the sort of the metric window: both need the
+    rows clustered by case and sorted by (case, ts, tie, order desc).
+    """
+    if dedup_order is None:
+        w = case_window(case, ts, tie, h)
+    else:
+        newest = [F.col(c).desc_nulls_last() for c in dedup_order] + [F.col(h).desc()]
+        wd = Window.partitionBy(case, ts, *tie).orderBy(*newest)
+        # hash on the case alone satisfies both windows' clustering
+        df = (df.repartition(F.col(case)).withColumn("__rn", F.row_number().over(wd)).where(F.col("__rn") == 1)
+                .drop("__rn"))
+        w = Window.partitionBy(case).orderBy(
+            F.col(ts).asc_nulls_first(), *[F.col(t).asc_nulls_first() for t in tie], *newest)
     return (df.withColumn(gap, F.datediff(F.col(ts), F.lag(ts).over(w)))
               .withColumn(latest, F.lead(F.lit(1)).over(w).isNull()))
 
@@ -87,29 +103,36 @@ def case_metrics(df: DataFrame, case: str = "numero_processo", ts: str = "data_m
                  tie: Sequence[str] = ("codigo_movimento",),
                  gap: str = "dias_desde_ultimo_movimento",
                  latest: str = "is_ultimo_movimento",
-                 hot_case_rows: int | None = None) -> DataFrame:
+                 hot_case_rows: int | None = None,
+                 dedup_order: Sequence[str] | None = None) -> DataFrame:
     """W1 + W2: days since the previous event of the case, and the latest flag.
 
+    ``dedup_order``: first keep one row per event key (case, ts, *tie), the
+    greatest by these columns (W4/H2), fused into the metric pass.
     ``hot_case_rows``: cases with more events than this go through the
     sliced path. ``None`` skips the check (one scan less; use when the input
     is known to be free of hot cases). The input should be materialised when
     the check is on: it is read by the count and by the metric pass.
     """
-    cols = df.columns
+    cols = [c for c in df.columns if dedup_order is None or c not in dedup_order]
     df = with_tiebreak(df)
     if hot_case_rows is None:
-        return _plain(df, case, ts, tie, gap, latest, TIE).select(*cols, gap, latest)
+        return _plain(df, case, ts, tie, gap, latest, TIE, dedup_order).select(*cols, gap, latest)
     counts = df.groupBy(case).agg(F.count(F.lit(1)).alias("__n"))
     hot = counts.where(F.col("__n") > hot_case_rows)
     stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("rows")).first()
     if not stats["k"]:
-        return _plain(df, case, ts, tie, gap, latest, TIE).select(*cols, gap, latest)
+        return _plain(df, case, ts, tie, gap, latest, TIE, dedup_order).select(*cols, gap, latest)
     # At most total_rows / hot_case_rows keys: a proven bound for the broadcast.
     hot_keys = F.broadcast(hot.select(case))
     cold = df.join(hot_keys, case, "left_anti")
     hot_rows = df.join(hot_keys, case, "left_semi")
+    if dedup_order is not None:
+        # copies of one event collapse map-side in the aggregate, then the
+        # surviving rows are sliced
+        hot_rows = with_tiebreak(dedup_latest(hot_rows.drop(TIE), [case, ts, *tie], dedup_order))
     slices = _slice_count(df.sparkSession, stats["rows"], hot_case_rows)
-    out_cold = _plain(cold, case, ts, tie, gap, latest, TIE).select(*cols, gap, latest)
+    out_cold = _plain(cold, case, ts, tie, gap, latest, TIE, dedup_order).select(*cols, gap, latest)
     out_hot = _split(hot_rows, case, ts, tie, gap, latest, TIE, slices).select(*cols, gap, latest)
     return out_cold.unionByName(out_hot)
 

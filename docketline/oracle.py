@@ -129,6 +129,15 @@ fato AS (
   LEFT JOIN dim_orgaos o ON o.codigo_orgao = m.codigo_orgao AND o.fk_tribunal = t.sk_tribunal
 )"""
 
+
+
+def silver_of(name: str, source: str) -> str:
+    """A silver CTE ``name`` computed over the flat CTE ``source``."""
+    body = SILVER.replace("parsed AS (", f"{name}__p AS (").replace("FROM mov\n", f"FROM {source}\n")
+    body = body.replace("silver AS (", f"{name} AS (").replace("FROM parsed\n", f"FROM {name}__p\n")
+    return body
+
+
 BASE = "WITH " + ",".join([HDR, MOV, SILVER])
 GOLD = BASE + "," + DIMS
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import case_number_parts, parse_event_ts, parse_filing_ts
+from ..operators.merge import PRIORITY, merge_cases
 from ..operators.windows import case_metrics, dedup_latest
 from ..schemas import EVENT_KEY, FLAT_COLUMNS, SILVER_COLUMNS
 
@@ -52,9 +53,13 @@ def add_case_number_parts(df: DataFrame, col: str = "numero_processo") -> DataFr
     return df.withColumns(case_number_parts(col))
 
 
-def dedup_events(flat: DataFrame, order_by: str = "data_ingestao") -> DataFrame:
-    """One row per event key, the newest ingest wins (null-safe keys)."""
-    order = [order_by] if order_by in flat.columns else []
+def dedup_events(flat: DataFrame, order_by: tuple[str, ...] = (PRIORITY, "data_ingestao")) -> DataFrame:
+    """One row per event key, the newest wins (null-safe keys).
+
+    Newest = greatest merge priority (a batch over stored rows), then the
+    latest ingest time, then the row hash; columns absent are skipped.
+    """
+    order = [c for c in order_by if c in flat.columns]
     return dedup_latest(flat, EVENT_KEY, order)
 
 
@@ -65,12 +70,14 @@ def build_silver(flat: DataFrame, processed_at: str | Column | None = None,
     ``processed_at``: fixed processing time for reproducible output; default
     ``current_timestamp()`` as in the reference.
     """
-    df = dedup_events(flat) if dedup else flat
-    df = df.select(*FLAT_COLUMNS)
+    order = [c for c in (PRIORITY, "data_ingestao") if c in flat.columns] if dedup else []
+    df = flat.select(*FLAT_COLUMNS, *order)
+    # dedup to the event key (H2) is fused into the window pass; derived
+    # columns are added after it so they do not ride through the shuffle
+    df = case_metrics(df, hot_case_rows=hot_case_rows, dedup_order=order if dedup else None)
     df = add_case_number_parts(df)
     df = df.withColumn("dias_desde_ajuizamento",
                        F.datediff(F.col("data_movimento"), F.col("data_ajuizamento")))
-    df = case_metrics(df, hot_case_rows=hot_case_rows)
     if processed_at is None:
         stamp = F.current_timestamp()
     elif isinstance(processed_at, str):
@@ -80,6 +87,17 @@ def build_silver(flat: DataFrame, processed_at: str | Column | None = None,
     return df.withColumn("data_processamento", stamp).select(*SILVER_COLUMNS)
 
 
+def merge_silver(existing: DataFrame, batch_flat: DataFrame,
+                 processed_at: str | Column | None = None,
+                 hot_case_rows: int | None = None) -> DataFrame:
+    """Touched-case upsert of a flat batch into silver (H3): every case in the
+    batch is rebuilt from its stored events plus the batch's, newest copy of
+    each event winning; other cases are unchanged."""
+    def rebuild(combined: DataFrame) -> DataFrame:
+        return build_silver(combined, processed_at=processed_at, hot_case_rows=hot_case_rows)
+    return merge_cases(existing, batch_flat, "numero_processo", rebuild)
+
+
 def case_timeline(silver: DataFrame, case: str | Column | None = None) -> DataFrame:
     """F4 + C8 + F5: one case's events in time order.
 

@@ -160,3 +160,26 @@ def bronze_hits(spark: SparkSession, sf_dir: str, ingest_ts: str = FIXTURE_INGES
         F.col("sigla_tribunal").alias("tribunal"),
         F.to_timestamp(F.lit(ingest_ts)).alias("data_ingestao"),
     )
+
+
+# Batch split used by the merge and streaming checks: events before the cut
+# date, then events from the overlap start on, where the overlap month is
+# delivered again with revised names.
+BATCH_CUT = "2000-01-01"
+OVERLAP_FROM = "1999-12-01"
+BATCH1_INGEST = "2001-12-01 00:00:00"
+BATCH2_INGEST = "2002-01-01 00:00:00"
+
+
+def movement_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(batch1, batch2) flat events with ``data_ingestao``."""
+    m = movements(spark, sf_dir)
+    ts = F.col("data_movimento")
+    cut = F.to_timestamp(F.lit(BATCH_CUT))
+    b1 = m.where(ts < cut).withColumn("data_ingestao", F.to_timestamp(F.lit(BATCH1_INGEST)))
+    b2 = (m.where(ts >= F.to_timestamp(F.lit(OVERLAP_FROM)))
+          .withColumn("nome_movimento",
+                      F.when(ts < cut, F.concat("nome_movimento", F.lit(" (revisto)")))
+                      .otherwise(F.col("nome_movimento")))
+          .withColumn("data_ingestao", F.to_timestamp(F.lit(BATCH2_INGEST))))
+    return b1, b2

@@ -91,9 +91,8 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _filing_text(ts: Column, selector: Column) -> Column:
     """Filing time written in one of the four accepted formats, chosen per case."""
-    fmts = [f.replace("'T'", "'T'") for f in FILING_TS_FORMATS]
     expr = None
-    for i, f in enumerate(fmts):
+    for i, f in enumerate(FILING_TS_FORMATS):
         cond = selector == i
         txt = F.date_format(ts, f)
         expr = F.when(cond, txt) if expr is None else expr.when(cond, txt)
@@ -118,28 +117,40 @@ def subjects(h: DataFrame) -> Column:
     return F.transform(F.filter(zipped, lambda z: z["k"]), lambda z: z["v"])
 
 
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem as raw events: (l_orderkey, l_partkey, l_linestatus, data_movimento, nome)."""
+    return _events(spark, sf_dir).withColumn(
+        "nome", F.concat(F.lit("movimento "), _s(F.col("l_partkey"))))
+
+
 def bronze_hits(spark: SparkSession, sf_dir: str, ingest_ts: str = FIXTURE_INGEST,
-                hit_events: int = HIT_EVENTS) -> DataFrame:
+                hit_events: int = HIT_EVENTS, events: DataFrame | None = None,
+                drop_fields: tuple[str, ...] = ()) -> DataFrame:
     """Nested search hits (BRONZE schema) built from the tables.
 
     Events are grouped per (case, instance); a group with more than
     ``hit_events`` events is spread over several hits by a hash of the event,
-    so no single row (or task) collects an unbounded list.
+    so no single row (or task) collects an unbounded list. ``events``
+    defaults to all lineitems (see ``raw_events``); ``drop_fields`` removes
+    source fields (an older schema, for evolution checks).
     """
     h = case_header(spark, sf_dir)
-    e = _events(spark, sf_dir)
+    e = raw_events(spark, sf_dir) if events is None else events
     sizes = e.groupBy("l_orderkey", "l_linestatus").agg(F.count(F.lit(1)).alias("__n"))
     e = e.join(sizes, ["l_orderkey", "l_linestatus"])
     chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(hit_events)))
     e = e.withColumn("__chunk", F.pmod(F.xxhash64("l_partkey", "data_movimento"), chunks))
+    # sorted by time then code inside the array; fields reordered after the sort
     mov = F.struct(
+        F.date_format("data_movimento", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("dataHora"),
         F.col("l_partkey").alias("codigo"),
-        F.concat(F.lit("movimento "), _s(F.col("l_partkey"))).alias("nome"),
-        F.date_format("data_movimento", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("dataHora"))
+        F.col("nome").alias("nome"))
     grouped = (e.groupBy("l_orderkey", "l_linestatus", "__chunk")
-                .agg(F.array_sort(F.collect_list(mov)).alias("movimentos")))
+                .agg(F.array_sort(F.collect_list(mov)).alias("__movs")))
+    grouped = grouped.withColumn("movimentos", F.transform("__movs", lambda m: F.struct(
+        m["codigo"].alias("codigo"), m["nome"].alias("nome"), m["dataHora"].alias("dataHora"))))
     j = grouped.join(h, grouped.l_orderkey == h.o_orderkey)
-    source = F.struct(
+    fields = [
         F.col("numero_processo").alias("numeroProcesso"),
         F.col("sigla_tribunal").alias("tribunal"),
         F.col("l_linestatus").alias("grau"),
@@ -152,7 +163,10 @@ def bronze_hits(spark: SparkSession, sf_dir: str, ingest_ts: str = FIXTURE_INGES
         F.col("nivel_sigilo").alias("nivelSigilo"),
         F.col("movimentos"),
         subjects(h).alias("assuntos"),
-    )
+    ]
+    names = ["numeroProcesso", "tribunal", "grau", "dataAjuizamento", "classe", "orgaoJulgador",
+             "nivelSigilo", "movimentos", "assuntos"]
+    source = F.struct(*[f for f, n in zip(fields, names) if n not in drop_fields])
     return j.select(
         F.concat_ws("-", "numero_processo", "l_linestatus", _s(F.col("__chunk"))).alias("_id"),
         source.alias("_source"),
@@ -171,6 +185,18 @@ BATCH1_INGEST = "2001-12-01 00:00:00"
 BATCH2_INGEST = "2002-01-01 00:00:00"
 
 
+def event_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(batch1, batch2) raw events for ``bronze_hits``; same split as ``movement_batches``."""
+    e = raw_events(spark, sf_dir)
+    ts = F.col("data_movimento")
+    cut = F.to_timestamp(F.lit(BATCH_CUT))
+    b1 = e.where(ts < cut)
+    b2 = (e.where(ts >= F.to_timestamp(F.lit(OVERLAP_FROM)))
+          .withColumn("nome", F.when(ts < cut, F.concat("nome", F.lit(" (revisto)")))
+                      .otherwise(F.col("nome"))))
+    return b1, b2
+
+
 def movement_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(batch1, batch2) flat events with ``data_ingestao``."""
     m = movements(spark, sf_dir)

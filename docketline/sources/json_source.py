@@ -24,7 +24,8 @@ _TAG_PATTERN = r"/(?:tribunal=)?([^/=]+)/[^/]+$"
 def source_tag_from_path(path_col: Column | None = None) -> Column:
     """A3: the source folder name of a landed file (``.../<TAG>/file``)."""
     p = F.col("_metadata.file_path") if path_col is None else path_col
-    return F.regexp_extract(p, _TAG_PATTERN, 1)
+    # file paths are URIs: '%20' and friends are decoded
+    return F.url_decode(F.regexp_extract(p, _TAG_PATTERN, 1))
 
 
 def read_hits(spark: SparkSession, path: str, multiline: bool = True,

@@ -18,14 +18,17 @@ from ..schemas import HIT
 
 # Hits per landed array file (the search API's page size).
 HITS_PER_FILE = 500
-_TAG_PATTERN = r"/(?:tribunal=)?([^/=]+)/[^/]+$"
+_KEYED_TAG = r"/tribunal=([^/]+)/"
+_PARENT_TAG = r"/([^/]+)/[^/]+$"
 
 
 def source_tag_from_path(path_col: Column | None = None) -> Column:
-    """A3: the source folder name of a landed file (``.../<TAG>/file``)."""
+    """A3: the source of a landed file: a ``tribunal=<x>`` folder anywhere in the
+    path, else the file's parent folder (``.../<x>/file``)."""
     p = F.col("_metadata.file_path") if path_col is None else path_col
+    keyed = F.nullif(F.regexp_extract(p, _KEYED_TAG, 1), F.lit(""))
     # file paths are URIs: '%20' and friends are decoded
-    return F.url_decode(F.regexp_extract(p, _TAG_PATTERN, 1))
+    return F.url_decode(F.coalesce(keyed, F.regexp_extract(p, _PARENT_TAG, 1)))
 
 
 def read_hits(spark: SparkSession, path: str, multiline: bool = True,

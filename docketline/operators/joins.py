@@ -24,6 +24,16 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
+def shuffle_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join of two sides that both grow with the data: a sort-merge join.
+
+    Neither side is ever broadcast, whatever a small test input's statistics
+    suggest; the sort-merge join spills instead of failing, and AQE can still
+    split a skewed partition of either side.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
              max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Fact joined to one dimension; the dimension is broadcast when small."""

@@ -21,7 +21,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .joins import checked_broadcast, null_safe_condition
+from .joins import checked_broadcast, null_safe_condition, shuffle_join
 from .windows import dedup_latest
 
 PRIORITY = "__prio"
@@ -35,7 +35,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """
     src = dedup_latest(source, keys, order_by).select(*target.columns)
     k = src.select(*keys)
-    kept = target.join(k, null_safe_condition(target, k, keys), "left_anti")
+    kept = shuffle_join(target, k, null_safe_condition(target, k, keys), "left_anti")
     return kept.unionByName(src)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parse import FILING_TS_FORMATS
-from ..operators.joins import checked_broadcast
+from ..operators.joins import checked_broadcast, shuffle_join
 
 # Events per hit before a case/instance is split into several hits.
 HIT_EVENTS = 1000
@@ -40,7 +40,7 @@ def case_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = checked_broadcast(table(spark, sf_dir, "nation")
                           .select("n_nationkey", "n_name", "n_regionkey"))
     r = checked_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
-    j = (o.join(c, o.o_custkey == c.c_custkey)
+    j = (shuffle_join(o, c, o.o_custkey == c.c_custkey)
           .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
     numero = F.concat(
@@ -77,7 +77,7 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat events (silver input), one per lineitem."""
     h = case_header(spark, sf_dir)
     e = _events(spark, sf_dir)
-    j = e.join(h, e.l_orderkey == h.o_orderkey)
+    j = shuffle_join(e, h, e.l_orderkey == h.o_orderkey)
     return j.select(
         "numero_processo", "sigla_tribunal",
         F.col("l_linestatus").alias("grau"),
@@ -137,7 +137,7 @@ def bronze_hits(spark: SparkSession, sf_dir: str, ingest_ts: str = FIXTURE_INGES
     h = case_header(spark, sf_dir)
     e = raw_events(spark, sf_dir) if events is None else events
     sizes = e.groupBy("l_orderkey", "l_linestatus").agg(F.count(F.lit(1)).alias("__n"))
-    e = e.join(sizes, ["l_orderkey", "l_linestatus"])
+    e = shuffle_join(e, sizes, ["l_orderkey", "l_linestatus"])
     chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(hit_events)))
     e = e.withColumn("__chunk", F.pmod(F.xxhash64("l_partkey", "data_movimento"), chunks))
     # sorted by time then code inside the array; fields reordered after the sort
@@ -149,7 +149,7 @@ def bronze_hits(spark: SparkSession, sf_dir: str, ingest_ts: str = FIXTURE_INGES
                 .agg(F.array_sort(F.collect_list(mov)).alias("__movs")))
     grouped = grouped.withColumn("movimentos", F.transform("__movs", lambda m: F.struct(
         m["codigo"].alias("codigo"), m["nome"].alias("nome"), m["dataHora"].alias("dataHora"))))
-    j = grouped.join(h, grouped.l_orderkey == h.o_orderkey)
+    j = shuffle_join(grouped, h, grouped.l_orderkey == h.o_orderkey)
     fields = [
         F.col("numero_processo").alias("numeroProcesso"),
         F.col("sigla_tribunal").alias("tribunal"),

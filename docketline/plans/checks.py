@@ -1,11 +1,12 @@
 """Data tests and quality reports.
 
 Tests are declared as data (``GOLD_TESTS``) and run as DataFrame plans:
-all ``not_null`` tests of one table share one aggregate pass; ``unique`` is
-a grouped count; ``relationships`` a left-anti join; ``expression`` a
-filtered count. Results are one row per test with the number of failures.
-``publish_if_clean`` is the gate: new tables are written to a staging
-folder, tested there, and only then become the published version.
+the not_null, relationships and expression tests of one table share one
+aggregate pass over it (a relationship is a left join to the parent's
+distinct keys); ``unique`` is a grouped count. Results are one row per test
+with the number of failures. ``gate`` / ``publish_if_clean`` decide
+publication: new tables are written, tested, and only then marked as the
+published version; an error-severity failure keeps the previous one.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import distinct_composite
-from ..operators.joins import anti_join_orphans
+from ..operators.joins import checked_broadcast
 from ..operators.windows import share_of_total
 
 RESULT_DDL = "model string, column_name string, test string, severity string, failures bigint"
@@ -62,39 +63,54 @@ GOLD_TESTS: list[Test] = [
 ]
 
 
-def _row(spark: SparkSession, t: Test, failures) -> DataFrame:
-    return failures.select(F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
-                           F.lit(t.kind).alias("test"), F.lit(t.severity).alias("severity"),
-                           F.col("failures").cast("bigint").alias("failures"))
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
 
 
 def run_tests(tables: Mapping[str, DataFrame], tests: list[Test] | None = None,
               kinds: tuple[str, ...] | None = None) -> DataFrame:
-    """All tests as one DataFrame (model, column_name, test, severity, failures)."""
+    """All tests as one DataFrame (model, column_name, test, severity, failures).
+
+    Per model, every not_null, relationships and expression test is one
+    conditional count in a single aggregate pass; a relationship is a left
+    join to the parent's distinct keys (broadcast when their count allows).
+    The one-row result is unpivoted with ``stack``. Each unique test is a
+    grouped count of its column.
+    """
     tests = [t for t in (tests or GOLD_TESTS) if kinds is None or t.kind in kinds]
     parts: list[DataFrame] = []
-    # not_null: one aggregate per model covering all its columns
-    by_model: dict[str, list[Test]] = {}
+    models: dict[str, list[Test]] = {}
     for t in tests:
-        if t.kind == "not_null":
-            by_model.setdefault(t.model, []).append(t)
-    for model, ts in by_model.items():
-        agg = tables[model].agg(*[F.count_if(F.col(t.column).isNull()).alias(f"__{i}")
-                                  for i, t in enumerate(ts)])
+        if t.kind != "unique":
+            models.setdefault(t.model, []).append(t)
+    for model, ts in models.items():
+        df = tables[model]
+        counts = []
         for i, t in enumerate(ts):
-            parts.append(_row(None, t, agg.select(F.col(f"__{i}").alias("failures"))))
+            if t.kind == "not_null":
+                counts.append(F.count_if(F.col(t.column).isNull()))
+            elif t.kind == "expression":
+                counts.append(F.count_if(~F.expr(t.expression)))
+            elif t.kind == "relationships":
+                pk = f"__pk{i}"
+                keys = checked_broadcast(tables[t.to].where(F.col(t.field).isNotNull())
+                                         .select(F.col(t.field).alias(pk)).distinct())
+                df = df.join(keys, F.col(t.column) == F.col(pk), "left")
+                counts.append(F.count_if(F.col(t.column).isNotNull() & F.col(pk).isNull()))
+            else:
+                raise ValueError(t.kind)
+        agg = df.agg(*[c.cast("bigint").alias(f"__f{i}") for i, c in enumerate(counts)])
+        rows = ", ".join(f"{_sql_text(t.model)}, {_sql_text(t.column)}, {_sql_text(t.kind)}, "
+                         f"{_sql_text(t.severity)}, __f{i}" for i, t in enumerate(ts))
+        parts.append(agg.select(F.expr(
+            f"stack({len(ts)}, {rows}) AS (model, column_name, test, severity, failures)")))
     for t in tests:
-        df = tables[t.model]
         if t.kind == "unique":
-            dup = (df.where(F.col(t.column).isNotNull()).groupBy(t.column).count()
+            dup = (tables[t.model].where(F.col(t.column).isNotNull()).groupBy(t.column).count()
                    .where(F.col("count") > 1))
-            parts.append(_row(None, t, dup.agg(F.count(F.lit(1)).alias("failures"))))
-        elif t.kind == "relationships":
-            orphans = anti_join_orphans(df, t.column, tables[t.to], t.field)
-            parts.append(_row(None, t, orphans.agg(F.count(F.lit(1)).alias("failures"))))
-        elif t.kind == "expression":
-            bad = df.where(~F.expr(t.expression))
-            parts.append(_row(None, t, bad.agg(F.count(F.lit(1)).alias("failures"))))
+            parts.append(dup.agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
+                F.lit(t.kind).alias("test"), F.lit(t.severity).alias("severity"), "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -25,6 +25,7 @@ from ..schemas import FACT_COLUMNS, FACT_DDL, SILVER_COLUMNS
 from ..session import work_dir
 from ..sources import fixtures
 from . import dims as D
+from .checks import gate, run_tests
 from .fact import build_fact
 from .silver import build_silver
 
@@ -113,8 +114,13 @@ def materialize(spark: SparkSession, sf_dir: str, hot_case_rows: int | None = 5_
     D.dim_assuntos(fixtures.bronze_hits(spark, sf_dir)).write.mode("overwrite").parquet(f"{root}/dim_assuntos")
     (build_fact(silver).write.mode("overwrite").partitionBy("is_ultimo_movimento")
      .parquet(f"{root}/fato_movimentos"))
+    g = Gold(spark, root)
+    # Q5: publish (mark complete) only when no error-severity test fails
+    verdict = gate(run_tests(g.tables())).first()
+    if not verdict["publish"]:
+        raise RuntimeError(f"gold tests failed: {verdict['errors']} error test(s); not published")
     spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(done)
-    return Gold(spark, root)
+    return g
 
 
 _CACHE: dict[tuple[int, str], Gold] = {}

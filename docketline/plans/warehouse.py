@@ -90,6 +90,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def write_gold(spark: SparkSession, silver: DataFrame, bronze: DataFrame, root: str) -> Gold:
+    """Dimensions and fact from a (written) silver and bronze, then the data tests.
+
+    Raises if an error-severity test fails (Q5); the caller publishes only
+    after this returns.
+    """
+    trib = D.dim_tribunais(silver)
+    trib.write.mode("overwrite").parquet(f"{root}/dim_tribunais")
+    trib = spark.read.parquet(f"{root}/dim_tribunais")
+    D.dim_classes(silver).write.mode("overwrite").parquet(f"{root}/dim_classes")
+    D.dim_orgaos(silver, trib).write.mode("overwrite").parquet(f"{root}/dim_orgaos")
+    D.dim_calendario(D.calendar_bounds(silver)).write.mode("overwrite").parquet(f"{root}/dim_calendario")
+    D.dim_assuntos(bronze).write.mode("overwrite").parquet(f"{root}/dim_assuntos")
+    (build_fact(silver).write.mode("overwrite").partitionBy("is_ultimo_movimento")
+     .parquet(f"{root}/fato_movimentos"))
+    g = Gold(spark, root)
+    tested = {t: g.table(t) for t in _TABLES if t != "silver"}
+    verdict = gate(run_tests(tested)).first()
+    if not verdict["publish"]:
+        raise RuntimeError(f"gold tests failed: {verdict['errors']} error test(s); not published")
+    return g
+
+
 def materialize(spark: SparkSession, sf_dir: str, hot_case_rows: int | None = 5_000_000,
                 force: bool = False) -> Gold:
     """Write silver, then dimensions and fact from the written silver."""
@@ -105,20 +128,8 @@ def materialize(spark: SparkSession, sf_dir: str, hot_case_rows: int | None = 5_
     silver = build_silver(flat, processed_at=PROCESSED_AT, hot_case_rows=hot_case_rows)
     silver.write.mode("overwrite").parquet(f"{root}/silver")
     silver = spark.read.parquet(f"{root}/silver")
-    trib = D.dim_tribunais(silver)
-    trib.write.mode("overwrite").parquet(f"{root}/dim_tribunais")
-    trib = spark.read.parquet(f"{root}/dim_tribunais")
-    D.dim_classes(silver).write.mode("overwrite").parquet(f"{root}/dim_classes")
-    D.dim_orgaos(silver, trib).write.mode("overwrite").parquet(f"{root}/dim_orgaos")
-    D.dim_calendario(D.calendar_bounds(silver)).write.mode("overwrite").parquet(f"{root}/dim_calendario")
-    D.dim_assuntos(fixtures.bronze_hits(spark, sf_dir)).write.mode("overwrite").parquet(f"{root}/dim_assuntos")
-    (build_fact(silver).write.mode("overwrite").partitionBy("is_ultimo_movimento")
-     .parquet(f"{root}/fato_movimentos"))
-    g = Gold(spark, root)
-    # Q5: publish (mark complete) only when no error-severity test fails
-    verdict = gate(run_tests(g.tables())).first()
-    if not verdict["publish"]:
-        raise RuntimeError(f"gold tests failed: {verdict['errors']} error test(s); not published")
+    g = write_gold(spark, silver, fixtures.bronze_hits(spark, sf_dir), root)
+    # Q5: marked complete (published) only after the tests passed
     spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(done)
     return g
 

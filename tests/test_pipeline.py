@@ -1,0 +1,27 @@
+import uuid
+
+import pytest
+
+from docketline.operators.merge import BucketedTable
+from docketline.plans.pipeline import Pipeline
+from docketline.plans.silver import build_silver
+from docketline.schemas import BRONZE
+from docketline.session import work_dir
+
+from .helpers import ev, flat
+
+
+def test_failed_tests_keep_published_version(spark):
+    root = work_dir(spark, "t", uuid.uuid4().hex)
+    p = Pipeline(spark, root, buckets=4, processed_at="2022-01-01")
+    spark.createDataFrame([], BRONZE).write.parquet(f"{root}/bronze")
+    table = BucketedTable(spark, f"{root}/silver", "numero_processo", 4)
+    table.create(build_silver(flat(spark, [ev("A", 1, "2020-01-01")]), processed_at="2022-01-01"))
+    v1 = p.publish()
+    assert p.gold().root.endswith(v1)
+    assert p.gold().fato.count() == 1
+    # a case without a court breaks the fact's not_null(fk_tribunal) error test
+    table.create(build_silver(flat(spark, [ev("B", 1, "2020-01-01", court=None)]), processed_at="2022-01-01"))
+    with pytest.raises(RuntimeError):
+        p.publish()
+    assert p.gold().root.endswith(v1)

@@ -99,27 +99,39 @@ def _slice_count(spark, hot_rows: int, hot_case_rows: int) -> int:
     return max(2, min(math.ceil(hot_rows / hot_case_rows), 4 * slots))
 
 
+def hot_cases(counts: DataFrame, case: str, n: str, hot_case_rows: int) -> DataFrame:
+    """Cases with more than ``hot_case_rows`` events, from a per-case count.
+
+    At most total_rows / hot_case_rows rows: a proven bound for a broadcast.
+    Count where it is cheapest (e.g. ``size(movimentos)`` per hit in bronze,
+    or rows per key in the source table) instead of re-reading the events.
+    """
+    return (counts.groupBy(case).agg(F.sum(n).alias("__n"))
+            .where(F.col("__n") > hot_case_rows))
+
+
 def case_metrics(df: DataFrame, case: str = "numero_processo", ts: str = "data_movimento",
                  tie: Sequence[str] = ("codigo_movimento",),
                  gap: str = "dias_desde_ultimo_movimento",
                  latest: str = "is_ultimo_movimento",
                  hot_case_rows: int | None = None,
-                 dedup_order: Sequence[str] | None = None) -> DataFrame:
+                 dedup_order: Sequence[str] | None = None,
+                 hot: DataFrame | None = None) -> DataFrame:
     """W1 + W2: days since the previous event of the case, and the latest flag.
 
     ``dedup_order``: first keep one row per event key (case, ts, *tie), the
     greatest by these columns (W4/H2), fused into the metric pass.
     ``hot_case_rows``: cases with more events than this go through the
-    sliced path. ``None`` skips the check (one scan less; use when the input
-    is known to be free of hot cases). The input should be materialised when
-    the check is on: it is read by the count and by the metric pass.
+    sliced path. ``hot``: those cases with their counts (``hot_cases``), if
+    already known; otherwise they are counted from ``df`` (one more pass over
+    it). ``hot_case_rows=None`` skips the check.
     """
     cols = [c for c in df.columns if dedup_order is None or c not in dedup_order]
     df = with_tiebreak(df)
     if hot_case_rows is None:
         return _plain(df, case, ts, tie, gap, latest, TIE, dedup_order).select(*cols, gap, latest)
-    counts = df.groupBy(case).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.where(F.col("__n") > hot_case_rows)
+    if hot is None:
+        hot = hot_cases(df.select(case, F.lit(1).alias("__one")), case, "__one", hot_case_rows)
     stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("rows")).first()
     if not stats["k"]:
         return _plain(df, case, ts, tie, gap, latest, TIE, dedup_order).select(*cols, gap, latest)

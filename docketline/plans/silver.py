@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import case_number_parts, parse_event_ts, parse_filing_ts
 from ..operators.merge import PRIORITY, merge_cases
-from ..operators.windows import case_metrics, dedup_latest
+from ..operators.windows import case_metrics, dedup_latest, hot_cases
 from ..schemas import EVENT_KEY, FLAT_COLUMNS, SILVER_COLUMNS
 
 
@@ -48,6 +48,13 @@ def flatten_hits(bronze: DataFrame, keep_ingest: bool = True) -> DataFrame:
     ).select(*FLAT_COLUMNS, *extra)
 
 
+def hot_cases_from_bronze(bronze: DataFrame, hot_case_rows: int) -> DataFrame:
+    """Hot cases counted from the nested hits: one array size per hit, no explode."""
+    counts = bronze.select(F.col("_source.numeroProcesso").alias("numero_processo"),
+                           F.coalesce(F.size("_source.movimentos"), F.lit(0)).alias("__m"))
+    return hot_cases(counts.where(F.col("__m") > 0), "numero_processo", "__m", hot_case_rows)
+
+
 def add_case_number_parts(df: DataFrame, col: str = "numero_processo") -> DataFrame:
     """B6 + B13: ``SELECT *, parts...``."""
     return df.withColumns(case_number_parts(col))
@@ -64,7 +71,8 @@ def dedup_events(flat: DataFrame, order_by: tuple[str, ...] = (PRIORITY, "data_i
 
 
 def build_silver(flat: DataFrame, processed_at: str | Column | None = None,
-                 dedup: bool = True, hot_case_rows: int | None = None) -> DataFrame:
+                 dedup: bool = True, hot_case_rows: int | None = None,
+                 hot: DataFrame | None = None) -> DataFrame:
     """Flat events -> silver rows (``SILVER_COLUMNS``).
 
     ``processed_at``: fixed processing time for reproducible output; default
@@ -74,7 +82,8 @@ def build_silver(flat: DataFrame, processed_at: str | Column | None = None,
     df = flat.select(*FLAT_COLUMNS, *order)
     # dedup to the event key (H2) is fused into the window pass; derived
     # columns are added after it so they do not ride through the shuffle
-    df = case_metrics(df, hot_case_rows=hot_case_rows, dedup_order=order if dedup else None)
+    df = case_metrics(df, hot_case_rows=hot_case_rows, dedup_order=order if dedup else None,
+                      hot=hot)
     df = add_case_number_parts(df)
     df = df.withColumn("dias_desde_ajuizamento",
                        F.datediff(F.col("data_movimento"), F.col("data_ajuizamento")))

@@ -29,7 +29,7 @@ from .checks import gate, run_tests
 from .fact import build_fact
 from .silver import build_silver
 
-LAYOUT_VERSION = "3"
+LAYOUT_VERSION = "4"
 PROCESSED_AT = "2001-12-01 00:00:00"
 _TABLES = ("silver", "fato_movimentos", "dim_tribunais", "dim_classes", "dim_orgaos",
            "dim_calendario", "dim_assuntos")
@@ -120,12 +120,11 @@ def materialize(spark: SparkSession, sf_dir: str, hot_case_rows: int | None = 5_
     done = f"{root}/_COMPLETE"
     if not force and _exists(spark, done):
         return Gold(spark, root)
-    # silver input is materialised first: the hot-case check and the window
-    # pass both read it, and it cuts the join lineage.
+    # hot cases are counted on lineitem's key column (cheap), so the joined
+    # events are produced once, straight into the silver pass
     flat = fixtures.movements(spark, sf_dir)
-    flat.write.mode("overwrite").parquet(f"{root}/_flat")
-    flat = spark.read.parquet(f"{root}/_flat")
-    silver = build_silver(flat, processed_at=PROCESSED_AT, hot_case_rows=hot_case_rows)
+    hot = None if hot_case_rows is None else fixtures.hot_cases(spark, sf_dir, hot_case_rows)
+    silver = build_silver(flat, processed_at=PROCESSED_AT, hot_case_rows=hot_case_rows, hot=hot)
     silver.write.mode("overwrite").parquet(f"{root}/silver")
     silver = spark.read.parquet(f"{root}/silver")
     g = write_gold(spark, silver, fixtures.bronze_hits(spark, sf_dir), root)

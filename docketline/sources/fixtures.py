@@ -89,6 +89,16 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_cases(spark: SparkSession, sf_dir: str, hot_case_rows: int) -> DataFrame:
+    """Cases with more than ``hot_case_rows`` events, counted on lineitem's order
+    key alone (one column, partial aggregation) and only then named."""
+    from ..operators.windows import hot_cases as _hot
+    per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__k"))
+    big = per_order.where(F.col("__k") > hot_case_rows)  # at most rows / hot_case_rows orders
+    named = case_header(spark, sf_dir).join(F.broadcast(big), F.col("o_orderkey") == F.col("l_orderkey"))
+    return _hot(named.select("numero_processo", "__k"), "numero_processo", "__k", hot_case_rows)
+
+
 def _filing_text(ts: Column, selector: Column) -> Column:
     """Filing time written in one of the four accepted formats, chosen per case."""
     expr = None

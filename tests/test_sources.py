@@ -52,3 +52,10 @@ def test_missing_watermark_is_empty(spark):
     assert read_watermark(spark, path).count() == 0
     write_watermark(spark.createDataFrame([("A", "2024-01-01")], "tribunal string, watermark string"), path)
     assert read_watermark(spark, path).first().watermark == "2024-01-01"
+
+
+def test_fixture_hot_cases_match_event_counts(spark):
+    hot = {r["numero_processo"]: r["__n"] for r in fixtures.hot_cases(spark, SF_SMALL, 5).collect()}
+    counts = fixtures.movements(spark, SF_SMALL).groupBy("numero_processo").count().where("count > 5")
+    assert hot == {r.numero_processo: r["count"] for r in counts.collect()}
+    assert len(hot) > 0

@@ -65,3 +65,13 @@ def test_share_of_total(spark):
     df = spark.createDataFrame([("a", 1), ("b", 3)], "k string, n bigint")
     got = dict((r.k, r.p) for r in share_of_total(df, "n", "p").collect())
     assert got == {"a": 25.0, "b": 75.0}
+
+
+def test_hot_keys_given_equal_counted(spark):
+    from docketline.operators.windows import hot_cases
+    evs = [ev("HOT", i, f"2021-01-{1 + i % 28:02d}") for i in range(60)] + [ev("B", 1, "2021-01-01")]
+    df = flat(spark, evs)
+    counts = df.groupBy("numero_processo").count()
+    hot = hot_cases(counts, "numero_processo", "count", 10)
+    assert [r.numero_processo for r in hot.collect()] == ["HOT"]
+    assert _m(df, hot_case_rows=10, hot=hot) == _m(df) == _m(df, hot_case_rows=10)

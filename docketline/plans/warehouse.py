@@ -29,7 +29,7 @@ from .checks import gate, run_tests
 from .fact import build_fact
 from .silver import build_silver
 
-LAYOUT_VERSION = "4"
+LAYOUT_VERSION = "5"
 PROCESSED_AT = "2001-12-01 00:00:00"
 _TABLES = ("silver", "fato_movimentos", "dim_tribunais", "dim_classes", "dim_orgaos",
            "dim_calendario", "dim_assuntos")
@@ -127,7 +127,7 @@ def materialize(spark: SparkSession, sf_dir: str, hot_case_rows: int | None = 5_
     silver = build_silver(flat, processed_at=PROCESSED_AT, hot_case_rows=hot_case_rows, hot=hot)
     silver.write.mode("overwrite").parquet(f"{root}/silver")
     silver = spark.read.parquet(f"{root}/silver")
-    g = write_gold(spark, silver, fixtures.bronze_hits(spark, sf_dir), root)
+    g = write_gold(spark, silver, fixtures.subject_hits(spark, sf_dir), root)
     # Q5: marked complete (published) only after the tests passed
     spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(done)
     return g

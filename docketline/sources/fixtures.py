@@ -127,6 +127,19 @@ def subjects(h: DataFrame) -> Column:
     return F.transform(F.filter(zipped, lambda z: z["k"]), lambda z: z["v"])
 
 
+def subject_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze-shaped hits carrying only the subjects: one per case with events.
+
+    Enough for the subject dimension (one smallest name per code does not
+    depend on how often a case repeats), without nesting every event.
+    """
+    h = case_header(spark, sf_dir)
+    keys = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
+    j = shuffle_join(h, keys, h.o_orderkey == keys.l_orderkey, "left_semi")
+    return j.select(F.struct(F.col("numero_processo").alias("numeroProcesso"),
+                             subjects(h).alias("assuntos")).alias("_source"))
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem as raw events: (l_orderkey, l_partkey, l_linestatus, data_movimento, nome)."""
     return _events(spark, sf_dir).withColumn(

@@ -59,3 +59,10 @@ def test_fixture_hot_cases_match_event_counts(spark):
     counts = fixtures.movements(spark, SF_SMALL).groupBy("numero_processo").count().where("count > 5")
     assert hot == {r.numero_processo: r["count"] for r in counts.collect()}
     assert len(hot) > 0
+
+
+def test_subject_hits_give_same_dimension(spark):
+    from docketline.plans.dims import dim_assuntos
+    a = sorted(tuple(r) for r in dim_assuntos(fixtures.subject_hits(spark, SF_SMALL)).collect())
+    b = sorted(tuple(r) for r in dim_assuntos(fixtures.bronze_hits(spark, SF_SMALL)).collect())
+    assert a == b and len(a) > 0

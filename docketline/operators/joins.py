@@ -59,14 +59,11 @@ def null_safe_condition(left: DataFrame, right: DataFrame, keys: Sequence[str])
 def scalar_filter(df: DataFrame, col: str, scalar: DataFrame, op: str = "==") -> DataFrame:
     """Filter by an uncorrelated one-row, one-column subquery.
 
-    The subquery is an aggregate (one row by construction), so joining it is
-    a broadcast of one row, not a cross product of data.
+    ``scalar`` is an aggregate (one row by construction); it runs once as a
+    scalar subquery and its value is used in the filter, so the predicate can
+    still be pushed to the scan.
     """
-    s = scalar.select(F.col(scalar.columns[0]).alias("__scalar"))
-    cond = {
-        "==": F.col(col) == F.col("__scalar"),
-        ">": F.col(col) > F.col("__scalar"),
-        ">=": F.col(col) >= F.col("__scalar"),
-        "<": F.col(col) < F.col("__scalar"),
-    }[op]
-    return df.join(F.broadcast(s), cond, "inner").drop("__scalar")
+    v = scalar.select(scalar.columns[0]).scalar()
+    cond = {"==": F.col(col) == v, ">": F.col(col) > v, ">=": F.col(col) >= v,
+            "<": F.col(col) < v}[op]
+    return df.where(cond)

@@ -59,7 +59,5 @@ def incremental_slice(silver: DataFrame, existing_fact: DataFrame) -> DataFrame:
     Kept for fidelity; it loses late and same-day events (H3). The pipeline
     uses the touched-case upsert in ``operators.merge`` instead.
     """
-    mx = existing_fact.agg(F.coalesce(F.max("fk_data_movimento"), F.lit(0)).alias("__mx"))
-    new = build_fact(silver)
-    return (new.join(F.broadcast(mx), F.col("fk_data_movimento") > F.col("__mx"))
-            .select(*FACT_COLUMNS))
+    mx = existing_fact.agg(F.coalesce(F.max("fk_data_movimento"), F.lit(0))).scalar()
+    return build_fact(silver).where(F.col("fk_data_movimento") > mx).select(*FACT_COLUMNS)

@@ -206,3 +206,19 @@ def phase_bottlenecks(fact: DataFrame, exact: bool = True) -> DataFrame:
     return g.select("tipo_fase", "total_movimentos", "media_gap",
                     F.round(F.col("__p")[0], 0).alias("p50_gap"),
                     F.round(F.col("__p")[1], 0).alias("p90_gap")).orderBy("tipo_fase")
+
+
+def inactivity_as_of(fact: DataFrame, tribunais: DataFrame, as_of=None) -> DataFrame:
+    """H7 option: days from each case's latest event to ``as_of`` (default: the
+    latest event date in the data, as a scalar subquery),
+    per court: cases, mean days inactive, cases inactive more than a year."""
+    if as_of is None:
+        ref = fact.agg(F.max(F.col("data_movimento").cast("date"))).scalar()  # scalar subquery
+    else:
+        ref = F.to_date(F.lit(as_of))
+    j = _trib(latest(fact), tribunais)
+    days = F.datediff(ref, F.col("data_movimento"))
+    return j.groupBy("sigla_tribunal").agg(
+        F.count(F.lit(1)).alias("processos"),
+        F.round(F.avg(days), 0).alias("media_dias_inativo"),
+        F.count_if(days > STALE_YEAR_DAYS).alias("inativos_mais_1_ano"))

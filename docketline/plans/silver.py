@@ -111,15 +111,14 @@ def case_timeline(silver: DataFrame, case: str | Column | None = None) -> DataFr
     """F4 + C8 + F5: one case's events in time order.
 
     Without a case the smallest case number with a timed event is used
-    (a deterministic stand-in for the reference's ``LIMIT 1``), taken as a
-    one-row aggregate and joined by broadcast.
+    (a deterministic stand-in for the reference's ``LIMIT 1``), as a scalar
+    subquery.
     """
     cols = ["numero_processo", "nome_movimento", "data_movimento", "dias_desde_ajuizamento",
             "dias_desde_ultimo_movimento", "is_ultimo_movimento", "codigo_movimento"]
     if case is None:
-        pick = (silver.where(F.col("data_movimento").isNotNull())
-                .agg(F.min("numero_processo").alias("__case")))
-        sel = silver.join(F.broadcast(pick), F.col("numero_processo") == F.col("__case"))
+        pick = silver.where(F.col("data_movimento").isNotNull()).agg(F.min("numero_processo"))
+        sel = silver.where(F.col("numero_processo") == pick.scalar())
     else:
         sel = silver.where(F.col("numero_processo") == (F.lit(case) if isinstance(case, str) else case))
     return (sel.select(*cols)

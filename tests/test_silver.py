@@ -53,3 +53,20 @@ def test_null_time_merged_twice_is_one_row(spark):
 def test_negative_age(spark):
     s = build_silver(flat(spark, [ev("A", 1, "2019-12-30", filed="2020-01-01")]), processed_at="2022-01-01")
     assert s.first().dias_desde_ajuizamento == -2
+
+
+def test_batches_in_any_order_and_twice(spark):
+    from docketline.sources import fixtures
+    sf = "/root/testdata/sf0.001"
+    b1, b2 = fixtures.movement_batches(spark, sf)
+    cols = ("numero_processo", "codigo_movimento", "data_movimento", "dias_desde_ultimo_movimento",
+            "is_ultimo_movimento", "dias_desde_ajuizamento")
+
+    def key(df):
+        return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+    full = build_silver(fixtures.movements(spark, sf), processed_at="2022-01-01")
+    fwd = merge_silver(build_silver(b1, processed_at="2022-01-01"), b2, processed_at="2022-01-01")
+    rev = merge_silver(build_silver(b2, processed_at="2022-01-01"), b1, processed_at="2022-01-01")
+    twice = merge_silver(fwd.checkpoint(eager=True), b2, processed_at="2022-01-01")
+    assert key(full) == key(fwd) == key(rev) == key(twice)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,13 +135,16 @@ def materialize(spark: SparkSession, sf_dir: str, hot_case_rows: int | None = 5_
 
 
 _CACHE: dict[tuple[int, str], Gold] = {}
+_LOCK = threading.Lock()
 
 
 def gold(spark: SparkSession, sf_dir: str) -> Gold:
-    """Materialised gold for ``sf_dir``, built once per session and input."""
+    """Materialised gold for ``sf_dir``, built once per session and input
+    (queries issued from several threads wait for the one build)."""
     key = (id(spark), os.path.abspath(sf_dir))
-    g = _CACHE.get(key)
-    if g is None or not _exists(spark, f"{g.root}/_COMPLETE"):
-        g = materialize(spark, sf_dir)
-        _CACHE[key] = g
-    return g
+    with _LOCK:
+        g = _CACHE.get(key)
+        if g is None or not _exists(spark, f"{g.root}/_COMPLETE"):
+            g = materialize(spark, sf_dir)
+            _CACHE[key] = g
+        return g

@@ -11,7 +11,7 @@ from .helpers import ev, flat
 def _m(df, **kw):
     out = case_metrics(df, **kw).select("numero_processo", "codigo_movimento", "data_movimento",
                                         "dias_desde_ultimo_movimento", "is_ultimo_movimento")
-    return sorted(tuple(r) for r in out.collect())
+    return sorted((tuple(r) for r in out.collect()), key=repr)
 
 
 def test_single_event_case(spark):
@@ -75,3 +75,16 @@ def test_hot_keys_given_equal_counted(spark):
     hot = hot_cases(counts, "numero_processo", "count", 10)
     assert [r.numero_processo for r in hot.collect()] == ["HOT"]
     assert _m(df, hot_case_rows=10, hot=hot) == _m(df) == _m(df, hot_case_rows=10)
+
+
+def test_hot_split_with_null_times_and_copies(spark):
+    rnd = random.Random(11)
+    evs = []
+    for i in range(400):
+        case = "HOT" if i % 4 else f"C{i % 7}"
+        ts = None if i % 37 == 0 else f"2022-{rnd.randint(1, 12):02d}-{rnd.randint(1, 28):02d}"
+        evs.append(ev(case, rnd.randint(1, 30), ts, name=f"n{i}"))
+    df = flat(spark, evs, "2023-01-01")
+    df = df.unionByName(flat(spark, evs[:80], "2023-02-01"))  # newer copies of some events
+    order = ["data_ingestao"]
+    assert _m(df, dedup_order=order) == _m(df, dedup_order=order, hot_case_rows=15)

@@ -68,7 +68,7 @@ def bucket_of(case: str, buckets: int):
 class BucketedTable:
     """A case-keyed parquet table that merges batches bucket by bucket."""
 
-    def __init__(self, spark: SparkSession, path: str, case: str, buckets: int = 64,
+    def __init__(self, spark: SparkSession, path: str, case: str, buckets: int = 1024,
                  staging: str | None = None):
         self.spark, self.path, self.case, self.buckets = spark, path, case, buckets
         self.staging = staging or f"{path}__staging"
@@ -81,10 +81,14 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path).drop("bucket")
 
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        """Rows clustered by bucket before the write (few files per bucket); the
+        rebalance lets AQE split a bucket that holds a hot case over several tasks."""
+        return df.withColumn("bucket", bucket_of(self.case, self.buckets)).hint("rebalance", "bucket")
+
     def create(self, df: DataFrame) -> None:
         """First load: full write, partitioned by bucket."""
-        (df.withColumn("bucket", bucket_of(self.case, self.buckets))
-         .write.mode("overwrite").partitionBy("bucket").parquet(self.path))
+        self._bucketed(df).write.mode("overwrite").partitionBy("bucket").parquet(self.path)
 
     def merge(self, batch: DataFrame, rebuild: Callable[[DataFrame], DataFrame],
               first_build: Callable[[DataFrame], DataFrame]) -> None:
@@ -98,8 +102,7 @@ class BucketedTable:
         cols = [c for c in current.columns if c != "bucket"]
         merged = merge_cases(current.select(*cols), batch.drop("bucket"), self.case, rebuild)
         staged = f"{self.staging}/{abs(hash(tuple(sorted(ids))))}"
-        (merged.withColumn("bucket", bucket_of(self.case, self.buckets))
-         .write.mode("overwrite").partitionBy("bucket").parquet(staged))
+        self._bucketed(merged).write.mode("overwrite").partitionBy("bucket").parquet(staged)
         prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:

@@ -1 +1 @@
-"""Pipelines: silver build, dimensions, fact, checks, reports, materialisation."""
+"""Plans: silver build, dimensions, fact, checks, reports, materialisation, the whole flow."""

@@ -56,7 +56,7 @@ def fact_by_join(silver: DataFrame, tribunais: DataFrame, classes: DataFrame,
 def incremental_slice(silver: DataFrame, existing_fact: DataFrame) -> DataFrame:
     """G3 as the reference does it: only rows whose date key exceeds the target's max.
 
-    Kept for fidelity; it loses late and same-day events (H3). The pipeline
+    Kept for fidelity; it loses late and same-day events (H3). The flow
     uses the touched-case upsert in ``operators.merge`` instead.
     """
     mx = existing_fact.agg(F.coalesce(F.max("fk_data_movimento"), F.lit(0))).scalar()

@@ -3,7 +3,7 @@ import uuid
 import pytest
 
 from docketline.operators.merge import BucketedTable
-from docketline.plans.pipeline import Pipeline
+from docketline.plans.medallion import Medallion
 from docketline.plans.silver import build_silver
 from docketline.schemas import BRONZE
 from docketline.session import work_dir
@@ -13,7 +13,7 @@ from .helpers import ev, flat
 
 def test_failed_tests_keep_published_version(spark):
     root = work_dir(spark, "t", uuid.uuid4().hex)
-    p = Pipeline(spark, root, buckets=4, processed_at="2022-01-01")
+    p = Medallion(spark, root, buckets=4, processed_at="2022-01-01")
     spark.createDataFrame([], BRONZE).write.parquet(f"{root}/bronze")
     table = BucketedTable(spark, f"{root}/silver", "numero_processo", 4)
     table.create(build_silver(flat(spark, [ev("A", 1, "2020-01-01")]), processed_at="2022-01-01"))

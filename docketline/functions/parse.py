@@ -61,6 +61,11 @@ def parse_json_array(c: str | Column, ddl: str = SUBJECT_DDL) -> Column:
     return F.transform(_col(c), lambda x: F.from_json(x, ddl))
 
 
+def json_field(c: str | Column, ddl: str) -> Column:
+    """JSON text column -> struct by DDL; malformed text gives null fields."""
+    return F.from_json(_col(c), ddl)
+
+
 def clamp_date(text: str | Column) -> Column:
     """B12: 'Y-M-D' text -> date with month clamped to 1..12 and day to 1..last day.
 

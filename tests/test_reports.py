@@ -39,3 +39,12 @@ def test_top_k_has_tie_breaker(spark):
                      processed_at="2022-01-01")
     top = R.top_classes_by_age(build_fact(s), dims.dim_classes(s)).collect()
     assert [r.nome_classe for r in top] == [f"K{i:02d}" for i in range(10)]
+
+
+def test_approx_percentiles_close_to_exact(spark):
+    from docketline.operators.aggregates import percentiles
+    rnd = random.Random(5)
+    df = spark.createDataFrame([(rnd.randint(0, 3000),) for _ in range(5000)], "d int")
+    ex = df.agg(percentiles("d").alias("p")).first().p
+    ap = df.agg(percentiles("d", exact=False).alias("p")).first().p
+    assert all(abs(a - b) <= 30 for a, b in zip(ex, ap))

@@ -92,7 +92,3 @@ def dim_calendario(bounds: DataFrame | None = None, spark=None,
         F.dayofweek(d).isin(1, 7).alias("is_fim_de_semana"),
         F.lit(False).alias("is_feriado_nacional"),
     )
-
-
-def lit_or_col(v) -> Column:
-    return v if isinstance(v, Column) else F.lit(v)

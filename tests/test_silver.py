@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from docketline.plans.silver import build_silver, flatten_hits, merge_silver
 from docketline.schemas import BRONZE

@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from docketline.operators.windows import case_metrics, dedup_latest, share_of_total
 from docketline.plans.silver import build_silver

@@ -24,13 +24,25 @@ SOURCE_FIELDS = ("numeroProcesso", "tribunal", "grau", "dataAjuizamento", "class
 STATE_DDL = "tribunal string, watermark string"
 
 
+def _check_date_text(label: str, v: str | None) -> None:
+    """Parameters (not data) are checked on the driver: three integers or an error."""
+    if v is None:
+        return
+    parts = v.split("-")
+    if len(parts) != 3 or not all(p.lstrip("-").isdigit() for p in parts):
+        raise ValueError(f"invalid {label}: '{v}' (use YYYY-MM-DD)")
+
+
 def require_dates(df: DataFrame, cols: list[str]) -> DataFrame:
-    """B12 error path: fail the job if a date text is not three integers."""
-    checks = [F.when(F.col(c).isNotNull() & clamp_date(F.col(c)).isNull(),
-                     F.raise_error(F.concat(F.lit(f"invalid {c}: '"), F.col(c), F.lit("' (use YYYY-MM-DD)"))))
-              for c in cols]
-    return df.withColumns({f"__chk{i}": c for i, c in enumerate(checks)}).drop(
-        *[f"__chk{i}" for i in range(len(cols))])
+    """B12 error path: fail the job if a date text is not three integers.
+
+    The check is a filter (true, or an error), so the optimizer cannot prune it.
+    """
+    for c in cols:
+        bad = F.col(c).isNotNull() & clamp_date(F.col(c)).isNull()
+        msg = F.concat(F.lit(f"invalid {c}: '"), F.col(c), F.lit("' (use YYYY-MM-DD)"))
+        df = df.where(F.when(bad, F.raise_error(msg)).otherwise(F.lit(True)))
+    return df
 
 
 def extract_range(bronze: DataFrame, start: str | Column, end: str | Column) -> DataFrame:
@@ -48,16 +60,19 @@ def watermark_windows(sources: DataFrame, state: DataFrame, end: str,
     """(tribunal, data_inicio, data_fim, origem) for sources that need a fetch.
 
     Start = saved watermark, else manual input, else default (the code's
-    precedence, H14); dates are clamped (B12); sources with start >= end are
-    skipped.
+    precedence, H14); dates are clamped (B12) and text that is not a date
+    fails the job; sources with start >= end are skipped.
     """
     st = checked_broadcast(state.select("tribunal", F.col("watermark")))
     j = sources.select("tribunal").distinct().join(st, "tribunal", "left")
     raw = F.coalesce(F.col("watermark"), F.lit(manual).cast("string"), F.lit(default))
     origem = (F.when(F.col("watermark").isNotNull(), F.lit("watermark"))
               .when(F.lit(manual).isNotNull(), F.lit("manual")).otherwise(F.lit("default")))
-    w = j.select("tribunal", clamp_date(raw).alias("data_inicio"),
-                 clamp_date(F.lit(end)).alias("data_fim"), origem.alias("origem"))
+    for label, v in (("end", end), ("manual", manual), ("default", default)):
+        _check_date_text(label, v)
+    w = require_dates(j.select("tribunal", raw.alias("__ini"), origem.alias("origem")), ["__ini"])
+    w = w.select("tribunal", clamp_date("__ini").alias("data_inicio"),
+                 clamp_date(F.lit(end)).alias("data_fim"), "origem")
     return w.where(F.col("data_inicio") < F.col("data_fim"))
 
 

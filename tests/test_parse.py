@@ -51,3 +51,21 @@ def test_subjects_bad_and_null_dropped(spark):
     df = spark.createDataFrame([(['{"codigo": 7, "nome": "x"}', "bad", None, '{"nome": "y"}'],), (None,)],
                                "a array<string>").select(src.alias("_source"))
     assert [tuple(r) for r in subjects_exploded(df).collect()] == [(7, "x")]
+
+
+def test_require_dates_fails_on_bad_text(spark):
+    import pytest
+    from docketline.sources.extract import require_dates
+    ok = spark.createDataFrame([("2025-02-30",), (None,)], "d string")
+    assert require_dates(ok, ["d"]).count() == 2
+    bad = spark.createDataFrame([("2025-02",)], "d string")
+    with pytest.raises(Exception, match="invalid d"):
+        require_dates(bad, ["d"]).collect()
+
+
+def test_scalar_filter(spark):
+    from docketline.operators.joins import scalar_filter
+    df = spark.createDataFrame([(i,) for i in range(10)], "v int")
+    mx = df.agg(F.max("v"))
+    assert [r.v for r in scalar_filter(df, "v", mx, "==").collect()] == [9]
+    assert sorted(r.v for r in scalar_filter(df, "v", df.agg(F.avg("v")), ">").collect()) == [5, 6, 7, 8, 9]

@@ -66,3 +66,11 @@ def test_subject_hits_give_same_dimension(spark):
     a = sorted(tuple(r) for r in dim_assuntos(fixtures.subject_hits(spark, SF_SMALL)).collect())
     b = sorted(tuple(r) for r in dim_assuntos(fixtures.bronze_hits(spark, SF_SMALL)).collect())
     assert a == b and len(a) > 0
+
+
+def test_watermark_bad_date_fails(spark):
+    import pytest
+    sources = spark.createDataFrame([("A",)], "tribunal string")
+    state = spark.createDataFrame([], "tribunal string, watermark string")
+    with pytest.raises(Exception, match="invalid"):
+        watermark_windows(sources, state, "2024-12").collect()

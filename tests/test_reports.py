@@ -48,3 +48,17 @@ def test_approx_percentiles_close_to_exact(spark):
     ex = df.agg(percentiles("d").alias("p")).first().p
     ap = df.agg(percentiles("d", exact=False).alias("p")).first().p
     assert all(abs(a - b) <= 30 for a, b in zip(ex, ap))
+
+
+def test_latest_event_edge_cases(spark):
+    from docketline.operators.aggregates import latest_event, latest_event_nested
+    df = spark.createDataFrame([
+        ([(1, "a", "2020-01-01T00:00:00.000Z"), (2, None, "2020-02-01T00:00:00.000Z")],),
+        ([],), (None,), ([(3, "c", "2020-01-01T00:00:00.000Z")],)],
+        "m array<struct<codigo:bigint,nome:string,dataHora:string>>")
+    got = [r[0] for r in df.select(latest_event_nested("m")).collect()]
+    assert got == ["nome não disponível", "sem movimentos", "sem movimentos", "c"]
+    flat_rows = spark.createDataFrame([("A", None, "x"), ("A", None, "y"), ("B", "2020-01-01", None)],
+                                      "case string, ts string, name string")
+    out = {r.case: r.ultimo_movimento for r in latest_event(flat_rows, "case", "ts", "name").collect()}
+    assert out == {"A": "sem movimentos", "B": "nome não disponível"}

@@ -81,6 +81,16 @@ def append_bronze(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def reload_files(spark: SparkSession, path: str, bronze_path: str, multiline: bool = False,
+                 ingest_ts: str | Column | None = None) -> None:
+    """A2 ``force``: load files again even if the stream already took them.
+
+    Bronze then holds the hits twice; silver keeps one row per event key
+    (newest ingest wins), so a forced reload is harmless downstream.
+    """
+    append_bronze(read_hits(spark, path, multiline=multiline, ingest_ts=ingest_ts), bronze_path)
+
+
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Bronze with the schema merged over all appended files (A2)."""
     return spark.read.option("mergeSchema", True).parquet(path)

@@ -74,3 +74,17 @@ def test_watermark_bad_date_fails(spark):
     state = spark.createDataFrame([], "tribunal string, watermark string")
     with pytest.raises(Exception, match="invalid"):
         watermark_windows(sources, state, "2024-12").collect()
+
+
+def test_forced_reload_doubles_bronze_not_silver(spark):
+    from docketline.plans.silver import build_silver
+    from docketline.sources.json_source import read_bronze, reload_files
+    root = work_dir(spark, "t", uuid.uuid4().hex)
+    write_hits(fixtures.bronze_hits(spark, SF_SMALL), f"{root}/landing")
+    reload_files(spark, f"{root}/landing", f"{root}/bronze", ingest_ts="2021-01-01 00:00:00")
+    reload_files(spark, f"{root}/landing", f"{root}/bronze", ingest_ts="2021-02-01 00:00:00")
+    bronze = read_bronze(spark, f"{root}/bronze")
+    hits = fixtures.bronze_hits(spark, SF_SMALL).count()
+    assert bronze.count() == 2 * hits
+    silver = build_silver(flatten_hits(bronze), processed_at="2022-01-01")
+    assert silver.count() == fixtures.movements(spark, SF_SMALL).count()

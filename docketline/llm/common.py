@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
@@ -55,8 +55,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, kid, kth): the text with null as empty, and a non-null row key.
+def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
+    """(doc_id, text, kid, kth[, more]): the text with null as empty, and a non-null row key.
 
     Rows that repeat both id and text share a key (they are one document); rows
     that repeat an id with another text do not. Other columns are left out.
@@ -64,7 +64,12 @@ def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     doc, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))
     return df.select(doc.alias("doc_id"), text.alias("text"),
                      F.coalesce(doc, F.lit(-(1 << 63))).alias("kid"),
-                     F.xxhash64(text, doc.isNull()).alias("kth"))
+                     F.xxhash64(text, doc.isNull()).alias("kth"), *more)
+
+
+def carried(columns: list[str] | None) -> Column:
+    """The columns that an operator passes on untouched, as one struct, so that no name can clash."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]) if columns else F.lit(None).cast("struct<none:int>")
 
 
 def text_bytes(df: DataFrame, col: str = "text") -> int:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketline.llm.common import LOWER, U64, Chunk, hash_spans, text_chunks, text_bytes, word_spans
+from docketline.llm.common import LOWER, U64, Chunk, carried, hash_spans, text_bytes, text_chunks, word_spans
 
 #: words are runs of 0-9, a-z (after lowering A-Z) and bytes of non-ASCII characters
 GAP = np.ones(256, bool)
@@ -233,7 +233,7 @@ def _finish(c: Chunk, cols, merged, starts, ends, first, min_words, drop_share)
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", window: int = 10, min_words: int = 1,
                   drop_share: float = 0.5, block_bytes: int = 8 << 20, carry: list[str] | None = None) -> DataFrame:
-    """(doc_id, text, items, n_words, n_hit, hit_spans, n_cut, keep[, carry]), one row per input row.
+    """(doc_id, text, items, n_words, n_hit, hit_spans, n_cut, keep[, row]), one row per input row.
 
     A document word is hit when a window of ``window`` consecutive item words
     (or a whole shorter item) covers it. ``items`` are the ids, as strings, of
@@ -253,7 +253,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     blocks = -(-max(1, total) // block_bytes)
     picked = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("id"), F.col(item_text).alias("t"))
     sc = docs.sparkSession.sparkContext
-    more = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("struct<none:int>")
+    more = carried(carry)
     out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                       F.lit(None).cast("binary").alias("spans"), F.lit(None).cast("array<string>").alias("items"),
                       more.alias("row"))
@@ -266,5 +266,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         if last:
             schema += ", n_words long, n_hit long, hit_spans array<array<long>>, n_cut long, keep boolean"
         out = out.mapInArrow(_pass(matcher, last, min_words, drop_share), schema)
-    return out.select("doc_id", "text", "items", "n_words", "n_hit", "hit_spans", "n_cut", "keep",
-                      *[f"row.{c}" for c in carry or []])
+    return out.select("doc_id", "text", "items", "n_words", "n_hit", "hit_spans", "n_cut", "keep", *(["row"] if carry else []))

@@ -32,15 +32,15 @@ def _merge_round(runs: DataFrame, shift: int, fan: int, slots: int, largest: boo
                 ["part", "digest", "n_bytes", "slot", "keep_id", "keep_row", "n"])
 
         for b in batches:
-            t = pa.Table.from_batches([b] if tail is None else [*tail.to_batches(), b])
-            if not t.num_rows:
+            if not b.num_rows:
                 continue
-            t = close(t.select(names))
+            t = pa.Table.from_arrays([b.column(n) for n in names], names=names)
+            t = close(t if tail is None else pa.concat_tables([tail, t])).select(names)
             last = pc.and_(pc.equal(t["digest"], t["digest"][-1]), pc.equal(t["part"], t["part"][-1]))
-            tail = t.filter(last).combine_chunks()
-            yield from t.filter(pc.invert(last)).select(names).to_batches()
+            tail = t.filter(last)
+            yield from t.filter(pc.invert(last)).to_batches()
         if tail is not None:
-            yield from tail.select(names).to_batches()
+            yield from tail.to_batches()
 
     names = ["part", "slot", "digest", "n_bytes", "keep_id", "keep_row", "n"]
     return merged.select(names).mapInArrow(

@@ -70,7 +70,7 @@ def _least(n: Column, m: Column, percent: int) -> Column:
 
 
 def _entries(sets: DataFrame, percent: int) -> DataFrame:
-    """(h, rid, n, pos, mass): each set's prefix, rarest first, without what occurs in one set only.
+    """(h, rid, n, pos, alone, mass): each set's prefix, rarest first, without what occurs in one set only.
 
     An element of frequency one comes first in the order and joins with nothing,
     so it takes up prefix places without a row. The order is (frequency, hash).
@@ -87,7 +87,7 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
             .where("alone < prefix")
             .select("rid", "n", "mass", "alone",
                     F.posexplode(F.expr("slice(shared, 1, prefix - alone)")).alias("i", "x"))
-            .select(F.col("x.h").alias("h"), "rid", "n", (F.col("alone") + F.col("i")).alias("pos"), "mass"))
+            .select(F.col("x.h").alias("h"), "rid", "n", (F.col("alone") + F.col("i")).alias("pos"), "alone", "mass"))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -105,10 +105,12 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _fits(x: str, y: str, percent: int) -> Column:
-    """Length and positional filter of two prefix entries of the same element."""
+    """Length and positional filter of two prefix entries of the same element: what follows it in both, and of
+    what stands before it the part that is not in one set only, bounds the intersection."""
     n, m, i, j = F.col(f"{x}n"), F.col(f"{y}n"), F.col(f"{x}pos"), F.col(f"{y}pos")
+    before = F.least(i - F.col(f"{x}alone"), j - F.col(f"{y}alone"))
     return ((n * 100 >= m * percent) & (m * 100 >= n * percent)
-            & (F.least(n - i, m - j) + F.least(i, j) >= _least(n, m, percent)))
+            & (F.least(n - i, m - j) + before >= _least(n, m, percent)))
 
 
 def _side(entries: DataFrame, p: str) -> DataFrame:
@@ -119,17 +121,18 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def links(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(links, components) of the distinct sets ``sets`` (rid, n, hs, bins).
+def links(entries: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, components) of the distinct sets ``sets`` (rid, n, hs, bins), whose candidates share
+    an element of ``entries`` (h, rid, n, pos, alone, mass).
 
     First every element's prefix list is joined to one pivot only, the set with the most
     frequent elements (the centre of a group of copies), and the verified links give components.
     Then the pairs of an element's list that are still in different components are
     joined and verified: pairs of one component need no test, and no pair is lost otherwise.
     """
-    entries = materialise(_entries(sets, percent), "prefix")
-    pivot = (entries.groupBy("h").agg(F.max(F.struct("mass", "rid", "n", "pos")).alias("p"), F.count("*").alias("c"))
-             .where("c > 1").select("h", F.col("p.rid").alias("prid"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos")))
+    pivot = (entries.groupBy("h").agg(F.max(F.struct("mass", "rid", "n", "pos", "alone")).alias("p"), F.count("*").alias("c"))
+             .where("c > 1").select("h", F.col("p.rid").alias("prid"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos"),
+                                          F.col("p.alone").alias("palone")))
     near = (_side(entries, "x").join(pivot, "h").where("xrid <> prid").where(_fits("x", "p", percent))
             .select(*_pair("xrid", "prid")).distinct())
     first = materialise(_verify(near, sets, percent), "links")
@@ -137,14 +140,13 @@ def links(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
     placed = (entries.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left")
               .withColumn("comp", F.coalesce("comp", "rid")))
-    lists = placed.groupBy("h", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    mixed = lists.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
-    some = materialise(placed.join(mixed, "h", "left_semi"), "mixed")
-    groups = some.groupBy("h", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    g, o = (groups.select("h", *[F.col(c).alias(f"{p}{c}") for c in ("comp", "lo", "hi")]) for p in "xy")
-    apart = g.join(o, "h").where((F.col("xcomp") < F.col("ycomp")) & (F.col("xhi") * 100 >= F.col("ylo") * percent)
-                                 & (F.col("yhi") * 100 >= F.col("xlo") * percent)).select("h", "xcomp", "ycomp")
-    rest = (apart.join(_side(some, "x"), ["h", "xcomp"]).join(_side(some, "y"), ["h", "ycomp"])
+    # in each list, what is outside its largest component meets the whole list
+    lists = placed.groupBy("h", "comp").agg(F.count("*").alias("c"))
+    main = lists.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("k")).where("k > 1").select("h", F.col("m.comp").alias("main"))
+    mixed = materialise(placed.join(main, "h"), "mixed")
+    minor = _side(mixed.where("comp <> main"), "x")
+    rest = (minor.join(_side(mixed, "y").hint("merge"), "h")
+            .where((F.col("xcomp") != F.col("ycomp")) & ((F.col("ycomp") == F.col("ymain")) | (F.col("xrid") < F.col("yrid"))))
             .where(_fits("x", "y", percent)).select(*_pair("xrid", "yrid")).distinct())
     second = _verify(rest, sets, percent)
     both = materialise(first.unionByName(second), "links")
@@ -153,7 +155,7 @@ def links(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                        percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per input row.
+    """(doc_id, n_shingles, component_id, kid, kth), one row per input row; (kid, kth) is the row's key.
 
     A text's set is its distinct k-word shingles (words between ASCII white
     space, A-Z lowered), as 64-bit hashes; a shorter text is one shingle. Two
@@ -180,11 +182,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # of the copies that chunks shipped, one set per class: dealt by digest, so that a row a chunk meets
     kept = alive.where("hs is not null").groupBy(*cid).agg(F.first("hs").alias("hs"), F.first("bins").alias("bins"))
     sets = materialise(kept.withColumn("rid", F.monotonically_increasing_id()), "reps")
-    _, comp = links(sets.select("rid", "n", "hs", "bins"), percent)
+    _, comp = links(materialise(_entries(sets, percent), "prefix"), sets.select("rid", "n", "hs", "bins"), percent)
     named = (sets.select("rid", *cid).join(classes, cid)
              .join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left").withColumn("comp", F.coalesce("comp", "rid")))
     name = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     tag = named.join(name, "comp").select(*cid, "component_id")
-    out = rows.select("doc_id", *cid).join(tag, cid, "left")
+    out = rows.select("doc_id", "kid", "kth", *cid).join(tag, cid, "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                      F.when(F.col("d2").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+                      F.when(F.col("d2").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "kid", "kth")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketline.llm.common import LOWER, Chunk, hash_spans, keyed, text_chunks, word_spans
+from docketline.llm.common import LOWER, Chunk, carried, hash_spans, keyed, text_chunks, word_spans
 
 _KEY = ["h", "len"]
 _ROW = "h long, len int, kid long, kth long, pos int"
@@ -191,21 +191,15 @@ def _apply(batches):
 
 def drop_common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
                       **how) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, kept[, carry columns]), one row per input row: bitmaps applied to the texts.
+    """(doc_id, n_lines, n_dropped, kept[, row]), one row per input row: bitmaps applied to the texts.
 
     The bitmaps join the texts by document key, so each text moves once. Rows
     that repeat id and text count as one document and all lose the same lines.
     """
-    src = keyed(docs, id_col, text_col)
-    more = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("struct<none:int>")
-    if carry:
-        doc, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))
-        src = docs.select(doc.alias("doc_id"), text.alias("text"), F.coalesce(doc, F.lit(-(1 << 63))).alias("kid"),
-                          F.xxhash64(text, doc.isNull()).alias("kth"), more.alias("row"))
-    else:
-        src = src.withColumn("row", more)
+    src = docs.withColumn("_carried", carried(carry))
+    src = keyed(src, id_col, text_col, "_carried").withColumnRenamed("_carried", "row")
     marked = (src.join(keep_bitmaps(docs, id_col, text_col, **how).hint("shuffle_hash"), ["kid", "kth"], "left")
               .select("doc_id", F.col("text").cast("binary").alias("text"), "keep_bitmap", "row"))
     kind = marked.schema["row"].dataType.simpleString()
     out = marked.mapInArrow(_apply, f"doc_id long, n_lines long, n_dropped long, kept string, row {kind}")
-    return out.select("doc_id", "n_lines", "n_dropped", "kept", *[f"row.{c}" for c in carry or []])
+    return out.select("doc_id", "n_lines", "n_dropped", "kept", *(["row"] if carry else []))

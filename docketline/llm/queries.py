@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketline.llm.common import table
+from docketline.llm.common import scratch, table
 from docketline.llm.decontaminate import decontaminate
 from docketline.llm.exact_dedup import exact_duplicates
 from docketline.llm.jaccard_join import jaccard_components
 from docketline.llm.line_dedup import drop_common_lines
+from docketline.llm.lm_score import score_texts
+from docketline.llm.piece_codec import encode_decode
+from docketline.llm.substring_dedup import remove_passages
+from docketline.llm.suffix_dedup import remove_repeats
+from docketline.llm.toxicity import score_toxicity
+from docketline.llm.warc import normalise, read_archives, warc_records, write_monolithic
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages to whole-file gzip archives, normalised and read back by index (contract of operator 1)."""
+    folder = scratch(spark, "warc")
+    write_monolithic(warc_records(table(spark, sf_dir, "pages"), least_bytes=100), f"{folder}/crawl")
+    normalise(spark, f"{folder}/crawl", f"{folder}/archives")
+    return read_archives(spark, f"{folder}/archives").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of all documents that repeat one of a smaller document: five-word shingles, similarity 0.8."""
+    out = remove_passages(table(spark, sf_dir, "documents"), k=5, percent=80)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "source_ids")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +44,20 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity 0.8: components of all documents (contract of operator 4)."""
-    return jaccard_components(table(spark, sf_dir, "documents"), k=5, percent=80)
+    return jaccard_components(table(spark, sf_dir, "documents"), k=5, percent=80).drop("kid", "kth")
+
+
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trigram model and unigram base over all documents (contract of operator 5)."""
+    return score_texts(table(spark, sf_dir, "documents"), folds=10, held_fold=0)
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """Ids and decoded texts of all documents, as digests (contract of operator 6)."""
+    out = encode_decode(table(spark, sf_dir, "documents"), model or public_tokenizers.path("piece_bpe_32k.model"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,16 +66,34 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents (contract of operator 8)."""
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """50-byte strings that start in a smaller document too (contract of operator 9)."""
+    out = remove_repeats(table(spark, sf_dir, "documents"), length=50)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal texts; the largest id stays (contract of operator 10)."""
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_ngram_jaccard, op7_line_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_warc, op2_substring_dedup, op3_decontaminate, op4_ngram_jaccard, op5_lm_score, op6_sentencepiece, op7_line_dedup, op8_toxicity, op9_suffix_dedup,
+    op10_exact_dedup)}
 
 _AZ = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    "op1_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+g AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) END AS f FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN f < page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN f < page_id THEN f END AS refers_to FROM g""",
     "op3_decontaminate": rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_AZ.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 i AS (SELECT item_id, regexp_extract_all({_AZ.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

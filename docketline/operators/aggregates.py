@@ -89,20 +89,16 @@ def latest_event(df: DataFrame, case: str, ts: str, name: str,
                       .otherwise(F.lit(empty_text)).alias("ultimo_movimento"))
 
 
-def latest_event_nested(arr: str | Column, empty_text: str = "sem movimentos",
-                        missing_name: str = "nome não disponível") -> Column:
-    """D10 without exploding: greatest (dataHora, nome) inside the array."""
+def latest_candidate(arr: str | Column, missing_name: str = "nome não disponível") -> Column:
+    """D10 inside one array: its greatest (time text, name), null for a null or empty array."""
     arr = F.col(arr) if isinstance(arr, str) else arr
-    packed = F.transform(arr, lambda m: F.struct(
-        F.coalesce(m["dataHora"], F.lit("")).alias("t"),
-        F.coalesce(m["nome"], F.lit(missing_name)).alias("n")))
-    return F.when(F.coalesce(F.size(arr), F.lit(0)) <= 0, F.lit(empty_text)) \
-            .otherwise(F.array_max(packed)["n"])
-
-
-def distinct_composite(cols: Sequence[str], sep: str = "|") -> tuple[Column, Column]:
-    """Distinct count over a ``concat_ws`` key (nulls skipped, may collide) and over
-    a struct key (exact). Both are returned so a caller can see the difference."""
-    text = F.count_distinct(F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]))
-    exact = F.count_distinct(F.struct(*[F.col(c) for c in cols]))
-    return text, exact
+    return F.array_max(F.transform(arr, lambda m: F.struct(
+        F.coalesce(m["dataHora"], F.lit("")).alias("t"), F.coalesce(m["nome"], F.lit(missing_name)).alias("n"))))
+
+
+def latest_event_nested(hits: DataFrame, keys: Mapping[str, Column], arr: str,
+                        empty_text: str = "sem movimentos") -> DataFrame:
+    """D10 without exploding: the greatest candidate over the hits of a key (a large case has several)."""
+    best = hits.select(*[c.alias(k) for k, c in keys.items()], latest_candidate(arr).alias("__c"))
+    out = best.groupBy(*keys).agg(F.max("__c").alias("__b"))
+    return out.select(*keys, F.coalesce(F.col("__b.n"), F.lit(empty_text)).alias("ultimo_movimento"))

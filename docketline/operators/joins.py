@@ -1,9 +1,8 @@
 """Join helpers.
 
 Broadcast is only ever applied behind a measured size: ``checked_broadcast``
-counts the side (dimensions are materialised, so this reads parquet footers)
-and falls back to a plain join, which Spark plans as a shuffle join and AQE
-may still convert at runtime.
+measures the side's bytes and falls back to a plain join, which Spark plans
+as a shuffle join and AQE may still convert at runtime.
 """
 
 from __future__ import annotations
@@ -13,15 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a broadcast side may hold; at ~100 bytes a row this is well under the
-# default 8 GiB broadcast ceiling and the executors' storage share.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Bytes (as JSON text) that a broadcast side may hold.
+BROADCAST_BYTES = 64 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it holds at most ``max_rows`` rows, else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def frame_bytes(df: DataFrame) -> int:
+    """Size of the rows as JSON text: one aggregate pass, for any column types."""
+    return df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("b")).first()["b"]
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if it holds at most ``max_bytes``, else ``df`` unchanged."""
+    return F.broadcast(df) if frame_bytes(df) <= max_bytes else df
 
 
 def shuffle_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
@@ -35,16 +37,15 @@ def shuffle_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> D
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-             max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Fact joined to one dimension; the dimension is broadcast when small."""
-    return fact.join(checked_broadcast(dim, max_rows), on, how)
+    return fact.join(checked_broadcast(dim, max_bytes), on, how)
 
 
 def anti_join_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose non-null foreign key has no parent row."""
-    keys = parent.select(F.col(pk).alias("__pk")).distinct()
-    return (child.where(F.col(fk).isNotNull())
-            .join(keys, F.col(fk) == F.col("__pk"), "left_anti"))
+    """Child rows whose non-null foreign key has no parent row (a sort-merge anti join)."""
+    keys = parent.select(F.col(pk).alias("__pk"))
+    return shuffle_join(child.where(F.col(fk).isNotNull()), keys, F.col(fk) == F.col("__pk"), "left_anti")
 
 
 def null_safe_condition(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

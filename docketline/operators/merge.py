@@ -1,4 +1,4 @@
-"""Upserts without a table format.
+"""Upserts without a table format.
 
 ``upsert`` is the reference's MERGE (matched -> replace, else insert) on
 null-safe keys, expressed as anti-join + union. ``merge_cases`` is the
@@ -6,25 +6,27 @@ incremental unit we use instead: a batch *touches* cases, and every touched
 case is recomputed whole from its old rows plus the batch, so gaps and the
 latest flag stay right when events arrive late or out of order.
 
-``BucketedTable`` stores a case-keyed table as parquet partitioned by
-``bucket = pmod(xxhash64(case), B)``. A batch rewrites only the buckets it
-touches (their ids are at most B small ints), through a staged copy in the
-shared checkpoint folder, with dynamic partition overwrite. Re-running a
-batch gives the same rows (newest-wins dedup), so a retry after a failure
-mid-write is safe.
+``CaseTable`` keeps a case-keyed table as a base and deltas in plain parquet
+folders. A batch writes the touched cases, rebuilt, into its own folder and
+nothing else, so a small batch writes little, a replay overwrites only what it
+wrote before, and no reader ever sees half a write. ``fold`` writes a new base.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .joins import checked_broadcast, null_safe_condition, shuffle_join
+from ..session import complete_children, delete_path
+from .joins import frame_bytes, null_safe_condition, shuffle_join
 from .windows import dedup_latest
 
-PRIORITY = "__prio"
+# Bytes of rows (as JSON text) per bucket of a base.
+BUCKET_BYTES = 512 << 20
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -39,74 +41,135 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return kept.unionByName(src)
 
 
-def touched(batch: DataFrame, case: str) -> DataFrame:
-    return checked_broadcast(batch.select(case).distinct())
+def _touched(batch: DataFrame, case: str) -> tuple[DataFrame, Column]:
+    """The batch's cases, null included, and the condition that matches them."""
+    return batch.select(F.col(case).alias("__case")).distinct(), F.col(case).eqNullSafe(F.col("__case"))
+
+
+def rows_to_rebuild(existing: DataFrame, batch: DataFrame, case: str) -> DataFrame:
+    """The stored rows of the touched cases together with the batch."""
+    cases, same = _touched(batch, case)
+    return existing.join(cases, same, "left_semi").unionByName(batch, allowMissingColumns=True)
 
 
 def merge_cases(existing: DataFrame, batch: DataFrame, case: str,
                 rebuild: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Touched-case incremental merge.
 
-    ``existing`` holds derived rows; ``batch`` raw rows of the same flat
-    shape plus whatever ``rebuild`` needs. Untouched cases pass through
-    unchanged; touched cases are rebuilt from their old rows (priority 0)
-    and the batch (priority 1, newer wins in ``rebuild``'s dedup).
+    ``existing`` holds derived rows; ``batch`` raw rows of the same flat shape
+    plus whatever ``rebuild`` needs. Untouched cases pass through unchanged;
+    touched cases are rebuilt from their old rows and the batch. ``rebuild``
+    decides between copies of an event by the stored ingest time, so the
+    result does not depend on the order of the batches.
     """
-    t = touched(batch, case)
-    keep = existing.join(t, case, "left_anti")
-    old = existing.join(t, case, "left_semi").withColumn(PRIORITY, F.lit(0))
-    new = batch.withColumn(PRIORITY, F.lit(1))
-    combined = old.unionByName(new, allowMissingColumns=True)
-    redone = rebuild(combined)
-    return keep.unionByName(redone.select(*keep.columns))
-
-
-def bucket_of(case: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(case)), F.lit(buckets)).cast("int")
+    cases, same = _touched(batch, case)
+    keep = existing.join(cases, same, "left_anti")
+    return keep.unionByName(rebuild(rows_to_rebuild(existing, batch, case)).select(*keep.columns))
 
 
-class BucketedTable:
-    """A case-keyed parquet table that merges batches bucket by bucket."""
+def bucket_of(case: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(case), F.lit(buckets)).cast("int")
 
-    def __init__(self, spark: SparkSession, path: str, case: str, buckets: int = 1024,
-                 staging: str | None = None):
-        self.spark, self.path, self.case, self.buckets = spark, path, case, buckets
-        self.staging = staging or f"{path}__staging"
 
-    def exists(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_SUCCESS")
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+class CaseTable:
+    """A case-keyed parquet table that merges batches.
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).drop("bucket")
+    ``<path>/delta/batch=<id>``        whole cases as of that batch
+    ``<path>/base/upto=<id>~<buckets>`` all cases as of that batch, by bucket of the case
 
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        """Rows clustered by bucket before the write (few files per bucket); the
-        rebalance lets AQE split a bucket that holds a hot case over several tasks."""
-        return df.withColumn("bucket", bucket_of(self.case, self.buckets)).hint("rebalance", "bucket")
-
-    def create(self, df: DataFrame) -> None:
-        """First load: full write, partitioned by bucket."""
-        self._bucketed(df).write.mode("overwrite").partitionBy("bucket").parquet(self.path)
+    A case's rows are those of its newest delta, else those of the newest base.
+    Folders without a committed write are not seen.
+    """
 
-    def merge(self, batch: DataFrame, rebuild: Callable[[DataFrame], DataFrame],
-              first_build: Callable[[DataFrame], DataFrame]) -> None:
-        """A5: create on the first run, else rewrite only the touched buckets."""
-        if not self.exists():
-            self.create(first_build(batch))
+    def __init__(self, spark: SparkSession, path: str, case: str, schema: str | T.StructType,
+                 partition_by: Sequence[str] = ()):
+        self.spark, self.path, self.case, self.parts = spark, path, case, list(partition_by)
+        self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    # -- what there is
+    def deltas(self) -> list[int]:
+        return sorted(int(n.removeprefix("batch=")) for n in complete_children(self.spark, f"{self.path}/delta"))
+
+    def bases(self) -> list[tuple[int, int]]:
+        """(last batch, buckets) of each base, oldest first."""
+        names = complete_children(self.spark, f"{self.path}/base")
+        return sorted(tuple(int(x) for x in n.removeprefix("upto=").split("~")) for n in names)
+
+    def batches(self) -> set[int]:
+        """Batches that are in the table."""
+        base = max((b for b, _ in self.bases()), default=-1)
+        return set(self.deltas()) | set(range(base + 1))
+
+    # -- reading
+    def _state(self, upto: int | None) -> tuple[tuple[int, int] | None, list[int]]:
+        base = max((b for b in self.bases() if upto is None or b[0] <= upto), default=None)
+        low = -1 if base is None else base[0]
+        return base, [d for d in self.deltas() if d > low and (upto is None or d <= upto)]
+
+    def _base(self, base: tuple[int, int]) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(f"{self.path}/base/upto={base[0]}~{base[1]}")
+
+    def _deltas(self, ids: list[int]) -> DataFrame:
+        root = f"{self.path}/delta"
+        schema = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/batch={i}" for i in ids])
+
+    def _union(self, base: DataFrame | None, delta: DataFrame | None, several: bool) -> DataFrame:
+        cols = self.schema.names
+        if delta is None:
+            return base.select(*cols) if base is not None else self.spark.createDataFrame([], self.schema)
+        newest = delta.groupBy(F.col(self.case).alias("__case")).agg(F.max("batch").alias("__newest"))
+        same = F.col(self.case).eqNullSafe(F.col("__case"))
+        rows = delta.join(newest, same & (F.col("batch") == F.col("__newest")), "left_semi") if several else delta
+        if base is None:
+            return rows.select(*cols)
+        return base.join(newest, same, "left_anti").select(*cols).unionByName(rows.select(*cols))
+
+    def read(self, upto: int | None = None) -> DataFrame:
+        """The table as of a batch (default: the newest)."""
+        base, ids = self._state(upto)
+        return self._union(self._base(base) if base else None, self._deltas(ids) if ids else None, len(ids) > 1)
+
+    def read_case(self, case: str) -> DataFrame:
+        """One case's rows: one bucket of the base, and a pushed filter on the deltas."""
+        base, ids = self._state(None)
+        pick = F.col(self.case) == F.lit(case)
+        kept = self._base(base).where((F.col("bucket") == bucket_of(F.lit(case), base[1])) & pick) if base else None
+        return self._union(kept, self._deltas(ids).where(pick) if ids else None, len(ids) > 1)
+
+    # -- writing
+    def put(self, batch: int, rows: DataFrame) -> None:
+        """Write whole cases as batch ``batch``; a replay overwrites its own folder only."""
+        w = rows.select(*self.schema.names).write.mode("overwrite")
+        (w.partitionBy(*self.parts) if self.parts else w).parquet(f"{self.path}/delta/batch={batch}")
+
+    def delta(self, batch: int) -> DataFrame:
+        """The rows that batch ``batch`` wrote."""
+        return self._deltas([batch]).select(*self.schema.names)
+
+    def merge(self, batch: int, rows: DataFrame, rebuild: Callable[[DataFrame], DataFrame]) -> None:
+        """Rebuild the cases that ``rows`` touch, from the state before ``batch``, and put them."""
+        self.put(batch, rebuild(rows_to_rebuild(self.read(upto=batch - 1), rows, self.case)))
+
+    def fold(self) -> None:
+        """A new base of the current state, in buckets whose number follows the size, sorted by case."""
+        ids = self.deltas()
+        if not ids:
+            return
+        rows = self.read()
+        buckets = max(1, math.ceil(frame_bytes(rows) / BUCKET_BYTES))
+        (rows.withColumn("bucket", bucket_of(F.col(self.case), buckets)).hint("rebalance", "bucket")
+         .sortWithinPartitions("bucket", self.case).write.mode("overwrite").partitionBy("bucket", *self.parts)
+         .parquet(f"{self.path}/base/upto={ids[-1]}~{buckets}"))
+
+    def clean(self, keep_bases: int = 1) -> None:
+        """Delete what no reader of the newest ``keep_bases`` bases needs. Run it when no older version is read."""
+        kept = self.bases()[-keep_bases:]
+        if not kept:
             return
-        batch = batch.withColumn("bucket", bucket_of(self.case, self.buckets))
-        ids = [r[0] for r in batch.select("bucket").distinct().collect()]  # <= buckets ints
-        current = self.spark.read.parquet(self.path).where(F.col("bucket").isin(ids))
-        cols = [c for c in current.columns if c != "bucket"]
-        merged = merge_cases(current.select(*cols), batch.drop("bucket"), self.case, rebuild)
-        staged = f"{self.staging}/{abs(hash(tuple(sorted(ids))))}"
-        self._bucketed(merged).write.mode("overwrite").partitionBy("bucket").parquet(staged)
-        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            (self.spark.read.parquet(staged).select(*cols, "bucket")
-             .write.mode("overwrite").partitionBy("bucket").parquet(self.path))
-        finally:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        for b in self.bases()[:-keep_bases]:
+            delete_path(self.spark, f"{self.path}/base/upto={b[0]}~{b[1]}")
+        for d in self.deltas():
+            if d <= kept[0][0]:
+                delete_path(self.spark, f"{self.path}/delta/batch={d}")

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import checked_broadcast
+from .joins import BROADCAST_BYTES
 
 TIE = "__tie"
 
@@ -84,25 +84,19 @@ def _split(df: DataFrame, case: str, ts: str, tie: Sequence[str], gap: str, late
         case, part,
         F.lag(F.col("__tail")[ts]).over(ws).alias("__prev_tail"),
         F.lead(F.lit(1)).over(ws).isNull().alias("__last_slice")))
-    out = local.join(checked_broadcast(summary), [case, part], "inner")
+    # one row per (case, slice); both sides are clustered by these keys already. A null case joins too.
+    keys = summary.select(F.col(case).alias("__case"), F.col(part).alias("__part"), "__prev_tail", "__last_slice")
+    out = local.join(keys.hint("merge"), F.col(case).eqNullSafe(F.col("__case")) & (F.col(part) == F.col("__part")))
     prev = F.when(F.col("__first"), F.col("__prev_tail")).otherwise(F.col("__prev"))
     return (out.withColumn(gap, F.datediff(F.col(ts), prev))
                .withColumn(latest, F.col("__last") & F.col("__last_slice"))
-               .drop("__prev", "__first", "__last", "__prev_tail", "__last_slice", part))
-
-
-def _slice_count(spark, hot_rows: int, hot_case_rows: int) -> int:
-    """Range slices for the hot rows: enough that a slice holds about
-    ``hot_case_rows`` rows, at most a few per task slot of the cluster."""
-    slots = max(spark.sparkContext.defaultParallelism,
-                int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(2, min(math.ceil(hot_rows / hot_case_rows), 4 * slots))
+               .drop("__prev", "__first", "__last", "__prev_tail", "__last_slice", "__case", "__part", part))
 
 
 def hot_cases(counts: DataFrame, case: str, n: str, hot_case_rows: int) -> DataFrame:
-    """Cases with more than ``hot_case_rows`` events, from a per-case count.
+    """Cases with more than ``hot_case_rows`` events, from a per-case count:
+    at most total_rows / hot_case_rows rows, the null case among them.
 
-    At most total_rows / hot_case_rows rows: a proven bound for a broadcast.
     Count where it is cheapest (e.g. ``size(movimentos)`` per hit in bronze,
     or rows per key in the source table) instead of re-reading the events.
     """
@@ -116,7 +110,7 @@ def case_metrics(df: DataFrame, case: str = "numero_processo", ts: str = "data_m
                  latest: str = "is_ultimo_movimento",
                  hot_case_rows: int | None = None,
                  dedup_order: Sequence[str] | None = None,
-                 hot: DataFrame | None = None) -> DataFrame:
+                 hot: DataFrame | None = None, slice_rows: int = 1_000_000) -> DataFrame:
     """W1 + W2: days since the previous event of the case, and the latest flag.
 
     ``dedup_order``: first keep one row per event key (case, ts, *tie), the
@@ -124,9 +118,9 @@ def case_metrics(df: DataFrame, case: str = "numero_processo", ts: str = "data_m
     ``hot_case_rows``: cases with more events than this go through the
     sliced path. ``hot``: those cases with their counts (``hot_cases``), if
     already known; otherwise they are counted from ``df`` (one more pass over
-    it). ``hot_case_rows=None`` skips the check.
+    it). ``hot_case_rows=None`` skips the check. ``slice_rows``: rows of hot cases per range slice.
     """
-    cols = [c for c in df.columns if dedup_order is None or c not in dedup_order]
+    cols = df.columns
     df = with_tiebreak(df)
     if hot_case_rows is None:
         return _plain(df, case, ts, tie, gap, latest, TIE, dedup_order).select(*cols, gap, latest)
@@ -135,15 +129,17 @@ def case_metrics(df: DataFrame, case: str = "numero_processo", ts: str = "data_m
     stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("rows")).first()
     if not stats["k"]:
         return _plain(df, case, ts, tie, gap, latest, TIE, dedup_order).select(*cols, gap, latest)
-    # At most total_rows / hot_case_rows keys: a proven bound for the broadcast.
-    hot_keys = F.broadcast(hot.select(case))
-    cold = df.join(hot_keys, case, "left_anti")
-    hot_rows = df.join(hot_keys, case, "left_semi")
+    keys = hot.select(F.col(case).alias("__case"))
+    # a few bytes a key: broadcast only as far as that stays small
+    keys = F.broadcast(keys) if stats["k"] * 64 <= BROADCAST_BYTES else keys.hint("merge")
+    same = F.col(case).eqNullSafe(F.col("__case"))
+    cold = df.join(keys, same, "left_anti")
+    hot_rows = df.join(keys, same, "left_semi")
     if dedup_order is not None:
         # copies of one event collapse map-side in the aggregate, then the
         # surviving rows are sliced
         hot_rows = with_tiebreak(dedup_latest(hot_rows.drop(TIE), [case, ts, *tie], dedup_order))
-    slices = _slice_count(df.sparkSession, stats["rows"], hot_case_rows)
+    slices = max(2, math.ceil(stats["rows"] / slice_rows))
     out_cold = _plain(cold, case, ts, tie, gap, latest, TIE, dedup_order).select(*cols, gap, latest)
     out_hot = _split(hot_rows, case, ts, tie, gap, latest, TIE, slices).select(*cols, gap, latest)
     return out_cold.unionByName(out_hot)

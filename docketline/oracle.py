@@ -1,9 +1,10 @@
 """DuckDB SQL that states each registered query independently of Spark.
 
-The text follows the reference's SQL shape (row_number for the latest flag,
-LEFT JOINs to dimensions for the fact keys, COUNT(DISTINCT CASE ...)), so it
-checks our rewrites rather than repeating them. Tables are the driver's
-pre-registered views. Types are cast to what Spark returns.
+Silver's window columns are the plain statement (lag, row_number); everything above
+it is written from the meaning at another grain than the Spark side: one row per case for the
+dashboards, key expressions instead of look-ups for the fact, distinct combinations for the
+dimensions. Tables are the driver's pre-registered views. Types are cast to
+what Spark returns.
 """
 
 from __future__ import annotations
@@ -16,14 +17,12 @@ def sk(*cols: str) -> str:
     return "md5(" + " || '-' || ".join(parts) + ")"
 
 
-HDR = f"""
+HDR = """
 hdr AS (
   SELECT o.o_orderkey, o.o_custkey, c.c_mktsegment, o.o_orderpriority,
-    lpad(CAST(o.o_orderkey AS VARCHAR), 7, '0')
-      || lpad(CAST(o.o_orderkey % 97 AS VARCHAR), 2, '0')
-      || CAST(year(o.o_orderdate) AS VARCHAR) || '8'
-      || lpad(CAST(r.r_regionkey AS VARCHAR), 2, '0')
-      || lpad(CAST(n.n_nationkey AS VARCHAR), 4, '0') AS numero_processo,
+    format('{:07d}{:02d}{:04d}8{:d}{:d}{:02d}{:02d}', o.o_orderkey % 10000000, (o.o_orderkey // 10000000) % 100,
+           year(o.o_orderdate), o.o_orderkey // 100000000000, r.r_regionkey,
+           (o.o_orderkey // 1000000000) % 100, n.n_nationkey) AS numero_processo,
     r.r_name AS sigla_tribunal,
     CAST(o.o_orderdate AS TIMESTAMP) AS data_ajuizamento,
     CAST(substr(o.o_orderpriority, 1, 1) AS BIGINT) AS codigo_classe,
@@ -74,61 +73,80 @@ silver AS (
     w_desc AS (PARTITION BY numero_processo ORDER BY data_movimento DESC NULLS LAST, codigo_movimento DESC NULLS LAST)
 )"""
 
+# Movement code ranges of the phases.
+PHASES = """
+fases(de, ate, fase) AS (VALUES (1, 99, 'distribuição'), (100, 199, 'conhecimento'), (200, 299, 'instrução'),
+  (300, 399, 'sentença'), (400, 499, 'recurso'), (500, 599, 'execução'), (600, 699, 'arquivamento'))"""
+
+
+def phase_of(code: str) -> str:
+    """The label of the range that holds a code (needs ``PHASES``)."""
+    return f"coalesce((SELECT fase FROM fases WHERE {code} >= de AND {code} <= ate), 'outro')"
+
+
+def date_key(col: str) -> str:
+    return f"CAST(year({col}) * 10000 + month({col}) * 100 + day({col}) AS INTEGER)"
+
+
+def key_or_null(*cols: str) -> str:
+    """A surrogate key, null where one of its columns is."""
+    return f"if({' AND '.join(f'{c} IS NOT NULL' for c in cols)}, {sk(*cols)}, NULL)"
+
+
+def fact_of(name: str, silver: str) -> str:
+    """A fact CTE over a silver CTE: the foreign keys are hashes of the row's own natural keys."""
+    fields = {
+        "numero_processo": "numero_processo", "data_movimento": "data_movimento",
+        "fk_tribunal": key_or_null("sigla_tribunal"), "fk_classe": key_or_null("codigo_classe"),
+        "fk_orgao": key_or_null("codigo_orgao", "sigla_tribunal"),
+        "fk_data_movimento": date_key("data_movimento"), "fk_data_ajuizamento": date_key("data_ajuizamento"),
+        "codigo_movimento": "codigo_movimento", "grau": "grau", "tipo_fase": phase_of("codigo_movimento"),
+        "dias_desde_ajuizamento": "dias_desde_ajuizamento", "dias_desde_ultimo_movimento": "dias_desde_ultimo_movimento",
+        "is_ultimo_movimento": "is_ultimo_movimento",
+    }
+    return f"{PHASES},\n{name} AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in fields.items()) + f" FROM {silver})"
+
+
+# The distinct combinations of court, class and organ among the events, with the dates they span.
 DIMS = f"""
+combinacoes AS (
+  SELECT sigla_tribunal, codigo_classe, nome_classe, codigo_orgao, nome_orgao,
+         min(least(data_ajuizamento, data_movimento)) AS de, max(greatest(data_ajuizamento, data_movimento)) AS ate
+  FROM mov GROUP BY ALL
+),
 dim_tribunais AS (
-  SELECT {sk('sigla_tribunal')} AS sk_tribunal, sigla_tribunal
-  FROM (SELECT DISTINCT sigla_tribunal FROM silver WHERE sigla_tribunal IS NOT NULL)
+  SELECT DISTINCT {sk('sigla_tribunal')} AS sk_tribunal, sigla_tribunal FROM combinacoes WHERE sigla_tribunal IS NOT NULL
 ),
 dim_classes AS (
-  SELECT {sk('codigo_classe')} AS sk_classe, codigo_classe, nome_classe
-  FROM (SELECT codigo_classe, min(nome_classe) AS nome_classe FROM silver
-        WHERE codigo_classe IS NOT NULL GROUP BY codigo_classe)
+  SELECT DISTINCT ON (codigo_classe) {sk('codigo_classe')} AS sk_classe, codigo_classe, nome_classe
+  FROM combinacoes WHERE codigo_classe IS NOT NULL ORDER BY codigo_classe, nome_classe
 ),
 dim_orgaos AS (
-  SELECT {sk('o.codigo_orgao', 'o.sigla_tribunal')} AS sk_orgao, o.codigo_orgao, o.nome_orgao,
-         t.sk_tribunal AS fk_tribunal
-  FROM (SELECT codigo_orgao, min(nome_orgao) AS nome_orgao, sigla_tribunal FROM silver
-        WHERE codigo_orgao IS NOT NULL GROUP BY codigo_orgao, sigla_tribunal) o
-  LEFT JOIN dim_tribunais t USING (sigla_tribunal)
+  SELECT DISTINCT ON (codigo_orgao, sigla_tribunal) {sk('codigo_orgao', 'sigla_tribunal')} AS sk_orgao,
+         codigo_orgao, nome_orgao, {key_or_null('sigla_tribunal')} AS fk_tribunal
+  FROM combinacoes WHERE codigo_orgao IS NOT NULL ORDER BY codigo_orgao, sigla_tribunal, nome_orgao
 ),
-bounds AS (
-  SELECT make_date(CAST(year(least(min(data_ajuizamento), min(data_movimento))) AS INTEGER), 1, 1) AS lo,
-         make_date(CAST(year(greatest(max(data_ajuizamento), max(data_movimento))) AS INTEGER), 12, 31) AS hi
-  FROM silver
+dias AS (
+  SELECT CAST(unnest(range(date_trunc('year', min(de)), date_trunc('year', max(ate)) + INTERVAL 1 YEAR, INTERVAL 1 DAY)) AS DATE) AS data
+  FROM combinacoes
 ),
 dim_calendario AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS sk_data, d AS data,
-    CAST(year(d) AS INTEGER) AS ano, CAST(month(d) AS INTEGER) AS mes, monthname(d) AS nome_mes,
-    CAST(quarter(d) AS INTEGER) AS trimestre,
-    CASE WHEN month(d) <= 6 THEN 1 ELSE 2 END AS semestre,
-    dayname(d) AS dia_semana, dayofweek(d) IN (0, 6) AS is_fim_de_semana,
-    false AS is_feriado_nacional
-  FROM (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
-        FROM bounds)
-),
-fato AS (
-  SELECT m.numero_processo, m.data_movimento,
-    t.sk_tribunal AS fk_tribunal, c.sk_classe AS fk_classe, o.sk_orgao AS fk_orgao,
-    CAST(strftime(CAST(m.data_movimento AS DATE), '%Y%m%d') AS INTEGER) AS fk_data_movimento,
-    CAST(strftime(CAST(m.data_ajuizamento AS DATE), '%Y%m%d') AS INTEGER) AS fk_data_ajuizamento,
-    m.codigo_movimento, m.grau,
-    CASE
-      WHEN m.codigo_movimento BETWEEN 1 AND 99 THEN 'distribuição'
-      WHEN m.codigo_movimento BETWEEN 100 AND 199 THEN 'conhecimento'
-      WHEN m.codigo_movimento BETWEEN 200 AND 299 THEN 'instrução'
-      WHEN m.codigo_movimento BETWEEN 300 AND 399 THEN 'sentença'
-      WHEN m.codigo_movimento BETWEEN 400 AND 499 THEN 'recurso'
-      WHEN m.codigo_movimento BETWEEN 500 AND 599 THEN 'execução'
-      WHEN m.codigo_movimento BETWEEN 600 AND 699 THEN 'arquivamento'
-      ELSE 'outro'
-    END AS tipo_fase,
-    m.dias_desde_ajuizamento, m.dias_desde_ultimo_movimento, m.is_ultimo_movimento
-  FROM silver m
-  LEFT JOIN dim_tribunais t USING (sigla_tribunal)
-  LEFT JOIN dim_classes c USING (codigo_classe)
-  LEFT JOIN dim_orgaos o ON o.codigo_orgao = m.codigo_orgao AND o.fk_tribunal = t.sk_tribunal
+  SELECT {date_key('data')} AS sk_data, data, CAST(year(data) AS INTEGER) AS ano, CAST(month(data) AS INTEGER) AS mes,
+    monthname(data) AS nome_mes, CAST((month(data) + 2) // 3 AS INTEGER) AS trimestre,
+    CAST((month(data) + 5) // 6 AS INTEGER) AS semestre, dayname(data) AS dia_semana,
+    isodow(data) > 5 AS is_fim_de_semana, false AS is_feriado_nacional
+  FROM dias
 )"""
 
+# One row per case: its events, the sum of ages, and what its latest event says.
+CASES = """
+casos AS (
+  SELECT numero_processo, count(*) AS n, sum(dias_desde_ajuizamento) AS soma_idade, count(dias_desde_ajuizamento) AS n_idade,
+         max(CASE WHEN is_ultimo_movimento THEN dias_desde_ultimo_movimento END) AS intervalo,
+         max(CASE WHEN is_ultimo_movimento THEN dias_desde_ajuizamento END) AS idade,
+         max(sigla_tribunal) AS tribunal, max(nome_classe) AS classe, max(nome_orgao) AS orgao
+  FROM silver GROUP BY numero_processo
+)"""
 
 
 def silver_of(name: str, source: str) -> str:
@@ -139,7 +157,7 @@ def silver_of(name: str, source: str) -> str:
 
 
 BASE = "WITH " + ",".join([HDR, MOV, SILVER])
-GOLD = BASE + "," + DIMS
+GOLD = ",".join([BASE, DIMS, fact_of("fato", "silver")])
 
 
 def with_gold(select: str, extra_ctes: str = "") -> str:
@@ -150,5 +168,9 @@ def with_silver(select: str, extra_ctes: str = "") -> str:
     return BASE + ("," + extra_ctes if extra_ctes else "") + "\n" + select
 
 
+def with_cases(select: str, extra_ctes: str = "") -> str:
+    return with_silver(select, CASES + ("," + extra_ctes if extra_ctes else ""))
+
+
 def with_mov(select: str, extra_ctes: str = "") -> str:
     return "WITH " + ",".join([HDR, MOV]) + ("," + extra_ctes if extra_ctes else "") + "\n" + select

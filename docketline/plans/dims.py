@@ -2,7 +2,7 @@
 
 Every dimension is a grouping of silver (or bronze) on its natural key, so
 each is as small as the number of distinct keys: courts, classes, organs,
-subjects, days. Keys are md5 surrogate keys of the natural key.
+subjects, days. A gold build takes them from ``silver_groups``, which reads silver once. Keys are md5 surrogate keys of the natural key.
 """
 
 from __future__ import annotations
@@ -15,6 +15,14 @@ from ..functions.parse import parse_json_array
 from ..operators.joins import join_dim
 
 
+def silver_groups(silver: DataFrame) -> DataFrame:
+    """One pass over silver for M1, M2, M4 and the calendar's bounds: the distinct courts, classes,
+    organs and their names, with the first and last date of each. As small as their combinations."""
+    return (silver.groupBy("sigla_tribunal", "codigo_classe", "nome_classe", "codigo_orgao", "nome_orgao")
+            .agg(F.least(F.min("data_ajuizamento"), F.min("data_movimento")).alias("first_date"),
+                 F.greatest(F.max("data_ajuizamento"), F.max("data_movimento")).alias("last_date")))
+
+
 def dim_tribunais(silver: DataFrame) -> DataFrame:
     """M1: one row per court."""
     return (silver.where(F.col("sigla_tribunal").isNotNull())
@@ -60,12 +68,10 @@ def dim_orgaos(silver: DataFrame, tribunais: DataFrame | None = None) -> DataFra
                     "codigo_orgao", "nome_orgao", F.col("sk_tribunal").alias("fk_tribunal"))
 
 
-def calendar_bounds(silver: DataFrame) -> DataFrame:
-    """One row (lo, hi): whole years spanning every filing and event date."""
-    lo = F.least(F.min("data_ajuizamento"), F.min("data_movimento"))
-    hi = F.greatest(F.max("data_ajuizamento"), F.max("data_movimento"))
-    return silver.agg(F.make_date(F.year(lo), F.lit(1), F.lit(1)).alias("lo"),
-                      F.make_date(F.year(hi), F.lit(12), F.lit(31)).alias("hi"))
+def calendar_bounds(groups: DataFrame) -> DataFrame:
+    """One row (lo, hi): whole years spanning every filing and event date of ``silver_groups``."""
+    return groups.agg(F.make_date(F.year(F.min("first_date")), F.lit(1), F.lit(1)).alias("lo"),
+                      F.make_date(F.year(F.max("last_date")), F.lit(12), F.lit(31)).alias("hi"))
 
 
 def dim_calendario(bounds: DataFrame | None = None, spark=None,

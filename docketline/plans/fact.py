@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import date_key, phase_bucket, surrogate_key
-from ..operators.joins import join_dim
+from ..operators.joins import join_dim, scalar_filter
 from ..schemas import FACT_COLUMNS
 
 
@@ -59,5 +59,5 @@ def incremental_slice(silver: DataFrame, existing_fact: DataFrame) -> DataFrame:
     Kept for fidelity; it loses late and same-day events (H3). The flow
     uses the touched-case upsert in ``operators.merge`` instead.
     """
-    mx = existing_fact.agg(F.coalesce(F.max("fk_data_movimento"), F.lit(0))).scalar()
-    return build_fact(silver).where(F.col("fk_data_movimento") > mx).select(*FACT_COLUMNS)
+    newest = existing_fact.agg(F.coalesce(F.max("fk_data_movimento"), F.lit(0)))
+    return scalar_filter(build_fact(silver), "fk_data_movimento", newest, ">").select(*FACT_COLUMNS)

@@ -124,21 +124,26 @@ def stale_over_1y(fact: DataFrame, tribunais: DataFrame, orgaos: DataFrame,
             .orderBy(F.desc(GAP), CASE))
 
 
+def _per_day(fact: DataFrame, calendario: DataFrame, *attributes: str) -> DataFrame:
+    """Movements per event day: counted by the integer key first, so the calendar joins days, not events."""
+    per_key = fact.groupBy("fk_data_movimento").agg(F.count(F.lit(1)).alias("__n"))
+    cal = calendario.select("sk_data", *attributes)
+    return per_key.join(cal, F.col("fk_data_movimento") == F.col("sk_data"))
+
+
 def movements_by_weekday(fact: DataFrame, calendario: DataFrame) -> DataFrame:
     """Movements per day name, with Monday = 1 ordinal."""
-    j = fact.join(calendario, F.col("fk_data_movimento") == F.col("sk_data"))
-    g = j.groupBy("dia_semana").agg(F.count(F.lit(1)).alias("total_movimentos"))
+    g = _per_day(fact, calendario, "dia_semana").groupBy("dia_semana").agg(F.sum("__n").alias("total_movimentos"))
     return (g.select("dia_semana", weekday_ordinal("dia_semana").alias("dia_semana_ordem"),
                      "total_movimentos").orderBy("dia_semana_ordem"))
 
 
 def movements_by_day(fact: DataFrame, calendario: DataFrame) -> DataFrame:
     """P10: movements per calendar day with heat-map attributes."""
-    j = fact.join(calendario, F.col("fk_data_movimento") == F.col("sk_data"))
-    g = j.groupBy("data", "dia_semana", "mes", "ano").agg(F.count(F.lit(1)).alias("total_movimentos"))
+    g = _per_day(fact, calendario, "data", "dia_semana", "mes", "ano")
     return (g.select("data", F.dayofyear("data").alias("dia_ano"), "dia_semana",
                      weekday_ordinal("dia_semana").alias("dia_semana_ordem"), "mes", "ano",
-                     "total_movimentos")
+                     F.col("__n").alias("total_movimentos"))
             .orderBy("dia_semana_ordem", "dia_ano", "ano"))
 
 
@@ -149,16 +154,14 @@ def weekly_flow(fact: DataFrame, calendario: DataFrame, full: bool = False) -> D
     reference (2024-12-30 is week 1 of 2024). ``full=True`` keeps weeks that
     only have filings.
     """
-    cal = calendario.select("sk_data", "data", "ano")
-    mv = (fact.join(cal, F.col("fk_data_movimento") == F.col("sk_data"))
-          .groupBy("ano", F.weekofyear("data").alias("semana"))
-          .agg(F.count(F.lit(1)).alias("total_movimentos")))
+    cal = calendario.select("sk_data", "ano", F.weekofyear("data").alias("semana"))
+    mv = (_per_day(fact, calendario, "ano", "data").groupBy("ano", F.weekofyear("data").alias("semana"))
+          .agg(F.sum("__n").alias("total_movimentos")))
     # one row per (case, filing day) first: the distinct count then needs no
-    # second pass over all movements
+    # second pass over all movements (a case can have a filing day per instance)
     filings = fact.select(CASE, "fk_data_ajuizamento").distinct()
     nw = (filings.join(cal, F.col("fk_data_ajuizamento") == F.col("sk_data"))
-          .groupBy("ano", F.weekofyear("data").alias("semana"))
-          .agg(F.count_distinct(CASE).alias("novos_processos")))
+          .groupBy("ano", "semana").agg(F.count_distinct(CASE).alias("novos_processos")))
     j = mv.join(nw, ["ano", "semana"], "full" if full else "left")
     return (j.select("ano", "semana", week_label("ano", "semana").alias("ano_semana"),
                      F.coalesce(F.col("novos_processos"), F.lit(0)).alias("novos_processos"),
@@ -177,12 +180,13 @@ def pct_stalled(fact: DataFrame) -> DataFrame:
 def top5_class_monthly(fact: DataFrame, classes: DataFrame, k: int = 5) -> DataFrame:
     """Monthly movements of the k classes with most cases.
 
-    The top-k list has at most k rows, so its broadcast is bounded by k.
+    The classes are ranked on the latest events (one fact partition); the top-k list has at most k
+    rows, so its broadcast is bounded by k.
     """
     top = (_by_class(fact, classes).orderBy(F.desc("total_processos"), "nome_classe")
            .limit(k).select("nome_classe"))
-    j = fact.join(classes.select("sk_classe", "nome_classe"), F.col("fk_classe") == F.col("sk_classe"))
-    j = j.join(F.broadcast(top), "nome_classe", "left_semi")
+    picked = classes.select("sk_classe", "nome_classe").join(F.broadcast(top), "nome_classe", "left_semi")
+    j = fact.join(F.broadcast(picked), F.col("fk_classe") == F.col("sk_classe"))
     return (j.groupBy("nome_classe", F.trunc(F.col("data_movimento").cast("date"), "month").alias("mes"))
             .agg(F.count(F.lit(1)).alias("total_movimentos"),
                  F.count_distinct(CASE).alias("processos"))

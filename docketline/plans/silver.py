@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import case_number_parts, parse_event_ts, parse_filing_ts
-from ..operators.merge import PRIORITY, merge_cases
+from ..operators.merge import bucket_of, merge_cases
 from ..operators.windows import case_metrics, dedup_latest, hot_cases
 from ..schemas import EVENT_KEY, FLAT_COLUMNS, SILVER_COLUMNS
 
@@ -48,11 +48,17 @@ def flatten_hits(bronze: DataFrame, keep_ingest: bool = True) -> DataFrame:
     ).select(*FLAT_COLUMNS, *extra)
 
 
-def hot_cases_from_bronze(bronze: DataFrame, hot_case_rows: int) -> DataFrame:
-    """Hot cases counted from the nested hits: one array size per hit, no explode."""
-    counts = bronze.select(F.col("_source.numeroProcesso").alias("numero_processo"),
-                           F.coalesce(F.size("_source.movimentos"), F.lit(0)).alias("__m"))
-    return hot_cases(counts.where(F.col("__m") > 0), "numero_processo", "__m", hot_case_rows)
+def hot_cases_from_bronze(bronze: DataFrame, hot_case_rows: int, stored: DataFrame | None = None) -> DataFrame:
+    """Hot cases counted from the nested hits (one array size per hit, no explode) and,
+    for the cases in them, from the stored rows they will be rebuilt with."""
+    case = F.col("_source.numeroProcesso").alias("numero_processo")
+    counts = bronze.select(case, F.coalesce(F.size("_source.movimentos"), F.lit(0)).alias("__m")).where(F.col("__m") > 0)
+    if stored is not None:
+        cases = bronze.select(case.alias("__case")).distinct()
+        old = (stored.select("numero_processo").join(cases, F.col("numero_processo").eqNullSafe(F.col("__case")), "left_semi")
+               .groupBy("numero_processo").agg(F.count(F.lit(1)).cast("int").alias("__m")))
+        counts = counts.unionByName(old)
+    return hot_cases(counts, "numero_processo", "__m", hot_case_rows)
 
 
 def add_case_number_parts(df: DataFrame, col: str = "numero_processo") -> DataFrame:
@@ -60,11 +66,13 @@ def add_case_number_parts(df: DataFrame, col: str = "numero_processo") -> DataFr
     return df.withColumns(case_number_parts(col))
 
 
-def dedup_events(flat: DataFrame, order_by: tuple[str, ...] = (PRIORITY, "data_ingestao")) -> DataFrame:
+INGEST = "data_ingestao"
+
+
+def dedup_events(flat: DataFrame, order_by: tuple[str, ...] = (INGEST,)) -> DataFrame:
     """One row per event key, the newest wins (null-safe keys).
 
-    Newest = greatest merge priority (a batch over stored rows), then the
-    latest ingest time, then the row hash; columns absent are skipped.
+    Newest = the latest ingest time, then the row hash; columns absent are skipped.
     """
     order = [c for c in order_by if c in flat.columns]
     return dedup_latest(flat, EVENT_KEY, order)
@@ -72,18 +80,20 @@ def dedup_events(flat: DataFrame, order_by: tuple[str, ...] = (PRIORITY, "data_i
 
 def build_silver(flat: DataFrame, processed_at: str | Column | None = None,
                  dedup: bool = True, hot_case_rows: int | None = None,
-                 hot: DataFrame | None = None) -> DataFrame:
+                 hot: DataFrame | None = None, slice_rows: int = 1_000_000) -> DataFrame:
     """Flat events -> silver rows (``SILVER_COLUMNS``).
 
+    The ingest time is kept (null where the input has none): a later merge compares
+    copies of an event by it, whatever the order of the batches.
     ``processed_at``: fixed processing time for reproducible output; default
     ``current_timestamp()`` as in the reference.
     """
-    order = [c for c in (PRIORITY, "data_ingestao") if c in flat.columns] if dedup else []
-    df = flat.select(*FLAT_COLUMNS, *order)
+    ingest = F.col(INGEST) if INGEST in flat.columns else F.lit(None).cast("timestamp")
+    df = flat.select(*FLAT_COLUMNS, ingest.alias(INGEST))
     # dedup to the event key (H2) is fused into the window pass; derived
     # columns are added after it so they do not ride through the shuffle
-    df = case_metrics(df, hot_case_rows=hot_case_rows, dedup_order=order if dedup else None,
-                      hot=hot)
+    df = case_metrics(df, hot_case_rows=hot_case_rows, dedup_order=[INGEST] if dedup else None,
+                      hot=hot, slice_rows=slice_rows)
     df = add_case_number_parts(df)
     df = df.withColumn("dias_desde_ajuizamento",
                        F.datediff(F.col("data_movimento"), F.col("data_ajuizamento")))
@@ -107,19 +117,23 @@ def merge_silver(existing: DataFrame, batch_flat: DataFrame,
     return merge_cases(existing, batch_flat, "numero_processo", rebuild)
 
 
-def case_timeline(silver: DataFrame, case: str | Column | None = None) -> DataFrame:
+_TIMELINE = ["numero_processo", "nome_movimento", "data_movimento", "dias_desde_ajuizamento",
+             "dias_desde_ultimo_movimento", "is_ultimo_movimento", "codigo_movimento"]
+
+
+def case_timeline(silver: DataFrame, case: str | Column | None = None, buckets: int | None = None) -> DataFrame:
     """F4 + C8 + F5: one case's events in time order.
 
     Without a case the smallest case number with a timed event is used
     (a deterministic stand-in for the reference's ``LIMIT 1``), as a scalar
-    subquery.
+    subquery over two columns. A silver stored in ``buckets`` of the case is read in one bucket only.
     """
-    cols = ["numero_processo", "nome_movimento", "data_movimento", "dias_desde_ajuizamento",
-            "dias_desde_ultimo_movimento", "is_ultimo_movimento", "codigo_movimento"]
     if case is None:
-        pick = silver.where(F.col("data_movimento").isNotNull()).agg(F.min("numero_processo"))
-        sel = silver.where(F.col("numero_processo") == pick.scalar())
-    else:
-        sel = silver.where(F.col("numero_processo") == (F.lit(case) if isinstance(case, str) else case))
-    return (sel.select(*cols)
+        case = silver.where(F.col("data_movimento").isNotNull()).agg(F.min("numero_processo")).scalar()
+    elif isinstance(case, str):
+        case = F.lit(case)
+    sel = silver.where(F.col("numero_processo") == case)
+    if buckets:
+        sel = sel.where(F.col("bucket") == bucket_of(case, buckets))
+    return (sel.select(*_TIMELINE)
             .orderBy(F.col("data_movimento").asc_nulls_first(), "codigo_movimento"))

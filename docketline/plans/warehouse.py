@@ -4,7 +4,8 @@ Tables are written as parquet under the shared checkpoint folder
 (``session.work_dir``) and read back: lineage is cut, an executor loss only
 recomputes from the written files, and every report reads the same files.
 The folder name is a hash of the input paths, sizes and modification times,
-so a changed input builds a new set.
+so a changed input builds a new set. A build is a version of its own; a pointer moves to
+it when its tests have passed.
 
 Physical layout: the fact is partitioned by ``is_ultimo_movimento``. Eight of
 the eleven dashboard queries read only latest events, so they prune to one
@@ -14,23 +15,28 @@ directory, which at scale is the small side (one row per case).
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import DEFAULT_BROADCAST_ROWS
-from ..schemas import FACT_COLUMNS, FACT_DDL, SILVER_COLUMNS
-from ..session import work_dir
+from ..operators.joins import BROADCAST_BYTES, frame_bytes
+from ..operators.merge import bucket_of
+from ..schemas import FACT_COLUMNS, FACT_DDL, SILVER_COLUMNS, SILVER_DDL
+from ..session import complete_children, path_exists, path_stamp, work_dir
 from ..sources import fixtures
 from . import dims as D
 from .checks import gate, run_tests
+from .dims import silver_groups
 from .fact import build_fact
 from .silver import build_silver
 
-LAYOUT_VERSION = "5"
+LAYOUT_VERSION = "6"
+POINTER_DDL = "version string, upto bigint, published_at timestamp"
+# Folders of the batch-built silver: a case is looked up in one of them.
+SILVER_BUCKETS = 32
 PROCESSED_AT = "2001-12-01 00:00:00"
 _TABLES = ("silver", "fato_movimentos", "dim_tribunais", "dim_classes", "dim_orgaos",
            "dim_calendario", "dim_assuntos")
@@ -38,17 +44,22 @@ _TABLES = ("silver", "fato_movimentos", "dim_tribunais", "dim_classes", "dim_org
 
 @dataclass
 class Gold:
+    """One version of the gold tables. ``fact``, ``stored_silver``: given where they are not folders of ``root``."""
+
     spark: SparkSession
     root: str
-    counts: dict[str, int] = field(default_factory=dict)
+    fact: DataFrame | None = None
+    stored_silver: DataFrame | None = None
+    sizes: dict[str, int] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
         if name == "fato_movimentos":
             # explicit schema: the partition column is typed boolean, not inferred
-            return (self.spark.read.schema(FACT_DDL).parquet(f"{self.root}/{name}")
-                    .select(*FACT_COLUMNS))
-        df = self.spark.read.parquet(f"{self.root}/{name}")
-        return df.select(*SILVER_COLUMNS) if name == "silver" else df
+            return self.fact if self.fact is not None else (
+                self.spark.read.schema(FACT_DDL).parquet(f"{self.root}/{name}").select(*FACT_COLUMNS))
+        if name == "silver":
+            return self.stored_silver if self.stored_silver is not None else self.silver_by_bucket.select(*SILVER_COLUMNS)
+        return self.spark.read.parquet(f"{self.root}/{name}")
 
     @property
     def fato(self) -> DataFrame:
@@ -58,79 +69,93 @@ class Gold:
     def silver(self) -> DataFrame:
         return self.table("silver")
 
+    @property
+    def silver_by_bucket(self) -> DataFrame:
+        """The batch-built silver with its ``bucket`` column, for look-ups of a case."""
+        return self.spark.read.schema(f"{SILVER_DDL}, bucket int").parquet(f"{self.root}/silver")
+
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.table(t) for t in _TABLES}
 
-    def dim(self, name: str, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-        """A dimension, broadcast only if its measured row count is within bounds."""
+    def dim(self, name: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+        """A dimension, broadcast only if its measured size is within bounds."""
         df = self.table(f"dim_{name}")
-        n = self.counts.get(f"dim_{name}")
-        if n is None:
-            n = df.count()
-            self.counts[f"dim_{name}"] = n
-        return F.broadcast(df) if n <= max_rows else df
+        if name not in self.sizes:
+            self.sizes[name] = frame_bytes(df)
+        return F.broadcast(df) if self.sizes[name] <= max_bytes else df
 
 
-def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha1(LAYOUT_VERSION.encode())
-    h.update(os.path.abspath(sf_dir).encode())
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    h = hashlib.sha1(f"{LAYOUT_VERSION}:{sf_dir.rstrip('/')}".encode())
     for name in ("lineitem", "orders", "customer", "nation", "region"):
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        try:
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(name.encode())
+        h.update(f"{name}:{path_stamp(spark, f'{sf_dir}/{name}.parquet')}".encode())
     return h.hexdigest()[:16]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
-def write_gold(spark: SparkSession, silver: DataFrame, bronze: DataFrame, root: str) -> Gold:
-    """Dimensions and fact from a (written) silver and bronze, then the data tests.
-
-    Raises if an error-severity test fails (Q5); the caller publishes only
-    after this returns.
-    """
-    trib = D.dim_tribunais(silver)
-    trib.write.mode("overwrite").parquet(f"{root}/dim_tribunais")
-    trib = spark.read.parquet(f"{root}/dim_tribunais")
-    D.dim_classes(silver).write.mode("overwrite").parquet(f"{root}/dim_classes")
-    D.dim_orgaos(silver, trib).write.mode("overwrite").parquet(f"{root}/dim_orgaos")
-    D.dim_calendario(D.calendar_bounds(silver)).write.mode("overwrite").parquet(f"{root}/dim_calendario")
-    D.dim_assuntos(bronze).write.mode("overwrite").parquet(f"{root}/dim_assuntos")
-    (build_fact(silver).write.mode("overwrite").partitionBy("is_ultimo_movimento")
-     .parquet(f"{root}/fato_movimentos"))
-    g = Gold(spark, root)
-    tested = {t: g.table(t) for t in _TABLES if t != "silver"}
-    verdict = gate(run_tests(tested)).first()
+class Published:
+    """The published version of a set of tables: numbered one-row files, of which the highest counts.
+
+    A new version is a new file, so a reader or a crash never meets a missing pointer."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _numbers(self) -> list[int]:
+        return sorted(int(n.removeprefix("n=")) for n in complete_children(self.spark, self.path))
+
+    def current(self) -> dict | None:
+        done = self._numbers()
+        if not done:
+            return None
+        return self.spark.read.schema(POINTER_DDL).json(f"{self.path}/n={done[-1]}").first().asDict()
+
+    def move(self, version: str, upto: int | None = None) -> None:
+        done = self._numbers()
+        (self.spark.range(1).select(F.lit(version).alias("version"), F.lit(upto).cast("long").alias("upto"),
+                                    F.current_timestamp().alias("published_at"))
+         .coalesce(1).write.mode("overwrite").json(f"{self.path}/n={done[-1] + 1 if done else 0}"))
+
+
+def write_dims(spark: SparkSession, silver: DataFrame, bronze: DataFrame, root: str) -> None:
+    """M1-M5 of a written silver and bronze: silver is read once, for its groups."""
+    silver_groups(silver).write.parquet(f"{root}/groups")
+    groups = spark.read.parquet(f"{root}/groups")
+    D.dim_tribunais(groups).write.parquet(f"{root}/dim_tribunais")
+    D.dim_classes(groups).write.parquet(f"{root}/dim_classes")
+    D.dim_orgaos(groups, spark.read.parquet(f"{root}/dim_tribunais")).write.parquet(f"{root}/dim_orgaos")
+    D.dim_calendario(D.calendar_bounds(groups)).write.parquet(f"{root}/dim_calendario")
+    D.dim_assuntos(bronze).write.parquet(f"{root}/dim_assuntos")
+
+
+def check_gold(g: Gold) -> None:
+    """Raises if an error-severity test fails (Q5); the caller publishes only after this returns."""
+    verdict = gate(run_tests({t: g.table(t) for t in _TABLES if t != "silver"})).first()
     if not verdict["publish"]:
         raise RuntimeError(f"gold tests failed: {verdict['errors']} error test(s); not published")
-    return g
 
 
 def materialize(spark: SparkSession, sf_dir: str, hot_case_rows: int | None = 5_000_000,
-                force: bool = False) -> Gold:
-    """Write silver, then dimensions and fact from the written silver."""
-    root = work_dir(spark, "gold", _fingerprint(sf_dir))
-    done = f"{root}/_COMPLETE"
-    if not force and _exists(spark, done):
-        return Gold(spark, root)
+                force: bool = False, fact=build_fact) -> Gold:
+    """Write silver, then dimensions and fact from the written silver, as a new version that is
+    published only after the data tests. A failed build leaves the version before it in place."""
+    root = work_dir(spark, "gold", _fingerprint(spark, sf_dir))
+    pointer = Published(spark, f"{root}/published")
+    now = pointer.current()
+    if now and not force:
+        return Gold(spark, f"{root}/{now['version']}")
+    version = uuid.uuid4().hex
     # hot cases are counted on lineitem's key column (cheap), so the joined
     # events are produced once, straight into the silver pass
     flat = fixtures.movements(spark, sf_dir)
     hot = None if hot_case_rows is None else fixtures.hot_cases(spark, sf_dir, hot_case_rows)
     silver = build_silver(flat, processed_at=PROCESSED_AT, hot_case_rows=hot_case_rows, hot=hot)
-    silver.write.mode("overwrite").parquet(f"{root}/silver")
-    silver = spark.read.parquet(f"{root}/silver")
-    g = write_gold(spark, silver, fixtures.subject_hits(spark, sf_dir), root)
-    # Q5: marked complete (published) only after the tests passed
-    spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(done)
+    (silver.withColumn("bucket", bucket_of(F.col("numero_processo"), SILVER_BUCKETS)).hint("rebalance", "bucket")
+     .sortWithinPartitions("bucket", "numero_processo").write.partitionBy("bucket").parquet(f"{root}/{version}/silver"))
+    g = Gold(spark, f"{root}/{version}")
+    write_dims(spark, g.silver, fixtures.subject_hits(spark, sf_dir), g.root)
+    fact(g.silver).write.partitionBy("is_ultimo_movimento").parquet(f"{g.root}/fato_movimentos")
+    check_gold(g)
+    pointer.move(version)
     return g
 
 
@@ -141,10 +166,9 @@ _LOCK = threading.Lock()
 def gold(spark: SparkSession, sf_dir: str) -> Gold:
     """Materialised gold for ``sf_dir``, built once per session and input
     (queries issued from several threads wait for the one build)."""
-    key = (id(spark), os.path.abspath(sf_dir))
+    key = (id(spark), sf_dir.rstrip("/"))
     with _LOCK:
         g = _CACHE.get(key)
-        if g is None or not _exists(spark, f"{g.root}/_COMPLETE"):
-            g = materialize(spark, sf_dir)
-            _CACHE[key] = g
+        if g is None or not path_exists(spark, f"{g.root}/fato_movimentos"):
+            g = _CACHE[key] = materialize(spark, sf_dir)
         return g

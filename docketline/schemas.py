@@ -34,10 +34,15 @@ HIT = T.StructType([
     T.StructField("sort", T.ArrayType(T.LongType())),
 ])
 
-# Bronze = hit + source tag + ingest time.
+# A landed line that is no JSON object is kept whole in this column.
+CORRUPT = "_corrupt_record"
+
+# Bronze = hit + unreadable line + source tag + ingest time + parsed filing time.
 BRONZE = T.StructType(HIT.fields + [
+    T.StructField(CORRUPT, T.StringType()),
     T.StructField("tribunal", T.StringType()),
     T.StructField("data_ingestao", T.TimestampType()),
+    T.StructField("filed_at", T.TimestampType()),
 ])
 
 # Flat event columns produced by flatten + explode (before derived columns).
@@ -52,9 +57,18 @@ CNJ_COLUMNS = ["cnj_sequencial", "cnj_digitos", "cnj_ano", "cnj_justica",
 
 SILVER_COLUMNS = FLAT_COLUMNS + CNJ_COLUMNS + [
     "dias_desde_ajuizamento", "dias_desde_ultimo_movimento", "is_ultimo_movimento",
-    "data_processamento",
+    "data_ingestao", "data_processamento",
 ]
 
+SILVER_DDL = (
+    "numero_processo string, sigla_tribunal string, grau string, data_ajuizamento timestamp, "
+    "codigo_classe bigint, nome_classe string, codigo_orgao bigint, nome_orgao string, "
+    "nivel_sigilo bigint, codigo_movimento bigint, nome_movimento string, data_movimento timestamp, "
+    "cnj_sequencial string, cnj_digitos string, cnj_ano int, cnj_justica int, cnj_cod_tribunal int, "
+    "cnj_origem string, dias_desde_ajuizamento int, dias_desde_ultimo_movimento int, "
+    "is_ultimo_movimento boolean, data_ingestao timestamp, data_processamento timestamp"
+)
+
 # Event key of silver and of the fact.
 EVENT_KEY = ["numero_processo", "codigo_movimento", "data_movimento"]
 

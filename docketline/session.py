@@ -41,8 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only if unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; we never
-    override it. Only when nothing is configured (local tests) do we create a
-    fresh folder under the system temp dir.
+    override it. Where nothing is configured a local session gets a fresh temporary
+    folder; a cluster session raises, since that folder would be on one machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,12 +50,51 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get(_CHECKPOINT_KEY, None) or spark.conf.get(_CHECKPOINT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="docketline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def work_dir(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder for written tables."""
+    """A path under the shared checkpoint folder, for written tables of this session."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "docketline", *parts])
+
+
+# ---- the file system behind a path (any that Hadoop knows)
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders and files directly under ``path``; none if it does not exist."""
+    fs, p = _hadoop(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def complete_children(spark: SparkSession, path: str) -> list[str]:
+    """Folders under ``path`` whose write was committed."""
+    return sorted(n for n in child_names(spark, path) if path_exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def path_stamp(spark: SparkSession, path: str) -> str:
+    """Size, file count and modification time of a file or folder, as text."""
+    fs, p = _hadoop(spark, path)
+    if not fs.exists(p):
+        return "absent"
+    c = fs.getContentSummary(p)
+    return f"{c.getLength()}:{c.getFileCount()}:{fs.getFileStatus(p).getModificationTime()}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)

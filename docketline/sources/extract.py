@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import clamp_date, parse_filing_ts
 from ..operators.joins import checked_broadcast
+from ..session import complete_children
 
 # Fixed values that must equal the reference's: default first day, and the
 # nine requested source fields.
@@ -45,12 +46,16 @@ def require_dates(df: DataFrame, cols: list[str]) -> DataFrame:
     return df
 
 
+def _filed(bronze: DataFrame) -> Column:
+    """The filing time: bronze's typed column, which a scan can filter on, else parsed from the text."""
+    return F.col("filed_at") if "filed_at" in bronze.columns else parse_filing_ts(F.col("_source.dataAjuizamento"))
+
+
 def extract_range(bronze: DataFrame, start: str | Column, end: str | Column) -> DataFrame:
     """Hits filed in [start 00:00:00, end 23:59:59], nine source fields, in cursor order."""
     s = F.to_timestamp(F.to_date(start if isinstance(start, Column) else F.lit(start)))
     e = F.to_timestamp(F.to_date(end if isinstance(end, Column) else F.lit(end))) + F.expr("INTERVAL 86399 SECONDS")
-    filed = parse_filing_ts(F.col("_source.dataAjuizamento"))
-    out = bronze.where(filed.between(s, e))
+    out = bronze.where(_filed(bronze).between(s, e))
     return out.select(F.struct(*[F.col(f"_source.{f}").alias(f) for f in SOURCE_FIELDS]).alias("_source"),
                       "sort", "tribunal").orderBy("sort")
 
@@ -76,13 +81,17 @@ def watermark_windows(sources: DataFrame, state: DataFrame, end: str,
     return w.where(F.col("data_inicio") < F.col("data_fim"))
 
 
-def extract_windows(bronze: DataFrame, windows: DataFrame) -> DataFrame:
-    """Hits of each source inside its own window (inclusive end day, H12 noted)."""
+def extract_windows(bronze: DataFrame, windows: DataFrame, by: str | None = None) -> DataFrame:
+    """Hits of each source inside its own window (inclusive end day, H12 noted).
+
+    ``by``: the time column that the window is on; default the filing time, as in the reference. With
+    ``data_ingestao`` a late filing of an old case is not missed (H11).
+    """
     w = checked_broadcast(windows)
-    filed = parse_filing_ts(F.col("_source.dataAjuizamento"))
+    at = _filed(bronze) if by is None else F.col(by)
     lo = F.to_timestamp(F.col("data_inicio"))
     hi = F.to_timestamp(F.col("data_fim")) + F.expr("INTERVAL 86399 SECONDS")
-    return (bronze.join(w, "tribunal").where(filed.between(lo, hi))
+    return (bronze.join(w, "tribunal").where(at.between(lo, hi))
             .drop("data_inicio", "data_fim", "origem"))
 
 
@@ -95,20 +104,18 @@ def advance_watermark(state: DataFrame, windows: DataFrame, loaded: DataFrame) -
     return merged.select("tribunal", F.coalesce(F.col("__new"), F.col("watermark")).alias("watermark"))
 
 
+def _state_versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n.removeprefix("v=")) for n in complete_children(spark, path))
+
+
 def read_watermark(spark: SparkSession, path: str) -> DataFrame:
-    """Saved state; a missing file means no watermark yet."""
-    try:
-        return spark.read.schema(STATE_DDL).json(path)
-    except Exception as e:  # noqa: BLE001 - only the "path does not exist" case is expected
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], STATE_DDL)
-        raise
+    """The newest saved state; none saved means no watermark yet."""
+    done = _state_versions(spark, path)
+    return spark.read.schema(STATE_DDL).json(f"{path}/v={done[-1]}") if done else spark.createDataFrame([], STATE_DDL)
 
 
 def write_watermark(state: DataFrame, path: str) -> None:
-    """Overwrite the state after the data commit (one small file).
-
-    The new state is usually derived from the file it replaces, so it is
-    checkpointed (reliable, shared folder) before the overwrite.
-    """
-    state.checkpoint(eager=True).coalesce(1).write.mode("overwrite").json(path)
+    """Save the state after the data commit, as a new version: a reader, or
+    a crash in between, always finds a whole one. The new state may derive from the old one."""
+    done = _state_versions(state.sparkSession, path)
+    state.coalesce(1).write.mode("overwrite").json(f"{path}/v={done[-1] + 1 if done else 0}")

@@ -32,6 +32,22 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+def case_number(key: Column, year: Column, region: Column, nation: Column) -> Column:
+    """A 20-digit case number that no two order keys share.
+
+    The key's last seven digits are the sequence, the two before them the check
+    digits, two more open the origin segment and one the court segment: twelve digits
+    in all, and an error beyond.
+    """
+    def digits(div: int, width: int) -> Column:
+        return F.lpad(_s(((key - F.pmod(key, F.lit(div))) / F.lit(div)).cast("bigint") % F.lit(10 ** width)), width, "0")
+
+    number = F.concat(digits(1, 7), digits(10 ** 7, 2), F.lpad(_s(year), 4, "0"), F.lit("8"), digits(10 ** 11, 1), _s(region),
+                      digits(10 ** 9, 2), F.lpad(_s(nation), 2, "0"))
+    fits = key.between(0, 10 ** 12 - 1) & region.between(0, 9) & nation.between(0, 99)
+    return F.when(fits, number).otherwise(F.raise_error(F.lit("order, region or nation key beyond the case number")))
+
+
 def case_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One case per order, with court (region), organ (nation) and class (priority)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
@@ -43,14 +59,7 @@ def case_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = (shuffle_join(o, c, o.o_custkey == c.c_custkey)
           .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
           .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
-    numero = F.concat(
-        F.lpad(_s(F.col("o_orderkey")), 7, "0"),
-        F.lpad(_s(F.col("o_orderkey") % 97), 2, "0"),
-        _s(F.year("o_orderdate")),
-        F.lit("8"),
-        F.lpad(_s(F.col("r_regionkey")), 2, "0"),
-        F.lpad(_s(F.col("n_nationkey")), 4, "0"),
-    )
+    numero = case_number(F.col("o_orderkey"), F.year("o_orderdate"), F.col("r_regionkey"), F.col("n_nationkey"))
     return j.select(
         F.col("o_orderkey"),
         F.col("o_custkey"),
@@ -94,8 +103,8 @@ def hot_cases(spark: SparkSession, sf_dir: str, hot_case_rows: int) -> DataFrame
     key alone (one column, partial aggregation) and only then named."""
     from ..operators.windows import hot_cases as _hot
     per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("__k"))
-    big = per_order.where(F.col("__k") > hot_case_rows)  # at most rows / hot_case_rows orders
-    named = case_header(spark, sf_dir).join(F.broadcast(big), F.col("o_orderkey") == F.col("l_orderkey"))
+    big = per_order.where(F.col("__k") > hot_case_rows)
+    named = shuffle_join(case_header(spark, sf_dir), big, F.col("o_orderkey") == F.col("l_orderkey"))
     return _hot(named.select("numero_processo", "__k"), "numero_processo", "__k", hot_case_rows)
 
 
@@ -153,16 +162,21 @@ def bronze_hits(spark: SparkSession, sf_dir: str, ingest_ts: str = FIXTURE_INGES
 
     Events are grouped per (case, instance); a group with more than
     ``hit_events`` events is spread over several hits by a hash of the event,
-    so no single row (or task) collects an unbounded list. ``events``
+    so no single row collects an unbounded list; the hits of a large case are gathered in different
+    tasks. Queries on hits therefore combine the hits of a case. ``events``
     defaults to all lineitems (see ``raw_events``); ``drop_fields`` removes
     source fields (an older schema, for evolution checks).
     """
     h = case_header(spark, sf_dir)
     e = raw_events(spark, sf_dir) if events is None else events
-    sizes = e.groupBy("l_orderkey", "l_linestatus").agg(F.count(F.lit(1)).alias("__n"))
-    e = shuffle_join(e, sizes, ["l_orderkey", "l_linestatus"])
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(hit_events)))
+    # only groups beyond one hit are joined with their size (a skewed side that AQE can split); the
+    # repartition deals the hits of one large group to different tasks
+    sizes = (e.groupBy("l_orderkey", "l_linestatus").agg(F.count(F.lit(1)).alias("__n"))
+             .where(F.col("__n") > hit_events))
+    e = shuffle_join(e, sizes, ["l_orderkey", "l_linestatus"], "left")
+    chunks = F.coalesce(F.ceil(F.col("__n") / F.lit(hit_events)), F.lit(1))
     e = e.withColumn("__chunk", F.pmod(F.xxhash64("l_partkey", "data_movimento"), chunks))
+    e = e.repartition("l_orderkey", "l_linestatus", "__chunk")
     # sorted by time then code inside the array; fields reordered after the sort
     mov = F.struct(
         F.date_format("data_movimento", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("dataHora"),
@@ -196,11 +210,12 @@ def bronze_hits(spark: SparkSession, sf_dir: str, ingest_ts: str = FIXTURE_INGES
         F.array(F.col("o_orderkey"), F.col("__chunk").cast("bigint")).alias("sort"),
         F.col("sigla_tribunal").alias("tribunal"),
         F.to_timestamp(F.lit(ingest_ts)).alias("data_ingestao"),
+        F.col("data_ajuizamento").alias("filed_at"),
     )
 
 
 # Batch split used by the merge and streaming checks: events before the cut
-# date, then events from the overlap start on, where the overlap month is
+# date or without a time, then events from the overlap start on, where the overlap month is
 # delivered again with revised names.
 BATCH_CUT = "2000-01-01"
 OVERLAP_FROM = "1999-12-01"
@@ -213,7 +228,7 @@ def event_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     e = raw_events(spark, sf_dir)
     ts = F.col("data_movimento")
     cut = F.to_timestamp(F.lit(BATCH_CUT))
-    b1 = e.where(ts < cut)
+    b1 = e.where((ts < cut) | ts.isNull())
     b2 = (e.where(ts >= F.to_timestamp(F.lit(OVERLAP_FROM)))
           .withColumn("nome", F.when(ts < cut, F.concat("nome", F.lit(" (revisto)")))
                       .otherwise(F.col("nome"))))
@@ -225,7 +240,7 @@ def movement_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     m = movements(spark, sf_dir)
     ts = F.col("data_movimento")
     cut = F.to_timestamp(F.lit(BATCH_CUT))
-    b1 = m.where(ts < cut).withColumn("data_ingestao", F.to_timestamp(F.lit(BATCH1_INGEST)))
+    b1 = m.where((ts < cut) | ts.isNull()).withColumn("data_ingestao", F.to_timestamp(F.lit(BATCH1_INGEST)))
     b2 = (m.where(ts >= F.to_timestamp(F.lit(OVERLAP_FROM)))
           .withColumn("nome_movimento",
                       F.when(ts < cut, F.concat("nome_movimento", F.lit(" (revisto)")))

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import HIT
+from ..functions.parse import parse_filing_ts
+from ..schemas import BRONZE, CORRUPT, HIT
+from ..session import child_names, complete_children
 
 # Hits per landed array file (the search API's page size).
 HITS_PER_FILE = 500
@@ -31,19 +33,35 @@ def source_tag_from_path(path_col: Column | None = None) -> Column:
     return F.url_decode(F.coalesce(keyed, F.regexp_extract(p, _PARENT_TAG, 1)))
 
 
-def read_hits(spark: SparkSession, path: str, multiline: bool = True,
+def evolved(known: T.DataType, seen: T.DataType) -> T.DataType:
+    """``known`` with the fields that only ``seen`` has; known fields keep their types."""
+    if isinstance(known, T.StructType) and isinstance(seen, T.StructType):
+        types = {f.name: f.dataType for f in seen.fields}
+        fields = [T.StructField(f.name, evolved(f.dataType, types[f.name]) if f.name in types else f.dataType)
+                  for f in known.fields]
+        return T.StructType(fields + [f for f in seen.fields if f.name not in known.names])
+    if isinstance(known, T.ArrayType) and isinstance(seen, T.ArrayType):
+        return T.ArrayType(evolved(known.elementType, seen.elementType))
+    return known
+
+
+def read_hits(spark: SparkSession, path: str | list[str], multiline: bool = True,
               schema: T.StructType | None = HIT, ingest_ts: str | Column | None = None,
-              tag: str | Column | None = None) -> DataFrame:
+              tag: str | Column | None = None, evolve: bool = False) -> DataFrame:
     """A1 + A3: read every JSON file under ``path`` into bronze rows.
 
     An explicit schema is the default (no inference pass over the data, and
     mixed shapes cannot turn arrays into strings); pass ``schema=None`` to
-    infer. ``tag`` defaults to the folder name; ``ingest_ts`` to now.
+    infer, or ``evolve=True`` to add fields the schema does not know. A line that is
+    no JSON object is kept in ``_corrupt_record``. ``tag`` defaults to the folder name;
+    ``ingest_ts`` to now. The filing time is parsed once, into ``filed_at``.
     """
     r = spark.read.option("multiLine", multiline).option("recursiveFileLookup", True)
-    if schema is not None:
-        r = r.schema(schema)
-    df = r.json(path)
+    if schema is None or evolve:
+        seen = T.StructType([f for f in r.json(path).schema.fields if f.name != CORRUPT])
+        schema = seen if schema is None else evolved(schema, seen)
+    schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    df = r.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
     tag_col = source_tag_from_path() if tag is None else (F.lit(tag) if isinstance(tag, str) else tag)
     if ingest_ts is None:
         ts = F.current_timestamp()
@@ -51,7 +69,8 @@ def read_hits(spark: SparkSession, path: str, multiline: bool = True,
         ts = F.to_timestamp(F.lit(ingest_ts))
     else:
         ts = ingest_ts
-    return df.withColumn("tribunal", tag_col).withColumn("data_ingestao", ts)
+    return (df.withColumn("tribunal", tag_col).withColumn("data_ingestao", ts)
+            .withColumn("filed_at", parse_filing_ts(F.col("_source.dataAjuizamento"))))
 
 
 def write_hits(hits: DataFrame, path: str, layout: str = "lines",
@@ -61,7 +80,7 @@ def write_hits(hits: DataFrame, path: str, layout: str = "lines",
     ``array`` groups about ``hits_per_file`` hits per file by a hash of the
     hit id; the file count grows with the data, so each group stays bounded.
     """
-    cols = [c for c in hits.columns if c not in ("tribunal", "data_ingestao")]
+    cols = [c for c in hits.columns if c not in ("tribunal", "data_ingestao", "filed_at", CORRUPT)]
     if layout == "lines":
         hits.select(*cols, "tribunal").write.mode("overwrite").partitionBy("tribunal").json(path)
         return
@@ -76,38 +95,58 @@ def write_hits(hits: DataFrame, path: str, layout: str = "lines",
     grouped.write.mode("overwrite").partitionBy("tribunal", "__file").text(path)
 
 
-def append_bronze(df: DataFrame, path: str) -> None:
-    """A2: append to the bronze parquet table; new columns are kept (read with mergeSchema)."""
-    df.write.mode("append").parquet(path)
+class BronzeTable:
+    """Bronze as plain parquet, a folder per batch: ``<path>/batch=<number>~<tag>``.
 
+    A tag (a stream's batch id, or a reload's name) keeps its number, so a replayed
+    batch overwrites its own folder; numbers follow the order of arrival. Rows that could not be
+    read are in the same folders, with ``_corrupt_record``.
+    """
 
-def reload_files(spark: SparkSession, path: str, bronze_path: str, multiline: bool = False,
-                 ingest_ts: str | Column | None = None) -> None:
-    """A2 ``force``: load files again even if the stream already took them.
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
-    Bronze then holds the hits twice; silver keeps one row per event key
-    (newest ingest wins), so a forced reload is harmless downstream.
-    """
-    append_bronze(read_hits(spark, path, multiline=multiline, ingest_ts=ingest_ts), bronze_path)
+    def _names(self, complete: bool) -> dict[int, str]:
+        names = (complete_children if complete else child_names)(self.spark, self.path)
+        return {int(n.removeprefix("batch=").split("~")[0]): n for n in names if n.startswith("batch=")}
+
+    def batches(self) -> list[int]:
+        return sorted(self._names(True))
+
+    def put(self, tag: str, hits: DataFrame) -> int:
+        """A2 append: write one batch; its number is returned."""
+        names = self._names(False)
+        number = next((i for i, n in names.items() if n.split("~")[1] == tag), max(names, default=-1) + 1)
+        hits.write.mode("overwrite").parquet(f"{self.path}/batch={number}~{tag}")
+        return number
+
+    def read(self, batch: int | None = None) -> DataFrame:
+        """Readable hits with the schema merged over all batches, or of one batch (A2)."""
+        return self._all(batch).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
+    def rejects(self, batch: int | None = None) -> DataFrame:
+        """Landed lines that could not be read, with their source and ingest time."""
+        return self._all(batch).where(F.col(CORRUPT).isNotNull()).select("tribunal", "data_ingestao", CORRUPT)
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Bronze with the schema merged over all appended files (A2)."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    def _all(self, batch: int | None) -> DataFrame:
+        names = self._names(True)
+        picked = [names[i] for i in (sorted(names) if batch is None else [batch])]
+        if not picked:
+            return self.spark.createDataFrame([], BRONZE)
+        return self.spark.read.option("mergeSchema", True).parquet(*[f"{self.path}/{n}" for n in picked])
 
 
-def union_evolving(*frames: DataFrame) -> DataFrame:
-    """A2 in memory: union by name, missing (nested) fields become null."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+def hits_per_case(bronze: DataFrame, *more: str) -> DataFrame:
+    """One row per (source, case, instance) with the latest ingest time: a large case comes in several hits."""
+    s = "_source."
+    return bronze.groupBy("tribunal", F.col(s + "numeroProcesso").alias("numero_processo"), F.col(s + "grau").alias("grau"), *more).agg(
+        F.max("data_ingestao").alias("data_ingestao"))
 
 
 def source_summary(bronze: DataFrame) -> DataFrame:
-    """Hits and latest ingest time per source."""
-    return bronze.groupBy("tribunal").agg(F.count(F.lit(1)).alias("total"),
-                                          F.max("data_ingestao").alias("ultima_ingestao"))
+    """Cases per instance and latest ingest time per source."""
+    return hits_per_case(bronze).groupBy("tribunal").agg(
+        F.count(F.lit(1)).alias("total"), F.max("data_ingestao").alias("ultima_ingestao"))
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:

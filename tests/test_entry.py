@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from docketline.registry import ORACLE, QUERIES
 
 from .conftest import SF_SMALL
 
@@ -18,8 +19,9 @@ def test_entry_smoke(spark):
     assert len(r) == 1 and r[0].total_movimentos > 0
 
 
-def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_core_query_has_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -12,10 +12,10 @@ from .conftest import SF_SMALL
 from .helpers import ev, flat
 
 
-def plan(df) -> str:
+def plan(df, mode: str = "simple") -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain()
+        df.explain(mode)
     return buf.getvalue()
 
 
@@ -45,3 +45,42 @@ def test_latest_dashboards_prune_partitions(spark):
     p = plan(R.congestion_by_court(g.fato, g.dim("tribunais")))
     assert "PartitionFilters: [isnotnull(is_ultimo_movimento" in p
     assert "BroadcastHashJoin" in p
+
+
+def test_uniqueness_report_has_no_expand(spark):
+    from docketline.plans.checks import dq_uniqueness
+    s = build_silver(flat(spark, [ev("A", 1, "2020-01-01")]), processed_at="2022-01-01")
+    assert "Expand" not in plan(dq_uniqueness(s))
+
+
+def test_case_lookup_prunes_buckets(spark):
+    from docketline.plans.silver import case_timeline
+    from docketline.plans.warehouse import SILVER_BUCKETS, gold
+    p = plan(case_timeline(gold(spark, SF_SMALL).silver_by_bucket, buckets=SILVER_BUCKETS))
+    assert "PartitionFilters: [isnotnull(bucket" in p
+
+
+def test_extract_pushes_its_dates_down(spark):
+    import uuid
+
+    from docketline.session import work_dir
+    from docketline.sources.extract import extract_range
+    from docketline.sources.json_source import BronzeTable
+    bronze = BronzeTable(spark, work_dir(spark, "t", uuid.uuid4().hex))
+    bronze.put("x", fixtures.bronze_hits(spark, SF_SMALL).selectExpr("*", "cast(null as string) as _corrupt_record"))
+    p = plan(extract_range(bronze.read(), "1996-01-01", "1996-12-31"), "formatted")
+    assert "GreaterThanOrEqual(filed_at,1996-01-01" in p and "LessThanOrEqual(filed_at,1996-12-31" in p
+
+
+def test_calendar_joins_days_not_events(spark):
+    s = build_silver(flat(spark, [ev("A", 1, "2020-01-01")]), processed_at="2022-01-01")
+    cal = dims.dim_calendario(dims.calendar_bounds(dims.silver_groups(s)))
+    p = plan(R.movements_by_day(build_fact(s), cal))
+    lines = p.splitlines()
+    join = next(i for i, x in enumerate(lines) if "Join" in x)
+    assert any("HashAggregate(keys=[fk_data_movimento" in x for x in lines[join:])
+
+
+def test_dimensions_read_silver_once(spark):
+    s = build_silver(flat(spark, [ev("A", 1, "2020-01-01")]), processed_at="2022-01-01")
+    assert plan(dims.silver_groups(s)).count("Exchange hashpartitioning(numero_processo") == 1

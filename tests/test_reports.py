@@ -53,11 +53,11 @@ def test_approx_percentiles_close_to_exact(spark):
 def test_latest_event_edge_cases(spark):
     from docketline.operators.aggregates import latest_event, latest_event_nested
     df = spark.createDataFrame([
-        ([(1, "a", "2020-01-01T00:00:00.000Z"), (2, None, "2020-02-01T00:00:00.000Z")],),
-        ([],), (None,), ([(3, "c", "2020-01-01T00:00:00.000Z")],)],
-        "m array<struct<codigo:bigint,nome:string,dataHora:string>>")
-    got = [r[0] for r in df.select(latest_event_nested("m")).collect()]
-    assert got == ["nome não disponível", "sem movimentos", "sem movimentos", "c"]
+        (1, [(1, "a", "2020-01-01T00:00:00.000Z"), (2, None, "2020-02-01T00:00:00.000Z")]),
+        (2, []), (3, None), (4, [(3, "c", "2020-01-01T00:00:00.000Z")]), (4, [(3, "d", "2020-01-02T00:00:00.000Z")]), (4, [])],
+        "k int, m array<struct<codigo:bigint,nome:string,dataHora:string>>")
+    got = {r.k: r.ultimo_movimento for r in latest_event_nested(df, {"k": F.col("k")}, "m").collect()}
+    assert got == {1: "nome não disponível", 2: "sem movimentos", 3: "sem movimentos", 4: "d"}
     flat_rows = spark.createDataFrame([("A", None, "x"), ("A", None, "y"), ("B", "2020-01-01", None)],
                                       "case string, ts string, name string")
     out = {r.case: r.ultimo_movimento for r in latest_event(flat_rows, "case", "ts", "name").collect()}

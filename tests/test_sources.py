@@ -78,13 +78,44 @@ def test_watermark_bad_date_fails(spark):
 
 def test_forced_reload_doubles_bronze_not_silver(spark):
     from docketline.plans.silver import build_silver
-    from docketline.sources.json_source import read_bronze, reload_files
+    from docketline.sources.json_source import BronzeTable
+    from docketline.streaming.ingest import reload_files
     root = work_dir(spark, "t", uuid.uuid4().hex)
     write_hits(fixtures.bronze_hits(spark, SF_SMALL), f"{root}/landing")
-    reload_files(spark, f"{root}/landing", f"{root}/bronze", ingest_ts="2021-01-01 00:00:00")
-    reload_files(spark, f"{root}/landing", f"{root}/bronze", ingest_ts="2021-02-01 00:00:00")
-    bronze = read_bronze(spark, f"{root}/bronze")
+    reload_files(spark, f"{root}/landing", f"{root}/bronze", "r1", ingest_ts="2021-01-01 00:00:00")
+    reload_files(spark, f"{root}/landing", f"{root}/bronze", "r2", ingest_ts="2021-02-01 00:00:00")
+    bronze = BronzeTable(spark, f"{root}/bronze").read()
     hits = fixtures.bronze_hits(spark, SF_SMALL).count()
     assert bronze.count() == 2 * hits
     silver = build_silver(flatten_hits(bronze), processed_at="2022-01-01")
     assert silver.count() == fixtures.movements(spark, SF_SMALL).count()
+
+
+def test_case_numbers_do_not_collide(spark):
+    from docketline.sources.fixtures import case_number
+    keys = [7, 1234567, 12345678, 11234567, 112345678, 212345678, 10**9 + 7, 10**11 + 7, 999_999_999_999]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    col = F.col("k")
+    got = [r[0] for r in df.select(case_number(col, F.lit(1995), F.lit(3), F.lit(24))).collect()]
+    assert len(set(got)) == len(keys) and all(len(n) == 20 and n.isdigit() for n in got)
+    import pytest
+    with pytest.raises(Exception, match="beyond the case number"):
+        df.select(case_number(col + 10**12, F.lit(1995), F.lit(3), F.lit(24))).collect()
+
+
+def test_watermark_by_ingest_time(spark):
+    from docketline.sources.extract import extract_windows
+    hits = fixtures.bronze_hits(spark, SF_SMALL)
+    w = spark.createDataFrame([("ASIA", "2001-11-01", "2001-12-31")], "tribunal string, data_inicio string, data_fim string").select(
+        "tribunal", F.to_date("data_inicio").alias("data_inicio"), F.to_date("data_fim").alias("data_fim"), F.lit("x").alias("origem"))
+    assert extract_windows(hits, w).count() == 0
+    assert extract_windows(hits, w, by="data_ingestao").count() == hits.where("tribunal = 'ASIA'").count() > 0
+
+
+def test_database_is_created_once(spark):
+    from docketline.sources.json_source import ensure_database
+    name = f"db_{uuid.uuid4().hex}"
+    ensure_database(spark, name)
+    ensure_database(spark, name)
+    assert spark.catalog.databaseExists(name)
+    spark.sql(f"DROP DATABASE {name}")

@@ -67,6 +67,9 @@ class _Runs:
         i = self.start[r]
         return int(self.h[i]), int(self.len[i])
 
+    def same_as(self, i):
+        return (self.kid == self.kid[i]) & (self.kth == self.kth[i]) & (self.pos == self.pos[i])
+
     def at(self, i):
         return int(self.kid[i]), int(self.kth[i]), int(self.pos[i])
 
@@ -104,8 +107,8 @@ def _drops(edge: dict, min_docs: int, keep_first: bool):
                 continue
             t = _Runs(b)
             drop = np.repeat(t.docs >= min_docs, t.end - t.start)
-            if keep_first:
-                drop[t.start] = False
+            if keep_first:  # a row that repeats the first occurrence (a repeated document) stays with it
+                drop[t.same_as(np.repeat(t.start, t.end - t.start))] = False
             for r in {0, len(t.start) - 1}:  # runs that can go on in another batch or partition
                 key, i, j = t.key(r), t.start[r], t.end[r]
                 if key != cur:
@@ -114,16 +117,16 @@ def _drops(edge: dict, min_docs: int, keep_first: bool):
                 last = t.at(j - 1)[:2]
                 total, origin = edge.get(key, (docs, first))
                 drop[i:j] = total >= min_docs
-                if keep_first and t.at(i) == origin:
-                    drop[i] = False
+                if keep_first:
+                    drop[i:j][(t.kid[i:j] == origin[0]) & (t.kth[i:j] == origin[1]) & (t.pos[i:j] == origin[2])] = False
                 if total < min_docs:
                     held.append((t.kid[i:j], t.kth[i:j], t.pos[i:j]))  # fewer than min_docs documents
                 elif held:
                     kid, kth, pos = (np.concatenate([x[k] for x in held]) for k in range(3))
-                    skip = 1 if keep_first else 0
+                    stay = (kid == origin[0]) & (kth == origin[1]) & (pos == origin[2]) & keep_first
                     held = []
-                    yield pa.record_batch({"kid": pa.array(kid[skip:]), "kth": pa.array(kth[skip:]),
-                                           "pos": pa.array(pos[skip:])})
+                    yield pa.record_batch({"kid": pa.array(kid[~stay]), "kth": pa.array(kth[~stay]),
+                                           "pos": pa.array(pos[~stay])})
             yield pa.record_batch({"kid": pa.array(t.kid[drop]), "kth": pa.array(t.kth[drop]),
                                    "pos": pa.array(t.pos[drop])})
     return emit

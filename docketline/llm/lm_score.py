@@ -44,24 +44,33 @@ class LogFrequencyFilter:
         self.log2_slice = int(len(words)).bit_length() - 1 - log2_buckets
 
     @staticmethod
-    def place(bucket: np.ndarray, low: np.ndarray, level, log2_slice: int) -> tuple[np.ndarray, np.ndarray]:
-        """(word in the slice, bits) of an n-gram's 32 bits at a level."""
-        x = mix(((bucket << U64(32)) | low.astype(U64)) * U64(0x9E3779B97F4A7C15) + U64(int(level) * 0xD1342543DE82EF95 & (1 << 64) - 1))
-        bits = U64(0)
-        for k in range(4):
-            bits = bits | (U64(1) << ((x >> U64(6 * k)) & U64(63)))
+    def base(bucket, low: np.ndarray) -> np.ndarray:
+        """What an n-gram's 32 bits contribute to its places, at any level."""
+        return mix(((bucket << U64(32)) | low.astype(U64)) * U64(0x9E3779B97F4A7C15))
+
+    @staticmethod
+    def place(base: np.ndarray, level: int, log2_slice: int) -> tuple[np.ndarray, np.ndarray]:
+        """(word in the slice, four bits) of an n-gram at a level."""
+        x = base + U64(level * 0xD1342543DE82EF95 & (1 << 64) - 1)
+        x ^= x >> U64(32)
+        x *= U64(0xD6E8FEB86659FD93)
+        low = x >> U64(8)
+        bits = U64(1) << (low & U64(63))
+        for shift in (6, 12, 18):
+            bits |= U64(1) << ((low >> U64(shift)) & U64(63))
         return (x >> U64(64 - log2_slice)).astype(np.int64), bits
 
-    def level(self, keys: np.ndarray) -> np.ndarray:
-        """The level of each 64-bit n-gram key, 0 where it is not in the filter."""
+    def level(self, keys: np.ndarray, where: np.ndarray | None = None) -> np.ndarray:
+        """The level of each 64-bit n-gram key, 0 where it is not in the filter; only ``where`` is probed."""
         out = np.zeros(len(keys), np.int64)
-        bucket = keys >> U64(64 - self.log2b)
-        low = (keys >> U64(32 - self.log2b)) & U64(0xFFFFFFFF)
-        base = bucket.astype(np.int64) << self.log2_slice
-        todo = np.arange(len(keys))
+        todo = np.arange(len(keys)) if where is None else np.flatnonzero(where)
+        bucket = keys[todo] >> U64(64 - self.log2b)
+        base = self.base(bucket, (keys[todo] >> U64(32 - self.log2b)) & U64(0xFFFFFFFF))
+        slot = bucket.astype(np.int64) << self.log2_slice
         for level in range(1, len(LEAST) + 1):
-            at, bits = self.place(bucket[todo], low[todo], U64(level), self.log2_slice)
-            todo = todo[self.words[base[todo] + at] & bits == bits]
+            at, bits = self.place(base, level, self.log2_slice)
+            hit = self.words[slot + at] & bits == bits
+            todo, base, slot = todo[hit], base[hit], slot[hit]
             if not len(todo):
                 break
             out[todo] = level
@@ -71,8 +80,9 @@ class LogFrequencyFilter:
     def fill(cls, slice_words: np.ndarray, bucket: int, low: np.ndarray, count: np.ndarray) -> None:
         top = np.searchsorted(LEAST, count, "right")
         log2_slice = int(len(slice_words)).bit_length() - 1
+        base = cls.base(U64(bucket), low)
         for level in range(1, int(top.max(initial=0)) + 1):
-            at, bits = cls.place(U64(bucket), low[top >= level], U64(level), log2_slice)
+            at, bits = cls.place(base[top >= level], level, log2_slice)
             np.bitwise_or.at(slice_words, at, bits)
 
 
@@ -100,21 +110,14 @@ def ngrams(tok: np.ndarray, cuts: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def contexts(tok: np.ndarray, cuts: np.ndarray, grams: list[np.ndarray]) -> list[np.ndarray]:
-    """Keys of the context of each token, for n = 2 to ORDER: the (n - 1)-gram that ends at the token before."""
-    start = np.zeros(len(tok), bool)
-    start[cuts[:-1]] = True
-    empty = [np.full(1, _BEGIN)]
-    for n in _ORDERS:
-        key = np.full(1, U64(n))
-        for _ in range(n):
-            key = mix(key * U64(0x2545F4914F6CDD1D) + _BEGIN)
-        empty.append(key)
-    out = []
-    for n in _ORDERS:
-        before = np.r_[empty[n - 2], grams[n - 2][:-1]] if len(tok) else grams[n - 2]
-        out.append(np.where(start, empty[n - 2], before))
-    return out
+def _empty(n: int) -> np.ndarray:
+    """The key of the n-gram of begin marks, the context of a text's first token."""
+    if n == 1:
+        return np.full(1, _BEGIN)
+    key = np.full(1, U64(n))
+    for _ in range(n):
+        key = mix(key * U64(0x2545F4914F6CDD1D) + _BEGIN)
+    return key
 
 
 _COUNTED = "bucket int, words binary, counts binary, keys2 binary, n2 binary, keys3 binary, n3 binary"
@@ -123,16 +126,13 @@ _COUNTED = "bucket int, words binary, counts binary, keys2 binary, n2 binary, ke
 def _count(log2b: int):
     """Per chunk of training texts: distinct n-grams and their counts, by bucket."""
     def emit(batches):
-        for c in text_chunks(batches):
+        for c in text_chunks(batches, max_bytes=3 << 20):
             tok, _, cuts = tokens(c)
             rows: dict[int, dict] = {}
-            begins = np.full(len(c), _BEGIN)
             grams = ngrams(tok, cuts)
-            ctx = contexts(tok, cuts, grams)
-            # the context of a first word is a begin mark alone, or begin marks: counted as n-grams of their own
-            grams[0] = np.concatenate([tok, begins])
-            for n in _ORDERS[:-1]:
-                grams[n - 1] = np.concatenate([grams[n - 1], ctx[n - 1][cuts[:-1]]])
+            # the context of a text's first token is a begin mark, or several: counted as n-grams of their own
+            for n in range(1, ORDER):
+                grams[n - 1] = np.concatenate([grams[n - 1], np.repeat(_empty(n), len(c))])
             for n, g in enumerate(grams, 1):
                 keys, count = sorted_counts(g)
                 at = 0
@@ -181,52 +181,66 @@ def _unpack(batches):
             yield pa.record_batch({"h": pa.array(np.frombuffer(w, np.int64)), "c": pa.array(np.frombuffer(c, np.int64))})
 
 
+class ChunkLevels:
+    """The quantised counts of a chunk's n-grams and of their contexts.
+
+    An n-gram in the filter has parts in it, so a longer one is probed only where its
+    last and its first n - 1 tokens are there. The context of a token is the (n - 1)-gram before it, already probed.
+    """
+
+    def __init__(self, f: LogFrequencyFilter, c: Chunk):
+        self.tok, self.doc, self.cuts = tokens(c)
+        self.keys, self.inv = np.unique(self.tok, return_inverse=True)
+        self.words = f.level(self.keys)
+        grams = ngrams(self.tok, self.cuts)
+        first = self.cuts[:-1]
+        level = self.words[self.inv]
+        self.levels, self.context = {1: level}, {}
+        for n in _ORDERS:
+            ctx = np.empty(len(self.tok), np.int64)
+            ctx[1:] = level[:-1]
+            ctx[first] = f.level(_empty(n - 1))[0]
+            # words are in the filter from one occurrence on, longer n-grams from two
+            least = 2 if n == 2 else 1
+            level = f.level(grams[n - 1], (ctx >= least) & (level >= least))
+            self.levels[n], self.context[n] = level, ctx
+
+
 def _seen(filt):
     """How often a context's continuation occurs elsewhere too, by order and level of the context."""
     def run(batches):
-        f: LogFrequencyFilter = filt.value
         total = np.zeros((ORDER + 1, len(COUNT)), np.int64)
         seen = np.zeros_like(total)
-        for c in text_chunks(batches):
-            tok, _, cuts = tokens(c)
-            grams = ngrams(tok, cuts)
-            for n, ctx in zip(_ORDERS, contexts(tok, cuts, grams)):
-                lv = _context_levels(f, n, ctx)
-                total[n] += np.bincount(lv, minlength=len(COUNT))
-                seen[n] += np.bincount(lv, weights=f.level(grams[n - 1]) > 0, minlength=len(COUNT)).astype(np.int64)
+        for c in text_chunks(batches, max_bytes=2 << 20):
+            x = ChunkLevels(filt.value, c)
+            for n in _ORDERS:
+                total[n] += np.bincount(x.context[n], minlength=len(COUNT))
+                seen[n] += np.bincount(x.context[n][x.levels[n] > 0], minlength=len(COUNT))
         n, lv = np.nonzero(total)
         yield pa.record_batch({"n": pa.array(n), "level": pa.array(lv), "total": pa.array(total[n, lv]), "seen": pa.array(seen[n, lv])})
     return run
 
 
-def _context_levels(f: LogFrequencyFilter, n: int, ctx: np.ndarray) -> np.ndarray:
-    """Levels by distinct context: frequent contexts are probed once a chunk."""
-    keys, inv = np.unique(ctx, return_inverse=True)
-    return f.level(keys)[inv]
-
-
 def _score(filt, shared):
     """Row results; words beyond the broadcast table of frequent words are listed with their counts for a join."""
     def run(batches):
-        f: LogFrequencyFilter = filt.value
         weight, words, counts, n_total, n_words = shared.value
         norm = n_total + DELTA * (n_words + 1)
-        for c in text_chunks(batches):
-            tok, doc, cuts = tokens(c)
-            keys, inv = np.unique(tok, return_inverse=True)
+        for c in text_chunks(batches, max_bytes=2 << 20):
+            x = ChunkLevels(filt.value, c)
+            doc, cuts, keys, inv = x.doc, x.cuts, x.keys, x.inv
             i = np.searchsorted(words, keys)
             i[i == len(words)] = 0
             common = (words[i] == keys) if len(words) else np.zeros(len(keys), bool)
-            exact = np.where(common, counts[i] if len(words) else 0, 0)
+            exact = np.where(common, np.log10((counts[i] if len(words) else 0) + DELTA), 0.0)
             known = common[inv]
-            base = np.bincount(doc, weights=np.where(known, np.log10(exact[inv] + DELTA), 0.0), minlength=len(c))
+            base = np.bincount(doc, weights=exact[inv], minlength=len(c))
             # the model: quantised counts by probes, orders interpolated by how often contexts of a level go on as seen
-            grams = ngrams(tok, cuts)
-            p = (COUNT[f.level(keys)][inv] + DELTA) / norm
+            p = ((COUNT[x.words] + DELTA) / norm)[inv]
             per_order = [np.bincount(doc, weights=np.log10(p), minlength=len(c))]
-            for n, ctx in zip(_ORDERS, contexts(tok, cuts, grams)):
-                lv = _context_levels(f, n, ctx)
-                share = np.where(lv > 0, np.minimum(COUNT[f.level(grams[n - 1])] / np.maximum(COUNT[lv], 1), 1.0), 0.0)
+            for n in _ORDERS:
+                lv = x.context[n]
+                share = np.minimum(COUNT[x.levels[n]] / np.maximum(COUNT[lv], 1), 1.0)
                 w = weight[n][lv]
                 p = w * share + (1 - w) * p
                 per_order.append(np.bincount(doc, weights=np.log10(p), minlength=len(c)))
@@ -248,7 +262,7 @@ def _score(filt, shared):
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, held_fold: int = 0,
-                cutoff: int = 2, table_words: int = 1 << 19, max_filter_log2: int = 29) -> DataFrame:
+                cutoff: int = 2, table_words: int = 1 << 19, max_filter_log2: int = 28) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per input row.
 
     Texts whose crc32(id as text) mod ``folds`` is ``held_fold`` are held out; the
@@ -262,7 +276,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     3. Scoring is narrow. The words from a count on, at most ``table_words``, are broadcast with exact counts;
        the others of a text are joined with the counts by hash.
 
-    The filter has at most 2**max_filter_log2 bits (64 MB), so its broadcast is bounded; beyond that its error rate grows.
+    The filter has at most 2**max_filter_log2 bits (32 MB), so its broadcast is bounded; beyond that its error rate grows.
     Null and empty texts are the end token alone. Null ids count as training. An empty table gives
     no rows; without training texts all counts are 0.
     """
@@ -273,7 +287,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.coalesce(F.pmod(F.crc32(doc.cast("string")), F.lit(folds)) == held_fold, F.lit(False)).alias("held_out"))
     train = src.where(~F.col("held_out")).select("text")
     total = text_bytes(src)
-    log2b = min(buckets_log2(total, 32 << 20), 14)
+    log2b = min(buckets_log2(total), 14)
     log2_words = min(max_filter_log2, max(20, math.ceil(math.log2(max(1, total))))) - 6
     log2b = min(log2b, log2_words - 4)
 

@@ -12,6 +12,7 @@ from docketline.llm.common import (LOWER, U64, Chunk, hash_spans, keyed, materia
 from docketline.llm.components import components
 
 _BINS = 32
+_CLASSES = 12
 _SETS = "doc_id long, kid long, kth long, n int, d1 long, d2 long, hs array<long>, bins array<int>"
 
 
@@ -70,24 +71,34 @@ def _least(n: Column, m: Column, percent: int) -> Column:
 
 
 def _entries(sets: DataFrame, percent: int) -> DataFrame:
-    """(h, rid, n, pos, alone, mass): each set's prefix, rarest first, without what occurs in one set only.
+    """(h, rid, n, pos, low, own, mass): each set's prefix, rarest first, without what occurs in one set only.
 
     An element of frequency one comes first in the order and joins with nothing,
-    so it takes up prefix places without a row. The order is (frequency, hash).
+    so it takes up prefix places without a row. The order is (frequency, hash). Of the shared elements before an
+    entry, ``low`` counts those of each lower class of frequencies (octaves), ``own`` those of its own class.
     """
     grams = sets.select("rid", "n", F.explode("hs").alias("h"))
     df = grams.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = (grams.join(df, "h").groupBy("rid", "n")
-              .agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("shared")))
+    octave = F.least(F.floor(F.log2("df")) - 1, F.lit(_CLASSES - 1)).cast("int")
+    ranked = (grams.join(df, "h").withColumn("octave", octave).groupBy("rid", "n")
+              .agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("shared"), F.sum("df").alias("mass"),
+                   F.array(*[F.count(F.when(F.col("octave") == c, 1)).cast("int") for c in range(_CLASSES)]).alias("classes")))
     least = F.ceil(F.lit(percent) * F.col("n") / F.lit(100))
-    prefix = (F.col("n") - least + 1).cast("int")
-    alone = F.col("n") - F.size("shared")
-    mass = F.aggregate("shared", F.lit(0).cast("long"), lambda a, x: a + x["df"])
-    return (ranked.select("rid", "n", alone.alias("alone"), prefix.alias("prefix"), mass.alias("mass"), "shared")
+    rows = (ranked.withColumn("prefix", (F.col("n") - least + 1).cast("int")).withColumn("alone", F.col("n") - F.size("shared"))
             .where("alone < prefix")
-            .select("rid", "n", "mass", "alone",
-                    F.posexplode(F.expr("slice(shared, 1, prefix - alone)")).alias("i", "x"))
-            .select(F.col("x.h").alias("h"), "rid", "n", (F.col("alone") + F.col("i")).alias("pos"), "alone", "mass"))
+            .select("rid", "n", "mass", "alone", "classes", F.posexplode(F.expr("slice(shared, 1, prefix - alone)")).alias("i", "x"))
+            .withColumn("df", F.col("x.df")).withColumn("octave", octave))
+    low = [F.when(F.col("octave") > c, F.col("classes")[c]).otherwise(0) for c in range(_CLASSES)]
+    return rows.select(F.col("x.h").alias("h"), "rid", "n", (F.col("alone") + F.col("i")).alias("pos"), F.array(*low).alias("low"),
+                       (F.col("i") - sum(low[1:], low[0])).alias("own"), "mass")
+
+
+def plain_entries(keys: DataFrame) -> DataFrame:
+    """Entries of candidates by other keys than prefix elements: rows (h, rid, n, bins) without an order. The counts
+    by hash range take the place of those by frequency class."""
+    zero = F.lit(0)
+    return keys.select("h", "rid", "n", F.col("n").alias("pos"), F.col("bins").alias("low"), zero.alias("own"),
+                       zero.cast("long").alias("mass"))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -104,13 +115,15 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b", (F.col("i") / (F.col("na") + F.col("nb") - F.col("i"))).alias("jaccard")))
 
 
-def _fits(x: str, y: str, percent: int) -> Column:
-    """Length and positional filter of two prefix entries of the same element: what follows it in both, and of
-    what stands before it the part that is not in one set only, bounds the intersection."""
+def _fits(x: str, y: str, percent: int, classes: int) -> Column:
+    """Length and positional filter of two prefix entries of the same element. The intersection is at most
+    what follows the element in both, and what stands before it in both, class by class of frequencies."""
     n, m, i, j = F.col(f"{x}n"), F.col(f"{y}n"), F.col(f"{x}pos"), F.col(f"{y}pos")
-    before = F.least(i - F.col(f"{x}alone"), j - F.col(f"{y}alone"))
-    return ((n * 100 >= m * percent) & (m * 100 >= n * percent)
-            & (F.least(n - i, m - j) + before >= _least(n, m, percent)))
+    after = F.least(n - i, m - j)
+    most = after + F.least(f"{x}own", f"{y}own")
+    for c in range(classes):
+        most = most + F.least(F.col(f"{x}low")[c], F.col(f"{y}low")[c])
+    return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (most >= _least(n, m, percent))
 
 
 def _side(entries: DataFrame, p: str) -> DataFrame:
@@ -121,19 +134,18 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def links(entries: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def links(entries: DataFrame, sets: DataFrame, percent: int, classes: int = _CLASSES) -> tuple[DataFrame, DataFrame]:
     """(links, components) of the distinct sets ``sets`` (rid, n, hs, bins), whose candidates share
-    an element of ``entries`` (h, rid, n, pos, alone, mass).
+    an element of ``entries`` (h, rid, n, pos, low, own, mass); ``low`` has ``classes`` counts.
 
     First every element's prefix list is joined to one pivot only, the set with the most
     frequent elements (the centre of a group of copies), and the verified links give components.
     Then the pairs of an element's list that are still in different components are
     joined and verified: pairs of one component need no test, and no pair is lost otherwise.
     """
-    pivot = (entries.groupBy("h").agg(F.max(F.struct("mass", "rid", "n", "pos", "alone")).alias("p"), F.count("*").alias("c"))
-             .where("c > 1").select("h", F.col("p.rid").alias("prid"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos"),
-                                          F.col("p.alone").alias("palone")))
-    near = (_side(entries, "x").join(pivot, "h").where("xrid <> prid").where(_fits("x", "p", percent))
+    pivot = (entries.groupBy("h").agg(F.max(F.struct("mass", "rid", "n", "pos", "low", "own")).alias("p"), F.count("*").alias("c"))
+             .where("c > 1").select("h", *[F.col(f"p.{c}").alias(f"p{c}") for c in ("rid", "n", "pos", "low", "own")]))
+    near = (_side(entries, "x").join(pivot, "h").where("xrid <> prid").where(_fits("x", "p", percent, classes))
             .select(*_pair("xrid", "prid")).distinct())
     first = materialise(_verify(near, sets, percent), "links")
     comp = components(first.select("a", "b"), "pivots")
@@ -147,10 +159,18 @@ def links(entries: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame,
     minor = _side(mixed.where("comp <> main"), "x")
     rest = (minor.join(_side(mixed, "y").hint("merge"), "h")
             .where((F.col("xcomp") != F.col("ycomp")) & ((F.col("ycomp") == F.col("ymain")) | (F.col("xrid") < F.col("yrid"))))
-            .where(_fits("x", "y", percent)).select(*_pair("xrid", "yrid")).distinct())
-    second = _verify(rest, sets, percent)
-    both = materialise(first.unionByName(second), "links")
-    return both, components(both.select("a", "b"), "linked")
+            .where(_fits("x", "y", percent, classes)).select(*_pair("xrid", "yrid")).distinct())
+    second = materialise(_verify(rest, sets, percent), "links")
+    # links between components join whole components
+    of = comp.select(F.col("node"), "comp")
+    ends = second.select("a", "b")
+    for e in ("a", "b"):
+        ends = ends.join(of.withColumnRenamed("node", e), e, "left").withColumn(e, F.coalesce("comp", e)).drop("comp")
+    joined = components(ends, "joined")
+    both = of.unionByName(joined.select("node", F.col("node").alias("comp")).join(of, "node", "left_anti"))
+    whole = (both.join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("top")), "comp", "left")
+             .select("node", F.coalesce("top", "comp").alias("comp")))
+    return first.unionByName(second), whole
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,

@@ -13,8 +13,10 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketline.llm.common import hash_spans, text_chunks
+
 _SPACE = "▁"
-_UNITS = re.compile(f"{_SPACE}+[^{_SPACE}]*")
+_TWO = _SPACE * 2
 _NEVER = 1 << 60
 
 
@@ -34,7 +36,7 @@ def read_vocabulary(model_path: str) -> list[tuple[str, float, str]]:
     return out
 
 
-class PieceCodec:
+class PieceCodec(dict):
     """Encodes as greedy BPE does: always the best-scored merge of neighbours, leftmost first.
 
     Each prefix of a text has one encoding, hence one last token. It is the token
@@ -47,8 +49,10 @@ class PieceCodec:
     them; they are merged last, leftmost first, by ``_space_runs``.
     """
 
-    def __init__(self, vocabulary: list[tuple[str, float, str]], cache_size: int = 300_000):
-        self.cache_size, self.cache = cache_size, {}
+    def __init__(self, vocabulary: list[tuple[str, float, str]], cache_size: int = 800_000):
+        super().__init__()   # what it holds as a dict: the ids of units seen before
+        self.words: dict[int, tuple[int, ...]] = {}
+        self.cache_size = cache_size
         kinds = [k for _, _, k in vocabulary]
         self.byte_id = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(vocabulary) if k == "byte"}
         self.eos = next(i for i, (p, _, k) in enumerate(vocabulary) if k == "control" and p == "</s>")
@@ -95,11 +99,34 @@ class PieceCodec:
         words.make_automaton()
         self.automaton = words
         self.known = {c for p in self.symbol for c in p}
-        self.ok: dict[tuple[int, int], bool] = {}
+        self.units = self._unit_pattern(pieces)
+        self.ok: dict[int, bool] = {}
         self.raw = [bytes([int(p[3:5], 16)]) if k == "byte" else b"" if k == "control" else
                     p.replace(_SPACE, " ").encode() if k == "piece" else b" \xe2\x81\x87 " for p, _, k in vocabulary]
         self.kinds = kinds
 
+    @staticmethod
+    def _unit_pattern(pieces) -> re.Pattern:
+        """Spaces and a run of characters that pieces can join: no merge goes over the end of such a unit.
+
+        Characters that stand side by side in some piece are of one class; other characters stand alone."""
+        root: dict[str, str] = {}
+
+        def find(c: str) -> str:
+            while root.setdefault(c, c) != c:
+                c = root[c]
+            return c
+
+        for p in pieces:
+            for a, b in zip(p, p[1:]):
+                if a != _SPACE:
+                    root[find(a)] = find(b)
+        classes: dict[str, str] = {}
+        for c in sorted(root):
+            classes[find(c)] = classes.get(find(c), "") + c
+        runs = [f"[{re.escape(x)}]+" for x in classes.values()]
+        return re.compile(f"{_SPACE}*(?:{'|'.join([*runs, f'[^{_SPACE}]'])})|{_SPACE}+", re.DOTALL)
+
     def _merges(self, syms: list[int]) -> list[tuple[int, int, int]] | None:
         """The merges that make one token of ``syms``, or None where they do not end in one."""
         steps = []
@@ -145,11 +172,11 @@ class PieceCodec:
                 p = last[start]
                 if p < 0:
                     continue
-                fits = ok.get((p, t))
+                fits = ok.get(p << 20 | t)
                 if fits is None:
                     if len(ok) > 2_000_000:
                         ok.clear()
-                    fits = ok[p, t] = self.compatible(p, t)
+                    fits = ok[p << 20 | t] = self.compatible(p, t)
                 if not fits:
                     continue
             last[end], size[end] = t, n
@@ -175,42 +202,71 @@ class PieceCodec:
                 lens.append(n)
         return out
 
-    def _unit(self, unit: str) -> tuple[int, ...]:
-        syms: list[int] = []
-        at = 0
-        while at < len(unit):
-            to = at
-            while to < len(unit) and unit[to] in self.known:
-                to += 1
-            if to > at:
-                syms += self._known_run(unit[at:to])
-            while to < len(unit) and unit[to] not in self.known:
-                syms += [self.byte_id[b] for b in unit[to].encode()]
-                to += 1
-            at = to
-        syms = self._space_runs(syms)
-        if any(t >= self.n_pieces for t in syms):
+    def __missing__(self, unit: str) -> tuple[int, ...]:
+        """The ids of a unit: spaces, then known characters or a single unknown one."""
+        if unit[-1] in self.known:
+            syms = self._known_run(unit)
+        else:
+            syms = (self._known_run(unit[:-1]) if len(unit) > 1 else []) + [self.byte_id[b] for b in unit[-1].encode()]
+        if unit.startswith(_TWO):
+            syms = self._space_runs(syms)
+        if max(syms) >= self.n_pieces:
             syms = list(chain.from_iterable([t] if t < self.n_pieces else [self.byte_id[b] for b in self.text[t].encode()]
                                             for t in syms))
-        return tuple(syms)
+        out = self[unit] = tuple(syms)
+        return out
+
+    def word(self, key: int, raw: bytes) -> tuple[int, ...]:
+        """The ids of spaces and what follows them up to the next space, by the word's hash."""
+        out = self.words.get(key)
+        if out is None:
+            if len(self) + len(self.words) > self.cache_size:
+                self.clear()
+                self.words.clear()
+            units = self.units.findall(raw.decode().replace(" ", _SPACE))
+            out = self.words[key] = tuple(chain.from_iterable(map(self.__getitem__, units)))
+        return out
+
+    def encode_texts(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, cuts) of texts that lie in a row in ``data``; each text's ids end with the end id.
+
+        No piece goes over the border before a space, so words are coded apart: each distinct one of
+        the chunk once, and once for all that a worker remembers."""
+        mark = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81))
+        if len(mark):                                    # the space symbol itself stands for a space
+            data = data.copy()
+            data[mark] = 32
+            data, offs = np.delete(data, np.r_[mark + 1, mark + 2]), offs - 2 * np.searchsorted(mark, offs)
+        some = offs[1:] > offs[:-1]
+        buf = np.insert(data, offs[:-1][some], 32)       # the space put before a text
+        offs = offs + np.r_[0, np.cumsum(some)]
+        space = buf[:offs[-1]] == 32
+        start = space.copy()
+        start[1:] &= ~space[:-1]
+        start[offs[:-1][some]] = True
+        s = np.flatnonzero(start)
+        e = np.r_[s[1:], offs[-1:]][:len(s)]
+        keys, first, inv = np.unique(hash_spans(buf, s, e), return_index=True, return_inverse=True)
+        words = [self.word(k, buf[a:b].tobytes()) for k, a, b in zip(keys.tolist(), s[first].tolist(), e[first].tolist())]
+        count = np.fromiter(map(len, words), np.int64, len(words))
+        flat = np.fromiter(chain.from_iterable(words), np.int32, int(count.sum()))
+        begin, n = (np.cumsum(count) - count)[inv], count[inv]
+        ids = flat[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        per_text = np.bincount(np.searchsorted(offs, s, "right") - 1, weights=n, minlength=len(some)).astype(np.int64)
+        ends = np.cumsum(per_text)
+        return np.insert(ids, ends, self.eos), np.r_[0, ends + np.arange(1, len(ends) + 1)]
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids with the end id. No piece goes over a word border, so words are coded apart and remembered."""
-        cache = self.cache
-        units = _UNITS.findall(_SPACE + text.replace(" ", _SPACE)) if text else []
-        if len(cache) > self.cache_size:
-            cache.clear()
-        for u in units:
-            if u not in cache:
-                cache[u] = self._unit(u)
-        ids = list(chain.from_iterable(map(cache.__getitem__, units)))
-        ids.append(self.eos)
-        return np.array(ids, np.int32)
+        raw = text.encode()
+        return self.encode_texts(np.frombuffer(raw + bytes(8), np.uint8), np.array([0, len(raw)]))[0]
 
     def decode(self, ids) -> str:
-        """The text of ids: byte pieces as UTF-8 (a byte that is none becomes U+FFFD), one leading space dropped."""
+        """The text of ids: byte pieces as UTF-8 (a byte that is none becomes U+FFFD), without the space put before the text."""
         raw = b"".join(map(self.raw.__getitem__, ids))
-        return raw.removeprefix(b" ").decode("utf-8", "one_each")
+        first = next((i for i in ids if self.kinds[i] != "control"), None)
+        if first is not None and self.kinds[first] == "piece":
+            raw = raw.removeprefix(b" ")
+        return raw.decode("utf-8", "one_each")
 
 
 codecs.register_error("one_each", lambda e: ("�", e.start + 1))
@@ -236,12 +292,11 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
     def run(batches):
         codec = _codec(vocabulary.value)
-        for b in batches:
-            texts, step = b.column("text"), 256  # few rows at a time, so that ids of long texts stay small
-            for at in range(0, b.num_rows, step):
-                ids = [codec.encode(t) for t in texts.slice(at, step).to_pylist()]
-                yield pa.record_batch({"doc_id": b.column("doc_id").slice(at, step), "ids": pa.array(ids, pa.list_(pa.int32())),
-                                       "decoded": pa.array([codec.decode(i.tolist()) for i in ids], pa.string())})
+        for c in text_chunks(batches):
+            ids, cuts = codec.encode_texts(c.data, c.offs)
+            decoded = [codec.decode(ids[a:b].tolist()) for a, b in zip(cuts, cuts[1:])]
+            yield pa.record_batch({"doc_id": c.rows.column("doc_id"), "decoded": pa.array(decoded, pa.string()),
+                                   "ids": pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids))})
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-                       ).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+                       ).mapInArrow(run, "doc_id long, decoded string, ids array<int>")

@@ -18,14 +18,16 @@ GAP[48:58] = GAP[97:123] = GAP[128:256] = False
 
 @dataclass
 class Params:
-    """Shape and training of the classifier. ``sample`` bounds the labelled rows it is fitted on."""
+    """Shape and training of the classifier. ``sample`` and ``sample_bytes`` bound the labelled
+    rows it is fitted on, and their texts."""
 
     buckets_log2: int = 16
     dim: int = 8
     widths: tuple[int, ...] = (1, 2, 3)
     filters: int = 8
     prefix_bytes: int = 4
-    sample: int = 16_000
+    sample: int = 12_000
+    sample_bytes: int = 8_000
     max_words: int = 400      # training windows: a text is cut into pieces of so many words
     epochs: int = 6
     steps: int = 2000         # at least so many batches, however few the rows
@@ -167,58 +169,58 @@ def _best_cut(logit: np.ndarray, label: np.ndarray) -> float:
     return float((x[k] + x[k + 1]) / 2 if k + 1 < len(x) else x[k] - 1)
 
 
-def train(rows: list[tuple[str, float, str]], p: Params) -> tuple[ConvClassifier, dict[str, float]]:
+def train(rows: pa.Table, p: Params) -> tuple[ConvClassifier, dict[str, float]]:
     """The classifier, and for each language the score from which its texts count as toxic.
 
-    A fifth of the rows (by position) is left out of the fit: it sets the overall scale, so that
-    ``p.target`` is the cut with the best F1, and the cuts by language.
+    ``rows`` has text, y and lang. A fifth of the rows (by position) is left out of the fit: it sets the overall
+    scale, so that ``p.target`` is the cut with the best F1, and the cuts by language.
     """
     model = ConvClassifier(p)
-    label = np.array([y for _, y, _ in rows], np.float32)
-    if not len(rows) or label.min() == label.max():
+    label = rows.column("y").to_numpy().astype(np.float32)
+    if not len(label) or label.min() == label.max():
         return model, {}
-    batch = pa.record_batch({"text": pa.array([(t or "").encode() for t, _, _ in rows], pa.binary())})
+    texts = rows.select(["text"]).combine_chunks().to_batches()
     words, heads, owner = [], [], []
     base = 0
-    for c in text_chunks([batch]):
+    for c in text_chunks(iter(texts), max_bytes=1 << 20):
         w, h, doc = features(c, p)
         cuts = np.searchsorted(doc, np.arange(len(c) + 1))
         for d in range(len(c)):
             for at in range(int(cuts[d]), max(int(cuts[d + 1]), int(cuts[d]) + 1), p.max_words):
                 to = min(at + p.max_words, int(cuts[d + 1]))
-                words.append(w[at:to])
-                heads.append(h[at:to])
+                words.append(w[at:to].astype(np.int32))
+                heads.append(h[at:to].astype(np.int32))
                 owner.append(base + d)
         base += len(c)
     owner = np.array(owner)
     held = owner % 5 == 4
     # of a long toxic text's pieces, which one is toxic is not known: long toxic texts are left to calibration
-    pieces = np.bincount(owner, minlength=len(rows))
+    pieces = np.bincount(owner, minlength=len(label))
     use = np.flatnonzero(~held & ((label[owner] == 0) | (pieces[owner] == 1)))
     model.fit([words[i] for i in use], [heads[i] for i in use], label[owner[use]])
+    del words, heads
     tables = model.tables()
-    logit = np.concatenate([model.raw(*features(c, p), len(c), tables) for c in text_chunks([batch])])
-    check = np.arange(len(rows)) % 5 == 4
+    logit = np.concatenate([model.raw(*features(c, p), len(c), tables) for c in text_chunks(iter(texts), max_bytes=1 << 20)])
+    check = np.arange(len(label)) % 5 == 4
     if label[check].min(initial=1) == label[check].max(initial=0):
         check[:] = True
     cut = _best_cut(logit[check], label[check])
     inside = np.median(logit[check & (label == 1)]) - cut
     model.scale = float(min(8.0, 2.0 / max(inside, 1e-3))) if inside < 2 else 1.0
     model.shift = float(np.log(p.target / (1 - p.target)) - model.scale * cut)
+    langs = np.array(rows.column("lang").to_pylist(), object)
     by_lang = {}
-    for lang in sorted({str(g) for _, _, g in rows}):
-        own = check & (np.array([str(g) for _, _, g in rows]) == lang)
+    for lang in sorted({g for g in langs if g is not None}):
+        own = check & (langs == lang)
         if label[own].sum() >= 5 and (label[own] == 0).any():
             by_lang[lang] = float(model.score(np.array([_best_cut(logit[own], label[own])]))[0])
     return model, by_lang
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, p: Params, id_col: str = "doc_id", text_col: str = "text",
-                    label_col: str = "toxic", lang_col: str | None = "lang") -> list[tuple[str, float, str]]:
-    """At most ``p.sample`` labelled rows of training ids (crc32 of the id mod 3 is not 1), in a fixed order.
-
-    Long texts are kept to those of 20,000 bytes, so that the sample's size is bounded as well.
-    """
+                    label_col: str = "toxic", lang_col: str | None = "lang") -> pa.Table:
+    """At most ``p.sample`` labelled rows of training ids (crc32 of the id mod 3 is not 1), in a fixed order, whose
+    texts have at most ``p.sample_bytes`` bytes: the sample's size is bounded."""
     lang = F.col(lang_col).cast("string") if lang_col and lang_col in docs.columns else F.lit(None).cast("string")
     train_ids = F.pmod(F.crc32(F.col("id").cast("string")), F.lit(3)) != 1
     lab = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
@@ -227,9 +229,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, p: Params, id_col: str =
     order = F.xxhash64("id")
     picked = lab.distinct().orderBy(order, "id", "y").limit(p.sample)
     # the sampled ids are few (bounded by p.sample), so the texts are not moved to find them
-    got = src.where(F.octet_length("text") <= 20_000).join(F.broadcast(picked), "id").select("text", "y", "lang", "id")
-    rows = sorted(got.collect(), key=lambda r: (r["id"] * 2654435761 % (1 << 32), r["id"], r["y"], r["text"]))
-    return [(r["text"], float(r["y"]), r["lang"]) for r in rows]
+    got = src.where(F.octet_length("text") <= p.sample_bytes).join(F.broadcast(picked), "id")
+    return (got.select("text", "y", "lang", "id", F.xxhash64("id", F.lit(1)).alias("turn")).toArrow()
+            .sort_by([("turn", "ascending"), ("id", "ascending"), ("y", "ascending"), ("text", "ascending")]))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -249,11 +251,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     spark = docs.sparkSession
     rows = labelled_sample(docs, labels, p, id_col, text_col, label_col, lang_col)
     model, by_lang = train(rows, p)
-    trained = len({y for _, y, _ in rows}) == 2
-    shared = spark.sparkContext.broadcast((model, model.tables()))
+    trained = len(rows.column("y").unique()) == 2
+    del rows
+    shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        model, tables = shared.value
+        model = shared.value
+        tables = model.tables()
         for c in text_chunks(batches, max_bytes=1 << 20):
             s = model.score(model.raw(*features(c, p), len(c), tables)) if trained else np.zeros(len(c))
             yield pa.record_batch({"doc_id": c.rows.column("doc_id"), "score": pa.array(s),

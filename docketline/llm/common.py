@@ -212,14 +212,15 @@ def pack_buckets(keys: np.ndarray, log2: int) -> list[tuple[int, np.ndarray]]:
     return [(b, low[i:j]) for b, (i, j) in enumerate(zip(cuts, np.r_[cuts[1:], len(keys)])) if j > i]
 
 
-def repeated_keys(texts: DataFrame, keys_of: Callable[[Chunk], np.ndarray], total_bytes: int,
-                  max_log2: int = 28) -> KeyFilter:
-    """The filter of the keys that occur twice or more in ``texts`` (column ``text``, binary).
+def repeated_keys(texts: DataFrame, keys_of: Callable[[Chunk], np.ndarray | tuple[np.ndarray, np.ndarray]],
+                  total_bytes: int, max_log2: int = 26) -> KeyFilter:
+    """The filter of the keys that occur twice or more in ``texts`` (column ``text``, binary). If ``keys_of``
+    gives (keys, tags), of the keys that occur with two different tags (16 bits).
 
     Each task reduces a chunk's keys to distinct ones and ships four bytes for
-    each, dealt by the key's top bits; keys that repeat within the chunk are
-    marked, so a hot key costs four bytes a chunk. Each bucket sets its own
-    slice of the bitmap. The bitmap never exceeds 2**max_log2 bits (32 MB), so
+    each (and the tag), dealt by the key's top bits; keys that repeat within the chunk are
+    marked, so a hot key costs a few bytes a chunk. Each bucket sets its own
+    slice of the bitmap. The bitmap never exceeds 2**max_log2 bits (8 MB), so
     gathering and broadcasting it is bounded; a fuller one only passes more keys.
     """
     log2b = min(buckets_log2(total_bytes), 16)
@@ -227,19 +228,38 @@ def repeated_keys(texts: DataFrame, keys_of: Callable[[Chunk], np.ndarray], tota
 
     def emit(batches):
         for c in text_chunks(batches):
-            keys, count = sorted_counts(keys_of(c))
+            found = keys_of(c)
+            keys, tags = found if isinstance(found, tuple) else (found, None)
+            if tags is not None:                       # the first tag of each key; another one marks the key
+                order = np.lexsort((tags, keys))
+                keys, tags = keys[order], tags[order]
+                head = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+                last = np.r_[head[1:] - 1, len(keys) - 1][:len(head)]
+                many = tags[head] != tags[last]
+                keys, tags = keys[head], tags[head]
+            else:
+                keys, count = sorted_counts(keys)
+                many = count > 1
             parts = {}
-            for name, ks in (("once", keys[count == 1]), ("many", keys[count > 1])):
-                for b, low in pack_buckets(ks, log2b):
-                    parts.setdefault(b, {})[name] = low.tobytes()
+            once = keys[~many]
+            for b, low in pack_buckets(keys[many], log2b):
+                parts.setdefault(b, {})["many"] = low.tobytes()
+            at, tag = 0, tags[~many] if tags is not None else None
+            for b, low in pack_buckets(once, log2b):
+                p = parts.setdefault(b, {})
+                p["once"] = low.tobytes()
+                p["tags"] = tag[at:at + len(low)].tobytes() if tag is not None else b""
+                at += len(low)
             yield pa.record_batch({
                 "bucket": pa.array(list(parts), pa.int32()),
-                "once": pa.array([p.get("once", b"") for p in parts.values()], pa.binary()),
-                "many": pa.array([p.get("many", b"") for p in parts.values()], pa.binary())})
+                **{n: pa.array([p.get(n, b"") for p in parts.values()], pa.binary()) for n in ("once", "tags", "many")}})
 
     def gather(t: pa.Table) -> pa.Table:
-        read = lambda col: np.frombuffer(b"".join(t.column(col).to_pylist()), np.uint32)
-        once, many = read("once"), np.unique(read("many"))
+        read = lambda col, kind: np.frombuffer(b"".join(t.column(col).to_pylist()), kind)
+        once, many, tags = read("once", np.uint32), np.unique(read("many", np.uint32)), read("tags", np.uint16)
+        if len(tags):                                  # a key and a tag count once
+            both = np.unique(once.astype(U64) << U64(16) | tags)
+            once = (both >> U64(16)).astype(np.uint32)
         keys, count = sorted_counts(np.concatenate([once, many]))
         hit = np.union1d(keys[count > 1], many) >> np.uint32(32 - (log2 - log2b))
         seg = np.zeros(1 << (log2 - log2b), bool)
@@ -247,10 +267,11 @@ def repeated_keys(texts: DataFrame, keys_of: Callable[[Chunk], np.ndarray], tota
         packed = np.packbits(seg, bitorder="little").tobytes()
         return pa.table({"bucket": t.column("bucket")[:1], "seg": pa.array([packed], pa.binary())})
 
-    rows = (texts.select("text").mapInArrow(emit, "bucket int, once binary, many binary")
+    rows = (texts.select("text").mapInArrow(emit, "bucket int, once binary, tags binary, many binary")
             .groupBy("bucket").applyInArrow(gather, "bucket int, seg binary")).collect()
     bits = np.zeros(1 << (log2 - 3), np.uint8)
     step = 1 << (log2 - log2b - 3)
     for r in rows:
         bits[r["bucket"] * step:(r["bucket"] + 1) * step] = np.frombuffer(r["seg"], np.uint8)
+    del rows
     return KeyFilter(bits, log2)

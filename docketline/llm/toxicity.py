@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -218,7 +219,7 @@ def train(rows: pa.Table, p: Params) -> tuple[ConvClassifier, dict[str, float]]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, p: Params, id_col: str = "doc_id", text_col: str = "text",
-                    label_col: str = "toxic", lang_col: str | None = "lang") -> pa.Table:
+                    label_col: str = "toxic", lang_col: str | None = "lang") -> DataFrame:
     """At most ``p.sample`` labelled rows of training ids (crc32 of the id mod 3 is not 1), in a fixed order, whose
     texts have at most ``p.sample_bytes`` bytes: the sample's size is bounded."""
     lang = F.col(lang_col).cast("string") if lang_col and lang_col in docs.columns else F.lit(None).cast("string")
@@ -229,9 +230,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, p: Params, id_col: str =
     order = F.xxhash64("id")
     picked = lab.distinct().orderBy(order, "id", "y").limit(p.sample)
     # the sampled ids are few (bounded by p.sample), so the texts are not moved to find them
-    got = src.where(F.octet_length("text") <= p.sample_bytes).join(F.broadcast(picked), "id")
-    return (got.select("text", "y", "lang", "id", F.xxhash64("id", F.lit(1)).alias("turn")).toArrow()
-            .sort_by([("turn", "ascending"), ("id", "ascending"), ("y", "ascending"), ("text", "ascending")]))
+    return (src.where(F.octet_length("text") <= p.sample_bytes).join(F.broadcast(picked), "id")
+            .select("text", "y", "lang", "id", F.xxhash64("id", F.lit(1)).alias("turn")))
+
+
+def fit(sample: DataFrame, p: Params) -> tuple[ConvClassifier, dict[str, float], bool]:
+    """(classifier, cuts by language, whether labels of both kinds were there), trained by one task on the bounded sample."""
+    def run(batches):
+        parts = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+        if parts:
+            rows = pa.concat_tables(parts).sort_by([("turn", "ascending"), ("id", "ascending"), ("y", "ascending"), ("text", "ascending")])
+            model, by_lang = train(rows, p)
+            both = len(rows.column("y").unique()) == 2
+            yield pa.record_batch({"model": pa.array([pickle.dumps((model, by_lang, both))], pa.binary())})
+
+    got = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else (ConvClassifier(p), {}, False)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -249,10 +263,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     p = params or Params()
     spark = docs.sparkSession
-    rows = labelled_sample(docs, labels, p, id_col, text_col, label_col, lang_col)
-    model, by_lang = train(rows, p)
-    trained = len(rows.column("y").unique()) == 2
-    del rows
+    model, by_lang, trained = fit(labelled_sample(docs, labels, p, id_col, text_col, label_col, lang_col), p)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):

@@ -7,11 +7,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketline.llm.common import (U64, Chunk, buckets_log2, hash_spans, keyed, mix, repeated_keys, text_bytes,
-                                   text_chunks)
+from docketline.llm.common import (U64, Chunk, KeyFilter, buckets_log2, hash_spans, keyed, materialise, mix, repeated_keys,
+                                   text_bytes, text_chunks)
 
 _LAST = (1 << 63) - 1
-_GRAM = 16        # bytes of an anchor gram
+_GRAM = 24        # bytes of an anchor gram
 _WINDOWS = 64     # windows of a segment at most
 
 
@@ -116,18 +116,18 @@ def _shard_windows(parts: list[np.ndarray], sizes: np.ndarray, doc: np.ndarray,
     end = np.cumsum(sizes)
     begin = end - sizes
     count = np.maximum(sizes - length + 1, 0)
-    seg = np.repeat(np.arange(len(sizes)), count)
-    starts = begin[seg] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    seg = np.repeat(np.arange(len(sizes), dtype=np.int32), count)
+    starts = (begin[seg] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)
     sa = suffix_array(text, starts, length)
     lcp = common_prefixes(text, sa, length)
     first = np.flatnonzero(lcp < length)
     cls = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(sa)]))
-    owner = np.zeros(len(text), np.int64)
+    owner = np.zeros(len(text), np.int32)
     owner[starts] = seg
     least = np.minimum.reduceat(doc[owner[sa]], first) if len(first) else np.zeros(0, np.int64)
-    of = np.zeros(len(text), np.int64)
+    of = np.zeros(len(text), np.int32)
     of[sa] = cls
-    keys = np.lib.stride_tricks.sliding_window_view(text, length)[sa[first]].copy().view(f"S{length}").ravel() if len(first) else np.zeros(0, f"S{length}")
+    keys = np.lib.stride_tricks.sliding_window_view(text, length)[sa[first]].view(f"S{length}").ravel() if len(first) else np.zeros(0, f"S{length}")
     return starts, seg, of[starts], Shard(keys, least), begin
 
 
@@ -135,44 +135,55 @@ def _shard_windows(parts: list[np.ndarray], sizes: np.ndarray, doc: np.ndarray,
 def anchor_runs(c: Chunk, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, end window, anchor) of runs of windows with one anchor, within texts.
 
-    A window is ``length`` bytes; its anchor is the least hash of the 16-byte grams in it, so equal
+    A window is ``length`` bytes; its anchor is the least hash of the 24-byte grams in it, so equal
     windows have equal anchors, wherever they are.
     """
     n, gram = int(c.offs[-1]), min(_GRAM, length)
     if n < length:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, U64),)
     span = length - gram + 1
-    least = np.zeros(n, U64)
-    data = np.concatenate([c.data, np.zeros(length + 24, np.uint8)])
-    half = max(gram - 8, 0)
+    at_change, least = [], []
+    data = np.concatenate([c.data, np.zeros(length + 32, np.uint8)])
+    # a gram's hash: its eight-byte lanes from the first to the last, folded
+    lanes = sorted({*range(0, max(gram - 8, 0), 8), max(gram - 8, 0)})
     for at in range(0, n, 1 << 16):                  # small blocks stay in the processor's cache
         to = min(n, at + (1 << 16))
-        v = np.ndarray((to - at + span + half,), "<u8", buffer=data, offset=at, strides=(1,)).copy()
+        size = to - at + span
+        v = np.ndarray((size + lanes[-1],), "<u8", buffer=data, offset=at, strides=(1,)).copy()
         if gram < 8:
             v &= U64((1 << (8 * gram)) - 1)
-        m = mix((v[:len(v) - half] * U64(0x9E3779B97F4A7C15)) ^ v[half:])
+        m = v[:size] * U64(0x9E3779B97F4A7C15)
+        for k in lanes[1:]:
+            m = (m ^ v[k:k + size]) * U64(0xC2B2AE3D27D4EB4F)
+        m = mix(m)
         done = 1
         while done * 2 <= span:
             m, done = np.minimum(m[:-done], m[done:]), done * 2
         if done < span:
             m = np.minimum(m[:-(span - done)], m[span - done:])
-        least[at:to] = m[:to - at]
-    valid = np.ones(n + 1, bool)
-    valid[n] = False
-    for a, b in zip(c.offs[:-1].tolist(), c.offs[1:].tolist()):
-        valid[max(a, b - length + 1):b] = False
-    change = least[1:] != least[:-1]
-    first = valid[:-1].copy()
-    first[1:] &= ~valid[:-2] | change
-    last = valid[:-1].copy()
-    last[:-1] &= ~valid[1:-1] | change
-    a, b = np.flatnonzero(first), np.flatnonzero(last) + 1
+        m = m[:to - at]
+        new = np.flatnonzero(np.r_[True, m[1:] != m[:-1]])
+        at_change.append(new + at)
+        least.append(m[new])
+    at_change, least = np.concatenate(at_change), np.concatenate(least)
+    some = c.offs[1:] - c.offs[:-1] >= length
+    bounds = np.unique(np.concatenate([at_change, c.offs[:-1][some], c.offs[1:][some] - length + 1]))
+    a, b = bounds, np.r_[bounds[1:], n]
+    use = a + length <= c.offs[np.minimum(np.searchsorted(c.offs, a, "right"), len(c.offs) - 1)]
+    a, b = a[use], b[use]
+    value = least[np.searchsorted(at_change, a, "right") - 1]
+    # a run goes on over the border of a block, but not of a text
+    if len(a):
+        joined = np.r_[False, (a[1:] == b[:-1]) & (value[1:] == value[:-1])
+                       & (np.searchsorted(c.offs, a[1:], "right") == np.searchsorted(c.offs, a[:-1], "right"))]
+        first = np.flatnonzero(~joined)
+        a, value, b = a[first], value[first], b[np.r_[first[1:] - 1, len(b) - 1]]
     pieces = -(-(b - a) // _WINDOWS)
     if len(pieces) and pieces.max() > 1:             # periodic text: the windows stay, in shorter segments
         r = np.repeat(np.arange(len(a)), pieces)
         k = np.arange(len(r)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        a, b = a[r] + k * _WINDOWS, np.minimum(a[r] + (k + 1) * _WINDOWS, b[r])
-    return a, b, least[a]
+        a, b, value = a[r] + k * _WINDOWS, np.minimum(a[r] + (k + 1) * _WINDOWS, b[r]), value[r]
+    return a, b, mix(value)                          # least values crowd at the low end; mixed, they deal evenly
 
 
 
@@ -191,112 +202,172 @@ def _doc_spans(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[tuple[int,
     return [(int(doc[i]), _union(a[i:j], b[i:j]).tobytes()) for i, j in zip(cuts, np.r_[cuts[1:], len(doc)].astype(int))] if len(doc) else []
 
 
-_SHIP = ("bucket int, text binary, sizes binary, seg binary, owner binary, at binary, "
-         "ids binary, kids binary, kths binary, spans array<binary>")
+class _Segments:
+    """A chunk's segments whose anchors pass a filter, equal ones together and in document order.
 
+    An occurrence in a document larger than another one with the same segment in this chunk is decided
+    here: ``done`` has its finished spans by document. ``stay`` are the others, by bucket. So
+    a hot passage ships once a chunk.
+    """
+
+    def __init__(self, c: Chunk, filt, length: int, log2: int):
+        a, b, anchor = anchor_runs(c, length)
+        use = filt.has(anchor)
+        a, b, anchor = a[use], b[use] + length - 1, anchor[use]
+        owner = np.searchsorted(c.offs, a, "right") - 1
+        self.kid, self.kth = c.column("kid"), c.column("kth")
+        oid = _order_id(self.kid)
+        content = hash_spans(c.data, a, b) ^ mix(anchor.copy())
+        order = np.lexsort((oid[owner], content))
+        self.a, self.b, self.anchor, self.owner, self.content = (x[order] for x in (a, b, anchor, owner, content))
+        self.local = self.a - c.offs[self.owner]
+        new = np.r_[True, self.content[1:] != self.content[:-1]][:len(order)]
+        self.group = np.cumsum(new) - 1
+        late = oid[self.owner] > oid[self.owner[np.flatnonzero(new)]][self.group] if len(order) else new
+        self.rows: dict[int, dict] = {}
+        for d, spans in _doc_spans(self.owner[late], self.local[late], (self.local + self.b - self.a)[late]):
+            self.rows.setdefault(int(self.kth[d]) % (1 << log2), {}).setdefault("done", []).append((d, spans))
+        bucket = (self.anchor >> U64(64 - log2)).astype(np.int64)
+        stay = np.flatnonzero(~late)
+        stay = stay[np.argsort(bucket[stay], kind="stable")]
+        cuts = np.flatnonzero(np.r_[True, np.diff(bucket[stay]) != 0][:len(stay)])
+        for i, j in zip(cuts, np.r_[cuts[1:], len(stay)].astype(int)):
+            self.rows.setdefault(int(bucket[stay[i]]), {})["stay"] = stay[i:j]
+
+    def packed(self):
+        """(bucket, kept occurrences, columns on where they are and on the finished spans)"""
+        for k, r in self.rows.items():
+            s, done = r.get("stay", np.zeros(0, np.int64)), r.get("done", [])
+            docs, own = np.unique(self.owner[s], return_inverse=True)
+            docs = np.concatenate([docs, np.array([d for d, _ in done], np.int64)]).astype(np.int64)
+            yield k, s, {"bucket": k, "owner": own.astype(np.int32).tobytes(), "at": self.local[s].astype(np.int32).tobytes(),
+                         "kids": self.kid[docs].tobytes(), "kths": self.kth[docs].tobytes(), "spans": [x for _, x in done]}
+
+
+def _order_id(kid: np.ndarray) -> np.ndarray:
+    """Ids in order; the key of a null id counts as larger than any id."""
+    return np.where(kid == -(1 << 63), _LAST, kid)
+
+
+def _schema(*columns: str) -> tuple[pa.Schema, str]:
+    names = [*columns, "owner", "at", "kids", "kths"]
+    return (pa.schema([("bucket", pa.int32()), *[(x, pa.binary()) for x in names], ("spans", pa.list_(pa.binary()))]),
+            ", ".join(["bucket int", *[f"{x} binary" for x in names], "spans array<binary>"]))
+
+
+_DIGESTS, _TEXTS = _schema("content", "anchor", "sizes"), _schema("text", "sizes", "seg")
+_SPANS = "bucket int, kid long, kth long, spans binary"
+
+
+def _ship_digests(filt, length: int, log2: int):
+    """Segments whose anchors repeat, as digests."""
+    def emit(batches):
+        for c in text_chunks(batches):
+            g = _Segments(c, filt.value, length, log2)
+            yield pa.RecordBatch.from_pylist([
+                {**where, "content": g.content[s].tobytes(), "sizes": (g.b - g.a)[s].astype(np.int32).tobytes(),
+                 "anchor": (g.anchor[s] >> U64(32 - log2)).astype(np.uint32).tobytes()} for _, s, where in g.packed()], _DIGESTS[0])
+    return emit
 
-def _ship(filt, length: int, log2: int):
-    """Per chunk and bucket: the distinct segments whose anchors repeat, and where they occur.
 
-    An occurrence in a document larger than another one with the same segment in this chunk is decided
-    here; its ranges travel as finished spans. So a hot passage ships once a chunk."""
+def _ship_texts(filt, length: int, log2: int):
+    """Segments whose anchors stand in different segments, as texts: the distinct ones of a chunk once."""
     def emit(batches):
-        seen = filt.value
         for c in text_chunks(batches):
-            a, b, anchor = anchor_runs(c, length)
-            use = seen.has(anchor)
-            a, b, anchor = a[use], b[use] + length - 1, anchor[use]
-            if not len(a):
-                continue
-            owner = np.searchsorted(c.offs, a, "right") - 1
-            kid, kth, oid = (c.column(x) for x in ("kid", "kth", "oid"))
-            content = hash_spans(c.data, a, b) ^ mix(anchor.copy())
-            order = np.lexsort((oid[owner], content))
-            a, b, anchor, owner, content = a[order], b[order], anchor[order], owner[order], content[order]
-            head = np.flatnonzero(np.r_[True, content[1:] != content[:-1]])
-            group = np.cumsum(np.r_[False, content[1:] != content[:-1]])
-            late = oid[owner] > oid[owner[head]][group]
-            bucket = (anchor >> U64(64 - log2)).astype(np.int64)
-            rows: dict[int, dict] = {}
-            local = a - c.offs[owner]
-            for d, spans in _doc_spans(owner[late], local[late], (b - c.offs[owner])[late]):
-                r = rows.setdefault(int(kth[d]) % (1 << log2), {})
-                r.setdefault("done", []).append((d, spans))
-            stay = np.flatnonzero(~late)
-            stay = stay[np.argsort(bucket[stay], kind="stable")]
-            cuts = np.flatnonzero(np.r_[True, np.diff(bucket[stay]) != 0])
-            for i, j in zip(cuts, np.r_[cuts[1:], len(stay)]):
-                rows.setdefault(int(bucket[stay[i]]), {})["rows"] = stay[i:j]
+            g = _Segments(c, filt.value, length, log2)
             out = []
-            for k, r in rows.items():
-                s = r.get("rows", np.zeros(0, np.int64))
-                _, first, seg = np.unique(group[s], return_index=True, return_inverse=True)
+            for _, s, where in g.packed():
+                _, first, seg = np.unique(g.group[s], return_index=True, return_inverse=True)
                 f = s[first]
-                docs, own = np.unique(owner[s], return_inverse=True)
-                done = r.get("done", [])
-                docs_all = np.concatenate([docs, np.array([d for d, _ in done], np.int64)]).astype(np.int64)
-                out.append({
-                    "bucket": k, "text": b"".join(c.data[x:y].tobytes() for x, y in zip(a[f], b[f])),
-                    "sizes": (b[f] - a[f]).astype(np.int32).tobytes(), "seg": seg.astype(np.int32).tobytes(),
-                    "owner": own.astype(np.int32).tobytes(), "at": local[s].astype(np.int32).tobytes(),
-                    "ids": oid[docs_all].tobytes(), "kids": kid[docs_all].tobytes(), "kths": kth[docs_all].tobytes(),
-                    "spans": [x for _, x in done]})
-            yield pa.RecordBatch.from_pylist(out, _ARROW)
+                out.append({**where, "text": b"".join(c.data[x:y].tobytes() for x, y in zip(g.a[f], g.b[f])),
+                            "sizes": (g.b - g.a)[f].astype(np.int32).tobytes(), "seg": seg.astype(np.int32).tobytes()})
+            yield pa.RecordBatch.from_pylist(out, _TEXTS[0])
     return emit
 
 
-_ARROW = pa.schema([("bucket", pa.int32()), *[(x, pa.binary()) for x in
-                    ("text", "sizes", "seg", "owner", "at", "ids", "kids", "kths")], ("spans", pa.list_(pa.binary()))])
+def _gathered(t: pa.Table, kinds: dict[str, type]):
+    """A bucket's occurrences: arrays of kid, kth, at and the named columns, and the finished spans."""
+    out, done = {k: [] for k in ("kid", "kth", "at", *kinds)}, []
+    for r in t.to_pylist():
+        kids, kths = np.frombuffer(r["kids"], np.int64), np.frombuffer(r["kths"], np.int64)
+        own, spans = np.frombuffer(r["owner"], np.int32), r["spans"] or []
+        n = len(kids) - len(spans)
+        done += list(zip(kids[n:].tolist(), kths[n:].tolist(), spans))
+        out["kid"].append(kids[own])
+        out["kth"].append(kths[own])
+        out["at"].append(np.frombuffer(r["at"], np.int32).astype(np.int64))
+        for name, kind in kinds.items():
+            out[name].append(np.frombuffer(r[name], kind))
+    return out, done
+
+
+def _spans_table(bucket: int, rows: list[tuple]) -> pa.Table:
+    return pa.table({"bucket": pa.array([bucket] * len(rows), pa.int32()), "kid": pa.array([x[0] for x in rows], pa.int64()),
+                     "kth": pa.array([x[1] for x in rows], pa.int64()), "spans": pa.array([x[2] for x in rows], pa.binary())})
+
+
+def _by_document(kid, kth, a, b) -> list[tuple]:
+    keys = np.stack([kid, kth], 1)
+    if not len(keys):
+        return []
+    who, inv = np.unique(keys, axis=0, return_inverse=True)
+    return [(int(who[d, 0]), int(who[d, 1]), s) for d, s in _doc_spans(inv.ravel(), a, b)]
+
+
+def _settle(log2: int, log2_filter: int):
+    """By digest: occurrences after a smaller document with the same segment go whole. The anchors
+    that stand in different segments are marked in the bucket's slice of a filter (a row without a key)."""
+    def run(t: pa.Table) -> pa.Table:
+        bucket = t.column("bucket")[0].as_py()
+        cols, out = _gathered(t, {"content": U64, "anchor": np.uint32, "sizes": np.int32})
+        kid, kth, at, content, anchor, size = (np.concatenate(cols[x]) for x in ("kid", "kth", "at", "content", "anchor", "sizes"))
+        oid = _order_id(kid)
+        _, first, one = np.unique(content, return_index=True, return_inverse=True)
+        least = np.full(len(first), _LAST)
+        np.minimum.at(least, one, oid)
+        late = oid > least[one]
+        out += _by_document(kid[late], kth[late], at[late], at[late] + size[late])
+        several, n = np.unique(anchor[first], return_counts=True)
+        marks = np.zeros(1 << (log2_filter - log2), bool)
+        marks[several[n > 1] >> np.uint32(32 - (log2_filter - log2))] = True
+        return _spans_table(bucket, [*out, (None, None, np.packbits(marks, bitorder="little").tobytes())])
+    return run
 
 
 def _resolve(length: int, shard_bytes: int):
-    """A bucket holds all windows of its anchors. Its segments go into shards of bounded size, each with
+    """A bucket holds all windows of its anchors. Its distinct segments go into shards of bounded size, each with
     a suffix array; classes of equal windows meet across shards by binary search."""
     def run(t: pa.Table) -> pa.Table:
-        parts, sizes, content, seg, ids, kid, kth, at, out = [], [], [], [], [], [], [], [], []
-        base = 0
-        for r in t.to_pylist():
-            ri, rk, rh = (np.frombuffer(r[x], np.int64) for x in ("ids", "kids", "kths"))
+        base, parts, sizes, content, seg = 0, [], [], [], []
+        cols, out = _gathered(t, {})
+        for r in t.select(["text", "sizes", "seg"]).to_pylist():
             size = np.frombuffer(r["sizes"], np.int32).astype(np.int64)
             data = np.frombuffer(r["text"] + bytes(8), np.uint8)
-            own = np.frombuffer(r["owner"], np.int32)
-            done = r["spans"] or []
-            out += list(zip(rk[len(rk) - len(done):].tolist(), rh[len(rh) - len(done):].tolist(), done))
             end = np.cumsum(size)
             parts.append(data[:-8])
             content.append(hash_spans(data, end - size, end))
             sizes.append(size)
             seg.append(np.frombuffer(r["seg"], np.int32) + base)
             base += len(size)
-            at.append(np.frombuffer(r["at"], np.int32).astype(np.int64))
-            ids.append(ri[own]), kid.append(rk[own]), kth.append(rh[own])
-        sizes, content, seg, ids, kid, kth, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (sizes, content, seg, ids, kid, kth, at))
-        if len(sizes):
-            text = np.concatenate(parts)
-            end = np.cumsum(sizes)
-            # equal segments of different chunks become one, with its smallest document
-            _, first, one = np.unique(np.stack([content.view(np.int64), sizes], 1), axis=0, return_index=True, return_inverse=True) \
-                if len(content) else (None, np.zeros(0, np.int64), np.zeros(0, np.int64))
-            one = one.ravel()[seg]
-            least = np.full(len(first), _LAST)
-            np.minimum.at(least, one, ids)
-            gone = _removed([text[end[f] - sizes[f]:end[f]] for f in first], sizes[first], least, length, shard_bytes)
-            late = ids > least[one]
-            a, b, o = [at[late]], [at[late] + sizes[first][one[late]]], [np.flatnonzero(late)]
-            early = np.flatnonzero(~late)
-            lo, hi = np.searchsorted(gone[0], one[early]), np.searchsorted(gone[0], one[early], "right")
-            n = hi - lo
-            row = np.repeat(early, n)
-            g = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            a.append(at[row] + gone[1][g]), b.append(at[row] + gone[2][g]), o.append(row)
-            a, b, o = np.concatenate(a), np.concatenate(b), np.concatenate(o)
-            # occurrences by document
-            keys = np.stack([kid[o], kth[o]], 1)
-            if len(keys):
-                who, inv = np.unique(keys, axis=0, return_inverse=True)
-                out += [(int(who[d, 0]), int(who[d, 1]), s) for d, s in _doc_spans(inv.ravel(), a, b)]
-        return pa.table({"kid": pa.array([x[0] for x in out], pa.int64()), "kth": pa.array([x[1] for x in out], pa.int64()),
-                         "spans": pa.array([x[2] for x in out], pa.binary())})
+        kid, kth, at, sizes, content, seg = (np.concatenate(x) for x in (cols["kid"], cols["kth"], cols["at"], sizes, content, seg))
+        ids, text, end = _order_id(kid), np.concatenate(parts), np.cumsum(sizes)
+        # equal segments of different chunks become one, with its smallest document
+        _, first, one = np.unique(content + mix(sizes.astype(U64)), return_index=True, return_inverse=True)
+        one = one[seg]
+        least = np.full(len(first), _LAST)
+        np.minimum.at(least, one, ids)
+        gone = _removed([text[end[f] - sizes[f]:end[f]] for f in first], sizes[first], least, length, shard_bytes)
+        late = ids > least[one]
+        early = np.flatnonzero(~late)
+        lo, hi = np.searchsorted(gone[0], one[early]), np.searchsorted(gone[0], one[early], "right")
+        n = hi - lo
+        row = np.repeat(early, n)
+        g = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        o = np.concatenate([np.flatnonzero(late), row])
+        a = np.concatenate([at[late], at[row] + gone[1][g]])
+        b = np.concatenate([at[late] + sizes[first][one[late]], at[row] + gone[2][g]])
+        out += _by_document(kid[o], kth[o], a, b)
+        return _spans_table(t.column("bucket")[0].as_py(), out)
     return run
 
 
@@ -344,30 +415,41 @@ def _cut(batches):
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50,
-                   shard_bytes: int = 16 << 20) -> DataFrame:
+                   shard_bytes: int = 1 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept), one row per input row; ``kept`` is binary.
 
     Each byte covered by a ``length``-byte string that also starts in a document
     with a smaller id goes, judged on the input.
 
-    1. Every window has an anchor, the least hash of its 16-byte grams; equal windows have equal anchors.
-       Anchors that occur once cannot repeat (``repeated_keys``, a bitmap of bounded size).
-    2. Segments of windows with a repeating anchor are dealt by anchor, so that equal windows meet. A chunk
-       ships equal segments once, for its smallest document: the others are decided.
-    3. A bucket's segments form shards of at most ``shard_bytes`` (suffix array, common prefixes); shards
-       meet by binary search. Ranges go back to the texts by document key.
+    1. Every window has an anchor, the least hash of its 24-byte grams; equal windows have equal anchors.
+       Anchors that occur once cannot repeat (``repeated_keys``, a bitmap of bounded size). The windows
+       with a repeating anchor make segments, dealt by anchor, so that equal windows meet.
+    2. Segments travel as digests first. A segment that a smaller document has too goes whole. An anchor all
+       of whose segments are equal is settled by that; the others are marked in a second bitmap.
+    3. Only their segments travel as texts. A bucket's distinct segments form shards of at most ``shard_bytes``
+       (suffix array, common prefixes); shards meet by binary search.
+    4. Ranges go back to the texts by document key.
 
+    A chunk ships equal segments once, for its smallest document: the others are decided there.
     Null ids count as larger than any id; rows of equal ids remove nothing from
     each other. Null texts are empty; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    src = keyed(docs, id_col, text_col).select(
-        "doc_id", "kid", "kth", F.coalesce("doc_id", F.lit(_LAST)).alias("oid"), F.col("text").cast("binary").alias("text"))
+    src = keyed(docs, id_col, text_col).select("doc_id", "kid", "kth", F.col("text").cast("binary").alias("text"))
     total = text_bytes(src)
-    filt = spark.sparkContext.broadcast(repeated_keys(src, lambda c: anchor_runs(c, length)[2], total))
-    log2 = min(buckets_log2(total), 20)
-    spans = (src.mapInArrow(_ship(filt, length, log2), _SHIP).groupBy("bucket")
-             .applyInArrow(_resolve(length, shard_bytes), "kid long, kth long, spans binary")
+    first = repeated_keys(src, lambda c: anchor_runs(c, length)[2], total)
+    log2 = min(buckets_log2(total), 16, first.log2 - 3)
+    settled = materialise(
+        src.mapInArrow(_ship_digests(spark.sparkContext.broadcast(first), length, log2), _DIGESTS[1]).groupBy("bucket")
+        .applyInArrow(_settle(log2, first.log2), _SPANS), "settled")
+    second = KeyFilter(np.zeros(1 << (first.log2 - 3), np.uint8), first.log2)
+    step = len(second.bits) >> log2
+    for r in settled.where("kid is null").select("bucket", "spans").toLocalIterator():
+        second.bits[r["bucket"] * step:(r["bucket"] + 1) * step] = np.frombuffer(r["spans"], np.uint8)
+    log2 = min(buckets_log2(total, 8 << 20), 20, first.log2)
+    resolved = (src.mapInArrow(_ship_texts(spark.sparkContext.broadcast(second), length, log2), _TEXTS[1]).groupBy("bucket")
+                .applyInArrow(_resolve(length, shard_bytes), _SPANS))
+    spans = (settled.where("kid is not null").unionByName(resolved)
              .groupBy("kid", "kth").agg(F.collect_list("spans").alias("spans")))
     marked = src.join(spans.hint("shuffle_hash"), ["kid", "kth"], "left").select("doc_id", "text", "spans")
     return marked.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -49,7 +49,7 @@ class PieceCodec(dict):
     them; they are merged last, leftmost first, by ``_space_runs``.
     """
 
-    def __init__(self, vocabulary: list[tuple[str, float, str]], cache_size: int = 800_000):
+    def __init__(self, vocabulary: list[tuple[str, float, str]], cache_size: int = 600_000):
         super().__init__()   # what it holds as a dict: the ids of units seen before
         self.words: dict[int, tuple[int, ...]] = {}
         self.cache_size = cache_size
@@ -216,13 +216,17 @@ class PieceCodec(dict):
         out = self[unit] = tuple(syms)
         return out
 
+    def forget(self) -> None:
+        """Drop the remembered words."""
+        self.clear()
+        self.words.clear()
+
     def word(self, key: int, raw: bytes) -> tuple[int, ...]:
         """The ids of spaces and what follows them up to the next space, by the word's hash."""
         out = self.words.get(key)
         if out is None:
             if len(self) + len(self.words) > self.cache_size:
-                self.clear()
-                self.words.clear()
+                self.forget()
             units = self.units.findall(raw.decode().replace(" ", _SPACE))
             out = self.words[key] = tuple(chain.from_iterable(map(self.__getitem__, units)))
         return out
@@ -297,6 +301,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
             decoded = [codec.decode(ids[a:b].tolist()) for a, b in zip(cuts, cuts[1:])]
             yield pa.record_batch({"doc_id": c.rows.column("doc_id"), "decoded": pa.array(decoded, pa.string()),
                                    "ids": pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids))})
+        codec.forget()   # a worker goes on with other stages; only the tables of the vocabulary stay
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
                        ).mapInArrow(run, "doc_id long, decoded string, ids array<int>")

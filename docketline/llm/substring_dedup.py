@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docketline.llm.common import (LOWER, U64, Chunk, hash_spans, keyed, materialise, mix, repeated_keys, shingle_hashes,
                                    text_bytes, text_chunks, word_spans)
-from docketline.llm.jaccard_join import links
+from docketline.llm.jaccard_join import links, plain_entries
 from docketline.llm.suffix_dedup import _LAST, _cut
 
 _TOP = U64((1 << 64) - 1)
@@ -92,17 +92,19 @@ _UNITS = ("kid long, kth long, oid long, number int, begin int, end int, words i
           "hs array<long>, bins array<int>, bands array<long>")
 
 
-def _units(filt, p: dict):
-    """The passages with a band key that repeats; shingles and keys once per distinct passage of a chunk."""
+def _units(same, near, p: dict):
+    """The passages that repeat, or have a band key that another passage has too; the latter with their shingles and
+    such keys, once per distinct passage of a chunk."""
     def emit(batches):
-        seen = filt.value
+        equal, seen = same.value, near.value
         for c in text_chunks(batches):
             u = Passages(c, p["reach"], p["least_words"], p["k"])
             keys = u.band_keys(p["bands"], p["rows"])
             hit = seen.has(keys.ravel()).reshape(keys.shape)
-            rows = np.flatnonzero(hit.any(1))
+            meets = hit.any(1)
+            rows = np.flatnonzero(meets | equal.has(u.content))
             _, lead = np.unique(u.content[rows], return_index=True)
-            lead = set(rows[lead].tolist())
+            lead = {i for i in rows[lead].tolist() if meets[i]}
             hs, bins, bands, n = [], [], [], []
             for i in rows:
                 if int(i) in lead:
@@ -156,9 +158,11 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     such passages has ``min_words`` words or more. ``source_ids`` are the documents that keep the passages.
 
     1. Passages' MinHash bands (``tune_bands``: pairs at the threshold collide with probability ``recall``).
-       A bounded bitmap of keys that repeat (``repeated_keys``) drops the passages that collide with nothing.
-    2. Equal passages become one class; classes that share a band are verified by exact Jaccard similarity of their
-       ``k``-word shingles (``percent``), each against a pivot and then across what is still apart (``links``).
+       Bounded bitmaps (``repeated_keys``) tell the passages that repeat, and the band keys of different passages;
+       the other passages collide with nothing.
+    2. Equal passages become one class; classes that share a band are joined where their counts by hash range allow
+       the similarity, and verified by exact Jaccard similarity of their ``k``-word shingles (``percent``), each
+       against a pivot and then across what is still apart (``links``).
     3. Components are clusters; the first occurrence by (id, place) stays. Only its id goes to the others.
 
     Repeats within one document, and between rows of equal ids, stay. Null ids count as larger than any id.
@@ -169,19 +173,31 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     src = keyed(docs, id_col, text_col).select(
         "doc_id", "kid", "kth", F.coalesce("doc_id", F.lit(_LAST)).alias("oid"), F.col("text").cast("binary").alias("text"))
     total = text_bytes(src)
-    filt = spark.sparkContext.broadcast(repeated_keys(
-        src, lambda c: Passages(c, reach, least_words, k).band_keys(p["bands"], rows).ravel(), total))
-    units = materialise(src.mapInArrow(_units(filt, p), _UNITS), "passages")
 
+    def band_keys(c):
+        u = Passages(c, reach, least_words, k)
+        return u.band_keys(p["bands"], rows).ravel(), np.repeat((u.content & U64(0xFFFF)).astype(np.uint16), p["bands"])
+
+    sc = spark.sparkContext
+    same = sc.broadcast(repeated_keys(src, lambda c: Passages(c, reach, least_words, k).content, total, 26))
+    near = sc.broadcast(repeated_keys(src, band_keys, total))
+    units = materialise(src.mapInArrow(_units(same, near, p), _UNITS), "passages")
+
+    # equal passages are one class; only classes that share a key with another class can be near copies
     place = F.min(F.struct("oid", "kid", "kth", "number"))
-    classes = units.groupBy("content").agg(place.alias("first"), F.max("oid").alias("most"))
-    kept = (units.where("hs is not null").groupBy("content")
-            .agg(F.first(F.struct("n", "hs", "bins", "bands")).alias("x")).select("content", "x.*"))
-    sets = materialise(kept.withColumn("rid", F.monotonically_increasing_id()), "classes")
-    entries = sets.select(F.explode("bands").alias("h"), "rid", "n", F.lit(0).alias("pos"), F.lit(0).alias("alone"), F.lit(0).cast("long").alias("mass"))
-    _, comp = links(materialise(entries, "bands"), sets.select("rid", "n", "hs", "bins"), percent)
-    named = (sets.select("rid", "content").join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left")
-             .select("content", F.coalesce("comp", "rid").alias("comp")).join(classes, "content"))
+    classes = materialise(units.groupBy("content").agg(place.alias("first"), F.max("oid").alias("most"))
+                          .withColumn("rid", F.monotonically_increasing_id()), "classes")
+    keys = (units.where("bands is not null").groupBy("content").agg(F.first("bands").alias("bands"))
+            .select("content", F.explode("bands").alias("h")))
+    met = keys.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    keys = materialise(keys.join(met, "h", "left_semi"), "met")
+    some = (units.where("hs is not null").join(keys.select("content").distinct(), "content", "left_semi")
+            .groupBy("content").agg(F.first(F.struct("n", "hs", "bins")).alias("x")).select("content", "x.*"))
+    sets = materialise(some.join(classes.select("content", "rid"), "content"), "sets")
+    entries = plain_entries(keys.join(sets.select("content", "rid", "n", "bins"), "content"))
+    _, comp = links(materialise(entries, "bands"), sets.select("rid", "n", "hs", "bins"), percent, 32)
+    named = (classes.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left")
+             .withColumn("comp", F.coalesce("comp", "rid")))
     cluster = (named.groupBy("comp").agg(F.min("first").alias("first"), F.max("most").alias("most"))
                .where(F.col("first.oid") < F.col("most")))
     tag = named.select("content", "comp").join(cluster.select("comp", F.col("first.oid").alias("source")), "comp")

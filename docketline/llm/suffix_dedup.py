@@ -438,7 +438,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = keyed(docs, id_col, text_col).select("doc_id", "kid", "kth", F.col("text").cast("binary").alias("text"))
     total = text_bytes(src)
     first = repeated_keys(src, lambda c: anchor_runs(c, length)[2], total)
-    log2 = min(buckets_log2(total), 16, first.log2 - 3)
+    log2 = min(buckets_log2(total, 64 << 20), 16, first.log2 - 3)
     settled = materialise(
         src.mapInArrow(_ship_digests(spark.sparkContext.broadcast(first), length, log2), _DIGESTS[1]).groupBy("bucket")
         .applyInArrow(_settle(log2, first.log2), _SPANS), "settled")

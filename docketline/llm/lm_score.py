@@ -14,6 +14,8 @@ from docketline.llm.common import (LOWER, U64, Chunk, buckets_log2, hash_spans,
 
 ORDER = 3
 DELTA = 0.1
+#: filter bits for each (n-gram, level) pair: about one probe in a hundred of what is not there hits
+BITS_PER_PAIR = 12
 _BEGIN, _END = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 _ORDERS = range(2, ORDER + 1)
 
@@ -33,15 +35,26 @@ COUNT = np.r_[0.0, np.sqrt(LEAST[:-1] * (LEAST[1:] - 1.0)), float(LEAST[-1])]
 
 class LogFrequencyFilter:
     """A Bloom filter of (n-gram, level) pairs: an n-gram with count c is put in at every level whose
-    least count is at most c. Probing level 1, 2, ... up to the first miss tells the quantised count.
+    least count is at most c. Probing level 1, 2, ... up to the first miss tells the quantised count. Where counts
+    below a cut-off do not occur, the levels start at ``first``, that of the cut-off.
 
     Each pair sets four bits of one 64-bit word. An n-gram's words lie in the slice of its bucket, so that a
-    bucket of the counting shuffle fills its own slice.
+    bucket of the counting shuffle fills its own slice. A slice has the size that its pairs ask for
+    (``BITS_PER_PAIR`` each), so the error rate does not depend on how many there are; ``starts`` tells where each
+    begins (without it, all have the same size).
     """
 
-    def __init__(self, words: np.ndarray, log2_buckets: int):
+    def __init__(self, words: np.ndarray, log2_buckets: int, starts: np.ndarray | None = None):
         self.words, self.log2b = words, log2_buckets
         self.log2_slice = int(len(words)).bit_length() - 1 - log2_buckets
+        if starts is None:
+            starts = np.arange((1 << log2_buckets) + 1, dtype=np.int64) * (len(words) >> log2_buckets)
+        self.starts, self.sizes = starts, np.diff(starts).astype(U64)
+
+    @staticmethod
+    def pairs(count: np.ndarray, first: int = 1) -> int:
+        """The number of pairs that n-grams of these counts make."""
+        return int((np.searchsorted(LEAST, count, "right") - first + 1).sum())
 
     @staticmethod
     def base(bucket, low: np.ndarray) -> np.ndarray:
@@ -49,8 +62,8 @@ class LogFrequencyFilter:
         return mix(((bucket << U64(32)) | low.astype(U64)) * U64(0x9E3779B97F4A7C15))
 
     @staticmethod
-    def place(base: np.ndarray, level: int, log2_slice: int) -> tuple[np.ndarray, np.ndarray]:
-        """(word in the slice, four bits) of an n-gram at a level."""
+    def place(base: np.ndarray, level: int, size) -> tuple[np.ndarray, np.ndarray]:
+        """(word in the slice of ``size`` words, four bits) of an n-gram at a level."""
         x = base + U64(level * 0xD1342543DE82EF95 & (1 << 64) - 1)
         x ^= x >> U64(32)
         x *= U64(0xD6E8FEB86659FD93)
@@ -58,34 +71,45 @@ class LogFrequencyFilter:
         bits = U64(1) << (low & U64(63))
         for shift in (6, 12, 18):
             bits |= U64(1) << ((low >> U64(shift)) & U64(63))
-        return (x >> U64(64 - log2_slice)).astype(np.int64), bits
+        return ((x >> U64(32)) * size >> U64(32)).astype(np.int64), bits
 
-    def level(self, keys: np.ndarray, where: np.ndarray | None = None) -> np.ndarray:
+    @classmethod
+    def probe(cls, words: np.ndarray, base: np.ndarray, slot: np.ndarray, size: np.ndarray, first: int = 1) -> np.ndarray:
+        """The level of each n-gram by its base, 0 where it is not in; its slice starts at ``slot``."""
+        out, todo = np.zeros(len(base), np.int64), np.arange(len(base))
+        for level in range(first, len(LEAST) + 1):
+            at, bits = cls.place(base, level, size)
+            hit = words[slot + at] & bits == bits
+            todo, base, slot, size = todo[hit], base[hit], slot[hit], size[hit]
+            if not len(todo):
+                break
+            out[todo] = level
+        return out
+
+    def level(self, keys: np.ndarray, where: np.ndarray | None = None, first: int = 1) -> np.ndarray:
         """The level of each 64-bit n-gram key, 0 where it is not in the filter; only ``where`` is probed."""
         out = np.zeros(len(keys), np.int64)
         todo = np.arange(len(keys)) if where is None else np.flatnonzero(where)
         bucket = keys[todo] >> U64(64 - self.log2b)
         base = self.base(bucket, (keys[todo] >> U64(32 - self.log2b)) & U64(0xFFFFFFFF))
-        slot = bucket.astype(np.int64) << self.log2_slice
-        for level in range(1, len(LEAST) + 1):
-            at, bits = self.place(base, level, self.log2_slice)
-            hit = self.words[slot + at] & bits == bits
-            todo, base, slot = todo[hit], base[hit], slot[hit]
-            if not len(todo):
-                break
-            out[todo] = level
+        bucket = bucket.astype(np.int64)
+        out[todo] = self.probe(self.words, base, self.starts[bucket], self.sizes[bucket], first)
         return out
 
     @classmethod
-    def fill(cls, slice_words: np.ndarray, bucket: int, low: np.ndarray, count: np.ndarray) -> None:
+    def fill(cls, slice_words: np.ndarray, bucket: int, low: np.ndarray, count: np.ndarray, first: int = 1) -> None:
         top = np.searchsorted(LEAST, count, "right")
-        log2_slice = int(len(slice_words)).bit_length() - 1
         base = cls.base(U64(bucket), low)
-        for level in range(1, int(top.max(initial=0)) + 1):
-            at, bits = cls.place(base[top >= level], level, log2_slice)
+        for level in range(first, int(top.max(initial=0)) + 1):
+            at, bits = cls.place(base[top >= level], level, U64(len(slice_words)))
             np.bitwise_or.at(slice_words, at, bits)
 
 
+def first_level(n: int, cutoff: int) -> int:
+    """The level at which the n-grams of n words start: words are all in, longer ones from ``cutoff`` occurrences."""
+    return 1 if n == 1 else int(np.searchsorted(LEAST, max(1, cutoff), "right"))
+
+
 def tokens(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token hash, text index, cuts) of a chunk: each text's words and one end token."""
     lower = LOWER[c.data]
@@ -156,20 +180,24 @@ def _summed(t: pa.Table, keys: str, counts: str, kind) -> tuple[np.ndarray, np.n
     return k[head], np.add.reduceat(n, head) if len(head) else n
 
 
-def _reduce(log2b: int, log2_slice: int, cutoff: int):
-    """A bucket's counts: exact word counts, and its slice of the filter (n-grams from ``cutoff`` occurrences)."""
+def _reduce(log2b: int, cutoff: int):
+    """A bucket's counts: exact word counts, and its slice of the filter (n-grams from ``cutoff`` occurrences),
+    as large as its own pairs ask for."""
     def run(t: pa.Table) -> pa.Table:
         bucket = t.column("bucket")[0].as_py()
         words, count = _summed(t, "words", "counts", U64)
-        slice_words = np.zeros(1 << log2_slice, U64)
-        low = ((words >> U64(32 - log2b)) & U64(0xFFFFFFFF)).astype(np.uint32)
-        LogFrequencyFilter.fill(slice_words, bucket, low, count)
+        grams = [(((words >> U64(32 - log2b)) & U64(0xFFFFFFFF)).astype(np.uint32), count, 1)]
         for n in _ORDERS:
             keys, c = _summed(t, f"keys{n}", f"n{n}", np.uint32)
-            LogFrequencyFilter.fill(slice_words, bucket, keys[c >= cutoff], c[c >= cutoff])
+            grams.append((keys[c >= cutoff], c[c >= cutoff], first_level(n, cutoff)))
+        pairs = sum(LogFrequencyFilter.pairs(c, first) for _, c, first in grams)
+        slice_words = np.zeros(max(16, -(-pairs * BITS_PER_PAIR // 64)), U64)
+        for keys, c, first in grams:
+            LogFrequencyFilter.fill(slice_words, bucket, keys, c, first)
         real = words != _BEGIN
         words, count = words[real], count[real]
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "slice": pa.array([slice_words.tobytes()], pa.binary()),
+                         "size": pa.array([len(slice_words)], pa.int64()),
                          "words": pa.array([words.tobytes()], pa.binary()), "counts": pa.array([count.tobytes()], pa.binary()),
                          "n": pa.array([int(count.sum())], pa.int64()), "v": pa.array([len(words)], pa.int64())})
     return run
@@ -184,85 +212,179 @@ def _unpack(batches):
 class ChunkLevels:
     """The quantised counts of a chunk's n-grams and of their contexts.
 
-    An n-gram in the filter has parts in it, so a longer one is probed only where its
+    An n-gram in the filter has parts in it, so a longer one counts only where its
     last and its first n - 1 tokens are there. The context of a token is the (n - 1)-gram before it, already probed.
+    ``look(n, where)`` gives the level of the n-gram that ends at each token (``where`` it matters), ``begin(n)``
+    that of n begin marks.
     """
 
-    def __init__(self, f: LogFrequencyFilter, c: Chunk):
-        self.tok, self.doc, self.cuts = tokens(c)
-        self.keys, self.inv = np.unique(self.tok, return_inverse=True)
-        self.words = f.level(self.keys)
-        grams = ngrams(self.tok, self.cuts)
-        first = self.cuts[:-1]
-        level = self.words[self.inv]
+    def __init__(self, tok: np.ndarray, cuts: np.ndarray, look, begin):
+        self.tok, self.cuts, self.doc = tok, cuts, np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        first = cuts[:-1]
+        level = look(1, None)
         self.levels, self.context = {1: level}, {}
         for n in _ORDERS:
-            ctx = np.empty(len(self.tok), np.int64)
+            ctx = np.empty(len(tok), np.int64)
             ctx[1:] = level[:-1]
-            ctx[first] = f.level(_empty(n - 1))[0]
+            ctx[first] = begin(n - 1)
             # words are in the filter from one occurrence on, longer n-grams from two
             least = 2 if n == 2 else 1
-            level = f.level(grams[n - 1], (ctx >= least) & (level >= least))
+            level = look(n, (ctx >= least) & (level >= least))
             self.levels[n], self.context[n] = level, ctx
 
 
-def _seen(filt):
+def _whole_filter(filt, cutoff: int):
+    """(levels, doc ids, training texts) of each chunk of texts, by the broadcast filter."""
+    def read(batches):
+        f = filt.value
+        for c in text_chunks(batches, max_bytes=2 << 20):
+            tok, _, cuts = tokens(c)
+            grams = ngrams(tok, cuts)
+
+            def look(n, where, grams=grams):
+                if n > 1:
+                    return f.level(grams[n - 1], where, first_level(n, cutoff))
+                keys, inv = np.unique(grams[0], return_inverse=True)
+                return f.level(keys)[inv]
+
+            yield ChunkLevels(tok, cuts, look, lambda n: f.level(_empty(n), None, first_level(n, cutoff))[0]), c.rows.column("doc_id"), ~c.column("held_out").astype(bool)
+    return read
+
+
+# ---- a filter too large for a broadcast: the distinct n-grams of each chunk go to the slices, and their levels back
+_CHUNK = "doc_id array<long>, held_out array<boolean>, tok binary, cuts binary"
+_NAMES = [str(n) for n in range(1, ORDER + 1)]
+_ASKED = ", ".join(["bucket int, chunk long", *[f"keys{n} binary" for n in _NAMES]])
+_ANSWERED = ", ".join(["bucket int, chunk long", *[f"level{n} binary" for n in _NAMES]])
+_LEVELLED = ", ".join([_CHUNK, *[f"level{n} binary" for n in _NAMES]])
+
+
+def _tokenised(batches):
+    """A row per chunk of texts: its tokens."""
+    for c in text_chunks(batches):
+        tok, _, cuts = tokens(c)
+        whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        yield pa.record_batch({"doc_id": whole(c.rows.column("doc_id")), "held_out": whole(c.rows.column("held_out")),
+                               "tok": pa.array([tok.tobytes()], pa.binary()),
+                               "cuts": pa.array([cuts.astype(np.int64).tobytes()], pa.binary())})
+
+
+def _asked_keys(tok: np.ndarray, cuts: np.ndarray):
+    """For each n: the distinct n-grams of a chunk and of begin marks, in order, and which one each token has (the
+    begin marks come last)."""
+    return [np.unique(np.r_[g, _empty(n)], return_inverse=True) for n, g in enumerate(ngrams(tok, cuts), 1)]
+
+
+def _ask(log2b: int):
+    def emit(batches):
+        for b in batches:
+            for chunk, tok, cuts in zip(b.column("chunk").to_pylist(), b.column("tok"), b.column("cuts")):
+                rows: dict[int, dict] = {}
+                for n, (keys, _) in zip(_NAMES, _asked_keys(np.frombuffer(tok.as_py(), U64), np.frombuffer(cuts.as_py(), np.int64))):
+                    for bucket, low in pack_buckets(keys, log2b):
+                        rows.setdefault(bucket, {})[n] = low.tobytes()
+                yield pa.record_batch({"bucket": pa.array(list(rows), pa.int32()), "chunk": pa.array([chunk] * len(rows), pa.int64()),
+                                       **{f"keys{n}": pa.array([r.get(n, b"") for r in rows.values()], pa.binary()) for n in _NAMES}})
+    return emit
+
+
+def _answer(cutoff: int):
+    """The levels of the n-grams that fall in one slice."""
+    def run(slices: pa.Table, asked: pa.Table) -> pa.Table:
+        words = np.frombuffer(slices.column("slice")[0].as_py(), U64) if slices.num_rows else np.zeros(1, U64)
+        bucket = U64(asked.column("bucket")[0].as_py()) if asked.num_rows else U64(0)
+        out = {"bucket": asked.column("bucket"), "chunk": asked.column("chunk")}
+        for n in _NAMES:
+            parts = asked.column(f"keys{n}").to_pylist()
+            low = np.frombuffer(b"".join(parts), np.uint32)
+            level = LogFrequencyFilter.probe(words, LogFrequencyFilter.base(bucket, low), np.zeros(len(low), np.int64),
+                                             np.full(len(low), U64(len(words))), first_level(int(n), cutoff)).astype(np.uint8)
+            at = np.cumsum([0, *[len(x) // 4 for x in parts]])
+            out[f"level{n}"] = pa.array([level[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary())
+        return pa.table(out)
+    return run
+
+
+def _levelled(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+    """A chunk with the level of the n-gram that ends at each token; the last level is that of begin marks."""
+    answers = answers.sort_by("bucket")                 # buckets are the keys' top bits, so this is the keys' order
+    asked = _asked_keys(np.frombuffer(chunk.column("tok")[0].as_py(), U64), np.frombuffer(chunk.column("cuts")[0].as_py(), np.int64))
+    out = chunk.drop_columns(["chunk"])
+    for n, (_, inv) in zip(_NAMES, asked):
+        level = np.frombuffer(b"".join(answers.column(f"level{n}").to_pylist()), np.uint8)
+        out = out.append_column(f"level{n}", pa.array([level[inv].tobytes()], pa.binary()))
+    return out
+
+
+def _by_slices(batches):
+    """As ``_whole_filter`` gives, from chunks with levels."""
+    for b in batches:
+        for k in range(b.num_rows):
+            read = lambda c, kind: np.frombuffer(b.column(c)[k].as_py(), kind)  # noqa: B023, E731
+            level = {int(n): read(f"level{n}", np.uint8).astype(np.int64) for n in _NAMES}
+            yield (ChunkLevels(read("tok", U64), read("cuts", np.int64),
+                               lambda n, where, lv=level: lv[n][:-1] if where is None else np.where(where, lv[n][:-1], 0),
+                               lambda n, lv=level: lv[n][-1]),
+                   b.column("doc_id")[k].values, ~b.column("held_out")[k].values.to_numpy(zero_copy_only=False))
+
+
+def _seen(read):
     """How often a context's continuation occurs elsewhere too, by order and level of the context."""
     def run(batches):
         total = np.zeros((ORDER + 1, len(COUNT)), np.int64)
         seen = np.zeros_like(total)
-        for c in text_chunks(batches, max_bytes=2 << 20):
-            x = ChunkLevels(filt.value, c)
+        for x, _, train in read(batches):
+            own = train[x.doc]
             for n in _ORDERS:
-                total[n] += np.bincount(x.context[n], minlength=len(COUNT))
-                seen[n] += np.bincount(x.context[n][x.levels[n] > 0], minlength=len(COUNT))
+                total[n] += np.bincount(x.context[n][own], minlength=len(COUNT))
+                seen[n] += np.bincount(x.context[n][own & (x.levels[n] > 0)], minlength=len(COUNT))
         n, lv = np.nonzero(total)
         yield pa.record_batch({"n": pa.array(n), "level": pa.array(lv), "total": pa.array(total[n, lv]), "seen": pa.array(seen[n, lv])})
     return run
 
 
-def _score(filt, shared):
+def _score(read, shared):
     """Row results; words beyond the broadcast table of frequent words are listed with their counts for a join."""
     def run(batches):
         weight, words, counts, n_total, n_words = shared.value
         norm = n_total + DELTA * (n_words + 1)
-        for c in text_chunks(batches, max_bytes=2 << 20):
-            x = ChunkLevels(filt.value, c)
-            doc, cuts, keys, inv = x.doc, x.cuts, x.keys, x.inv
+        for x, doc_id, _ in read(batches):
+            doc, cuts, n_docs = x.doc, x.cuts, len(x.cuts) - 1
+            keys, inv = np.unique(x.tok, return_inverse=True)
             i = np.searchsorted(words, keys)
             i[i == len(words)] = 0
             common = (words[i] == keys) if len(words) else np.zeros(len(keys), bool)
             exact = np.where(common, np.log10((counts[i] if len(words) else 0) + DELTA), 0.0)
             known = common[inv]
-            base = np.bincount(doc, weights=exact[inv], minlength=len(c))
+            base = np.bincount(doc, weights=exact[inv], minlength=n_docs)
             # the model: quantised counts by probes, orders interpolated by how often contexts of a level go on as seen
-            p = ((COUNT[x.words] + DELTA) / norm)[inv]
-            per_order = [np.bincount(doc, weights=np.log10(p), minlength=len(c))]
+            p = (COUNT[x.levels[1]] + DELTA) / norm
+            per_order = [np.bincount(doc, weights=np.log10(p), minlength=n_docs)]
             for n in _ORDERS:
                 lv = x.context[n]
                 share = np.minimum(COUNT[x.levels[n]] / np.maximum(COUNT[lv], 1), 1.0)
                 w = weight[n][lv]
                 p = w * share + (1 - w) * p
-                per_order.append(np.bincount(doc, weights=np.log10(p), minlength=len(c)))
+                per_order.append(np.bincount(doc, weights=np.log10(p), minlength=n_docs))
             # each order explains a text as a whole, with equal prior weight
             top = np.max(per_order, axis=0)
             score = top + np.log10(sum(10 ** (x - top) for x in per_order) / len(per_order))
             rare = np.flatnonzero(~known)
             pairs = np.stack([doc[rare], inv[rare]], 1)
             pairs, tf = np.unique(pairs, axis=0, return_counts=True) if len(rare) else (pairs, np.zeros(0, np.int64))
-            at = np.searchsorted(pairs[:, 0], np.arange(len(c) + 1))
+            at = np.searchsorted(pairs[:, 0], np.arange(n_docs + 1))
             h = pa.array(keys[pairs[:, 1]].view(np.int64))
             lists = lambda x, t: pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), x.cast(t))
             yield pa.record_batch({
-                "doc_id": c.rows.column("doc_id"), "n_tokens": pa.array(np.diff(cuts).astype(np.int64)),
-                "n_common": pa.array(np.bincount(doc, weights=known, minlength=len(c)).astype(np.int64)),
+                "doc_id": doc_id, "n_tokens": pa.array(np.diff(cuts).astype(np.int64)),
+                "n_common": pa.array(np.bincount(doc, weights=known, minlength=n_docs).astype(np.int64)),
                 "base": pa.array(base), "score": pa.array(score.astype(np.float64)),
                 "rare": lists(h, pa.int64()), "tf": lists(pa.array(tf), pa.int64())})
     return run
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, held_fold: int = 0,
-                cutoff: int = 2, table_words: int = 1 << 19, max_filter_log2: int = 28) -> DataFrame:
+                cutoff: int = 2, table_words: int = 1 << 19, broadcast_bytes: int = 128 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per input row.
 
     Texts whose crc32(id as text) mod ``folds`` is ``held_fold`` are held out; the
@@ -276,7 +398,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     3. Scoring is narrow. The words from a count on, at most ``table_words``, are broadcast with exact counts;
        the others of a text are joined with the counts by hash.
 
-    The filter has at most 2**max_filter_log2 bits (32 MB), so its broadcast is bounded; beyond that its error rate grows.
+    The filter grows with the distinct (n-gram, level) pairs counted, ``BITS_PER_PAIR`` each, so its error rate does not
+    depend on the input. It is broadcast up to ``broadcast_bytes``. A larger one stays in its slices, a bucket of the
+    counting shuffle each: the distinct n-grams of each chunk are dealt to them and the levels come back. Both ways
+    give the same result.
     Null and empty texts are the end token alone. Null ids count as training. An empty table gives
     no rows; without training texts all counts are 0.
     """
@@ -288,22 +413,32 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     train = src.where(~F.col("held_out")).select("text")
     total = text_bytes(src)
     log2b = min(buckets_log2(total), 14)
-    log2_words = min(max_filter_log2, max(20, math.ceil(math.log2(max(1, total))))) - 6
-    log2b = min(log2b, log2_words - 4)
 
     counted = materialise(train.mapInArrow(_count(log2b), _COUNTED).groupBy("bucket").applyInArrow(
-        _reduce(log2b, log2_words - log2b, cutoff),
-        "bucket int, slice binary, words binary, counts binary, n long, v long"), "counts")
-    words = np.zeros(1 << log2_words, U64)
-    step = 1 << (log2_words - log2b)
+        _reduce(log2b, cutoff), "bucket int, slice binary, size long, words binary, counts binary, n long, v long"), "counts")
+    sizes = np.ones(1 << log2b, np.int64)                # a bucket without n-grams has an empty word
     n_total = n_words = 0
-    for r in counted.select("bucket", "slice", "n", "v").toLocalIterator():
-        words[r["bucket"] * step:(r["bucket"] + 1) * step] = np.frombuffer(r["slice"], U64)
+    for r in counted.select("bucket", "size", "n", "v").collect():
+        sizes[r["bucket"]] = r["size"]
         n_total, n_words = n_total + r["n"], n_words + r["v"]
-    filt = sc.broadcast(LogFrequencyFilter(words, log2b))
+    slices = counted.select("bucket", "slice")
+    rows = src.select("doc_id", "held_out", "text")
+    if 8 * int(sizes.sum()) <= broadcast_bytes:
+        starts = np.r_[0, np.cumsum(sizes)]
+        words = np.zeros(starts[-1], U64)
+        for r in slices.toLocalIterator():
+            words[starts[r["bucket"]]:starts[r["bucket"] + 1]] = np.frombuffer(r["slice"], U64)
+        read = _whole_filter(sc.broadcast(LogFrequencyFilter(words, log2b, starts)), cutoff)
+        learn = rows.where(~F.col("held_out"))
+    else:
+        chunks = materialise(rows.mapInArrow(_tokenised, _CHUNK).withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+        asked = chunks.select("chunk", "tok", "cuts").mapInArrow(_ask(log2b), _ASKED)
+        answers = slices.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer(cutoff), _ANSWERED)
+        rows = learn = materialise(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_levelled, _LEVELLED), "levels")
+        read = _by_slices
 
     weight = np.zeros((ORDER + 1, len(COUNT)))
-    for r in (train.mapInArrow(_seen(filt), "n long, level long, total long, seen long")
+    for r in (learn.mapInArrow(_seen(read), "n long, level long, total long, seen long")
               .groupBy("n", "level").agg(F.sum("total").alias("total"), F.sum("seen").alias("seen")).collect()):
         weight[r["n"], r["level"]] = 0.0 if r["level"] == 0 else min(0.999, r["seen"] / (r["total"] + 1))
 
@@ -314,8 +449,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     order = np.argsort(keys)
     shared = sc.broadcast((weight, keys[order], common[order, 1], n_total, n_words))
 
-    scored = materialise(src.select("doc_id", "text").mapInArrow(
-        _score(filt, shared), "doc_id long, n_tokens long, n_common long, base double, score double, rare array<long>, tf array<long>")
+    scored = materialise(rows.mapInArrow(
+        _score(read, shared), "doc_id long, n_tokens long, n_common long, base double, score double, rare array<long>, tf array<long>")
         .withColumn("row", F.monotonically_increasing_id()), "scored")
     rest = (scored.select("row", F.explode(F.arrays_zip("rare", "tf")).alias("x")).select("row", F.col("x.rare").alias("h"), F.col("x.tf").alias("tf"))
             .join(exact.where(_octave() < cut), "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))

@@ -4,10 +4,11 @@ import random
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
-from docketline.llm.lm_score import COUNT, LEAST, LogFrequencyFilter, score_texts
+from docketline.llm.lm_score import COUNT, LEAST, LogFrequencyFilter, _reduce, first_level, score_texts
 from docketline.llm.piece_codec import PieceCodec, encode_decode, read_vocabulary
 from docketline.llm.toxicity import Params, score_toxicity
 from tests.llm.util import HARD, frame, prose, words
@@ -96,6 +97,31 @@ def test_scores(spark):
     assert all(r.score < 0 for r in got)
 
 
+@pytest.mark.parametrize("n", [2_000, 200_000])
+def test_error_rate_does_not_grow_with_the_ngrams(n):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    low = np.unique(rng.integers(0, 1 << 32, n, dtype=np.uint64).astype(np.uint32))
+    count = rng.integers(2, 40, len(low)).astype(np.uint32)
+    t = pa.table({"bucket": pa.array([5], pa.int32()), "words": [b""], "counts": [b""], "keys2": [low.tobytes()], "n2": [count.tobytes()],
+                  "keys3": [b""], "n3": [b""]})
+    words = np.frombuffer(_reduce(3, 2)(t).column("slice")[0].as_py(), np.uint64)
+    level = lambda x: LogFrequencyFilter.probe(words, LogFrequencyFilter.base(np.uint64(5), x), np.zeros(len(x), np.int64),
+                                               np.full(len(x), np.uint64(len(words))), first_level(2, 2))
+    true = np.searchsorted(LEAST, count, "right")
+    assert (level(low) >= true).all() and (level(low) == true).mean() > 0.97
+    other = np.setdiff1d(rng.integers(0, 1 << 32, 50_000, dtype=np.uint64).astype(np.uint32), low)
+    assert (level(other) == 0).mean() > 0.97
+
+
+def test_slices_score_as_the_broadcast_filter(spark):
+    rows = [x for x in HARD if x[0] is None or x[0] < 100] + [(i + 1000, prose(i % 97, 40, 300) + f" own{i}") for i in range(300)]
+    near, far = (sorted(map(tuple, score_texts(frame(spark, rows, 4), table_words=100, broadcast_bytes=b).collect()), key=repr)
+                 for b in (64 << 20, 0))
+    assert len(near) == len(rows) and near == far
+    assert score_texts(frame(spark, []).limit(0), broadcast_bytes=0).count() == 0
+
+
 def test_scores_without_rows(spark):
     assert score_texts(frame(spark, []).limit(0)).count() == 0
     none = [i for i in range(200) if held(i)][:3]

@@ -227,7 +227,7 @@ def pack_buckets(keys: np.ndarray, log2: int) -> list[tuple[int, np.ndarray]]:
 def repeated_keys(texts: DataFrame, keys_of: Callable[[Chunk], np.ndarray | tuple[np.ndarray, np.ndarray]],
                   total_bytes: int, max_log2: int = 26) -> KeyFilter:
     """The filter of the keys that occur twice or more in ``texts`` (column ``text``, binary). If ``keys_of``
-    gives (keys, tags), of the keys that occur with two different tags (16 bits).
+    gives (keys, tags), of the keys that occur with two different tags (32 bits).
 
     Each task reduces a chunk's keys to distinct ones and ships four bytes for
     each (and the tag), dealt by the key's top bits; keys that repeat within the chunk are
@@ -268,10 +268,10 @@ def repeated_keys(texts: DataFrame, keys_of: Callable[[Chunk], np.ndarray | tupl
 
     def gather(t: pa.Table) -> pa.Table:
         read = lambda col, kind: np.frombuffer(b"".join(t.column(col).to_pylist()), kind)
-        once, many, tags = read("once", np.uint32), np.unique(read("many", np.uint32)), read("tags", np.uint16)
+        once, many, tags = read("once", np.uint32), np.unique(read("many", np.uint32)), read("tags", np.uint32)
         if len(tags):                                  # a key and a tag count once
-            both = np.unique(once.astype(U64) << U64(16) | tags)
-            once = (both >> U64(16)).astype(np.uint32)
+            both = np.unique(once.astype(U64) << U64(32) | tags)
+            once = (both >> U64(32)).astype(np.uint32)
         keys, count = sorted_counts(np.concatenate([once, many]))
         hit = np.union1d(keys[count > 1], many) >> np.uint32(32 - (log2 - log2b))
         seg = np.zeros(1 << (log2 - log2b), bool)

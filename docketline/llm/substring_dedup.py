@@ -7,8 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketline.llm.common import (LOWER, U64, Chunk, hash_spans, keyed, materialise, mix, repeated_keys, shingle_hashes,
-                                   text_bytes, text_chunks, word_spans)
+from docketline.llm.common import (_C3, LOWER, U64, Chunk, hash_spans, keyed, materialise, mix, repeated_keys, text_bytes,
+                                   text_chunks, word_spans)
 from docketline.llm.jaccard_join import links, plain_entries
 from docketline.llm.suffix_dedup import _LAST, _cut
 
@@ -26,10 +26,12 @@ def tune_bands(similarity: float, recall: float, rows: int = 2) -> int:
 
 
 class Passages:
-    """A chunk's passages: lines, cut at words whose pair hash is the least within ``reach`` words.
+    """A chunk's units: paragraphs, and pieces for repeats inside them.
 
-    Such cuts depend on the near words only, so a passage repeated within other text is cut alike.
-    Passages under ``least_words`` words are left out.
+    A paragraph is a block of lines between blank lines; in a text without blank lines, each line. Pieces run over
+    line breaks, cut at words whose pair hash is the least within ``reach`` words. Such cuts depend on the near words
+    only, so a passage repeated within other text is cut alike; they are more than ``reach`` words apart, so only a
+    text's first and last piece can be shorter. Units under ``least_words`` words are left out.
     """
 
     def __init__(self, c: Chunk, reach: int, least_words: int, k: int = 5):
@@ -37,7 +39,6 @@ class Passages:
         starts, ends, doc = word_spans(lower, c.offs)
         h = hash_spans(lower, starts, ends)
         n = len(h)
-        line = np.searchsorted(np.flatnonzero(c.data[:int(c.offs[-1])] == 10), starts)
         pair = mix(h * U64(3) + np.r_[h[1:], U64(0)][:n]) if n else h
         pair[np.flatnonzero(np.r_[doc[1:] != doc[:-1], True][:n])] = _TOP
         at = np.arange(n) + (doc + 1) * reach                  # texts stand apart, so that none sees its neighbour
@@ -50,120 +51,182 @@ class Passages:
         for d in range(1, reach + 1):
             right = np.minimum(right, room[np.minimum(at + d, len(room) - 1)])
         cut = (pair < least) & (pair <= right) & (pair < _TOP)
-        new = np.r_[True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])][:n] | cut
-        first = np.flatnonzero(new)
-        size = np.diff(np.r_[first, n])
-        unit = np.arange(len(first))
-        owner = doc[first]
-        self.number = unit - unit[np.searchsorted(owner, owner)]   # within its text
-        self.per_doc = np.bincount(owner, minlength=len(c))
-        use = size >= max(least_words, k)
-        passage = np.repeat(unit, size)
-        sh, of = shingle_hashes(h, passage, k)
-        order = np.argsort(of, kind="stable")
-        sh, of = sh[order], of[order]
-        keep = use[of]
-        sh, of = sh[keep], of[keep]
-        self.owner, self.number, self.size = owner[use], self.number[use], size[use]
-        last = (first + size - 1)[use]
-        self.begin = starts[first[use]] - c.offs[self.owner]
-        self.end = ends[last] - c.offs[self.owner]
-        self.cuts = np.searchsorted(of, np.r_[unit[use], n + 1])
-        self.shingles = sh
-        # equal word sequences have equal content keys
-        place = np.arange(len(sh)) - np.repeat(self.cuts[:-1], np.diff(self.cuts))
-        terms = mix(sh * U64(0x9E3779B97F4A7C15) + place.astype(U64))
-        self.content = np.add.reduceat(terms, self.cuts[:-1]) if len(self.size) else np.zeros(0, U64)
+        text = np.r_[True, doc[1:] != doc[:-1]][:n]
+        line = np.searchsorted(np.flatnonzero(c.data[:int(c.offs[-1])] == 10), starts)
+        breaks = np.where(text, 0, np.r_[0, line[1:] - line[:-1]][:n])
+        blank = np.bincount(doc[breaks > 1], minlength=len(c)) > 0
+        self.text_at = np.searchsorted(doc, np.arange(len(c) + 1))
+        self.words, self.k, self.reach = h, k, reach
+        m = max(0, n - k + 1)
+        self.shingles = np.full(m, U64(k))                     # that start at each word; a unit's are those that end in it
+        for j in range(k):
+            self.shingles = mix((self.shingles ^ h[j:j + m]) + _C3)
+        first, last, content = [], [], []
+        for kind, new in enumerate((text | cut, text | (breaks > np.where(blank, 1, 0)[doc]))):
+            a = np.flatnonzero(new)
+            b = np.r_[a[1:], n][:len(a)]
+            if not kind:
+                self.piece_at = np.r_[a, n]
+            # equal word sequences have equal content keys
+            place = (np.arange(n) - np.repeat(a, b - a))[:m].astype(U64)
+            terms = mix(self.shingles * U64(0x9E3779B97F4A7C15) + place)
+            use = b - a >= max(least_words, k)
+            a, b = a[use], b[use]
+            first.append(a), last.append(b)
+            content.append(mix(self._over(np.add, terms, a, b) + U64(kind)))
+        self.n_pieces = len(first[0])
+        self.first, self.last, self.content = np.concatenate(first), np.concatenate(last), np.concatenate(content)
+        self.owner, self.size = doc[self.first], self.last - self.first
+        self.number = self.first - self.text_at[self.owner]    # the unit's first word within its text
+
+    def _over(self, fold, values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``values``, one per shingle, folded over each unit's shingles."""
+        if not len(a):
+            return np.zeros(0, U64)
+        return fold.reduceat(np.r_[values, U64(0)], np.stack([a, b - self.k + 1], 1).ravel())[::2]
 
     def band_keys(self, bands: int, rows: int) -> np.ndarray:
-        """One key per passage and band, from ``rows`` minima of the hashed shingles each."""
-        out = np.empty((len(self.size), bands), U64)
-        for b in range(bands):
-            key = np.full(len(self.size), U64(b))
+        """One key per paragraph and band, from ``rows`` minima of the hashed shingles each."""
+        a, b = self.first[self.n_pieces:], self.last[self.n_pieces:]
+        out = np.empty((len(a), bands), U64)
+        for band in range(bands):
+            key = np.full(len(a), U64(band))
             for r in range(rows):
-                salt = U64((2 * (b * rows + r) + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+                salt = U64((2 * (band * rows + r) + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
                 if len(key):
-                    key = mix(key * U64(0x2545F4914F6CDD1D) + np.minimum.reduceat(mix(self.shingles ^ salt), self.cuts[:-1]))
-            out[:, b] = key
+                    key = mix(key * U64(0x2545F4914F6CDD1D) + self._over(np.minimum, mix(self.shingles ^ salt), a, b))
+            out[:, band] = key
         return out
 
+    def around(self, i: int) -> tuple[bytes, bytes]:
+        """The words before (nearest first) and after a piece, as 32 bits each, so far as a repeat can go on without the
+        next piece being equal too: to the next cut and the words that it depends on."""
+        a, b, d = int(self.first[i]), int(self.last[i]), self.owner[i]
+        reach = self.reach + 2
+        p, q = np.searchsorted(self.piece_at, [a, b])
+        low = max(int(self.text_at[d]), int(self.piece_at[max(p - 1, 0)]) - reach)
+        high = min(int(self.text_at[d + 1]), int(self.piece_at[min(q + 1, len(self.piece_at) - 1)]) + reach)
+        short = lambda x: (x >> U64(32)).astype(np.uint32).tobytes()
+        return short(self.words[low:a][::-1]), short(self.words[b:high])
 
-_UNITS = ("kid long, kth long, oid long, number int, begin int, end int, words int, content long, n int, "
-          "hs array<long>, bins array<int>, bands array<long>")
+
+_UNITS = ("kid long, kth long, oid long, number int, words int, content long, n int, "
+          "hs array<long>, bins array<int>, bands array<long>, before binary, after binary")
 
 
 def _units(same, near, p: dict):
-    """The passages that repeat, or have a band key that another passage has too; the latter with their shingles and
-    such keys, once per distinct passage of a chunk."""
+    """The units that repeat, and the paragraphs that have a band key that another one has too; the latter with their
+    shingles and such keys, once per distinct paragraph of a chunk; pieces with the words around them."""
     def emit(batches):
         equal, seen = same.value, near.value
         for c in text_chunks(batches):
             u = Passages(c, p["reach"], p["least_words"], p["k"])
             keys = u.band_keys(p["bands"], p["rows"])
             hit = seen.has(keys.ravel()).reshape(keys.shape)
-            meets = hit.any(1)
+            meets = np.r_[np.zeros(u.n_pieces, bool), hit.any(1)]
             rows = np.flatnonzero(meets | equal.has(u.content))
             _, lead = np.unique(u.content[rows], return_index=True)
             lead = {i for i in rows[lead].tolist() if meets[i]}
             hs, bins, bands, n = [], [], [], []
-            for i in rows:
-                if int(i) in lead:
-                    s = np.unique(u.shingles[u.cuts[i]:u.cuts[i + 1]])
+            for i in rows.tolist():
+                if i in lead:
+                    s = np.unique(u.shingles[u.first[i]:u.last[i] - u.k + 1])
+                    own = i - u.n_pieces
                     n.append(len(s))
                     hs.append(s.view(np.int64))
                     bins.append(np.bincount((s >> U64(59)).astype(np.int64), minlength=32))
-                    bands.append(np.unique(keys[i][hit[i]]).view(np.int64))
+                    bands.append(np.unique(keys[own][hit[own]]).view(np.int64))
                 else:
                     n.append(None), hs.append(None), bins.append(None), bands.append(None)
+            around = [u.around(i) if i < u.n_pieces else (b"", b"") for i in rows.tolist()]
             own = u.owner[rows]
             i32 = lambda x: pa.array(x[rows].astype(np.int32))
             yield pa.record_batch({
                 "kid": pa.array(c.column("kid")[own]), "kth": pa.array(c.column("kth")[own]), "oid": pa.array(c.column("oid")[own]),
-                "number": i32(u.number), "begin": i32(u.begin), "end": i32(u.end), "words": i32(u.size),
+                "number": i32(u.number), "words": i32(u.size),
                 "content": pa.array(u.content[rows].view(np.int64)), "n": pa.array(n, pa.int32()),
                 "hs": pa.array(hs, pa.list_(pa.int64())), "bins": pa.array(bins, pa.list_(pa.int32())),
-                "bands": pa.array(bands, pa.list_(pa.int64()))})
+                "bands": pa.array(bands, pa.list_(pa.int64())), "before": pa.array([x for x, _ in around], pa.binary()),
+                "after": pa.array([x for _, x in around], pa.binary())})
     return emit
 
 
-def _runs(min_words: int):
-    """Per document: neighbouring repeated passages make a run; runs of enough words become byte spans."""
+def _alike(x: bytes, y: bytes) -> int:
+    """How many words two rows of words have in common at their beginning."""
+    n = min(len(x), len(y)) // 4
+    differ = np.flatnonzero(np.frombuffer(x, np.uint32, n) != np.frombuffer(y, np.uint32, n))
+    return int(differ[0]) if len(differ) else n
+
+
+def _extended(batches):
+    """Units as intervals of words, pieces extended word by word while the source goes on alike."""
+    for b in batches:
+        col = lambda name: b.column(name).to_pylist()  # noqa: B023, E731
+        left = np.array([_alike(x, y) for x, y in zip(col("before"), col("before0"))], np.int32)
+        right = np.array([_alike(x, y) for x, y in zip(col("after"), col("after0"))], np.int32)
+        low = b.column("number").to_numpy()
+        yield pa.record_batch({"kid": b.column("kid"), "kth": b.column("kth"), "low": pa.array(low - left),
+                               "high": pa.array(low + b.column("words").to_numpy() + right), "source": b.column("source"), "comp": b.column("comp")})
+
+
+def _runs(min_words: int, gap: int):
+    """Per document: repeated units that touch make a run, also over less than ``gap`` words between two of one source;
+    runs with enough repeated words become spans of words."""
     def emit(batches):
         for b in batches:
             spans, sources, comps = [], [], []
             for units in b.column("units").to_pylist():
-                units.sort(key=lambda x: x["number"])
-                runs, prev = [], None
-                for x in units:
-                    if prev is None or x["number"] > prev + 1:
-                        runs.append([])
-                    runs[-1].append(x)
-                    prev = x["number"]
-                runs = [r for r in runs if sum(x["words"] for x in r) >= min_words]
-                spans.append([np.array([[r[0]["begin"], r[-1]["end"]] for r in runs], np.int32).tobytes()] if runs else [])
-                sources.append(sorted({x["source"] for r in runs for x in r}))
-                comps.append(sorted({x["comp"] for r in runs for x in r}))
+                runs = []                                       # [low, high, repeated words, units]
+                for x in sorted(units, key=lambda x: (x["low"], x["high"])):
+                    last = runs[-1] if runs else None
+                    if last and (x["low"] <= last[1] or (x["low"] < last[1] + gap and x["source"] in last[3])):
+                        last[2] += max(0, x["high"] - max(x["low"], last[1]))
+                        last[1] = max(last[1], x["high"])
+                    else:
+                        last = [x["low"], x["high"], x["high"] - x["low"], set(), set()]
+                        runs.append(last)
+                    last[3].add(x["source"]), last[4].add(x["comp"])
+                runs = [r for r in runs if r[2] >= min_words]
+                spans.append([np.array([r[:2] for r in runs], np.int32).tobytes()] if runs else [])
+                sources.append(sorted(set().union(*[r[3] for r in runs])))
+                comps.append(sorted(set().union(*[r[4] for r in runs])))
             yield pa.record_batch({"kid": b.column("kid"), "kth": b.column("kth"), "spans": pa.array(spans, pa.list_(pa.binary())),
                                    "source_ids": pa.array(sources, pa.list_(pa.int64())),
                                    "components": pa.array(comps, pa.list_(pa.int64()))})
     return emit
 
 
+def _byte_spans(b: pa.RecordBatch) -> pa.Array:
+    """Spans of words as spans of bytes."""
+    out = []
+    for text, spans in zip(b.column("text"), b.column("spans").to_pylist()):
+        if spans:
+            raw = np.frombuffer(text.as_py(), np.uint8)
+            starts, ends, _ = word_spans(raw, np.array([0, len(raw)]))
+            s = np.frombuffer(b"".join(spans), np.int32).reshape(-1, 2)
+            spans = [np.stack([starts[s[:, 0]], ends[s[:, 1] - 1]], 1).astype(np.int32).tobytes()]
+        out.append(spans)
+    return pa.array(out, pa.list_(pa.binary()))
+
+
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
                     recall: float = 0.999, rows: int = 2, reach: int = 6, least_words: int = 7,
                     min_words: int = 20) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, source_ids, components), one row per input row.
 
-    A passage whose cluster also occurs in a document with a smaller id goes, where a run of neighbouring
-    such passages has ``min_words`` words or more. ``source_ids`` are the documents that keep the passages.
+    Units are paragraphs, whole, and content-cut pieces for repeats inside paragraphs and across them (``Passages``). A
+    unit whose cluster also occurs in a document with a smaller id goes, where it makes a run of ``min_words`` repeated
+    words or more with what it touches. ``source_ids`` are the documents that keep the passages.
 
-    1. Passages' MinHash bands (``tune_bands``: pairs at the threshold collide with probability ``recall``).
-       Bounded bitmaps (``repeated_keys``) tell the passages that repeat, and the band keys of different passages;
-       the other passages collide with nothing.
-    2. Equal passages become one class; classes that share a band are joined where their counts by hash range allow
-       the similarity, and verified by exact Jaccard similarity of their ``k``-word shingles (``percent``), each
-       against a pivot and then across what is still apart (``links``).
-    3. Components are clusters; the first occurrence by (id, place) stays. Only its id goes to the others.
+    1. Paragraphs' MinHash bands (``tune_bands``: pairs at the threshold collide with probability ``recall``).
+       Bounded bitmaps (``repeated_keys``) tell the units that repeat, and the band keys of different paragraphs;
+       the other ones collide with nothing.
+    2. Equal units become one class; classes of paragraphs that share a band are joined where their counts by hash range
+       allow the similarity, and verified by exact Jaccard similarity of their ``k``-word shingles (``percent``), each
+       against a pivot and then across what is still apart (``links``). Pieces meet as equal ones only.
+    3. Components are clusters; the first occurrence by (id, place) stays. Only its id and, for pieces, the words around
+       it go to the others, which extend word by word to where the repeat of the first occurrence ends. Runs go on over
+       less than ``least_words`` words between two repeats of one source.
 
     Repeats within one document, and between rows of equal ids, stay. Null ids count as larger than any id.
     Null and empty texts have no passages; an empty table gives no rows.
@@ -176,7 +239,8 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def band_keys(c):
         u = Passages(c, reach, least_words, k)
-        return u.band_keys(p["bands"], rows).ravel(), np.repeat((u.content & U64(0xFFFF)).astype(np.uint16), p["bands"])
+        tag = (u.content[u.n_pieces:] & U64(0xFFFFFFFF)).astype(np.uint32)
+        return u.band_keys(p["bands"], rows).ravel(), np.repeat(tag, p["bands"])
 
     sc = spark.sparkContext
     same = sc.broadcast(repeated_keys(src, lambda c: Passages(c, reach, least_words, k).content, total, 26))
@@ -184,7 +248,7 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     units = materialise(src.mapInArrow(_units(same, near, p), _UNITS), "passages")
 
     # equal passages are one class; only classes that share a key with another class can be near copies
-    place = F.min(F.struct("oid", "kid", "kth", "number"))
+    place = F.min(F.struct("oid", "kid", "kth", "number", "before", "after"))
     classes = materialise(units.groupBy("content").agg(place.alias("first"), F.max("oid").alias("most"))
                           .withColumn("rid", F.monotonically_increasing_id()), "classes")
     keys = (units.where("bands is not null").groupBy("content").agg(F.first("bands").alias("bands"))
@@ -200,16 +264,18 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .withColumn("comp", F.coalesce("comp", "rid")))
     cluster = (named.groupBy("comp").agg(F.min("first").alias("first"), F.max("most").alias("most"))
                .where(F.col("first.oid") < F.col("most")))
-    tag = named.select("content", "comp").join(cluster.select("comp", F.col("first.oid").alias("source")), "comp")
-    gone = (units.select("kid", "kth", "oid", "number", "begin", "end", "words", "content").join(tag, "content")
+    tag = named.select("content", "comp").join(cluster.select("comp", F.col("first.oid").alias("source"),
+                                                            F.col("first.before").alias("before0"), F.col("first.after").alias("after0")), "comp")
+    gone = (units.select("kid", "kth", "oid", "number", "words", "before", "after", "content").join(tag, "content")
             .where("oid > source")
-            .groupBy("kid", "kth").agg(F.collect_set(F.struct("number", "begin", "end", "words", "source", "comp")).alias("units")))
-    runs = gone.mapInArrow(_runs(min_words), "kid long, kth long, spans array<binary>, source_ids array<long>, components array<long>")
+            .mapInArrow(_extended, "kid long, kth long, low int, high int, source long, comp long")
+            .groupBy("kid", "kth").agg(F.collect_set(F.struct("low", "high", "source", "comp")).alias("units")))
+    runs = gone.mapInArrow(_runs(min_words, least_words), "kid long, kth long, spans array<binary>, source_ids array<long>, components array<long>")
     marked = src.join(runs.where(F.size("spans") > 0).hint("shuffle_hash"), ["kid", "kth"], "left")
 
     def cut(batches):
         for b in batches:
-            for out in _cut([b]):
+            for out in _cut([b.set_column(b.schema.get_field_index("spans"), "spans", _byte_spans(b))]):
                 yield pa.RecordBatch.from_arrays([*out.columns, b.column("source_ids"), b.column("components")],
                                                  names=[*out.schema.names, "source_ids", "components"])
 

@@ -214,6 +214,26 @@ def test_passages(spark):
         assert r.n_bytes - r.n_removed == len(r.kept)
 
 
+@pytest.mark.parametrize("width", [6, 10, 12, 15, 20])
+def test_repeats_in_short_lines(spark, width):
+    def wrapped(w):
+        return "\n".join(" ".join(w[i:i + width]) for i in range(0, len(w), width))
+
+    rows, long = [], {}
+    for i, n in enumerate([50, 60, 110, 300] * 6):           # each passage in two documents, at another place in the lines
+        passage = prose(5000 + i, n, 10**6).split()
+        for copy in (0, 1):
+            own = prose(6000 + 2 * i + copy, 90, 10**6).split()
+            own[35 + 7 * copy:35 + 7 * copy] = passage
+            rows.append((2 * i + copy, wrapped(own)))
+            long[2 * i + copy] = len(" ".join(passage))
+    got = {r.doc_id: r for r in remove_passages(frame(spark, rows, 4)).collect()}
+    assert all(got[d].n_removed == 0 for d in got if d % 2 == 0)
+    found = {d: got[d].n_removed for d in got if d % 2 and got[d].n_removed}
+    assert all(found[d] == long[d] and got[d].source_ids == [d - 1] for d in found)       # to the true ends, not a word more
+    assert all(d in found for d in long if d % 2 and long[d] > 700) and len(found) >= 20
+
+
 def test_passages_empty(spark):
     assert remove_passages(frame(spark, []).limit(0)).count() == 0
     assert remove_passages(frame(spark, [(1, None)])).first().n_removed == 0

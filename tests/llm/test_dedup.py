@@ -234,6 +234,22 @@ def test_repeats_in_short_lines(spark, width):
     assert all(d in found for d in long if d % 2 and long[d] > 700) and len(found) >= 20
 
 
+def test_near_copies_of_paragraphs_go_whole(spark):
+    rng, rows, near = random.Random(9), [], {}
+    for i, (n, changes) in enumerate([(60, 1), (110, 2), (200, 4)] * 8):
+        w = prose(7000 + i, n, 10**6).split()
+        v = list(w)
+        for c in range(changes):
+            v[n * (2 * c + 1) // (2 * changes) + rng.randint(-3, 3)] = "changed"
+        near[1000 + i] = " ".join(v)
+        rows += [(i, prose(8000 + i, 30, 10**6) + "\n" + " ".join(w)), (1000 + i, prose(9000 + i, 30, 10**6) + "\n" + near[1000 + i])]
+    wrapped = near[1000 + 1].split()
+    rows.append((2000, "own words of it\n\n" + "\n".join(" ".join(wrapped[k:k + 9]) for k in range(0, len(wrapped), 9))))
+    got = {r.doc_id: r for r in remove_passages(frame(spark, rows, 4)).collect()}
+    assert all(got[d].n_removed == len(t.encode()) and got[d].source_ids == [d - 1000] for d, t in near.items())
+    assert bytes(got[2000].kept).strip() == b"own words of it"
+
+
 def test_passages_empty(spark):
     assert remove_passages(frame(spark, []).limit(0)).count() == 0
     assert remove_passages(frame(spark, [(1, None)])).first().n_removed == 0

@@ -159,27 +159,48 @@ class ConvClassifier:
         return 1 / (1 + np.exp(-np.clip(self.scale * logit.astype(np.float64) + self.shift, -40, 40)))
 
 
-def _best_cut(logit: np.ndarray, label: np.ndarray) -> float:
-    """The logit that parts the labels best (F1); between two rows, in the middle."""
-    order = np.argsort(-logit, kind="stable")
-    hits = np.cumsum(label[order])
-    f1 = 2 * hits / (np.arange(1, len(hits) + 1) + max(1, label.sum()))
+#: calibration counts logits in steps of 1 / _STEPS up to _REACH on both sides
+_STEPS, _REACH = 128, 64
+
+
+def _best_cut(logit: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> float:
+    """The logit that parts the labels best (F1), of ``n`` rows at each distinct logit, ``toxic`` of them toxic; between
+    two logits, in the middle."""
+    order = np.argsort(-logit)
+    hits = np.cumsum(toxic[order])
+    f1 = 2 * hits / (np.cumsum(n[order]) + max(1, toxic.sum()))
     x = logit[order]
-    f1[:-1][x[:-1] == x[1:]] = -1   # no cut between equal scores
     k = int(np.argmax(f1))
     return float((x[k] + x[k + 1]) / 2 if k + 1 < len(x) else x[k] - 1)
 
 
-def train(rows: pa.Table, p: Params) -> tuple[ConvClassifier, dict[str, float]]:
-    """The classifier, and for each language the score from which its texts count as toxic.
+def calibrate(model: ConvClassifier, lang: np.ndarray, logit: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> dict[str, float]:
+    """Sets the model's scale and shift, so that ``target`` is the cut with the best F1 over all rows, and gives
+    the cut by language where it has 5 toxic rows and others. The rows come as counts by language and logit."""
+    def merged(own):
+        x, at = np.unique(logit[own], return_inverse=True)
+        return x, np.bincount(at, toxic[own]), np.bincount(at, n[own])
 
-    ``rows`` has text, y and lang. A fifth of the rows (by position) is left out of the fit: it sets the overall
-    scale, so that ``p.target`` is the cut with the best F1, and the cuts by language.
-    """
+    x, t, every = merged(np.ones(len(logit), bool))
+    cut = _best_cut(x, t, every)
+    inside = x[np.searchsorted(np.cumsum(t), t.sum() / 2)] - cut
+    model.scale = float(min(8.0, 2.0 / max(inside, 1e-3))) if inside < 2 else 1.0
+    target = model.p.target
+    model.shift = float(np.log(target / (1 - target)) - model.scale * cut)
+    by_lang = {}
+    for g in sorted({g for g in lang if g is not None}):
+        x, t, every = merged(lang == g)
+        if t.sum() >= 5 and every.sum() > t.sum():
+            by_lang[g] = float(model.score(np.array([_best_cut(x, t, every)]))[0])
+    return by_lang
+
+
+def train(rows: pa.Table, p: Params) -> ConvClassifier:
+    """The classifier, not yet calibrated. ``rows`` has text and y. A fifth of the rows (by position) is left out of the fit."""
     model = ConvClassifier(p)
     label = rows.column("y").to_numpy().astype(np.float32)
     if not len(label) or label.min() == label.max():
-        return model, {}
+        return model
     texts = rows.select(["text"]).combine_chunks().to_batches()
     words, heads, owner = [], [], []
     base = 0
@@ -199,53 +220,55 @@ def train(rows: pa.Table, p: Params) -> tuple[ConvClassifier, dict[str, float]]:
     pieces = np.bincount(owner, minlength=len(label))
     use = np.flatnonzero(~held & ((label[owner] == 0) | (pieces[owner] == 1)))
     model.fit([words[i] for i in use], [heads[i] for i in use], label[owner[use]])
-    del words, heads
-    tables = model.tables()
-    logit = np.concatenate([model.raw(*features(c, p), len(c), tables) for c in text_chunks(iter(texts), max_bytes=1 << 20)])
-    check = np.arange(len(label)) % 5 == 4
-    if label[check].min(initial=1) == label[check].max(initial=0):
-        check[:] = True
-    cut = _best_cut(logit[check], label[check])
-    inside = np.median(logit[check & (label == 1)]) - cut
-    model.scale = float(min(8.0, 2.0 / max(inside, 1e-3))) if inside < 2 else 1.0
-    model.shift = float(np.log(p.target / (1 - p.target)) - model.scale * cut)
-    langs = np.array(rows.column("lang").to_pylist(), object)
-    by_lang = {}
-    for lang in sorted({g for g in langs if g is not None}):
-        own = check & (langs == lang)
-        if label[own].sum() >= 5 and (label[own] == 0).any():
-            by_lang[lang] = float(model.score(np.array([_best_cut(logit[own], label[own])]))[0])
-    return model, by_lang
+    return model
+
+
+def _labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(id, y) of the labelled training ids (crc32 of the id mod 3 is not 1)."""
+    train_ids = F.pmod(F.crc32(F.col("id").cast("string")), F.lit(3)) != 1
+    return (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
+            .where(F.col("y").isin(0, 1) & F.col("id").isNotNull() & train_ids).distinct())
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, p: Params, id_col: str = "doc_id", text_col: str = "text",
-                    label_col: str = "toxic", lang_col: str | None = "lang") -> DataFrame:
+                    label_col: str = "toxic") -> DataFrame:
     """At most ``p.sample`` labelled rows of training ids (crc32 of the id mod 3 is not 1), in a fixed order, whose
     texts have at most ``p.sample_bytes`` bytes: the sample's size is bounded."""
-    lang = F.col(lang_col).cast("string") if lang_col and lang_col in docs.columns else F.lit(None).cast("string")
-    train_ids = F.pmod(F.crc32(F.col("id").cast("string")), F.lit(3)) != 1
-    lab = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
-           .where(F.col("y").isin(0, 1) & F.col("id").isNotNull() & train_ids))
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), lang.alias("lang"))
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     order = F.xxhash64("id")
-    picked = lab.distinct().orderBy(order, "id", "y").limit(p.sample)
+    picked = _labelled(labels, id_col, label_col).orderBy(order, "id", "y").limit(p.sample)
     # the sampled ids are few (bounded by p.sample), so the texts are not moved to find them
     return (src.where(F.octet_length("text") <= p.sample_bytes).join(F.broadcast(picked), "id")
-            .select("text", "y", "lang", "id", F.xxhash64("id", F.lit(1)).alias("turn")))
+            .select("text", "y", "id", F.xxhash64("id", F.lit(1)).alias("turn")))
 
 
-def fit(sample: DataFrame, p: Params) -> tuple[ConvClassifier, dict[str, float], bool]:
-    """(classifier, cuts by language, whether labels of both kinds were there), trained by one task on the bounded sample."""
+def fit(sample: DataFrame, p: Params) -> tuple[ConvClassifier, bool]:
+    """(classifier, whether labels of both kinds were there), trained by one task on the bounded sample."""
     def run(batches):
         parts = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
         if parts:
             rows = pa.concat_tables(parts).sort_by([("turn", "ascending"), ("id", "ascending"), ("y", "ascending"), ("text", "ascending")])
-            model, by_lang = train(rows, p)
             both = len(rows.column("y").unique()) == 2
-            yield pa.record_batch({"model": pa.array([pickle.dumps((model, by_lang, both))], pa.binary())})
+            yield pa.record_batch({"model": pa.array([pickle.dumps((train(rows, p), both))], pa.binary())})
 
     got = sample.repartition(1).mapInArrow(run, "model binary").collect()
-    return pickle.loads(got[0]["model"]) if got else (ConvClassifier(p), {}, False)
+    return pickle.loads(got[0]["model"]) if got else (ConvClassifier(p), False)
+
+
+def logit_counts(src: DataFrame, labelled: DataFrame, model) -> DataFrame:
+    """(lang, bin, toxic, n) of all labelled rows of ``src`` (doc_id, text, lang), by logit in steps of 1 / _STEPS. The texts
+    are scored where they lie; only ids and logits meet the labels."""
+    def run(batches):
+        m = model.value
+        tables = m.tables()
+        for c in text_chunks(batches, max_bytes=1 << 20):
+            logit = np.clip(m.raw(*features(c, m.p), len(c), tables), -_REACH, _REACH)
+            yield pa.record_batch({"id": c.rows.column("doc_id"), "lang": c.rows.column("lang"),
+                                   "bin": pa.array(np.round(logit * _STEPS).astype(np.int32))})
+
+    train_ids = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) != 1
+    return (src.where(train_ids).select("doc_id", "text", "lang").mapInArrow(run, "id long, lang string, bin int")
+            .join(labelled, "id").groupBy("lang", "bin").agg(F.sum("y").alias("toxic"), F.count("*").alias("n")))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -253,6 +276,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                    carry: list[str] | None = None) -> DataFrame:
     """(doc_id, held_out, score, predicted, lang_threshold, toxic_in_lang[, row]), one row per input row.
 
+    The classifier is fitted on a bounded sample (``Params``). All labelled training rows, of any length, are then scored
+    and counted by language and logit; the counts set what 0.7 means and the thresholds by language.
+
     Whole texts are scored in a narrow pass; only words enter the score. The
     training rows are those whose crc32(id as text) mod 3 is not 1. ``predicted`` is
     score >= 0.7. ``lang_threshold`` is the threshold calibrated for the row's
@@ -263,7 +289,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     p = params or Params()
     spark = docs.sparkSession
-    model, by_lang, trained = fit(labelled_sample(docs, labels, p, id_col, text_col, label_col, lang_col), p)
+    lang = F.col(lang_col).cast("string") if lang_col and lang_col in docs.columns else F.lit(None).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), lang.alias("lang"))
+    model, trained = fit(labelled_sample(docs, labels, p, id_col, text_col, label_col), p)
+    by_lang = {}
+    if trained:
+        raw = spark.sparkContext.broadcast(model)
+        counts = logit_counts(texts, _labelled(labels, id_col, label_col), raw).collect()
+        column = lambda name, kind: np.array([r[name] for r in counts], kind)
+        by_lang = calibrate(model, column("lang", object), column("bin", float) / _STEPS, column("toxic", np.int64), column("n", np.int64))
+        raw.unpersist()
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
@@ -275,7 +310,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                                    "lang": c.rows.column("lang"), "row": c.rows.column("row")})
 
     more = carried(carry)
-    lang = F.col(lang_col).cast("string") if lang_col and lang_col in docs.columns else F.lit(None).cast("string")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                       lang.alias("lang"), more.alias("row"))
     kind = src.schema["row"].dataType.simpleString()

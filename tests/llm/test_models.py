@@ -10,7 +10,7 @@ import sentencepiece
 
 from docketline.llm.lm_score import COUNT, LEAST, LogFrequencyFilter, _reduce, first_level, score_texts
 from docketline.llm.piece_codec import PieceCodec, encode_decode, read_vocabulary
-from docketline.llm.toxicity import Params, score_toxicity
+from docketline.llm.toxicity import ConvClassifier, Params, calibrate, score_toxicity
 from tests.llm.util import HARD, frame, prose, words
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -164,6 +164,36 @@ def test_language_is_no_input_of_the_score(spark):
     assert pick(one) == pick(two)
 
 
+def test_thresholds_come_from_all_labelled_rows(spark):
+    rows = toxic_rows(900)
+    rng = random.Random(5)
+    few = [(5000 + i, prose(5000 + i, 30, 3000) + (" grunk blargh" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(60)]
+    long = [(7000 + i, prose(7000 + i, 3000, 3000) + (" vexor grunk" if i % 2 else ""), i % 2) for i in range(40)]  # over sample_bytes
+    rng.shuffle(few)
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows + few + long], "doc_id long, quality int, toxic int")
+    docs = frame(spark, [(i, t) for i, t, _ in rows]).unionByName(frame(spark, [(i, t) for i, t, _ in few], lang="xx")).unionByName(
+        frame(spark, [(i, t) for i, t, _ in long], lang="yy"))
+    got = {r.doc_id: r for r in score_toxicity(docs, labels, params=Params(steps=600, sample=400)).collect()}
+    cut = {g: {got[i].lang_threshold for i, _, _ in part} for g, part in (("xx", few), ("yy", long))}
+    assert all(len(c) == 1 and c != {0.7} for c in cut.values())
+    for part in (few, long):
+        train = [(got[i], y) for i, _, y in part if not got[i].held_out]
+        right = lambda t: sum((r.score >= t) == y for r, y in train)  # noqa: B023, E731
+        assert right(train[0][0].lang_threshold) > 0.9 * len(train)
+
+
+def test_calibration_finds_the_best_cut():
+    import numpy as np
+    rng = np.random.default_rng(8)
+    y = rng.random(3000) < 0.3
+    logit = np.round((rng.standard_normal(3000) + 2 * y) * 8) / 8
+    x, at = np.unique(logit, return_inverse=True)
+    model = ConvClassifier(Params())
+    calibrate(model, np.array([None] * len(x), object), x, np.bincount(at, y), np.bincount(at))
+    f1 = lambda p: 2 * (p & y).sum() / (p.sum() + y.sum())
+    assert f1(model.score(logit) >= 0.7) == max(f1(logit >= c) for c in x)
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.predicted for r in score_toxicity(frame(spark, HARD), none).collect()} == {0}

@@ -12,7 +12,10 @@ from docketline.llm.exact_dedup import exact_duplicates
 from docketline.llm.jaccard_join import jaccard_components
 from docketline.llm.line_dedup import drop_common_lines
 from docketline.llm.lm_score import score_texts
+from docketline.llm.merkle import document_leaves, manifest
+from docketline.llm.packing import pack_sequences
 from docketline.llm.piece_codec import encode_decode
+from docketline.llm.prefix_trie import conversation_trie
 from docketline.llm.substring_dedup import remove_passages
 from docketline.llm.suffix_dedup import remove_repeats
 from docketline.llm.toxicity import score_toxicity
@@ -82,10 +85,35 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaves, roots and proofs of all documents (contract of operator 11)."""
+    return manifest(document_leaves(table(spark, sf_dir, "documents"))).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of all rebuilt conversations' first turns (contract of operator 12)."""
+    return conversation_trie(table(spark, sf_dir, "conversations")).drop("a", "b")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """All documents' token ids in sequences of 1024 (contract of operator 13)."""
+    out = pack_sequences(table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("byte_bpe_50k.json"), window=1024)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_substring_dedup, op3_decontaminate, op4_ngram_jaccard, op5_lm_score, op6_sentencepiece, op7_line_dedup, op8_toxicity, op9_suffix_dedup,
-    op10_exact_dedup)}
+    op10_exact_dedup, op11_merkle, op12_prefix_trie, op13_packing)}
+
+#: CRC-32 of a number's decimal digits, over a table ``crc(t)`` of the 256 remainders
+_CRC_TABLE = """
+crc AS MATERIALIZED (SELECT list_transform(range(256), lambda n: list_reduce([n] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+       lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+_CRC = """xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
 _AZ = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
@@ -131,4 +159,45 @@ FROM k LEFT JOIN bad ON k.key = bad.key GROUP BY doc_id""",
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op11_merkle": f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS MATERIALIZED (SELECT doc_id, lang, n_chars, t[1] IS NOT NULL AND doc_id IS NOT NULL AND {_CRC.format("coalesce(doc_id, 0)")} % 7 = 0 AS hit,
+      {_FIELD.format("doc_id")} || {_FIELD.format("source")} || {_FIELD.format("lang")} AS head, {_FIELD.format("text")} AS tail FROM documents, crc),
+leaf AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, sha256(head || {_FIELD.format("n_chars")} || tail) AS h,
+               sha256(head || CASE WHEN hit THEN {_FIELD.format("n_chars + 1")} ELSE {_FIELD.format("n_chars")} END || tail) AS h2 FROM d)),
+node AS (SELECT lang, 0 AS level, i, h, n FROM leaf UNION ALL
+  SELECT lang, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 1) // 2) FROM node WHERE n > 1 GROUP BY lang, level, i // 2),
+sub AS MATERIALIZED (SELECT lang, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM node WHERE n = 1),
+top AS (SELECT 0 AS level, i, h, n FROM sub UNION ALL
+  SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 1) // 2) FROM top WHERE n > 1 GROUP BY level, i // 2),
+placed AS (SELECT leaf.*, row_number() OVER () AS id, sub.h AS subroot, sub.i AS li FROM leaf JOIN sub ON leaf.lang IS NOT DISTINCT FROM sub.lang),
+step AS (
+  SELECT id, 0 AS tier, a.level, a.i % 2 AS side, b.h FROM (SELECT id, placed.lang, u.level, placed.i >> u.level AS i FROM placed
+    JOIN (SELECT DISTINCT lang, level FROM node WHERE n > 1) u ON placed.lang IS NOT DISTINCT FROM u.lang) a
+  LEFT JOIN node b ON a.lang IS NOT DISTINCT FROM b.lang AND a.level = b.level AND b.i = xor(a.i, 1)
+  UNION ALL
+  SELECT id, 1, a.level, a.i % 2, b.h FROM (SELECT id, u.level, li >> u.level AS i FROM placed, (SELECT DISTINCT level FROM top WHERE n > 1) u) a
+  LEFT JOIN top b ON a.level = b.level AND b.i = xor(a.i, 1)),
+proof AS (SELECT id, string_agg(h, '' ORDER BY tier, level) AS p,
+                 list(CASE WHEN h IS NULL THEN 'N' WHEN side = 1 THEN 'L' || h ELSE 'R' || h END ORDER BY tier, level) AS path FROM step GROUP BY id),
+folded AS (SELECT placed.*, coalesce(p, '') AS p, list_reduce([h2] || coalesce(path, []), lambda acc, s: sha256(
+    CASE s[1] WHEN 'L' THEN s[2:] || acc WHEN 'R' THEN acc || s[2:] ELSE acc END)) AS f FROM placed LEFT JOIN proof USING (id))
+SELECT doc_id, folded.h AS leaf, subroot, r.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = r.h AS verified
+FROM folded, (SELECT h FROM top WHERE n = 1) r""",
+    "op12_prefix_trie": f"""
+WITH {_CRC_TABLE},
+said AS (SELECT conv_id, [coalesce(role, ''), coalesce(text, '')] AS turn, row_number() OVER (PARTITION BY conv_id ORDER BY conversations.turn NULLS FIRST, role, text) AS p FROM conversations),
+own AS (SELECT conv_id, list(turn ORDER BY p) AS l, any_value({_CRC.format("conv_id")} % 6) AS h FROM said, crc GROUP BY conv_id),
+conv AS MATERIALIZED (SELECT a.conv_id, coalesce(b.l[1:a.h], []) || a.l[a.h + 1:] AS l FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+pre AS MATERIALIZED (SELECT conv_id, len(l) AS size, d, sha256(CAST(to_json(l[1:d]) AS VARCHAR)) AS k, sha256(CAST(to_json(l[1:d - 1]) AS VARCHAR)) AS up,
+       CASE WHEN d > 0 THEN length(l[d][2]) ELSE 0 END AS w FROM (SELECT *, unnest(range(len(l) + 1)) AS d FROM conv)),
+node AS MATERIALIZED (SELECT k, any_value(CASE WHEN d > 0 THEN up END) AS up, any_value(d) AS d, min(conv_id) AS c, count(*) AS n, any_value(w) AS w,
+       coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE size = d), '') AS ends FROM pre GROUP BY k),
+kids AS (SELECT up AS k, count(*) AS n FROM node WHERE up IS NOT NULL GROUP BY 1),
+below AS (SELECT a.k, CAST(count(*) FILTER (WHERE kids.n IS NULL) AS BIGINT) AS leaves, CAST(sum((v.n - 1) * v.w) AS BIGINT) AS saved
+          FROM node v JOIN pre a ON a.conv_id = v.c AND a.d <= v.d LEFT JOIN kids ON kids.k = v.k GROUP BY a.k)
+SELECT v.c AS conv_id, CAST(v.d AS BIGINT) AS depth, u.c AS parent_conv_id, v.n AS n_convs, coalesce(kids.n, 0) AS n_children, leaves AS n_leaves,
+       saved AS saved_tokens, sha256(ends) AS ends_sha256
+FROM node v LEFT JOIN node u ON u.k = v.up LEFT JOIN kids ON kids.k = v.k JOIN below ON below.k = v.k""",
 }

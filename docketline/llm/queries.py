@@ -198,6 +198,6 @@ kids AS (SELECT up AS k, count(*) AS n FROM node WHERE up IS NOT NULL GROUP BY 1
 below AS (SELECT a.k, CAST(count(*) FILTER (WHERE kids.n IS NULL) AS BIGINT) AS leaves, CAST(sum((v.n - 1) * v.w) AS BIGINT) AS saved
           FROM node v JOIN pre a ON a.conv_id = v.c AND a.d <= v.d LEFT JOIN kids ON kids.k = v.k GROUP BY a.k)
 SELECT v.c AS conv_id, CAST(v.d AS BIGINT) AS depth, u.c AS parent_conv_id, v.n AS n_convs, coalesce(kids.n, 0) AS n_children, leaves AS n_leaves,
-       saved AS saved_tokens, sha256(ends) AS ends_sha256
+       saved AS saved_tokens, sha256(v.ends) AS ends_sha256
 FROM node v LEFT JOIN node u ON u.k = v.up LEFT JOIN kids ON kids.k = v.k JOIN below ON below.k = v.k""",
 }

@@ -8,12 +8,18 @@ latest flag stay right when events arrive late or out of order.
 
 ``CaseTable`` keeps a case-keyed table as a base and deltas in plain parquet
 folders. A batch writes the touched cases, rebuilt, into its own folder and
-nothing else, so a small batch writes little, a replay overwrites only what it
-wrote before, and no reader ever sees half a write. ``fold`` writes a new base.
+nothing else, so a small batch writes little, and no reader ever sees half a
+write. A folder's number is the table's own: it follows the order in which
+batches were *merged*, each on top of the newest state, and the folder's name
+says which source batch it holds. A source that finishes late, or is offered twice, is
+therefore merged once, whatever its own number. ``fold`` writes a new base, bucketed
+by the case, so that a merge reads the touched buckets only and joins without
+moving the base. One writer at a time; readers need no care.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Sequence
 
@@ -21,12 +27,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import complete_children, delete_path
-from .joins import frame_bytes, null_safe_condition, shuffle_join
+from ..session import complete_children, delete_path, folder_bytes
+from .joins import null_safe_condition, shuffle_join
 from .windows import dedup_latest
 
-# Bytes of rows (as JSON text) per bucket of a base.
-BUCKET_BYTES = 512 << 20
+# Bytes of parquet per bucket of a base.
+BUCKET_BYTES = 256 << 20
+# Up to so many touched cases are looked up as literals, which the scan prunes buckets and row groups by.
+PRUNE_CASES = 10_000
+KEY = "__chave"
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -41,17 +50,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return kept.unionByName(src)
 
 
-def _touched(batch: DataFrame, case: str) -> tuple[DataFrame, Column]:
-    """The batch's cases, null included, and the condition that matches them."""
-    return batch.select(F.col(case).alias("__case")).distinct(), F.col(case).eqNullSafe(F.col("__case"))
-
-
-def rows_to_rebuild(existing: DataFrame, batch: DataFrame, case: str) -> DataFrame:
-    """The stored rows of the touched cases together with the batch."""
-    cases, same = _touched(batch, case)
-    return existing.join(cases, same, "left_semi").unionByName(batch, allowMissingColumns=True)
-
-
 def merge_cases(existing: DataFrame, batch: DataFrame, case: str,
                 rebuild: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Touched-case incremental merge.
@@ -62,22 +60,49 @@ def merge_cases(existing: DataFrame, batch: DataFrame, case: str,
     decides between copies of an event by the stored ingest time, so the
     result does not depend on the order of the batches.
     """
-    cases, same = _touched(batch, case)
+    cases, same = batch.select(F.col(case).alias("__case")).distinct(), F.col(case).eqNullSafe(F.col("__case"))
     keep = existing.join(cases, same, "left_anti")
-    return keep.unionByName(rebuild(rows_to_rebuild(existing, batch, case)).select(*keep.columns))
+    old = existing.join(cases, same, "left_semi")
+    return keep.unionByName(rebuild(old.unionByName(batch, allowMissingColumns=True)).select(*keep.columns))
 
 
 def bucket_of(case: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(case), F.lit(buckets)).cast("int")
 
 
-class CaseTable:
-    """A case-keyed parquet table that merges batches.
+def case_key(case: str | Column) -> Column:
+    """A case as a text that is never null (a null case has a key of its own), for plain equality joins."""
+    c = F.col(case) if isinstance(case, str) else case
+    return F.coalesce(F.concat(F.lit("c"), c.cast("string")), F.lit("n"))
+
+
+class Cases:
+    """The cases of a batch: as literals while they are few, as distinct keys in any case."""
+
+    def __init__(self, rows: DataFrame, case: str, most: int = PRUNE_CASES):
+        self.keys = rows.select(case_key(case).alias(KEY)).distinct()
+        found = self.keys.limit(most + 1).collect()          # bounded by ``most``
+        self.few = [r[0] for r in found] if len(found) <= most else None
+
+    def of(self, df: DataFrame, buckets: int | None = None) -> DataFrame:
+        """The rows of ``df`` (with its key column) that belong to these cases.
+
+        Few cases: a literal filter, no join. Many: a merge join; ``df`` bucketed by the key stays where it
+        is, the keys are dealt like its buckets.
+        """
+        if self.few is not None:
+            return df.where(F.col(KEY).isin(self.few)) if self.few else df.limit(0)
+        keys = self.keys.repartition(buckets, KEY) if buckets else self.keys
+        return df.join(keys.hint("merge"), KEY, "left_semi")
+
 
-    ``<path>/delta/batch=<id>``        whole cases as of that batch
-    ``<path>/base/upto=<id>~<buckets>`` all cases as of that batch, by bucket of the case
+class NumberedFolders:
+    """A case-keyed parquet table as numbered deltas and bucketed bases.
+
+    ``<path>/delta/seq=<n>~<source>``    what source batch ``source`` wrote, as the n-th merge
+    ``<path>/base/upto=<n>~<buckets>``   the state as of merge n, bucketed and sorted by the case
+    ``<path>/sources/upto=<n>``          the sources that a base holds, written before it
 
-    A case's rows are those of its newest delta, else those of the newest base.
     Folders without a committed write are not seen.
     """
 
@@ -85,91 +110,151 @@ class CaseTable:
                  partition_by: Sequence[str] = ()):
         self.spark, self.path, self.case, self.parts = spark, path, case, list(partition_by)
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self.stored = T.StructType([T.StructField(KEY, T.StringType()), *self.schema.fields])
 
     # -- what there is
+    def _deltas(self) -> dict[int, str]:
+        names = complete_children(self.spark, f"{self.path}/delta")
+        return {int(n.removeprefix("seq=").split("~")[0]): n for n in sorted(names)}
+
     def deltas(self) -> list[int]:
-        return sorted(int(n.removeprefix("batch=")) for n in complete_children(self.spark, f"{self.path}/delta"))
+        return sorted(self._deltas())
 
     def bases(self) -> list[tuple[int, int]]:
-        """(last batch, buckets) of each base, oldest first."""
+        """(last merge, buckets) of each base, oldest first."""
         names = complete_children(self.spark, f"{self.path}/base")
         return sorted(tuple(int(x) for x in n.removeprefix("upto=").split("~")) for n in names)
 
-    def batches(self) -> set[int]:
-        """Batches that are in the table."""
-        base = max((b for b, _ in self.bases()), default=-1)
-        return set(self.deltas()) | set(range(base + 1))
+    def newest(self) -> int:
+        """The number of the newest merge, -1 if there is none."""
+        return max([-1, *self._deltas(), *(b for b, _ in self.bases())])
 
-    # -- reading
-    def _state(self, upto: int | None) -> tuple[tuple[int, int] | None, list[int]]:
+    def sources(self) -> set[str]:
+        """The source batches that the table holds."""
+        bases, out = self.bases(), {n.split("~", 1)[1] for n in self._deltas().values()}
+        if bases:
+            out |= {r[0] for r in self.spark.read.schema("source string").json(f"{self.path}/sources/upto={bases[-1][0]}").collect()}
+        return out
+
+    def state(self, upto: int | None) -> tuple[tuple[int, int] | None, list[int]]:
+        """The base to read, and the deltas on top of it."""
         base = max((b for b in self.bases() if upto is None or b[0] <= upto), default=None)
         low = -1 if base is None else base[0]
         return base, [d for d in self.deltas() if d > low and (upto is None or d <= upto)]
 
-    def _base(self, base: tuple[int, int]) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
-        return self.spark.read.schema(schema).parquet(f"{self.path}/base/upto={base[0]}~{base[1]}")
+    # -- reading
+    def read_base(self, base: tuple[int, int]) -> DataFrame:
+        """A base as a bucketed table: the session's catalog gets its layout, the files stay where they are."""
+        path = f"{self.path}/base/upto={base[0]}~{base[1]}"
+        name = f"docketline_base_{hashlib.md5(path.encode()).hexdigest()}"
+        if not self.spark.catalog.tableExists(name):
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored.fields)
+            parts = f"PARTITIONED BY ({', '.join(self.parts)})" if self.parts else ""
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet {parts} CLUSTERED BY ({KEY}) SORTED BY ({KEY}) "
+                           f"INTO {base[1]} BUCKETS LOCATION '{path}'")
+            if self.parts:
+                self.spark.catalog.recoverPartitions(name)
+        return self.spark.table(name).select(*self.stored.names)
+
+    def read_deltas(self, ids: list[int]) -> DataFrame:
+        """Rows of some deltas with ``seq``."""
+        names, root = self._deltas(), f"{self.path}/delta"
+        out = None
+        for i in ids:
+            one = self.spark.read.schema(self.stored).parquet(f"{root}/{names[i]}").withColumn("seq", F.lit(i).cast("long"))
+            out = one if out is None else out.unionByName(one)
+        return out.select(*self.stored.names, "seq")
+
+    # -- writing
+    def put(self, source: int | str, rows: DataFrame, seq: int | None = None) -> int | None:
+        """Write the rows that a source batch changes, as the next merge; its number, or None if the source is in the table already."""
+        token = str(source)
+        if "~" in token or "/" in token:
+            raise ValueError(f"a source's name holds neither '~' nor '/': {token}")
+        if token in self.sources():
+            return None
+        seq = self.newest() + 1 if seq is None else seq
+        w = (rows.withColumn(KEY, case_key(self.case)).select(*self.stored.names).sortWithinPartitions(KEY).write.mode("overwrite"))
+        (w.partitionBy(*self.parts) if self.parts else w).parquet(f"{self.path}/delta/seq={seq}~{token}")
+        return seq
+
+    def write_base(self, rows: DataFrame, upto: int) -> None:
+        """A new base, in buckets whose number follows the size of the files it replaces."""
+        base, ids = self.state(upto)
+        names = self._deltas()
+        size = sum(folder_bytes(self.spark, p) for p in (
+            *([f"{self.path}/base/upto={base[0]}~{base[1]}"] if base else []), *(f"{self.path}/delta/{names[i]}" for i in ids)))
+        buckets = 1 << max(0, math.ceil(math.log2(max(1, size / BUCKET_BYTES))))
+        self.spark.createDataFrame([(s,) for s in sorted(self.sources())], "source string").write.mode("overwrite").json(
+            f"{self.path}/sources/upto={upto}")
+        path = f"{self.path}/base/upto={upto}~{buckets}"
+        name = f"docketline_fold_{hashlib.md5(path.encode()).hexdigest()}"
+        w = (rows.withColumn(KEY, case_key(self.case)).select(*self.stored.names).repartition(buckets, KEY).write.format("parquet")
+             .mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY).option("path", path))
+        (w.partitionBy(*self.parts) if self.parts else w).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")                 # external: the files stay
+
+    def clean(self, keep_bases: int = 1) -> None:
+        """Delete what no reader of the newest ``keep_bases`` bases needs. Run it when no older version is read."""
+        kept = self.bases()[-keep_bases:]
+        if not kept:
+            return
+        for b in self.bases()[:-keep_bases]:
+            delete_path(self.spark, f"{self.path}/base/upto={b[0]}~{b[1]}")
+        for d, name in self._deltas().items():
+            if d <= kept[0][0]:
+                delete_path(self.spark, f"{self.path}/delta/{name}")
+
 
-    def _deltas(self, ids: list[int]) -> DataFrame:
-        root = f"{self.path}/delta"
-        schema = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
-        return self.spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/batch={i}" for i in ids])
+class CaseTable(NumberedFolders):
+    """A case-keyed table whose deltas hold whole cases: a case's rows are those of its newest delta, else the base's."""
 
-    def _union(self, base: DataFrame | None, delta: DataFrame | None, several: bool) -> DataFrame:
-        cols = self.schema.names
+    def _union(self, base: DataFrame | None, delta: DataFrame | None, several: bool, buckets: int = 0) -> DataFrame:
+        cols = [KEY, *self.schema.names]
         if delta is None:
-            return base.select(*cols) if base is not None else self.spark.createDataFrame([], self.schema)
-        newest = delta.groupBy(F.col(self.case).alias("__case")).agg(F.max("batch").alias("__newest"))
-        same = F.col(self.case).eqNullSafe(F.col("__case"))
-        rows = delta.join(newest, same & (F.col("batch") == F.col("__newest")), "left_semi") if several else delta
+            return base.select(*cols) if base is not None else self.spark.createDataFrame([], self.stored)
+        newest = delta.groupBy(KEY).agg(F.max("seq").alias("seq"))
+        rows = delta.join(newest, [KEY, "seq"], "left_semi") if several else delta
         if base is None:
             return rows.select(*cols)
-        return base.join(newest, same, "left_anti").select(*cols).unionByName(rows.select(*cols))
+        keys = newest.select(KEY).repartition(buckets, KEY) if buckets else newest.select(KEY)   # dealt like the base's buckets
+        return base.join(keys.hint("merge"), KEY, "left_anti").select(*cols).unionByName(rows.select(*cols))
+
+    def _read(self, upto: int | None, cases: Cases | None = None) -> DataFrame:
+        base, ids = self.state(upto)
+        kept = self.read_base(base) if base else None
+        delta = self.read_deltas(ids) if ids else None
+        if cases is not None:
+            kept = cases.of(kept, base[1]) if kept is not None else None
+            delta = cases.of(delta) if delta is not None else None
+        return self._union(kept, delta, len(ids) > 1, base[1] if base else 0)
 
     def read(self, upto: int | None = None) -> DataFrame:
-        """The table as of a batch (default: the newest)."""
-        base, ids = self._state(upto)
-        return self._union(self._base(base) if base else None, self._deltas(ids) if ids else None, len(ids) > 1)
+        """The table as of a merge (default: the newest)."""
+        return self._read(upto).select(*self.schema.names)
+
+    def read_cases(self, cases: Cases, upto: int | None = None) -> DataFrame:
+        """The rows of some cases: with few of them, of their buckets only."""
+        return self._read(upto, cases).select(*self.schema.names)
 
     def read_case(self, case: str) -> DataFrame:
         """One case's rows: one bucket of the base, and a pushed filter on the deltas."""
-        base, ids = self._state(None)
-        pick = F.col(self.case) == F.lit(case)
-        kept = self._base(base).where((F.col("bucket") == bucket_of(F.lit(case), base[1])) & pick) if base else None
-        return self._union(kept, self._deltas(ids).where(pick) if ids else None, len(ids) > 1)
-
-    # -- writing
-    def put(self, batch: int, rows: DataFrame) -> None:
-        """Write whole cases as batch ``batch``; a replay overwrites its own folder only."""
-        w = rows.select(*self.schema.names).write.mode("overwrite")
-        (w.partitionBy(*self.parts) if self.parts else w).parquet(f"{self.path}/delta/batch={batch}")
+        one = self.spark.range(1).select(F.lit(case).cast("string").alias(self.case))
+        return self.read_cases(Cases(one, self.case))
 
-    def delta(self, batch: int) -> DataFrame:
-        """The rows that batch ``batch`` wrote."""
-        return self._deltas([batch]).select(*self.schema.names)
+    def delta(self, seq: int) -> DataFrame:
+        """The rows that merge ``seq`` wrote."""
+        return self.read_deltas([seq]).select(*self.schema.names)
 
-    def merge(self, batch: int, rows: DataFrame, rebuild: Callable[[DataFrame], DataFrame]) -> None:
-        """Rebuild the cases that ``rows`` touch, from the state before ``batch``, and put them."""
-        self.put(batch, rebuild(rows_to_rebuild(self.read(upto=batch - 1), rows, self.case)))
+    def merge(self, source: int | str, rows: DataFrame, rebuild: Callable[[DataFrame], DataFrame]) -> int | None:
+        """Rebuild the cases that ``rows`` touch, from the newest state, and put them; None if ``source`` is in already."""
+        if str(source) in self.sources():
+            return None
+        old = self.read_cases(Cases(rows, self.case))
+        return self.put(source, rebuild(old.unionByName(rows, allowMissingColumns=True)))
 
     def fold(self) -> None:
-        """A new base of the current state, in buckets whose number follows the size, sorted by case."""
+        """A new base of the current state."""
         ids = self.deltas()
-        if not ids:
-            return
-        rows = self.read()
-        buckets = max(1, math.ceil(frame_bytes(rows) / BUCKET_BYTES))
-        (rows.withColumn("bucket", bucket_of(F.col(self.case), buckets)).hint("rebalance", "bucket")
-         .sortWithinPartitions("bucket", self.case).write.mode("overwrite").partitionBy("bucket", *self.parts)
-         .parquet(f"{self.path}/base/upto={ids[-1]}~{buckets}"))
-
-    def clean(self, keep_bases: int = 1) -> None:
-        """Delete what no reader of the newest ``keep_bases`` bases needs. Run it when no older version is read."""
-        kept = self.bases()[-keep_bases:]
-        if not kept:
-            return
-        for b in self.bases()[:-keep_bases]:
-            delete_path(self.spark, f"{self.path}/base/upto={b[0]}~{b[1]}")
-        for d in self.deltas():
-            if d <= kept[0][0]:
-                delete_path(self.spark, f"{self.path}/delta/batch={d}")
+        if ids and ids[-1] > max((b for b, _ in self.bases()), default=-1):
+            self.write_base(self.read(), ids[-1])

@@ -1,8 +1,7 @@
 """DuckDB SQL that states each registered query independently of Spark.
 
-Silver's window columns are the plain statement (lag, row_number); everything above
-it is written from the meaning at another grain than the Spark side: one row per case for the
-dashboards, key expressions instead of look-ups for the fact, distinct combinations for the
+Everything is written from the meaning, in another way than the Spark side: silver from one ordered
+list of events per case, the dashboards from one row per case, key expressions instead of look-ups for the fact, distinct combinations for the
 dimensions. Tables are the driver's pre-registered views. Types are cast to
 what Spark returns.
 """
@@ -46,33 +45,42 @@ mov AS (
   FROM lineitem l JOIN hdr h ON l.l_orderkey = h.o_orderkey
 )"""
 
-CNJ = "regexp_replace(numero_processo, '[^0-9]', '', 'g')"
-PAT = "'([0-9]{7})([0-9]{2})([0-9]{4})([0-9])([0-9]{2})([0-9]{4})'"
-
-SILVER = f"""
-parsed AS (
-  SELECT *,
-    regexp_extract({CNJ}, {PAT}, 1) AS cnj_sequencial,
-    regexp_extract({CNJ}, {PAT}, 2) AS cnj_digitos,
-    TRY_CAST(regexp_extract({CNJ}, {PAT}, 3) AS INTEGER) AS cnj_ano,
-    TRY_CAST(regexp_extract({CNJ}, {PAT}, 4) AS INTEGER) AS cnj_justica,
-    TRY_CAST(regexp_extract({CNJ}, {PAT}, 5) AS INTEGER) AS cnj_cod_tribunal,
-    regexp_extract({CNJ}, {PAT}, 6) AS cnj_origem
-  FROM mov
+# The parts of a 20-digit case number: name, first digit, digits, whether a number.
+_PARTS = (("cnj_sequencial", 1, 7, False), ("cnj_digitos", 8, 2, False), ("cnj_ano", 10, 4, True),
+          ("cnj_justica", 14, 1, True), ("cnj_cod_tribunal", 15, 2, True), ("cnj_origem", 17, 4, False))
+
+
+def _part(name: str, at: int, size: int, number: bool) -> str:
+    text = f"if(length(digitos) = 20, substr(digitos, {at}, {size}), '')"
+    return f"{f'TRY_CAST({text} AS INTEGER)' if number else text} AS {name}"
+
+
+def silver_of(name: str, source: str) -> str:
+    """A silver CTE ``name`` over the flat CTE ``source``, without window functions: a case is the ordered list of its
+    events, an event's neighbour the entry before it, and the latest event the last entry."""
+    days = lambda a, b: f"CAST(CAST({b} AS DATE) - CAST({a} AS DATE) AS INTEGER)"
+    return f"""
+{name}__listas AS (
+  SELECT list(s ORDER BY data_movimento NULLS FIRST, codigo_movimento NULLS FIRST) AS linhas,
+         list(data_movimento ORDER BY data_movimento NULLS FIRST, codigo_movimento NULLS FIRST) AS horas
+  FROM {source} s GROUP BY numero_processo
+),
+{name}__linhas AS (
+  SELECT unnest(linhas) AS linha, unnest([NULL] || horas[1:len(horas) - 1]) AS anterior,
+         unnest(range(1, len(linhas) + 1)) = len(linhas) AS is_ultimo_movimento
+  FROM {name}__listas
 ),
-silver AS (
-  SELECT *,
-    CAST(date_diff('day', CAST(data_ajuizamento AS DATE), CAST(data_movimento AS DATE)) AS INTEGER)
-      AS dias_desde_ajuizamento,
-    CAST(date_diff('day', CAST(lag(data_movimento) OVER w_asc AS DATE), CAST(data_movimento AS DATE)) AS INTEGER)
-      AS dias_desde_ultimo_movimento,
-    row_number() OVER w_desc = 1 AS is_ultimo_movimento
-  FROM parsed
-  WINDOW
-    w_asc AS (PARTITION BY numero_processo ORDER BY data_movimento ASC NULLS FIRST, codigo_movimento ASC NULLS FIRST),
-    w_desc AS (PARTITION BY numero_processo ORDER BY data_movimento DESC NULLS LAST, codigo_movimento DESC NULLS LAST)
+{name} AS (
+  SELECT * EXCLUDE (anterior, digitos), {', '.join(_part(*p) for p in _PARTS)},
+         {days('data_ajuizamento', 'data_movimento')} AS dias_desde_ajuizamento,
+         {days('anterior', 'data_movimento')} AS dias_desde_ultimo_movimento
+  FROM (SELECT *, regexp_replace(numero_processo, '[^0-9]', '', 'g') AS digitos
+        FROM (SELECT unnest(linha), anterior, is_ultimo_movimento FROM {name}__linhas))
 )"""
 
+
+SILVER = silver_of("silver", "mov")
+
 # Movement code ranges of the phases.
 PHASES = """
 fases(de, ate, fase) AS (VALUES (1, 99, 'distribuição'), (100, 199, 'conhecimento'), (200, 299, 'instrução'),
@@ -149,13 +157,6 @@ casos AS (
 )"""
 
 
-def silver_of(name: str, source: str) -> str:
-    """A silver CTE ``name`` computed over the flat CTE ``source``."""
-    body = SILVER.replace("parsed AS (", f"{name}__p AS (").replace("FROM mov\n", f"FROM {source}\n")
-    body = body.replace("silver AS (", f"{name} AS (").replace("FROM parsed\n", f"FROM {name}__p\n")
-    return body
-
-
 BASE = "WITH " + ",".join([HDR, MOV, SILVER])
 GOLD = ",".join([BASE, DIMS, fact_of("fato", "silver")])
 

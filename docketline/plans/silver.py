@@ -49,15 +49,12 @@ def flatten_hits(bronze: DataFrame, keep_ingest: bool = True) -> DataFrame:
 
 
 def hot_cases_from_bronze(bronze: DataFrame, hot_case_rows: int, stored: DataFrame | None = None) -> DataFrame:
-    """Hot cases counted from the nested hits (one array size per hit, no explode) and,
-    for the cases in them, from the stored rows they will be rebuilt with."""
+    """Hot cases counted from the nested hits (one array size per hit, no explode) and
+    from the stored rows of their cases, which they will be rebuilt with."""
     case = F.col("_source.numeroProcesso").alias("numero_processo")
     counts = bronze.select(case, F.coalesce(F.size("_source.movimentos"), F.lit(0)).alias("__m")).where(F.col("__m") > 0)
     if stored is not None:
-        cases = bronze.select(case.alias("__case")).distinct()
-        old = (stored.select("numero_processo").join(cases, F.col("numero_processo").eqNullSafe(F.col("__case")), "left_semi")
-               .groupBy("numero_processo").agg(F.count(F.lit(1)).cast("int").alias("__m")))
-        counts = counts.unionByName(old)
+        counts = counts.unionByName(stored.groupBy("numero_processo").agg(F.count(F.lit(1)).cast("int").alias("__m")))
     return hot_cases(counts, "numero_processo", "__m", hot_case_rows)
 
 

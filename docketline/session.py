@@ -95,6 +95,12 @@ def path_stamp(spark: SparkSession, path: str) -> str:
     return f"{c.getLength()}:{c.getFileCount()}:{fs.getFileStatus(p).getModificationTime()}"
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Summed length of the files under ``path``."""
+    fs, p = _hadoop(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop(spark, path)
     fs.delete(p, True)

@@ -9,6 +9,7 @@ Lines (splittable; what ``write_hits`` produces by default at scale).
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,7 +100,7 @@ class BronzeTable:
     """Bronze as plain parquet, a folder per batch: ``<path>/batch=<number>~<tag>``.
 
     A tag (a stream's batch id, or a reload's name) keeps its number, so a replayed
-    batch overwrites its own folder; numbers follow the order of arrival. Rows that could not be
+    batch overwrites its own folder. Rows that could not be
     read are in the same folders, with ``_corrupt_record``.
     """
 
@@ -114,7 +115,13 @@ class BronzeTable:
         return sorted(self._names(True))
 
     def put(self, tag: str, hits: DataFrame) -> int:
-        """A2 append: write one batch; its number is returned."""
+        """A2 append: write one batch; its number is returned. One writer at a time.
+
+        Numbers tell the order in which writes began: what is read downstream goes by which batches are
+        complete, never by the greatest number.
+        """
+        if not re.fullmatch(r"[\w.-]+", tag):
+            raise ValueError(f"a tag is letters, digits, '_', '-' and '.': {tag}")
         names = self._names(False)
         number = next((i for i, n in names.items() if n.split("~")[1] == tag), max(names, default=-1) + 1)
         hits.write.mode("overwrite").parquet(f"{self.path}/batch={number}~{tag}")

@@ -129,8 +129,8 @@ def test_interrupted_write_and_replay(spark):
     after = everything(t.read())
     # a crash after the rows were written but before the commit: the batch is not seen, and a replay completes it
     from docketline.session import delete_path
-    delete_path(spark, f"{t.path}/delta/batch=1/_SUCCESS")
-    assert everything(t.read()) == before and t.batches() == {0}
+    delete_path(spark, f"{t.path}/delta/seq=1~1/_SUCCESS")
+    assert everything(t.read()) == before and t.sources() == {"0"}
     t.merge(1, second, rebuild)
     assert everything(t.read()) == after
     t.merge(1, second, rebuild)

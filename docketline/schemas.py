@@ -36,6 +36,8 @@ HIT = T.StructType([
 
 # A landed line that is no JSON object is kept whole in this column.
 CORRUPT = "_corrupt_record"
+# Names of known fields whose landed value had another type; the value is null.
+CHANGED = "_changed_fields"
 
 # Bronze = hit + unreadable line + source tag + ingest time + parsed filing time.
 BRONZE = T.StructType(HIT.fields + [

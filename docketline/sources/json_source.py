@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.parse import parse_filing_ts
-from ..schemas import BRONZE, CORRUPT, HIT
-from ..session import child_names, complete_children
+from ..schemas import BRONZE, CHANGED, CORRUPT, HIT
+from ..session import child_names, complete_children, delete_path
 
 # Hits per landed array file (the search API's page size).
 HITS_PER_FILE = 500
@@ -74,6 +74,85 @@ def read_hits(spark: SparkSession, path: str | list[str], multiline: bool = True
             .withColumn("filed_at", parse_filing_ts(F.col("_source.dataAjuizamento"))))
 
 
+# ---- lines whose field types change (A2, B1)
+
+def read_variants(spark: SparkSession, path: str | list[str], ingest_ts: str | None = None) -> DataFrame:
+    """JSON lines as (hit variant, _corrupt_record, tribunal, data_ingestao): each is parsed once, whatever its fields' types.
+
+    A line that is no JSON object is kept as text in ``_corrupt_record``; an array of hits is taken apart.
+    """
+    v = (spark.read.schema(f"hit variant, {CORRUPT} string").option("singleVariantColumn", "hit").option("recursiveFileLookup", True)
+         .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    ts = F.current_timestamp() if ingest_ts is None else F.to_timestamp(F.lit(ingest_ts))
+    many = F.try_variant_get("hit", "$", "array<variant>")
+    v = v.select(F.explode(F.coalesce(many, F.array("hit"))).alias("hit"), CORRUPT, source_tag_from_path().alias("tribunal"), ts.alias("data_ingestao"))
+    is_object = F.coalesce(F.schema_of_variant("hit").startswith("OBJECT"), F.lit(False))
+    return v.select(F.when(is_object, F.col("hit")).alias("hit"),
+                    F.coalesce(CORRUPT, F.when(~is_object, F.coalesce(F.to_json("hit"), F.lit("null")))).alias(CORRUPT), "tribunal", "data_ingestao")
+
+
+def _at(path: str, name: str) -> str:
+    return f"{path}['{name}']"
+
+
+def _typed(v: Column, path: str, kind: T.DataType) -> Column:
+    """A field of a variant as a type; null where the value is of another kind."""
+    if isinstance(kind, T.StructType):
+        fields = [_typed(v, _at(path, f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(F.try_variant_get(v, path, "map<string,variant>").isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(F.try_variant_get(v, path, "array<variant>"), lambda x: _typed(x, "$", kind.elementType))
+    return F.try_variant_get(v, path, kind.simpleString())
+
+
+def _changed(v: Column, path: str, kind: T.DataType, name: str = "") -> list[Column]:
+    """The name of each field that has a value of another kind than ``kind``, else null."""
+    value = F.try_variant_get(v, path, "variant")
+    there = value.isNotNull() & ~F.is_variant_null(value)
+
+    def within(fields: list[T.StructField], x: Column, at: str) -> list[Column]:
+        return [c for f in fields for c in _changed(x, _at(at, f.name), f.dataType, f"{name}.{f.name}".lstrip("."))]
+
+    if isinstance(kind, T.StructType):
+        other = F.when(there & F.try_variant_get(v, path, "map<string,variant>").isNull(), F.lit(name))
+        return [other, *within(kind.fields, v, path)]
+    if not isinstance(kind, T.ArrayType):
+        return [F.when(there & F.try_variant_get(v, path, kind.simpleString()).isNull(), F.lit(name))]
+    items, out = F.try_variant_get(v, path, "array<variant>"), []
+    if isinstance(kind.elementType, T.StructType):
+        def has(field: T.StructField) -> Column:
+            return F.exists(items, lambda x: F.coalesce(*within([field], x, "$")).isNotNull())
+
+        out = [F.when(has(f), F.lit(f"{name}.{f.name}")) for f in kind.elementType.fields]
+    return [F.when(there & items.isNull(), F.lit(name)), *out]
+
+
+def _as_text(known: T.DataType, seen: T.DataType) -> T.DataType:
+    """``known`` with the fields that only ``seen`` has, as text: their types may change from batch to batch."""
+    if isinstance(known, T.StructType) and isinstance(seen, T.StructType):
+        types = {f.name: f.dataType for f in seen.fields}
+        fields = [T.StructField(f.name, _as_text(f.dataType, types.get(f.name, f.dataType))) for f in known.fields]
+        return T.StructType(fields + [T.StructField(f.name, T.StringType()) for f in seen.fields if f.name not in known.names])
+    if isinstance(known, T.ArrayType) and isinstance(seen, T.ArrayType):
+        return T.ArrayType(_as_text(known.elementType, seen.elementType))
+    return known
+
+
+def typed_hits(variants: DataFrame, schema: T.StructType = HIT) -> DataFrame:
+    """Bronze rows of ``read_variants`` (best of a stored table: it is read twice, once for its fields).
+
+    A known field whose value has another type is null, and its name is in ``_changed_fields``; the rest of the
+    hit is kept. Fields that ``schema`` does not know are added as text (objects as JSON). Unreadable lines are kept.
+    """
+    found = variants.where(F.col("hit").isNotNull()).agg(F.schema_of_variant_agg("hit").alias("s")).first()["s"]
+    seen = T.DataType.fromDDL(found.replace("OBJECT<", "STRUCT<")) if found and found.startswith("OBJECT<") else schema
+    known, v = _as_text(schema, seen), F.col("hit")
+    changed = F.filter(F.array(*_changed(v, "$", schema)), lambda x: x.isNotNull())
+    return (variants.select(*[_typed(v, _at("$", f.name), f.dataType).alias(f.name) for f in known.fields], CORRUPT,
+                            changed.alias(CHANGED), "tribunal", "data_ingestao")
+            .withColumn("filed_at", parse_filing_ts(F.col("_source.dataAjuizamento"))))
+
+
 def write_hits(hits: DataFrame, path: str, layout: str = "lines",
                hits_per_file: int = HITS_PER_FILE) -> None:
     """Land hits under ``path/tribunal=<x>/`` as JSON Lines or as JSON-array files.
@@ -135,6 +214,21 @@ class BronzeTable:
         """Landed lines that could not be read, with their source and ingest time."""
         return self._all(batch).where(F.col(CORRUPT).isNotNull()).select("tribunal", "data_ingestao", CORRUPT)
 
+    def put_lines(self, tag: str, path: str | list[str], schema: T.StructType = HIT, ingest_ts: str | None = None) -> int:
+        """A2 append of landed JSON lines, each parsed once: as variants into a folder aside, then typed into the batch."""
+        stage = f"{self.path}/_stage/{tag}"
+        read_variants(self.spark, path, ingest_ts).write.mode("overwrite").parquet(stage)
+        number = self.put(tag, typed_hits(self.spark.read.parquet(stage), schema))
+        delete_path(self.spark, stage)
+        return number
+
+    def changed_fields(self) -> DataFrame:
+        """(tribunal, field, hits): values of another type than the field's, which are null in bronze."""
+        rows = self._all(None)
+        if CHANGED not in rows.columns:
+            return self.spark.createDataFrame([], "tribunal string, field string, hits bigint")
+        return rows.select("tribunal", F.explode(CHANGED).alias("field")).groupBy("tribunal", "field").agg(F.count(F.lit(1)).alias("hits"))
+
     def _all(self, batch: int | None) -> DataFrame:
         names = self._names(True)
         picked = [names[i] for i in (sorted(names) if batch is None else [batch])]

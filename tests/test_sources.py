@@ -119,3 +119,25 @@ def test_database_is_created_once(spark):
     ensure_database(spark, name)
     assert spark.catalog.databaseExists(name)
     spark.sql(f"DROP DATABASE {name}")
+
+
+def test_changed_types_cost_a_field_and_not_the_hit(spark, tmp_path):
+    import json
+
+    from docketline.plans.medallion import Medallion
+    from .test_medallion import hit, land, rows
+
+    root = str(tmp_path)
+    odd = hit("A", (1, "a", "2020-01-01"), (2, "b", "2020-01-05"), nivelSigilo="alto", nova={"k": [1]})
+    odd["_source"]["movimentos"][1]["codigo"] = "x"
+    flat_moves = hit("B", (1, "a", "2020-01-01"), movimentos={"codigo": 1}, nova=7)
+    land(root, "one", odd, flat_moves, json.dumps([hit("C", (1, "c", "2020-02-01"))]), "[1, 2]", '"text"', '{"_id": "broken')
+    land(root, "two", hit("D", (1, "d", "2020-02-01"), nova="text", classe="Classe"), court="TJPR")
+    p = Medallion(spark, root, "2022-01-01")
+    p.ingest(f"{root}/landing/*/*.json")
+    assert rows(p.silver(), "numero_processo", "codigo_movimento", "nivel_sigilo") == [
+        ("A", 1, None), ("A", None, None), ("C", 1, 0), ("D", 1, 0)]
+    assert rows(p.changed_fields(), "tribunal", "field", "hits") == [
+        ("TJPR", "_source.classe", 1), ("TJRS", "_source.movimentos", 1), ("TJRS", "_source.movimentos.codigo", 1), ("TJRS", "_source.nivelSigilo", 1)]
+    assert rows(p.bronze(), "_source.numeroProcesso", "_source.nova") == [("A", '{"k":[1]}'), ("B", "7"), ("C", None), ("D", "text")]
+    assert p.rejects().count() == 4

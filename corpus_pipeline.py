@@ -8,10 +8,10 @@ the columns of ``documents``; a null text comes out of a rewriting stage as an e
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docketline.llm.common import keyed, scratch, table
+from docketline.llm.common import scratch, table
 from docketline.llm.decontaminate import decontaminate
 from docketline.llm.jaccard_join import jaccard_components
 from docketline.llm.line_dedup import drop_common_lines
@@ -33,32 +33,44 @@ def _others(docs: DataFrame) -> list[str]:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score of 0.7 or more go."""
+    """Documents with a toxicity score of 0.7 or more go. Every row is scored for itself: null ids, repeated rows
+    and ties make no difference; null and empty texts have a score too. An empty table gives no rows."""
     out = score_toxicity(docs, table(spark, sf_dir, "labels"), carry=docs.columns)
     return out.where("predicted = 0").select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more go from all of them."""
+    """Lines found in ten documents or more go from all of them. Rows that repeat id and text count as one document and
+    each stay; a null text comes out empty. An empty table gives no rows."""
     return _rewritten(docs, drop_common_lines(docs, min_docs=10, min_chars=1, carry=_others(docs)), "kept")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles at 0.8, the smallest id stays."""
-    groups = jaccard_components(docs, k=5, percent=80)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("kid", "kth").distinct()
-    row = keyed(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), "doc_id", "text", "_row")
-    return row.join(stay, ["kid", "kth"], "left_semi").select("_row.*")
+    """Of documents linked by five-word shingles at 0.8, one stays: the one with the smallest id (null ids last; ties by a hash of the text).
+
+    Rows that repeat both id and text are one document, of which one row stays, the least by its columns. Null and
+    empty texts are linked with nothing; an empty table gives no rows.
+    """
+    text = F.coalesce("text", F.lit(""))
+    named = docs.withColumn("_document", F.xxhash64(F.col("doc_id").isNull(), "doc_id", text))
+    groups = jaccard_components(named, id_col="_document", k=5, percent=80).select(F.col("doc_id").alias("_document"), "component_id")
+    order = named.select("_document", F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(text), "_document").alias("at"))
+    stay = groups.join(order, "_document").groupBy("component_id").agg(F.min("at").alias("at")).select("at._document")
+    first = Window.partitionBy("_document").orderBy(*[F.col(f"`{c}`") for c in docs.columns])
+    return (named.join(stay, "_document", "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1")
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark windows of ten words are cut out; documents of which they cover half or more go."""
+    """Benchmark windows of ten words are cut out; documents of which they cover half or more go. Every row is cut for
+    itself, whatever its id; null and empty texts stay, as empty ones. An empty table gives no rows."""
     out = decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, drop_share=0.5, carry=_others(docs))
     return _rewritten(docs, out.where("keep"), "text")
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): the token ids with an end id."""
+    """(doc_id, n_tokens, ids): the token ids with an end id. A row per row, whatever its id; null and empty texts have the
+    end id alone. An empty table gives no rows."""
     out = encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 

@@ -20,7 +20,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     want = con.execute(ORACLE[name])
     cols = [c[0] for c in want.description]
@@ -105,3 +105,22 @@ def test_run_gives_the_last_stage(spark, corpus):
     got = C.run(spark, corpus[0])
     assert got.columns == ["doc_id", "n_tokens", "ids"] and got.count() > 300
     assert got.where("n_tokens <> size(ids)").count() == 0
+
+
+def test_near_duplicates_keep_one_row_of_each_group(spark):
+    base = prose(1, 100, 10**6)
+    near = base.replace(base.split()[50], "changed")
+    other = prose(2, 100, 10**6)
+    rows = [(None, base), (None, near), (None, base), (5, other), (5, other), (5, other.replace(other.split()[20], "x")), (6, other),
+            (7, None), (7, None), (8, ""), (None, ""), (9, "short text"), (10, "Short text"), (3, prose(3, 50))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = C.near_duplicates(spark, docs, SMALL).collect()
+    ids = sorted((r.doc_id for r in got), key=repr)
+    assert ids == sorted([None, 5, 7, 8, None, 9, 3], key=repr) and got[0].__fields__ == COLUMNS
+    assert len({r.text for r in got if r.doc_id is None}) == 2
+
+
+@pytest.mark.parametrize("name,stage", C.STAGES)
+def test_stages_take_an_empty_table(spark, name, stage):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
+    assert stage(spark, docs, SMALL).count() == 0

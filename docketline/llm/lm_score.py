@@ -328,27 +328,12 @@ def _by_slices(batches):
                    b.column("doc_id")[k].values, ~b.column("held_out")[k].values.to_numpy(zero_copy_only=False))
 
 
-def _seen(read):
-    """How often a context's continuation occurs elsewhere too, by order and level of the context."""
+def _probed(read, shared):
+    """One pass over all texts: a row per text with its exact base over the words of the broadcast table, the other words
+    with their counts, and ``lv``: by order, the level of the begin marks and of the n-gram that ends at each token, a byte each."""
     def run(batches):
-        total = np.zeros((ORDER + 1, len(COUNT)), np.int64)
-        seen = np.zeros_like(total)
-        for x, _, train in read(batches):
-            own = train[x.doc]
-            for n in _ORDERS:
-                total[n] += np.bincount(x.context[n][own], minlength=len(COUNT))
-                seen[n] += np.bincount(x.context[n][own & (x.levels[n] > 0)], minlength=len(COUNT))
-        n, lv = np.nonzero(total)
-        yield pa.record_batch({"n": pa.array(n), "level": pa.array(lv), "total": pa.array(total[n, lv]), "seen": pa.array(seen[n, lv])})
-    return run
-
-
-def _score(read, shared):
-    """Row results; words beyond the broadcast table of frequent words are listed with their counts for a join."""
-    def run(batches):
-        weight, words, counts, n_total, n_words = shared.value
-        norm = n_total + DELTA * (n_words + 1)
-        for x, doc_id, _ in read(batches):
+        words, counts = shared.value
+        for x, doc_id, train in read(batches):
             doc, cuts, n_docs = x.doc, x.cuts, len(x.cuts) - 1
             keys, inv = np.unique(x.tok, return_inverse=True)
             i = np.searchsorted(words, keys)
@@ -357,29 +342,71 @@ def _score(read, shared):
             exact = np.where(common, np.log10((counts[i] if len(words) else 0) + DELTA), 0.0)
             known = common[inv]
             base = np.bincount(doc, weights=exact[inv], minlength=n_docs)
-            # the model: quantised counts by probes, orders interpolated by how often contexts of a level go on as seen
-            p = (COUNT[x.levels[1]] + DELTA) / norm
+            rare = np.flatnonzero(~known)
+            pairs = np.stack([doc[rare], inv[rare]], 1)
+            pairs, tf = np.unique(pairs, axis=0, return_counts=True) if len(rare) else (pairs, np.zeros(0, np.int64))
+            at = np.searchsorted(pairs[:, 0], np.arange(n_docs + 1))
+            h = pa.array(keys[pairs[:, 1]].view(np.int64))
+            lists = lambda v, t: pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), v.cast(t))
+            size = np.diff(cuts)
+            offs = np.r_[0, np.cumsum(ORDER * (size + 1))]
+            place = offs[doc] + 1 + np.arange(len(doc)) - cuts[:-1][doc]
+            lv = np.zeros(int(offs[-1]), np.uint8)
+            for n in range(1, ORDER + 1):
+                lv[place + (n - 1) * (size + 1)[doc]] = x.levels[n]
+                if n < ORDER:                               # the context of a text's first token
+                    lv[offs[:-1] + (n - 1) * (size + 1)] = x.context[n + 1][cuts[:-1]]
+            yield pa.record_batch({
+                "doc_id": doc_id, "held_out": pa.array(~train), "n_tokens": pa.array(size.astype(np.int64)),
+                "n_common": pa.array(np.bincount(doc, weights=known, minlength=n_docs).astype(np.int64)),
+                "base": pa.array(base), "rare": lists(h, pa.int64()), "tf": lists(pa.array(tf), pa.int64()),
+                "lv": pa.Array.from_buffers(pa.binary(), n_docs, [None, pa.py_buffer(offs.astype(np.int32)), pa.py_buffer(lv)])})
+    return run
+
+
+def _stored_levels(batches):
+    """(rows, text index of each token, levels and contexts by order) of some stored texts at a time."""
+    for c in text_chunks(batches, col="lv"):
+        size = np.diff(c.offs) // ORDER - 1
+        cuts = np.r_[0, np.cumsum(size)]
+        doc = np.repeat(np.arange(len(c)), size)
+        place = c.offs[:-1][doc] + 1 + np.arange(len(doc)) - cuts[:-1][doc]
+        step = (size + 1)[doc]
+        level = {n: c.data[place + (n - 1) * step] for n in range(1, ORDER + 1)}
+        yield c.rows, doc, level, {n: c.data[place - 1 + (n - 2) * step] for n in _ORDERS}
+
+
+def _seen(batches):
+    """How often a context's continuation occurs elsewhere too, by order and level of the context; over training texts."""
+    total = np.zeros((ORDER + 1, len(COUNT)), np.int64)
+    seen = np.zeros_like(total)
+    for rows, doc, level, context in _stored_levels(batches):
+        own = ~rows.column("held_out").to_numpy(zero_copy_only=False).astype(bool)[doc]
+        for n in _ORDERS:
+            total[n] += np.bincount(context[n][own], minlength=len(COUNT))
+            seen[n] += np.bincount(context[n][own & (level[n] > 0)], minlength=len(COUNT))
+    n, lv = np.nonzero(total)
+    yield pa.record_batch({"n": pa.array(n), "level": pa.array(lv), "total": pa.array(total[n, lv]), "seen": pa.array(seen[n, lv])})
+
+
+def _score(weight: np.ndarray, norm: float):
+    """The model's score from stored levels: orders interpolated by how often contexts of a level go on as seen."""
+    def run(batches):
+        for rows, doc, level, context in _stored_levels(batches):
+            n_docs = rows.num_rows
+            p = (COUNT[level[1]] + DELTA) / norm
             per_order = [np.bincount(doc, weights=np.log10(p), minlength=n_docs)]
             for n in _ORDERS:
-                lv = x.context[n]
-                share = np.minimum(COUNT[x.levels[n]] / np.maximum(COUNT[lv], 1), 1.0)
+                lv = context[n]
+                share = np.minimum(COUNT[level[n]] / np.maximum(COUNT[lv], 1), 1.0)
                 w = weight[n][lv]
                 p = w * share + (1 - w) * p
                 per_order.append(np.bincount(doc, weights=np.log10(p), minlength=n_docs))
             # each order explains a text as a whole, with equal prior weight
             top = np.max(per_order, axis=0)
             score = top + np.log10(sum(10 ** (x - top) for x in per_order) / len(per_order))
-            rare = np.flatnonzero(~known)
-            pairs = np.stack([doc[rare], inv[rare]], 1)
-            pairs, tf = np.unique(pairs, axis=0, return_counts=True) if len(rare) else (pairs, np.zeros(0, np.int64))
-            at = np.searchsorted(pairs[:, 0], np.arange(n_docs + 1))
-            h = pa.array(keys[pairs[:, 1]].view(np.int64))
-            lists = lambda x, t: pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), x.cast(t))
-            yield pa.record_batch({
-                "doc_id": doc_id, "n_tokens": pa.array(np.diff(cuts).astype(np.int64)),
-                "n_common": pa.array(np.bincount(doc, weights=known, minlength=n_docs).astype(np.int64)),
-                "base": pa.array(base), "score": pa.array(score.astype(np.float64)),
-                "rare": lists(h, pa.int64()), "tf": lists(pa.array(tf), pa.int64())})
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in ("row", "doc_id", "n_tokens", "n_common", "base")),
+                                              pa.array(score.astype(np.float64))], names=["row", "doc_id", "n_tokens", "n_common", "base", "score"])
     return run
 
 
@@ -394,9 +421,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     1. Counting: distinct n-grams of each chunk, dealt by hash; a bucket sums exact word counts, and fills
        its slice of the filter with all words and with n-grams of at least ``cutoff`` occurrences (as count
        cut-offs do; cut ones fall back to the shorter n-gram).
-    2. One pass over the training texts gives each context level the weight of its continuations.
-    3. Scoring is narrow. The words from a count on, at most ``table_words``, are broadcast with exact counts;
-       the others of a text are joined with the counts by hash.
+    2. One narrow pass over all texts probes every n-gram once and writes the levels found, a byte each. The words from a
+       count on, at most ``table_words``, are broadcast with exact counts; the others of a text are joined with the counts by hash.
+    3. The levels of the training texts give each context level the weight of its continuations, and with these weights
+       the levels of all texts give the scores.
 
     The filter grows with the distinct (n-gram, level) pairs counted, ``BITS_PER_PAIR`` each, so its error rate does not
     depend on the input. It is broadcast up to ``broadcast_bytes``. A larger one stays in its slices, a bucket of the
@@ -429,36 +457,36 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for r in slices.toLocalIterator():
             words[starts[r["bucket"]]:starts[r["bucket"] + 1]] = np.frombuffer(r["slice"], U64)
         read = _whole_filter(sc.broadcast(LogFrequencyFilter(words, log2b, starts)), cutoff)
-        learn = rows.where(~F.col("held_out"))
     else:
         chunks = materialise(rows.mapInArrow(_tokenised, _CHUNK).withColumn("chunk", F.monotonically_increasing_id()), "chunks")
         asked = chunks.select("chunk", "tok", "cuts").mapInArrow(_ask(log2b), _ASKED)
         answers = slices.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer(cutoff), _ANSWERED)
-        rows = learn = materialise(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_levelled, _LEVELLED), "levels")
+        rows = materialise(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_levelled, _LEVELLED), "levels")
         read = _by_slices
 
-    weight = np.zeros((ORDER + 1, len(COUNT)))
-    for r in (learn.mapInArrow(_seen(read), "n long, level long, total long, seen long")
-              .groupBy("n", "level").agg(F.sum("total").alias("total"), F.sum("seen").alias("seen")).collect()):
-        weight[r["n"], r["level"]] = 0.0 if r["level"] == 0 else min(0.999, r["seen"] / (r["total"] + 1))
-
     exact = counted.select("words", "counts").mapInArrow(_unpack, "h long, c long")
     cut = _table_cut(exact, table_words)
     common = np.array([(r["h"], r["c"]) for r in exact.where(_octave() >= cut).toLocalIterator()], np.int64).reshape(-1, 2)
     keys = common[:, 0].copy().view(U64)
     order = np.argsort(keys)
-    shared = sc.broadcast((weight, keys[order], common[order, 1], n_total, n_words))
-
+    shared = sc.broadcast((keys[order], common[order, 1]))
     scored = materialise(rows.mapInArrow(
-        _score(read, shared), "doc_id long, n_tokens long, n_common long, base double, score double, rare array<long>, tf array<long>")
-        .withColumn("row", F.monotonically_increasing_id()), "scored")
+        _probed(read, shared), "doc_id long, held_out boolean, n_tokens long, n_common long, base double, rare array<long>, tf array<long>, lv binary")
+        .withColumn("row", F.monotonically_increasing_id()), "probed")
+
+    weight = np.zeros((ORDER + 1, len(COUNT)))
+    for r in (scored.select("held_out", "lv").mapInArrow(_seen, "n long, level long, total long, seen long")
+              .groupBy("n", "level").agg(F.sum("total").alias("total"), F.sum("seen").alias("seen")).collect()):
+        weight[r["n"], r["level"]] = 0.0 if r["level"] == 0 else min(0.999, r["seen"] / (r["total"] + 1))
     rest = (scored.select("row", F.explode(F.arrays_zip("rare", "tf")).alias("x")).select("row", F.col("x.rare").alias("h"), F.col("x.tf").alias("tf"))
             .join(exact.where(_octave() < cut), "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
             .groupBy("row").agg(F.sum(F.col("tf") * F.log10(F.col("c") + DELTA)).alias("more"),
                                 F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("n_more")))
     norm = math.log10(n_total + DELTA * (n_words + 1))
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == held_fold, F.lit(False))
-    return (scored.drop("rare", "tf").join(rest, "row", "left")
+    model = scored.select("row", "doc_id", "n_tokens", "n_common", "base", "lv").mapInArrow(
+        _score(weight, n_total + DELTA * (n_words + 1)), "row long, doc_id long, n_tokens long, n_common long, base double, score double")
+    return (model.join(rest, "row", "left")
             .select("doc_id", held.alias("held_out"), "n_tokens",
                     (F.col("n_common") + F.coalesce("n_more", F.lit(0))).alias("n_known"),
                     F.lit(n_total).cast("long").alias("train_tokens"),

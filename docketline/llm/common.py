@@ -226,46 +226,56 @@ def pack_buckets(keys: np.ndarray, log2: int) -> list[tuple[int, np.ndarray]]:
 
 def repeated_keys(texts: DataFrame, keys_of: Callable[[Chunk], np.ndarray | tuple[np.ndarray, np.ndarray]],
                   total_bytes: int, max_log2: int = 26) -> KeyFilter:
-    """The filter of the keys that occur twice or more in ``texts`` (column ``text``, binary). If ``keys_of``
-    gives (keys, tags), of the keys that occur with two different tags (32 bits).
+    """The filter of one kind of keys, see ``repeated_kinds``."""
+    return repeated_kinds(texts, lambda c: [keys_of(c)], 1, total_bytes, max_log2)[0]
+
+
+def repeated_kinds(texts: DataFrame, keys_of: Callable[[Chunk], list], kinds: int, total_bytes: int,
+                   max_log2: int = 26) -> list[KeyFilter]:
+    """For each of ``kinds`` kinds of keys, from one pass over ``texts`` (column ``text``, binary): the filter of
+    those that occur twice or more. Where ``keys_of`` gives (keys, tags) for a kind, of the keys that occur with two
+    different tags (32 bits).
 
     Each task reduces a chunk's keys to distinct ones and ships four bytes for
     each (and the tag), dealt by the key's top bits; keys that repeat within the chunk are
     marked, so a hot key costs a few bytes a chunk. Each bucket sets its own
     slice of the bitmap. The bitmap never exceeds 2**max_log2 bits (8 MB), so
     gathering and broadcasting it is bounded; a fuller one only passes more keys.
+    Rows of all kinds are grouped by (kind, bucket).
     """
     log2b = min(buckets_log2(total_bytes), 16)
     log2 = min(max_log2, max(20, log2b + 3, math.ceil(math.log2(max(1, total_bytes / 4)))))
 
     def emit(batches):
         for c in text_chunks(batches):
-            found = keys_of(c)
-            keys, tags = found if isinstance(found, tuple) else (found, None)
-            if tags is not None:                       # the first tag of each key; another one marks the key
-                order = np.lexsort((tags, keys))
-                keys, tags = keys[order], tags[order]
-                head = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
-                last = np.r_[head[1:] - 1, len(keys) - 1][:len(head)]
-                many = tags[head] != tags[last]
-                keys, tags = keys[head], tags[head]
-            else:
-                keys, count = sorted_counts(keys)
-                many = count > 1
             parts = {}
-            once = keys[~many]
-            for b, low in pack_buckets(keys[many], log2b):
-                parts.setdefault(b, {})["many"] = low.tobytes()
-            at, tag = 0, tags[~many] if tags is not None else None
-            for b, low in pack_buckets(once, log2b):
-                p = parts.setdefault(b, {})
-                p["once"] = low.tobytes()
-                p["tags"] = tag[at:at + len(low)].tobytes() if tag is not None else b""
-                at += len(low)
+            for kind, found in enumerate(keys_of(c)):
+                deal(parts, kind << log2b, *(found if isinstance(found, tuple) else (found, None)))
             yield pa.record_batch({
                 "bucket": pa.array(list(parts), pa.int32()),
                 **{n: pa.array([p.get(n, b"") for p in parts.values()], pa.binary()) for n in ("once", "tags", "many")}})
 
+    def deal(parts, base, keys, tags):
+        if tags is not None:                       # the first tag of each key; another one marks the key
+            order = np.lexsort((tags, keys))
+            keys, tags = keys[order], tags[order]
+            head = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+            last = np.r_[head[1:] - 1, len(keys) - 1][:len(head)]
+            many = tags[head] != tags[last]
+            keys, tags = keys[head], tags[head]
+        else:
+            keys, count = sorted_counts(keys)
+            many = count > 1
+        once = keys[~many]
+        for b, low in pack_buckets(keys[many], log2b):
+            parts.setdefault(base + b, {})["many"] = low.tobytes()
+        at, tag = 0, tags[~many] if tags is not None else None
+        for b, low in pack_buckets(once, log2b):
+            p = parts.setdefault(base + b, {})
+            p["once"] = low.tobytes()
+            p["tags"] = tag[at:at + len(low)].tobytes() if tag is not None else b""
+            at += len(low)
+
     def gather(t: pa.Table) -> pa.Table:
         read = lambda col, kind: np.frombuffer(b"".join(t.column(col).to_pylist()), kind)
         once, many, tags = read("once", np.uint32), np.unique(read("many", np.uint32)), read("tags", np.uint32)
@@ -281,9 +291,9 @@ def repeated_keys(texts: DataFrame, keys_of: Callable[[Chunk], np.ndarray | tupl
 
     rows = (texts.select("text").mapInArrow(emit, "bucket int, once binary, tags binary, many binary")
             .groupBy("bucket").applyInArrow(gather, "bucket int, seg binary")).collect()
-    bits = np.zeros(1 << (log2 - 3), np.uint8)
+    bits = np.zeros(kinds << (log2 - 3), np.uint8)         # kind after kind
     step = 1 << (log2 - log2b - 3)
     for r in rows:
         bits[r["bucket"] * step:(r["bucket"] + 1) * step] = np.frombuffer(r["seg"], np.uint8)
     del rows
-    return KeyFilter(bits, log2)
+    return [KeyFilter(part, log2) for part in np.split(bits, kinds)]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketline.llm.common import (_C3, LOWER, U64, Chunk, hash_spans, keyed, materialise, mix, repeated_keys, text_bytes,
+from docketline.llm.common import (_C3, LOWER, U64, Chunk, hash_spans, keyed, materialise, mix, repeated_kinds, text_bytes,
                                    text_chunks, word_spans)
 from docketline.llm.jaccard_join import links, plain_entries
 from docketline.llm.suffix_dedup import _LAST, _cut
@@ -25,19 +25,18 @@ def tune_bands(similarity: float, recall: float, rows: int = 2) -> int:
     return bands
 
 
-class Passages:
-    """A chunk's units: paragraphs, and pieces for repeats inside them.
+class Cuts:
+    """A chunk's words and where its texts are cut into pieces.
 
-    A paragraph is a block of lines between blank lines; in a text without blank lines, each line. Pieces run over
-    line breaks, cut at words whose pair hash is the least within ``reach`` words. Such cuts depend on the near words
-    only, so a passage repeated within other text is cut alike; they are more than ``reach`` words apart, so only a
-    text's first and last piece can be shorter. Units under ``least_words`` words are left out.
+    Pieces run over line breaks, cut at words whose pair hash is the least within ``reach`` words. Such cuts depend on
+    the near words only, so a passage repeated within other text is cut alike; they are more than ``reach`` words
+    apart, so only a text's first and last piece can be shorter.
     """
 
-    def __init__(self, c: Chunk, reach: int, least_words: int, k: int = 5):
+    def __init__(self, c: Chunk, reach: int):
         lower = LOWER[c.data]
-        starts, ends, doc = word_spans(lower, c.offs)
-        h = hash_spans(lower, starts, ends)
+        self.starts, ends, doc = word_spans(lower, c.offs)
+        h = hash_spans(lower, self.starts, ends)
         n = len(h)
         pair = mix(h * U64(3) + np.r_[h[1:], U64(0)][:n]) if n else h
         pair[np.flatnonzero(np.r_[doc[1:] != doc[:-1], True][:n])] = _TOP
@@ -50,23 +49,48 @@ class Passages:
         right = np.full(n, _TOP)
         for d in range(1, reach + 1):
             right = np.minimum(right, room[np.minimum(at + d, len(room) - 1)])
-        cut = (pair < least) & (pair <= right) & (pair < _TOP)
-        text = np.r_[True, doc[1:] != doc[:-1]][:n]
-        line = np.searchsorted(np.flatnonzero(c.data[:int(c.offs[-1])] == 10), starts)
+        self.text = np.r_[True, doc[1:] != doc[:-1]][:n]       # words that begin a text, and those that begin a piece
+        self.cut = self.text | ((pair < least) & (pair <= right) & (pair < _TOP))
+        self.words, self.doc, self.reach = h, doc, reach
+        self.piece_at = np.r_[np.flatnonzero(self.cut), n]
+        self.text_at = np.searchsorted(doc, np.arange(len(c) + 1))
+
+    def around(self, text: int, number: int, size: int) -> tuple[bytes, bytes]:
+        """The words before (nearest first) and after a piece of a text, as 32 bits each, so far as a repeat can go on
+        without the next piece being equal too: to the next cut and the words that it depends on."""
+        a = int(self.text_at[text]) + number
+        b = a + size
+        reach = self.reach + 2
+        p, q = np.searchsorted(self.piece_at, [a, b])
+        low = max(int(self.text_at[text]), int(self.piece_at[max(p - 1, 0)]) - reach)
+        high = min(int(self.text_at[text + 1]), int(self.piece_at[min(q + 1, len(self.piece_at) - 1)]) + reach)
+        short = lambda x: (x >> U64(32)).astype(np.uint32).tobytes()
+        return short(self.words[low:a][::-1]), short(self.words[b:high])
+
+
+class Passages(Cuts):
+    """A chunk's units: paragraphs, and pieces for repeats inside them.
+
+    A paragraph is a block of lines between blank lines; in a text without blank lines, each line. Units under
+    ``least_words`` words are left out.
+    """
+
+    def __init__(self, c: Chunk, reach: int, least_words: int, k: int = 5):
+        super().__init__(c, reach)
+        h, doc, text = self.words, self.doc, self.text
+        n = len(h)
+        line = np.searchsorted(np.flatnonzero(c.data[:int(c.offs[-1])] == 10), self.starts)
         breaks = np.where(text, 0, np.r_[0, line[1:] - line[:-1]][:n])
         blank = np.bincount(doc[breaks > 1], minlength=len(c)) > 0
-        self.text_at = np.searchsorted(doc, np.arange(len(c) + 1))
-        self.words, self.k, self.reach = h, k, reach
+        self.k = k
         m = max(0, n - k + 1)
         self.shingles = np.full(m, U64(k))                     # that start at each word; a unit's are those that end in it
         for j in range(k):
             self.shingles = mix((self.shingles ^ h[j:j + m]) + _C3)
         first, last, content = [], [], []
-        for kind, new in enumerate((text | cut, text | (breaks > np.where(blank, 1, 0)[doc]))):
+        for kind, new in enumerate((self.cut, text | (breaks > np.where(blank, 1, 0)[doc]))):
             a = np.flatnonzero(new)
             b = np.r_[a[1:], n][:len(a)]
-            if not kind:
-                self.piece_at = np.r_[a, n]
             # equal word sequences have equal content keys
             place = (np.arange(n) - np.repeat(a, b - a))[:m].astype(U64)
             terms = mix(self.shingles * U64(0x9E3779B97F4A7C15) + place)
@@ -86,37 +110,26 @@ class Passages:
         return fold.reduceat(np.r_[values, U64(0)], np.stack([a, b - self.k + 1], 1).ravel())[::2]
 
     def band_keys(self, bands: int, rows: int) -> np.ndarray:
-        """One key per paragraph and band, from ``rows`` minima of the hashed shingles each."""
+        """One key per paragraph and band, from ``rows`` minima each of the shingles, permuted by odd factors."""
         a, b = self.first[self.n_pieces:], self.last[self.n_pieces:]
         out = np.empty((len(a), bands), U64)
+        factor = mix(np.arange(1, bands * rows + 1, dtype=U64) * _C3) | U64(1)
         for band in range(bands):
             key = np.full(len(a), U64(band))
-            for r in range(rows):
-                salt = U64((2 * (band * rows + r) + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+            for f in factor[band * rows:(band + 1) * rows]:
                 if len(key):
-                    key = mix(key * U64(0x2545F4914F6CDD1D) + self._over(np.minimum, mix(self.shingles ^ salt), a, b))
+                    key = mix(key * U64(0x2545F4914F6CDD1D) + self._over(np.minimum, self.shingles * f, a, b))
             out[:, band] = key
         return out
 
-    def around(self, i: int) -> tuple[bytes, bytes]:
-        """The words before (nearest first) and after a piece, as 32 bits each, so far as a repeat can go on without the
-        next piece being equal too: to the next cut and the words that it depends on."""
-        a, b, d = int(self.first[i]), int(self.last[i]), self.owner[i]
-        reach = self.reach + 2
-        p, q = np.searchsorted(self.piece_at, [a, b])
-        low = max(int(self.text_at[d]), int(self.piece_at[max(p - 1, 0)]) - reach)
-        high = min(int(self.text_at[d + 1]), int(self.piece_at[min(q + 1, len(self.piece_at) - 1)]) + reach)
-        short = lambda x: (x >> U64(32)).astype(np.uint32).tobytes()
-        return short(self.words[low:a][::-1]), short(self.words[b:high])
-
 
-_UNITS = ("kid long, kth long, oid long, number int, words int, content long, n int, "
-          "hs array<long>, bins array<int>, bands array<long>, before binary, after binary")
+_UNITS = ("kid long, kth long, oid long, number int, words int, piece boolean, content long, n int, "
+          "hs array<long>, bins array<int>, bands array<long>")
 
 
 def _units(same, near, p: dict):
     """The units that repeat, and the paragraphs that have a band key that another one has too; the latter with their
-    shingles and such keys, once per distinct paragraph of a chunk; pieces with the words around them."""
+    shingles and such keys, once per distinct paragraph of a chunk."""
     def emit(batches):
         equal, seen = same.value, near.value
         for c in text_chunks(batches):
@@ -125,28 +138,44 @@ def _units(same, near, p: dict):
             hit = seen.has(keys.ravel()).reshape(keys.shape)
             meets = np.r_[np.zeros(u.n_pieces, bool), hit.any(1)]
             rows = np.flatnonzero(meets | equal.has(u.content))
-            _, lead = np.unique(u.content[rows], return_index=True)
-            lead = {i for i in rows[lead].tolist() if meets[i]}
-            hs, bins, bands, n = [], [], [], []
-            for i in rows.tolist():
-                if i in lead:
-                    s = np.unique(u.shingles[u.first[i]:u.last[i] - u.k + 1])
-                    own = i - u.n_pieces
-                    n.append(len(s))
-                    hs.append(s.view(np.int64))
-                    bins.append(np.bincount((s >> U64(59)).astype(np.int64), minlength=32))
-                    bands.append(np.unique(keys[own][hit[own]]).view(np.int64))
-                else:
-                    n.append(None), hs.append(None), bins.append(None), bands.append(None)
-            around = [u.around(i) if i < u.n_pieces else (b"", b"") for i in rows.tolist()]
+            lead = np.flatnonzero(meets)
+            lead = lead[np.unique(u.content[lead], return_index=True)[1]]
+            sets = [np.unique(u.shingles[u.first[i]:u.last[i] - u.k + 1]) for i in lead]
+            slot = np.full(len(u.content), -1)
+            slot[lead] = np.arange(len(lead))
+            slot = pa.array(slot[rows], mask=slot[rows] < 0)
+            with_sets = {                                      # null but for the leading rows
+                "n": pa.array([len(s) for s in sets], pa.int32()),
+                "hs": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                "bins": pa.array([np.bincount((s >> U64(59)).astype(np.int64), minlength=32) for s in sets], pa.list_(pa.int32())),
+                "bands": pa.array([np.unique(keys[i][hit[i]]).view(np.int64) for i in lead - u.n_pieces], pa.list_(pa.int64()))}
             own = u.owner[rows]
-            i32 = lambda x: pa.array(x[rows].astype(np.int32))
+            i32 = lambda x: pa.array(x[rows].astype(np.int32))  # noqa: B023, E731
+            yield pa.record_batch({
+                **{x: pa.array(c.column(x)[own]) for x in ("kid", "kth", "oid")}, "number": i32(u.number), "words": i32(u.size),
+                "piece": pa.array(rows < u.n_pieces), "content": pa.array(u.content[rows].view(np.int64)),
+                **{name: x.take(slot) for name, x in with_sets.items()}})
+    return emit
+
+
+_CONTEXT = "kid long, kth long, content long, number int, words int, source long, before binary, after binary"
+
+
+def _contexts(reach: int):
+    """The words around the pieces listed in ``places``, per text."""
+    def emit(batches):
+        for c in text_chunks(batches):
+            u = Cuts(c, reach)
+            rows, around, places = [], [], c.rows.column("places").to_pylist()
+            for i, listed in enumerate(places):
+                for x in listed:
+                    rows.append(i), around.append(u.around(i, x["number"], x["words"]))
+            flat = [x for listed in places for x in listed]
+            col = lambda name, kind: pa.array([x[name] for x in flat], kind)  # noqa: B023, E731
             yield pa.record_batch({
-                "kid": pa.array(c.column("kid")[own]), "kth": pa.array(c.column("kth")[own]), "oid": pa.array(c.column("oid")[own]),
-                "number": i32(u.number), "words": i32(u.size),
-                "content": pa.array(u.content[rows].view(np.int64)), "n": pa.array(n, pa.int32()),
-                "hs": pa.array(hs, pa.list_(pa.int64())), "bins": pa.array(bins, pa.list_(pa.int32())),
-                "bands": pa.array(bands, pa.list_(pa.int64())), "before": pa.array([x for x, _ in around], pa.binary()),
+                **{x: c.rows.column(x).take(pa.array(rows, pa.int64())) for x in ("kid", "kth")},
+                "content": col("content", pa.int64()), "number": col("number", pa.int32()), "words": col("words", pa.int32()),
+                "source": col("source", pa.int64()), "before": pa.array([x for x, _ in around], pa.binary()),
                 "after": pa.array([x for _, x in around], pa.binary())})
     return emit
 
@@ -166,7 +195,7 @@ def _extended(batches):
         right = np.array([_alike(x, y) for x, y in zip(col("after"), col("after0"))], np.int32)
         low = b.column("number").to_numpy()
         yield pa.record_batch({"kid": b.column("kid"), "kth": b.column("kth"), "low": pa.array(low - left),
-                               "high": pa.array(low + b.column("words").to_numpy() + right), "source": b.column("source"), "comp": b.column("comp")})
+                               "high": pa.array(low + b.column("words").to_numpy() + right), "source": b.column("source"), "comp": b.column("content")})
 
 
 def _runs(min_words: int, gap: int):
@@ -219,14 +248,15 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words or more with what it touches. ``source_ids`` are the documents that keep the passages.
 
     1. Paragraphs' MinHash bands (``tune_bands``: pairs at the threshold collide with probability ``recall``).
-       Bounded bitmaps (``repeated_keys``) tell the units that repeat, and the band keys of different paragraphs;
+       Bounded bitmaps (``repeated_kinds``, one pass for both) tell the units that repeat, and the band keys of different paragraphs;
        the other ones collide with nothing.
     2. Equal units become one class; classes of paragraphs that share a band are joined where their counts by hash range
        allow the similarity, and verified by exact Jaccard similarity of their ``k``-word shingles (``percent``), each
        against a pivot and then across what is still apart (``links``). Pieces meet as equal ones only.
-    3. Components are clusters; the first occurrence by (id, place) stays. Only its id and, for pieces, the words around
-       it go to the others, which extend word by word to where the repeat of the first occurrence ends. Runs go on over
-       less than ``least_words`` words between two repeats of one source.
+    3. Components are clusters; the first occurrence by (id, place) stays. Pieces that have no such neighbour in their
+       document are compared word by word with what stands around the first occurrence, to where the repeat ends: a second
+       narrow pass reads the words around these pieces only. Runs go on over less than ``least_words`` words between two
+       repeats of one source.
 
     Repeats within one document, and between rows of equal ids, stay. Null ids count as larger than any id.
     Null and empty texts have no passages; an empty table gives no rows.
@@ -237,39 +267,55 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", "kid", "kth", F.coalesce("doc_id", F.lit(_LAST)).alias("oid"), F.col("text").cast("binary").alias("text"))
     total = text_bytes(src)
 
-    def band_keys(c):
+    def unit_keys(c):
         u = Passages(c, reach, least_words, k)
         tag = (u.content[u.n_pieces:] & U64(0xFFFFFFFF)).astype(np.uint32)
-        return u.band_keys(p["bands"], rows).ravel(), np.repeat(tag, p["bands"])
+        return [u.content, (u.band_keys(p["bands"], rows).ravel(), np.repeat(tag, p["bands"]))]
 
-    sc = spark.sparkContext
-    same = sc.broadcast(repeated_keys(src, lambda c: Passages(c, reach, least_words, k).content, total, 26))
-    near = sc.broadcast(repeated_keys(src, band_keys, total))
+    same, near = (spark.sparkContext.broadcast(x) for x in repeated_kinds(src, unit_keys, 2, total))
     units = materialise(src.mapInArrow(_units(same, near, p), _UNITS), "passages")
 
-    # equal passages are one class; only classes that share a key with another class can be near copies
-    place = F.min(F.struct("oid", "kid", "kth", "number", "before", "after"))
-    classes = materialise(units.groupBy("content").agg(place.alias("first"), F.max("oid").alias("most"))
-                          .withColumn("rid", F.monotonically_increasing_id()), "classes")
+    # only paragraphs that share a key with another one can be near copies
     keys = (units.where("bands is not null").groupBy("content").agg(F.first("bands").alias("bands"))
             .select("content", F.explode("bands").alias("h")))
     met = keys.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     keys = materialise(keys.join(met, "h", "left_semi"), "met")
-    some = (units.where("hs is not null").join(keys.select("content").distinct(), "content", "left_semi")
-            .groupBy("content").agg(F.first(F.struct("n", "hs", "bins")).alias("x")).select("content", "x.*"))
-    sets = materialise(some.join(classes.select("content", "rid"), "content"), "sets")
-    entries = plain_entries(keys.join(sets.select("content", "rid", "n", "bins"), "content"))
-    _, comp = links(materialise(entries, "bands"), sets.select("rid", "n", "hs", "bins"), percent, 32)
-    named = (classes.join(comp.select(F.col("node").alias("rid"), "comp"), "rid", "left")
-             .withColumn("comp", F.coalesce("comp", "rid")))
-    cluster = (named.groupBy("comp").agg(F.min("first").alias("first"), F.max("most").alias("most"))
-               .where(F.col("first.oid") < F.col("most")))
-    tag = named.select("content", "comp").join(cluster.select("comp", F.col("first.oid").alias("source"),
-                                                            F.col("first.before").alias("before0"), F.col("first.after").alias("after0")), "comp")
-    gone = (units.select("kid", "kth", "oid", "number", "words", "before", "after", "content").join(tag, "content")
-            .where("oid > source")
-            .mapInArrow(_extended, "kid long, kth long, low int, high int, source long, comp long")
-            .groupBy("kid", "kth").agg(F.collect_set(F.struct("low", "high", "source", "comp")).alias("units")))
+    sets = materialise(units.where("hs is not null").join(keys.select("content").distinct(), "content", "left_semi")
+                       .groupBy(F.col("content").alias("rid")).agg(F.first(F.struct("n", "hs", "bins")).alias("x")).select("rid", "x.*"), "sets")
+    entries = plain_entries(keys.withColumnRenamed("content", "rid").join(sets.select("rid", "n", "bins"), "rid"))
+    _, comp = links(materialise(entries, "bands"), sets, percent, 32)
+
+    # equal units (key and size) are one class; a class is its own cluster, but for linked paragraphs
+    classes = units.groupBy("content", "words").agg(F.min("oid").alias("source"), F.max("oid").alias("most"))
+    linked = classes.join(comp.select(F.col("node").alias("content"), "comp"), "content")
+    cluster = linked.groupBy("comp").agg(F.min("source").alias("source"), F.max("most").alias("most"))
+    linked = linked.select("content", "words", "comp").join(cluster, "comp")
+    alone = classes.join(comp.select(F.col("node").alias("content")), "content", "left_anti").withColumn("comp", F.col("content"))
+    late = alone.unionByName(linked).where("source < most").drop("most")
+    beside = Window.partitionBy("kid", "kth", "source", "piece").orderBy("number")
+    gone = materialise(
+        units.select("kid", "kth", "oid", "number", "words", "piece", "content").join(late, ["content", "words"])
+        .where("oid > source").drop("oid").repartition("kid", "kth")
+        .withColumn("end", F.col("number") + F.col("words"))
+        .withColumn("outer", F.expr("piece") & (~F.lag("end").over(beside).eqNullSafe(F.col("number"))
+                                                | ~F.lead("number").over(beside).eqNullSafe(F.col("end")))), "gone")
+
+    # what stands around the outer pieces of runs and around the first occurrences of these
+    ends = gone.where("outer").select("kid", "kth", "content", "number", "words", "source")
+    firsts = (units.where("piece").select("kid", "kth", "content", "number", "words", "oid")
+              .join(ends.select("content", "words", F.col("source").alias("oid")).distinct(), ["content", "words", "oid"], "left_semi")
+              .groupBy("content", "words").agg(F.min(F.struct("kid", "kth", "number")).alias("at"))
+              .select("at.*", "content", "words", F.lit(None).cast("long").alias("source")))
+    places = (ends.unionByName(firsts).groupBy("kid", "kth")
+              .agg(F.collect_set(F.struct("content", "number", "words", "source")).alias("places")))
+    around = materialise(src.join(places.hint("shuffle_hash"), ["kid", "kth"]).select("kid", "kth", "text", "places")
+                         .mapInArrow(_contexts(reach), _CONTEXT), "around")
+    first = (around.where("source is null").select("content", "words", F.col("before").alias("before0"), F.col("after").alias("after0"))
+             .dropDuplicates(["content", "words"]))
+    span = "kid long, kth long, low int, high int, source long, comp long"
+    longer = around.where("source is not null").join(first, ["content", "words"]).mapInArrow(_extended, span)
+    plain = gone.select("kid", "kth", F.col("number").alias("low"), F.col("end").alias("high"), "source", "comp")
+    gone = plain.unionByName(longer).groupBy("kid", "kth").agg(F.collect_set(F.struct("low", "high", "source", "comp")).alias("units"))
     runs = gone.mapInArrow(_runs(min_words, least_words), "kid long, kth long, spans array<binary>, source_ids array<long>, components array<long>")
     marked = src.join(runs.where(F.size("spans") > 0).hint("shuffle_hash"), ["kid", "kth"], "left")
 

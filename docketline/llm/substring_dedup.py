@@ -25,6 +25,11 @@ def tune_bands(similarity: float, recall: float, rows: int = 2) -> int:
     return bands
 
 
+def _factors(n: int) -> np.ndarray:
+    """Odd 64-bit factors without a pattern."""
+    return mix(np.arange(1, n + 1, dtype=U64) * _C3) | U64(1)
+
+
 class Cuts:
     """A chunk's words and where its texts are cut into pieces.
 
@@ -43,14 +48,15 @@ class Cuts:
         at = np.arange(n) + (doc + 1) * reach                  # texts stand apart, so that none sees its neighbour
         room = np.full(n + (len(c) + 1) * reach + 1, _TOP)
         room[at] = pair
-        least = np.full(n, _TOP)
-        for d in range(1, reach + 1):
-            least = np.minimum(least, room[at - d])
-        right = np.full(n, _TOP)
-        for d in range(1, reach + 1):
-            right = np.minimum(right, room[np.minimum(at + d, len(room) - 1)])
+        least = room                                           # of the next ``have`` places
+        have = 1
+        while have < reach:
+            step = min(have, reach - have)
+            least = np.minimum(least[:-step], least[step:])
+            have += step
+        left, right = least[at - reach], least[at + 1]
         self.text = np.r_[True, doc[1:] != doc[:-1]][:n]       # words that begin a text, and those that begin a piece
-        self.cut = self.text | ((pair < least) & (pair <= right) & (pair < _TOP))
+        self.cut = self.text | ((pair < left) & (pair <= right) & (pair < _TOP))
         self.words, self.doc, self.reach = h, doc, reach
         self.piece_at = np.r_[np.flatnonzero(self.cut), n]
         self.text_at = np.searchsorted(doc, np.arange(len(c) + 1))
@@ -85,8 +91,9 @@ class Passages(Cuts):
         self.k = k
         m = max(0, n - k + 1)
         self.shingles = np.full(m, U64(k))                     # that start at each word; a unit's are those that end in it
-        for j in range(k):
-            self.shingles = mix((self.shingles ^ h[j:j + m]) + _C3)
+        for j, f in enumerate(_factors(k)):
+            self.shingles += h[j:j + m] * f                    # words are hashes, so a sum with other factors tells their order
+        self.shingles = mix(self.shingles)
         first, last, content = [], [], []
         for kind, new in enumerate((self.cut, text | (breaks > np.where(blank, 1, 0)[doc]))):
             a = np.flatnonzero(new)
@@ -113,12 +120,15 @@ class Passages(Cuts):
         """One key per paragraph and band, from ``rows`` minima each of the shingles, permuted by odd factors."""
         a, b = self.first[self.n_pieces:], self.last[self.n_pieces:]
         out = np.empty((len(a), bands), U64)
-        factor = mix(np.arange(1, bands * rows + 1, dtype=U64) * _C3) | U64(1)
-        for band in range(bands):
+        at = np.stack([a, b - self.k + 1], 1).ravel()
+        room = np.r_[self.shingles, U64(0)]
+        held = np.empty_like(room)
+        for band, factors in enumerate(_factors(bands * rows).reshape(bands, rows)):
             key = np.full(len(a), U64(band))
-            for f in factor[band * rows:(band + 1) * rows]:
+            for f in factors:
                 if len(key):
-                    key = mix(key * U64(0x2545F4914F6CDD1D) + self._over(np.minimum, self.shingles * f, a, b))
+                    least = np.minimum.reduceat(np.multiply(room, f, out=held), at)[::2]
+                    key = mix(key * U64(0x2545F4914F6CDD1D) + least)
             out[:, band] = key
         return out
 

@@ -48,7 +48,7 @@ def _merge_round(runs: DataFrame, shift: int, fan: int, slots: int, largest: boo
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest",
-                     fan_log2: int = 3) -> DataFrame:
+                     fan_log2: int = 3, rounds: int | None = None) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row per input row.
 
     Texts are equal when their bytes are; null counts as empty. A run entry is a
@@ -59,7 +59,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``2**fan_log2`` partners swap the entries that differ in the r-th digit of
     the digest, merge what they get and keep one entry per digest. A hot text
     is thus one entry per partition from the first round on, and no task ever
-    holds more than its share of the digests.
+    holds more than its share of the digests. Unless given, ``rounds`` grows with the rows,
+    so that a partition has about 16 MB of entries. Texts of any length enter as digests only.
 
     A null id never stays where an id exists; among rows that tie (repeated ids,
     or only null ids) exactly one row is kept. An empty table gives no rows.
@@ -74,7 +75,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.monotonically_increasing_id().alias("row")), "digests")
 
     total = rows.count() * 64
-    rounds = max(1, -(-max(1, (total >> 24).bit_length()) // fan_log2))
+    rounds = rounds or max(1, -(-max(1, (total >> 24).bit_length()) // fan_log2))
     slots = 1 << (rounds * fan_log2)
     worst = -(1 << 63) if largest else (1 << 63) - 1
     best = F.max if largest else F.min

@@ -19,10 +19,10 @@ def sha(t):
 
 
 # ---- exact dedup
-@pytest.mark.parametrize("keep", ["largest", "smallest"])
-def test_exact_groups(spark, keep):
+@pytest.mark.parametrize("keep,rounds", [("largest", 1), ("smallest", 1), ("largest", 3), ("smallest", 3)])
+def test_exact_groups(spark, keep, rounds):
     rows = HARD + [(20 + i, "hot") for i in range(50)]
-    got = exact_duplicates(frame(spark, rows), keep=keep, fan_log2=1).collect()
+    got = exact_duplicates(frame(spark, rows), keep=keep, fan_log2=1, rounds=rounds).collect()
     assert len(got) == len(rows)
     best = max if keep == "largest" else min
     for text in {t or "" for _, t in rows}:

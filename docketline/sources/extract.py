@@ -10,7 +10,7 @@ broadcast range join of the hits against one window row per source.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import clamp_date, parse_filing_ts
@@ -51,13 +51,61 @@ def _filed(bronze: DataFrame) -> Column:
     return F.col("filed_at") if "filed_at" in bronze.columns else parse_filing_ts(F.col("_source.dataAjuizamento"))
 
 
-def extract_range(bronze: DataFrame, start: str | Column, end: str | Column) -> DataFrame:
-    """Hits filed in [start 00:00:00, end 23:59:59], nine source fields, in cursor order."""
+def extract_range(bronze: DataFrame, start: str | Column, end: str | Column, *more: str) -> DataFrame:
+    """Hits filed in [start 00:00:00, end 23:59:59], nine source fields (and the columns ``more``), in cursor order."""
     s = F.to_timestamp(F.to_date(start if isinstance(start, Column) else F.lit(start)))
     e = F.to_timestamp(F.to_date(end if isinstance(end, Column) else F.lit(end))) + F.expr("INTERVAL 86399 SECONDS")
     out = bronze.where(_filed(bronze).between(s, e))
     return out.select(F.struct(*[F.col(f"_source.{f}").alias(f) for f in SOURCE_FIELDS]).alias("_source"),
-                      "sort", "tribunal").orderBy("sort")
+                      "sort", "tribunal", *more).orderBy("sort")
+
+
+class PagedExtract:
+    """A12 by cursor: an extract in the order of (``sort``, ``_id``), stored once and read page by page.
+
+    ``write`` range-partitions the hits by the cursor and sorts each slice; a hit's ``slot`` (slice and place in it) grows
+    with the order and is pinned by the write, so hits with equal cursors keep one order. ``borders`` has a row per page
+    with its first and last cursor. A reader that stopped after page k goes on with ``after(k)``: the slots of the next
+    pages are one range, which the scan filters on. Null cursors come first; an empty extract has no pages.
+    One writer; a path is written once.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def write(self, hits: DataFrame, page_rows: int = 500) -> PagedExtract:
+        (hits.repartitionByRange("sort", "_id").sortWithinPartitions("sort", "_id")
+         .withColumn("slot", F.monotonically_increasing_id()).write.parquet(f"{self.path}/hits"))
+        # rows before each slice: one row per slice, as many as the exchange has partitions
+        sizes = (self.spark.read.parquet(f"{self.path}/hits").groupBy(F.shiftright("slot", 33).alias("slice"))
+                 .agg(F.count(F.lit(1)).alias("n")))
+        before = F.coalesce(F.sum("n").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        sizes.select("slice", before.alias("before"), F.lit(page_rows).alias("page_rows")).write.parquet(f"{self.path}/slices")
+        ends = F.struct("slot", "sort", "_id")
+        (self._numbered().groupBy("page").agg(F.count(F.lit(1)).alias("hits"), F.min(ends).alias("first"), F.max(ends).alias("last"))
+         .write.parquet(f"{self.path}/borders"))
+        return self
+
+    def _numbered(self) -> DataFrame:
+        """The stored hits with their page."""
+        slices = self.spark.read.parquet(f"{self.path}/slices")
+        place = F.col("slot").bitwiseAND(F.lit((1 << 33) - 1))
+        hits = self.spark.read.parquet(f"{self.path}/hits").withColumn("slice", F.shiftright("slot", 33))
+        page = F.floor((F.col("before") + place) / F.col("page_rows"))
+        return hits.join(F.broadcast(slices), "slice").withColumn("page", page).drop("slice", "before", "page_rows")
+
+    def borders(self) -> DataFrame:
+        """(page, hits, first, last): ``first`` and ``last`` are structs of slot, sort and _id."""
+        return self.spark.read.parquet(f"{self.path}/borders")
+
+    def after(self, page: int = -1, pages: int | None = None) -> DataFrame:
+        """The hits of the ``pages`` pages after ``page`` (all that are left without it), with ``page`` and ``slot``."""
+        todo = self.borders().where(F.col("page") > page)
+        if pages is not None:
+            todo = todo.where(F.col("page") <= page + pages)
+        lo, hi = todo.agg(F.min("first.slot"), F.max("last.slot")).first()
+        stored = self._numbered()
+        return stored.where(F.lit(False)) if lo is None else stored.where(F.col("slot").between(lo, hi))
 
 
 def watermark_windows(sources: DataFrame, state: DataFrame, end: str,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from docketline.plans.silver import flatten_hits
 from docketline.session import work_dir
 from docketline.sources import fixtures
-from docketline.sources.extract import (advance_watermark, extract_range, read_watermark,
+from docketline.sources.extract import (PagedExtract, advance_watermark, extract_range, read_watermark,
                                         watermark_windows, write_watermark)
 from docketline.sources.json_source import read_hits, write_hits
 
@@ -34,6 +34,26 @@ def test_extract_range_inclusive_bounds(spark):
                                                    "nivelSigilo"}
 
 
+def test_pages_join_to_the_extract(spark):
+    """Ties across borders, repeated and null cursors; a resume after any page repeats and loses nothing."""
+    rows = ([(i, [i // 40], f"id{i:04d}") for i in range(330)] + [(1000 + i, [3], "id0123") for i in range(25)]
+            + [(2000, None, None), (2001, None, "x"), (2002, [5], None)])
+    hits = spark.createDataFrame(rows, "n int, sort array<long>, _id string").repartition(5)
+    p = PagedExtract(spark, work_dir(spark, "t", uuid.uuid4().hex)).write(hits, page_rows=10)
+    borders = sorted(p.borders().collect(), key=lambda r: r.page)
+    assert [r.page for r in borders] == list(range(36)) and [r.hits for r in borders] == [10] * 35 + [8]
+    cursor = lambda x: (x.sort is not None, x.sort or [], x._id is not None, x._id or "")
+    assert all(cursor(a["last"]) <= cursor(b["first"]) for a, b in zip(borders, borders[1:]))
+    for k in (-1, 0, 12, 35):
+        first, rest = p.after(pages=k + 1).collect() if k >= 0 else [], p.after(k).collect()
+        assert {r.page for r in first} == set(range(k + 1)) and {r.page for r in rest} == set(range(k + 1, 36))
+        assert sorted(r.n for r in first + rest) == sorted(n for n, _, _ in rows)
+    plan = p.after(3, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(slot," in plan and "LessThanOrEqual(slot," in plan
+    empty = PagedExtract(spark, work_dir(spark, "t", uuid.uuid4().hex)).write(hits.limit(0))
+    assert empty.borders().count() == 0 and empty.after().count() == 0
+
+
 def test_watermark_precedence_and_advance(spark):
     sources = spark.createDataFrame([("A",), ("B",), ("C",)], "tribunal string")
     state = spark.createDataFrame([("A", "2024-02-30"), ("C", "2025-01-01")], "tribunal string, watermark string")

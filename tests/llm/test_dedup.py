@@ -250,6 +250,42 @@ def test_near_copies_of_paragraphs_go_whole(spark):
     assert bytes(got[2000].kept).strip() == b"own words of it"
 
 
+def test_paragraphs_against_all_pairs(spark):
+    """Clusters of paragraphs by brute force: all pairs, exact Jaccard, components; the smallest document keeps its own."""
+    rng, paras = random.Random(12), {}
+    for i in range(40):                                       # (document, place) -> words; later ones copy earlier ones
+        for j in range(3):
+            w = prose(40_000 + 3 * i + j, rng.randint(25, 120), 10**6).split()
+            if i > 3 and rng.random() < 0.6:
+                w = list(paras[rng.randrange(i), rng.randrange(3)])
+                for _ in range(rng.choice([0, 0, 1, 1, 2, 4, 9])):
+                    w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+            paras[i, j] = w
+    sets = {x: {tuple(w[a:a + 5]) for a in range(len(w) - 4)} for x, w in paras.items()}
+    first, links = {x: x for x in paras}, 0
+    for a, b in itertools.combinations(paras, 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 80 * len(sets[a] | sets[b]):
+            links += 1
+            old, new = sorted([first[a], first[b]])[::-1]
+            first = {x: new if f == old else f for x, f in first.items()}
+    got = {r.doc_id: bytes(r.kept).decode() for r in remove_passages(frame(
+        spark, [(i, "\n\n".join(" ".join(paras[i, j]) for j in range(3))) for i in range(40)], 4)).collect()}
+    assert links > 40
+    runs = lambda w: {tuple(w[a:a + 7]) for a in range(len(w) - 6)}
+    gone = whole = 0
+    for (i, j), w in paras.items():
+        kept = set(got[i].split())
+        if first[i, j][0] < i:
+            elsewhere = {x for k in range(3) if first[i, k][0] == i for x in paras[i, k]}
+            assert not (set(w) - elsewhere) & kept
+            gone += 1
+        elif not any(runs(w) & runs(v) for (k, _), v in paras.items() if k < i):
+            assert " ".join(w) in got[i]
+            whole += 1
+    assert gone > 20 and whole > 20
+
+
 def test_passages_empty(spark):
     assert remove_passages(frame(spark, []).limit(0)).count() == 0
     assert remove_passages(frame(spark, [(1, None)])).first().n_removed == 0

@@ -73,9 +73,11 @@ def _sql_text(v: str) -> str:
 
 
 def run_tests(tables: Mapping[str, DataFrame], tests: list[Test] | None = None,
-              kinds: tuple[str, ...] | None = None) -> DataFrame:
+              kinds: tuple[str, ...] | None = None, seen: Mapping[Test, int] | None = None) -> DataFrame:
     """All tests as one DataFrame (model, column_name, test, severity, failures).
 
+    ``seen``: failures that are known already (``observed``); these tests are not run.
+
     Per model, every not_null, relationships and expression test is one
     conditional count in a single aggregate pass; a relationship is a left
     join to the parent's distinct keys (broadcast when their count allows).
@@ -84,6 +86,11 @@ def run_tests(tables: Mapping[str, DataFrame], tests: list[Test] | None = None,
     """
     tests = [t for t in (tests or GOLD_TESTS) if kinds is None or t.kind in kinds]
     parts: list[DataFrame] = []
+    known = [t for t in tests if t in (seen or {})]
+    if known:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame([(t.model, t.column, t.kind, t.severity, seen[t]) for t in known], RESULT_DDL))
+        tests = [t for t in tests if t not in seen]
     models: dict[str, list[Test]] = {}
     for t in tests:
         if t.kind != "unique":

@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import threading
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,12 +29,13 @@ from ..schemas import FACT_COLUMNS, FACT_DDL, SILVER_COLUMNS, SILVER_DDL
 from ..session import complete_children, path_exists, path_stamp, work_dir
 from ..sources import fixtures
 from . import dims as D
-from .checks import gate, run_tests
+from .checks import RESULT_DDL, Test, gate, run_tests
 from .dims import silver_groups
 from .fact import build_fact
+from .observed import Watch
 from .silver import build_silver
 
-LAYOUT_VERSION = "6"
+LAYOUT_VERSION = "7"
 POINTER_DDL = "version string, upto bigint, published_at timestamp"
 # Folders of the batch-built silver: a case is looked up in one of them.
 SILVER_BUCKETS = 32
@@ -77,6 +79,10 @@ class Gold:
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.table(t) for t in _TABLES}
 
+    def test_results(self) -> DataFrame:
+        """The results of the data tests that this version passed."""
+        return self.spark.read.schema(RESULT_DDL).parquet(f"{self.root}/tests")
+
     def dim(self, name: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
         """A dimension, broadcast only if its measured size is within bounds."""
         df = self.table(f"dim_{name}")
@@ -127,9 +133,12 @@ def write_dims(spark: SparkSession, silver: DataFrame, bronze: DataFrame, root:
     D.dim_assuntos(bronze).write.parquet(f"{root}/dim_assuntos")
 
 
-def check_gold(g: Gold) -> None:
-    """Raises if an error-severity test fails (Q5); the caller publishes only after this returns."""
-    verdict = gate(run_tests({t: g.table(t) for t in _TABLES if t != "silver"})).first()
+def check_gold(g: Gold, seen: Mapping[Test, int] | None = None) -> None:
+    """Runs the data tests but for those ``seen`` while writing, and keeps the results with the version. Raises if
+    an error-severity test fails (Q5); the caller publishes only after this returns."""
+    results = run_tests({t: g.table(t) for t in _TABLES if t != "silver"}, seen=seen)
+    results.coalesce(1).write.mode("overwrite").parquet(f"{g.root}/tests")
+    verdict = gate(g.test_results()).first()
     if not verdict["publish"]:
         raise RuntimeError(f"gold tests failed: {verdict['errors']} error test(s); not published")
 
@@ -153,8 +162,10 @@ def materialize(spark: SparkSession, sf_dir: str, hot_case_rows: int | None = 5_
      .sortWithinPartitions("bucket", "numero_processo").write.partitionBy("bucket").parquet(f"{root}/{version}/silver"))
     g = Gold(spark, f"{root}/{version}")
     write_dims(spark, g.silver, fixtures.subject_hits(spark, sf_dir), g.root)
-    fact(g.silver).write.partitionBy("is_ultimo_movimento").parquet(f"{g.root}/fato_movimentos")
-    check_gold(g)
+    # the fact's tests are counted by the pass that writes it
+    watch = Watch("fato_movimentos", {t: g.table(t) for t in _TABLES if t.startswith("dim_")})
+    watch.over(fact(g.silver)).write.partitionBy("is_ultimo_movimento").parquet(f"{g.root}/fato_movimentos")
+    check_gold(g, watch.seen())
     pointer.move(version)
     return g
 

@@ -134,14 +134,29 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def links(entries: DataFrame, sets: DataFrame, percent: int, classes: int = _CLASSES) -> tuple[DataFrame, DataFrame]:
+def _by_prefix(mixed: DataFrame, sets: DataFrame, percent: int, split: int) -> DataFrame:
+    """``mixed`` with a second key ``e``: a list of at most ``split`` entries stays one list (0); in a longer one an entry
+    stands once for each element of its set's prefix, rarest first among the sets of such lists. Sets that link share
+    one of these, and sets that are only alike seldom do, so a long list falls into short ones."""
+    long = mixed.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") > split).select("h", F.lit(True).alias("long"))
+    mixed = materialise(mixed.join(long, "h", "left").withColumn("long", F.coalesce("long", F.lit(False))), "split")
+    own = sets.join(mixed.where("long").select("rid").distinct(), "rid", "left_semi")
+    e = _entries(own, percent).select("rid", F.col("h").alias("e"))
+    cols = [*mixed.drop("long").columns, "e"]
+    return (mixed.where("not long").withColumn("e", F.lit(0).cast("long")).select(*cols)
+            .unionByName(mixed.where("long").join(e, "rid").select(*cols)))
+
+
+def links(entries: DataFrame, sets: DataFrame, percent: int, classes: int = _CLASSES,
+          split: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(links, components) of the distinct sets ``sets`` (rid, n, hs, bins), whose candidates share
     an element of ``entries`` (h, rid, n, pos, low, own, mass); ``low`` has ``classes`` counts.
 
     First every element's prefix list is joined to one pivot only, the set with the most
     frequent elements (the centre of a group of copies), and the verified links give components.
     Then the pairs of an element's list that are still in different components are
-    joined and verified: pairs of one component need no test, and no pair is lost otherwise.
+    joined and verified: pairs of one component need no test, and no pair is lost otherwise. With ``split``, for
+    elements that are no prefix elements themselves, lists longer than that are taken apart first (``_by_prefix``).
     """
     pivot = (entries.groupBy("h").agg(F.max(F.struct("mass", "rid", "n", "pos", "low", "own")).alias("p"), F.count("*").alias("c"))
              .where("c > 1").select("h", *[F.col(f"p.{c}").alias(f"p{c}") for c in ("rid", "n", "pos", "low", "own")]))
@@ -155,9 +170,10 @@ def links(entries: DataFrame, sets: DataFrame, percent: int, classes: int = _CLA
     # in each list, what is outside its largest component meets the whole list
     lists = placed.groupBy("h", "comp").agg(F.count("*").alias("c"))
     main = lists.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("k")).where("k > 1").select("h", F.col("m.comp").alias("main"))
-    mixed = materialise(placed.join(main, "h"), "mixed")
+    mixed = placed.join(main, "h")
+    mixed = materialise(mixed.withColumn("e", F.lit(0).cast("long")) if split is None else _by_prefix(mixed, sets, percent, split), "mixed")
     minor = _side(mixed.where("comp <> main"), "x")
-    rest = (minor.join(_side(mixed, "y").hint("merge"), "h")
+    rest = (minor.withColumnRenamed("xe", "e").join(_side(mixed, "y").withColumnRenamed("ye", "e").hint("merge"), ["h", "e"])
             .where((F.col("xcomp") != F.col("ycomp")) & ((F.col("ycomp") == F.col("ymain")) | (F.col("xrid") < F.col("yrid"))))
             .where(_fits("x", "y", percent, classes)).select(*_pair("xrid", "yrid")).distinct())
     second = materialise(_verify(rest, sets, percent), "links")

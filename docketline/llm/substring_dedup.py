@@ -250,7 +250,7 @@ def _byte_spans(b: pa.RecordBatch) -> pa.Array:
 
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
                     recall: float = 0.999, rows: int = 2, reach: int = 6, least_words: int = 7,
-                    min_words: int = 20) -> DataFrame:
+                    min_words: int = 20, split: int = 64) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, source_ids, components), one row per input row.
 
     Units are paragraphs, whole, and content-cut pieces for repeats inside paragraphs and across them (``Passages``). A
@@ -262,7 +262,8 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        the other ones collide with nothing.
     2. Equal units become one class; classes of paragraphs that share a band are joined where their counts by hash range
        allow the similarity, and verified by exact Jaccard similarity of their ``k``-word shingles (``percent``), each
-       against a pivot and then across what is still apart (``links``). Pieces meet as equal ones only.
+       against a pivot and then across what is still apart (``links``), where more than ``split`` that share a band
+       must also share a prefix element. Pieces meet as equal ones only.
     3. Components are clusters; the first occurrence by (id, place) stays. Pieces that have no such neighbour in their
        document are compared word by word with what stands around the first occurrence, to where the repeat ends: a second
        narrow pass reads the words around these pieces only. Runs go on over less than ``least_words`` words between two
@@ -293,7 +294,7 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = materialise(units.where("hs is not null").join(keys.select("content").distinct(), "content", "left_semi")
                        .groupBy(F.col("content").alias("rid")).agg(F.first(F.struct("n", "hs", "bins")).alias("x")).select("rid", "x.*"), "sets")
     entries = plain_entries(keys.withColumnRenamed("content", "rid").join(sets.select("rid", "n", "bins"), "rid"))
-    _, comp = links(materialise(entries, "bands"), sets, percent, 32)
+    _, comp = links(materialise(entries, "bands"), sets, percent, 32, split)
 
     # equal units (key and size) are one class; a class is its own cluster, but for linked paragraphs
     classes = units.groupBy("content", "words").agg(F.min("oid").alias("source"), F.max("oid").alias("most"))

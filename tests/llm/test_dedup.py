@@ -4,10 +4,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docketline.llm import suffix_dedup as S
 from docketline.llm.exact_dedup import exact_duplicates
-from docketline.llm.jaccard_join import jaccard_components
+from docketline.llm.jaccard_join import _by_prefix, jaccard_components, links, plain_entries
 from docketline.llm.line_dedup import drop_common_lines
 from docketline.llm.substring_dedup import remove_passages, tune_bands
 from docketline.llm.suffix_dedup import remove_repeats
@@ -250,7 +251,8 @@ def test_near_copies_of_paragraphs_go_whole(spark):
     assert bytes(got[2000].kept).strip() == b"own words of it"
 
 
-def test_paragraphs_against_all_pairs(spark):
+@pytest.mark.parametrize("split", [64, 1])
+def test_paragraphs_against_all_pairs(spark, split):
     """Clusters of paragraphs by brute force: all pairs, exact Jaccard, components; the smallest document keeps its own."""
     rng, paras = random.Random(12), {}
     for i in range(40):                                       # (document, place) -> words; later ones copy earlier ones
@@ -262,16 +264,16 @@ def test_paragraphs_against_all_pairs(spark):
                     w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
             paras[i, j] = w
     sets = {x: {tuple(w[a:a + 5]) for a in range(len(w) - 4)} for x, w in paras.items()}
-    first, links = {x: x for x in paras}, 0
+    first, linked = {x: x for x in paras}, 0
     for a, b in itertools.combinations(paras, 2):
         both = len(sets[a] & sets[b])
         if 100 * both >= 80 * len(sets[a] | sets[b]):
-            links += 1
+            linked += 1
             old, new = sorted([first[a], first[b]])[::-1]
             first = {x: new if f == old else f for x, f in first.items()}
     got = {r.doc_id: bytes(r.kept).decode() for r in remove_passages(frame(
-        spark, [(i, "\n\n".join(" ".join(paras[i, j]) for j in range(3))) for i in range(40)], 4)).collect()}
-    assert links > 40
+        spark, [(i, "\n\n".join(" ".join(paras[i, j]) for j in range(3))) for i in range(40)], 4), split=split).collect()}
+    assert linked > 40
     runs = lambda w: {tuple(w[a:a + 7]) for a in range(len(w) - 6)}
     gone = whole = 0
     for (i, j), w in paras.items():
@@ -286,6 +288,37 @@ def test_paragraphs_against_all_pairs(spark):
     assert gone > 20 and whole > 20
 
 
+def test_long_lists_fall_into_short_ones(spark):
+    """120 sets that share a band and seven tenths of their elements, and a chain of near copies among them: every link
+    is found with the list taken apart, and the list's pairs are few."""
+    rng = random.Random(5)
+    base, sets = list(range(1, 71)), []
+    for i in range(120):
+        sets.append(set(base) | {1000 * (i + 1) + j for j in range(30)})
+    for i in range(10):                                       # near copies: four elements changed, from one to the next
+        prior = sets[-1] if i else sets[0]
+        sets.append(prior - set(rng.sample(sorted(prior), 4)) | {10**6 + 10 * i + j for j in range(4)})
+    mixed_hash = lambda v: (v * 0x9E3779B97F4A7C15 + 0x123456789) % 2**63
+    rows = [(i, len(s), sorted(mixed_hash(v) for v in s)) for i, s in enumerate(sets)]
+    rows = [(i, n, hs, [sum(1 for h in hs if (h >> 58) % 32 == b) for b in range(32)]) for i, n, hs in rows]
+    frame_ = spark.createDataFrame(rows, "rid long, n int, hs array<long>, bins array<int>")
+    entries = plain_entries(frame_.select(F.lit(7).cast("long").alias("h"), "rid", "n", "bins"))
+    want = {x: x for x in range(len(sets))}
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            old, new = sorted([want[a], want[b]])[::-1]
+            want = {x: new if f == old else f for x, f in want.items()}
+    for split in (None, 16):
+        _, comp = links(entries, frame_, 80, 32, split)
+        got = {r.node: r.comp for r in comp.collect()}
+        assert {x: got.get(x, x) for x in want} == want
+    assert len(set(want.values())) == 120
+    mixed = entries.withColumn("comp", F.col("rid"))
+    apart = _by_prefix(mixed, frame_, 80, 16)
+    most = apart.groupBy("h", "e").count().agg(F.max("count")).first()[0]
+    assert most <= 16 < mixed.count()
+
+
 def test_passages_empty(spark):
     assert remove_passages(frame(spark, []).limit(0)).count() == 0
     assert remove_passages(frame(spark, [(1, None)])).first().n_removed == 0

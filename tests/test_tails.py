@@ -16,6 +16,7 @@ from docketline.plans.silver import build_silver
 from docketline.schemas import SILVER_DDL
 from docketline.session import delete_path, work_dir
 
+from .conftest import rows
 from .helpers import ev, flat
 from .test_medallion import STAMP, everything
 
@@ -98,3 +99,18 @@ def test_no_batch_yet(spark):
     kept = MaintainedReports(spark, f"{root}/sums", silver)
     assert kept.update() == [] and kept.congestion_by_court().count() == 0
     assert EventTails(spark, f"{root}/tails", SILVER_DDL, build).read().count() == 0
+
+
+def test_deltas_are_one_scan(spark, tmp_path):
+    """A union of scans lets a join above count on a partitioning that adaptive execution changes."""
+    schema = "numero_processo string, v bigint, is_ultimo_movimento boolean"
+    for parts in ([], ["is_ultimo_movimento"]):
+        t = CaseTable(spark, f"{tmp_path}/t{len(parts)}", "numero_processo", schema, parts)
+        for name, made in (("b1", [("1", 1, True), (None, 2, False)]), ("b 2", [("1", 3, None)]), ("none", [])):
+            t.put(name, spark.createDataFrame(made, schema))
+        got = t.read_deltas([0, 1, 2])
+        assert "Union" not in got._jdf.queryExecution().toString()
+        assert rows(got, "numero_processo", "v", "is_ultimo_movimento", "seq") == sorted(
+            [("1", 1, True, 0), (None, 2, False, 0), ("1", 3, None, 1)], key=repr)
+        assert rows(t.read(), "numero_processo", "v") == sorted([(None, 2), ("1", 3)], key=repr)
+        assert t.read_deltas([2]).count() == 0

@@ -84,3 +84,30 @@ def test_calendar_joins_days_not_events(spark):
 def test_dimensions_read_silver_once(spark):
     s = build_silver(flat(spark, [ev("A", 1, "2020-01-01")]), processed_at="2022-01-01")
     assert plan(dims.silver_groups(s)).count("Exchange hashpartitioning(numero_processo") == 1
+
+
+def test_silver_one_window_no_hash_in_the_exchange(spark):
+    p = plan(build_silver(flat(spark, [ev("A", 1, "2020-01-01")], "2021-01-01"), processed_at="2022-01-01"), "formatted")
+    assert "WindowGroupLimit" not in p and p.count(") Window\n") == 1       # the tree's line is drawn otherwise
+    exchange = p[p.index(") Exchange\nInput"):]
+    assert "__tie" not in exchange[:exchange.index("\n\n")]
+
+
+def test_case_number_is_stripped_once(spark):
+    p = plan(build_silver(flat(spark, [ev("A", 1, "2020-01-01")]), processed_at="2022-01-01"))
+    assert p.count("regexp_replace(") == 1
+
+
+def test_no_hot_case_joins_no_header(spark):
+    assert "Join" not in plan(fixtures.hot_cases(spark, SF_SMALL, 10 ** 6))
+
+
+def test_date_key_formats_no_usual_date(spark):
+    from pyspark.sql import functions as F
+
+    from docketline.functions import date_key
+    df = spark.sql("SELECT explode(array(DATE '2020-02-09', DATE '0001-01-01', DATE '9999-12-31', NULL)) AS d")
+    got = [r[0] for r in df.select(date_key("d")).collect()]
+    assert got == [20200209, 10101, 99991231, None]
+    assert got == [r[0] for r in df.select(F.date_format("d", "yyyyMMdd").cast("int")).collect()]
+    assert "CASE WHEN" in plan(df.select(date_key("d")))

@@ -87,3 +87,13 @@ def test_hot_split_with_null_times_and_copies(spark):
     df = df.unionByName(flat(spark, evs[:80], "2023-02-01"))  # newer copies of some events
     order = ["data_ingestao"]
     assert _m(df, dedup_order=order) == _m(df, dedup_order=order, hot_case_rows=15)
+
+
+def test_copies_of_last_event_and_null_keys(spark):
+    evs = [ev("A", 1, "2020-01-01"), ev("A", 2, "2020-01-05"), ev("A", None, None), ev(None, 1, None), ev(None, 1, "2020-01-03")]
+    old, new = flat(spark, evs, "2021-01-01"), flat(spark, evs, "2021-06-01")
+    s = build_silver(old.unionByName(new).unionByName(new), processed_at="2022-01-01")
+    got = sorted(((r.numero_processo, r.codigo_movimento, r.dias_desde_ultimo_movimento, r.is_ultimo_movimento, r.data_ingestao.month)
+                  for r in s.collect()), key=repr)
+    assert got == sorted([("A", None, None, False, 6), ("A", 1, None, False, 6), ("A", 2, 4, True, 6),
+                          (None, 1, None, False, 6), (None, 1, None, True, 6)], key=repr)

@@ -114,3 +114,43 @@ def test_deltas_are_one_scan(spark, tmp_path):
             [("1", 1, True, 0), (None, 2, False, 0), ("1", 3, None, 1)], key=repr)
         assert rows(t.read(), "numero_processo", "v") == sorted([(None, 2), ("1", 3)], key=repr)
         assert t.read_deltas([2]).count() == 0
+
+
+def staged_reads(monkeypatch, module):
+    """The files that each batch asked for its cases lies in."""
+    seen, cases = [], module.Cases
+    monkeypatch.setattr(module, "Cases", lambda df, *a, **k: seen.append(df.inputFiles()) or cases(df, *a, **k))
+    return seen
+
+
+def test_a_merge_reads_its_batch_once(spark, monkeypatch):
+    seen = staged_reads(monkeypatch, M)
+    t = CaseTable(spark, work_dir(spark, "t", uuid.uuid4().hex), "numero_processo", SILVER_DDL)
+    first, second = batches(spark)[:2]
+    t.merge(0, first, build)
+    assert not seen                                           # an empty table has no case to look up
+    t.merge(1, second, build)
+    assert len(seen) == 1 and seen[0] and all("/stage/" in f for f in seen[0])
+    assert everything(t.read()) == everything(build(first.unionByName(second)))
+
+
+def test_a_first_append_looks_up_no_tail(spark, monkeypatch):
+    from docketline.operators import tails
+    seen = staged_reads(monkeypatch, tails)
+    t = EventTails(spark, work_dir(spark, "t", uuid.uuid4().hex), SILVER_DDL, build)
+    first = batches(spark)[0]
+    t.append(0, first)
+    assert not seen and everything(t.read()) == everything(build(first))
+
+
+def test_old_rows_are_looked_up_once_for_all_sums(spark, monkeypatch):
+    root, files = work_dir(spark, "t", uuid.uuid4().hex), []
+    silver = CaseTable(spark, f"{root}/silver", "numero_processo", SILVER_DDL)
+    kept = MaintainedReports(spark, f"{root}/sums", silver)
+    for name in ("case_sums", "week_sums"):
+        of = getattr(maintained, name)
+        monkeypatch.setattr(maintained, name, lambda df, of=of: files.append(df.inputFiles()) or of(df))
+    for i, b in enumerate(batches(spark)[:2]):
+        silver.merge(i, b, build)
+        kept.update()
+    assert sum(bool(f) and all("/sums/stage/" in x for x in f) for f in files) == 2

@@ -117,12 +117,16 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _fits(x: str, y: str, percent: int, classes: int) -> Column:
     """Length and positional filter of two prefix entries of the same element. The intersection is at most
-    what follows the element in both, and what stands before it in both, class by class of frequencies."""
+    what follows the element in both, and what stands before it in both, class by class of frequencies. More
+    classes than ``_CLASSES`` are summed as arrays: written out, they make a method too long for the JVM to compile."""
     n, m, i, j = F.col(f"{x}n"), F.col(f"{y}n"), F.col(f"{x}pos"), F.col(f"{y}pos")
     after = F.least(n - i, m - j)
     most = after + F.least(f"{x}own", f"{y}own")
-    for c in range(classes):
-        most = most + F.least(F.col(f"{x}low")[c], F.col(f"{y}low")[c])
+    if classes > _CLASSES:
+        most = F.aggregate(F.zip_with(f"{x}low", f"{y}low", lambda a, b: F.least(a, b)), most, lambda s, a: s + a)
+    else:
+        for c in range(classes):
+            most = most + F.least(F.col(f"{x}low")[c], F.col(f"{y}low")[c])
     return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (most >= _least(n, m, percent))
 
 

@@ -7,8 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketline.llm.common import (_C3, LOWER, U64, Chunk, hash_spans, keyed, materialise, mix, repeated_kinds, text_bytes,
-                                   text_chunks, word_spans)
+from docketline.llm.common import (_C3, LOWER, U64, Chunk, hash_spans, keyed, listed_keys, materialise, mix,
+                                   repeated_kinds, text_bytes, text_chunks, word_spans)
 from docketline.llm.jaccard_join import links, plain_entries
 from docketline.llm.suffix_dedup import _LAST, _cut
 
@@ -235,6 +235,15 @@ def _runs(min_words: int, gap: int):
     return emit
 
 
+def _told(seen, there: bool):
+    """The rows whose ``key`` the filter passes, or the other ones; the last column, the key, goes."""
+    def emit(batches):
+        for b in batches:
+            keys = b.column("key").to_numpy().view(U64)
+            yield b.filter(pa.array(seen.value.has(keys) == there)).select(b.schema.names[:-1])
+    return emit
+
+
 def _byte_spans(b: pa.RecordBatch) -> pa.Array:
     """Spans of words as spans of bytes."""
     out = []
@@ -268,6 +277,8 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        document are compared word by word with what stands around the first occurrence, to where the repeat ends: a second
        narrow pass reads the words around these pieces only. Runs go on over less than ``least_words`` words between two
        repeats of one source.
+    4. Of the texts only those are moved that such pieces or removed spans may lie in, by bounded bitmaps of their keys
+       (``listed_keys``); a join tells exactly.
 
     Repeats within one document, and between rows of equal ids, stay. Null ids count as larger than any id.
     Null and empty texts have no passages; an empty table gives no rows.
@@ -317,9 +328,18 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .join(ends.select("content", "words", F.col("source").alias("oid")).distinct(), ["content", "words", "oid"], "left_semi")
               .groupBy("content", "words").agg(F.min(F.struct("kid", "kth", "number")).alias("at"))
               .select("at.*", "content", "words", F.lit(None).cast("long").alias("source")))
-    places = (ends.unionByName(firsts).groupBy("kid", "kth")
-              .agg(F.collect_set(F.struct("content", "number", "words", "source")).alias("places")))
-    around = materialise(src.join(places.hint("shuffle_hash"), ["kid", "kth"]).select("kid", "kth", "text", "places")
+    # of the texts, those that a list of rows names, and those that it surely does not
+    row = F.xxhash64("kid", "kth").alias("key")
+
+    def told(rows: DataFrame, *columns: str) -> list[DataFrame]:
+        seen = spark.sparkContext.broadcast(listed_keys(rows.select(row), "key", total))
+        texts = src.select(*columns, row)
+        return [texts.mapInArrow(_told(seen, there), texts.drop("key").schema) for there in (True, False)]
+
+    places = materialise(ends.unionByName(firsts), "places")
+    named, _ = told(places, "kid", "kth", "text")
+    places = places.groupBy("kid", "kth").agg(F.collect_set(F.struct("content", "number", "words", "source")).alias("places"))
+    around = materialise(named.join(places.hint("shuffle_hash"), ["kid", "kth"]).select("kid", "kth", "text", "places")
                          .mapInArrow(_contexts(reach), _CONTEXT), "around")
     first = (around.where("source is null").select("content", "words", F.col("before").alias("before0"), F.col("after").alias("after0"))
              .dropDuplicates(["content", "words"]))
@@ -328,7 +348,9 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     plain = gone.select("kid", "kth", F.col("number").alias("low"), F.col("end").alias("high"), "source", "comp")
     gone = plain.unionByName(longer).groupBy("kid", "kth").agg(F.collect_set(F.struct("low", "high", "source", "comp")).alias("units"))
     runs = gone.mapInArrow(_runs(min_words, least_words), "kid long, kth long, spans array<binary>, source_ids array<long>, components array<long>")
-    marked = src.join(runs.where(F.size("spans") > 0).hint("shuffle_hash"), ["kid", "kth"], "left")
+    runs = materialise(runs.where(F.size("spans") > 0), "runs")
+    named, whole = told(runs, "doc_id", "kid", "kth", "text")
+    marked = named.join(runs.hint("shuffle_hash"), ["kid", "kth"], "left").unionByName(whole, allowMissingColumns=True)
 
     def cut(batches):
         for b in batches:

@@ -1,14 +1,16 @@
 import hashlib
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from docketline.llm import suffix_dedup as S
+from docketline.llm.common import listed_keys, materialise
 from docketline.llm.exact_dedup import exact_duplicates
-from docketline.llm.jaccard_join import _by_prefix, jaccard_components, links, plain_entries
+from docketline.llm.jaccard_join import _by_prefix, _fits, jaccard_components, links, plain_entries
 from docketline.llm.line_dedup import drop_common_lines
 from docketline.llm.substring_dedup import remove_passages, tune_bands
 from docketline.llm.suffix_dedup import remove_repeats
@@ -322,3 +324,38 @@ def test_long_lists_fall_into_short_ones(spark):
 def test_passages_empty(spark):
     assert remove_passages(frame(spark, []).limit(0)).count() == 0
     assert remove_passages(frame(spark, [(1, None)])).first().n_removed == 0
+
+
+def test_shuffles_go_with_their_query(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+    left = files().size()
+    kept = materialise(spark.range(2000, numPartitions=4).groupBy((F.col("id") % 7).alias("k")).count(), "kept")
+    until = time.time() + 10
+    while files().size() > left and time.time() < until:
+        time.sleep(0.1)
+    assert files().size() <= left and kept.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+def test_filter_of_counts_does_not_grow_with_the_classes(spark):
+    """32 classes written out make a method that the JVM does not compile; the sum is the same."""
+    assert str(_fits("x", "y", 80, 32)).count("least") == str(_fits("x", "y", 80, 320)).count("least")
+    rng, rows = random.Random(3), []
+    for _ in range(200):
+        a = [rng.randrange(4) for _ in range(32)]
+        b = [max(0, v + rng.choice([0, 0, 0, 0, 1, -1])) for v in a]
+        rows.append((sum(a), sum(b), sum(a), sum(b), 0, 0, a, b))
+    pairs = spark.createDataFrame(rows, "xn int, yn int, xpos int, ypos int, xown int, yown int, xlow array<int>, ylow array<int>")
+    got = [r[0] for r in pairs.select(_fits("x", "y", 80, 32)).collect()]
+    want = [n * 100 >= m * 80 and m * 100 >= n * 80 and sum(map(min, a, b)) >= -(-80 * (n + m) // 180) for n, m, *_, a, b in rows]
+    assert got == want and 0 < sum(want) < 200
+
+
+def test_listed_keys(spark):
+    rng = random.Random(4)
+    keys = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(3000)]
+    table = spark.createDataFrame([(k,) for k in keys[:1000] * 2], "key long")
+    seen = listed_keys(table, "key", 0)
+    told = seen.has(np.array(keys, np.int64).view(np.uint64))
+    assert told[:1000].all() and told[1000:].sum() < 50
+    assert not listed_keys(table.limit(0), "key", 0).has(np.array(keys, np.int64).view(np.uint64)).any()

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import math
+import os
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketline.llm.common import (LOWER, U64, Chunk, buckets_log2, hash_spans, materialise, mix, pack_buckets,
-                                   sorted_counts, text_bytes, text_chunks, word_spans)
+from docketline.llm.common import (LOWER, U64, Chunk, buckets_log2, hash_spans, materialise, mix, mounted, pack_buckets,
+                                   scratch, sorted_counts, text_bytes, text_chunks, word_spans)
 
 ORDER = 3
 DELTA = 0.1
@@ -105,6 +106,27 @@ class LogFrequencyFilter:
             np.bitwise_or.at(slice_words, at, bits)
 
 
+class MappedFilter:
+    """A filter in a file that all machines see under the same path. Its words are mapped, not read: the workers of a machine
+    share the pages, so a worker needs no memory of its own for them."""
+
+    def __init__(self, path: str, log2_buckets: int, starts: np.ndarray):
+        self.path, self.log2b, self.starts = path, log2_buckets, starts
+
+    def write(self, slices) -> None:
+        """Fill the file from rows (bucket, slice), one at a time; a bucket without a row stays empty."""
+        os.makedirs(os.path.dirname(self.path), exist_ok=True)
+        with open(self.path, "wb") as f:
+            f.truncate(8 * int(self.starts[-1]))
+            for r in slices:
+                f.seek(8 * int(self.starts[r["bucket"]]))
+                f.write(r["slice"])
+
+    @property
+    def value(self) -> LogFrequencyFilter:
+        return LogFrequencyFilter(np.memmap(self.path, U64, "r").view(np.ndarray), self.log2b, self.starts)
+
+
 def first_level(n: int, cutoff: int) -> int:
     """The level at which the n-grams of n words start: words are all in, longer ones from ``cutoff`` occurrences."""
     return 1 if n == 1 else int(np.searchsorted(LEAST, max(1, cutoff), "right"))
@@ -234,7 +256,7 @@ class ChunkLevels:
 
 
 def _whole_filter(filt, cutoff: int):
-    """(levels, doc ids, training texts) of each chunk of texts, by the broadcast filter."""
+    """(levels, doc ids, training texts) of each chunk of texts, by the filter that a worker sees whole (mapped or broadcast)."""
     def read(batches):
         f = filt.value
         for c in text_chunks(batches, max_bytes=2 << 20):
@@ -411,7 +433,7 @@ def _score(weight: np.ndarray, norm: float):
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, held_fold: int = 0,
-                cutoff: int = 2, table_words: int = 1 << 19, broadcast_bytes: int = 128 << 20) -> DataFrame:
+                cutoff: int = 2, table_words: int = 1 << 19, broadcast_bytes: int = 128 << 20, mapped: int = 32) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per input row.
 
     Texts whose crc32(id as text) mod ``folds`` is ``held_fold`` are held out; the
@@ -427,9 +449,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
        the levels of all texts give the scores.
 
     The filter grows with the distinct (n-gram, level) pairs counted, ``BITS_PER_PAIR`` each, so its error rate does not
-    depend on the input. It is broadcast up to ``broadcast_bytes``. A larger one stays in its slices, a bucket of the
-    counting shuffle each: the distinct n-grams of each chunk are dealt to them and the levels come back. Both ways
-    give the same result.
+    depend on the input. Where the shared folder is mounted on every machine, it is a file there that the workers map, up to
+    ``mapped`` times ``broadcast_bytes``; elsewhere it is broadcast, a copy for each worker, up to ``broadcast_bytes``. A larger one
+    stays in its slices, a bucket of the counting shuffle each: the distinct n-grams of each chunk are dealt to them and
+    the levels come back. All ways give the same result.
     Null and empty texts are the end token alone. Null ids count as training. An empty table gives
     no rows; without training texts all counts are 0.
     """
@@ -451,13 +474,18 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         n_total, n_words = n_total + r["n"], n_words + r["v"]
     slices = counted.select("bucket", "slice")
     rows = src.select("doc_id", "held_out", "text")
-    if 8 * int(sizes.sum()) <= broadcast_bytes:
-        starts = np.r_[0, np.cumsum(sizes)]
-        words = np.zeros(starts[-1], U64)
+    starts, file = np.r_[0, np.cumsum(sizes)], mounted(spark, scratch(spark, "filter"))
+    if file and 8 * int(starts[-1]) <= mapped * broadcast_bytes:
+        filt = MappedFilter(file, log2b, starts)
+        filt.write(slices.toLocalIterator())
+        read = _whole_filter(filt, cutoff)
+    elif 8 * int(starts[-1]) <= broadcast_bytes:
+        file, words = None, np.zeros(starts[-1], U64)
         for r in slices.toLocalIterator():
             words[starts[r["bucket"]]:starts[r["bucket"] + 1]] = np.frombuffer(r["slice"], U64)
         read = _whole_filter(sc.broadcast(LogFrequencyFilter(words, log2b, starts)), cutoff)
     else:
+        file = None
         chunks = materialise(rows.mapInArrow(_tokenised, _CHUNK).withColumn("chunk", F.monotonically_increasing_id()), "chunks")
         asked = chunks.select("chunk", "tok", "cuts").mapInArrow(_ask(log2b), _ASKED)
         answers = slices.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(_answer(cutoff), _ANSWERED)
@@ -473,6 +501,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scored = materialise(rows.mapInArrow(
         _probed(read, shared), "doc_id long, held_out boolean, n_tokens long, n_common long, base double, rare array<long>, tf array<long>, lv binary")
         .withColumn("row", F.monotonically_increasing_id()), "probed")
+    if file:
+        os.unlink(file)                                  # all levels are written
 
     weight = np.zeros((ORDER + 1, len(COUNT)))
     for r in (scored.select("held_out", "lv").mapInArrow(_seen, "n long, level long, total long, seen long")

@@ -1,5 +1,6 @@
 import collections
 import math
+import os
 import random
 import zlib
 
@@ -122,6 +123,28 @@ def test_slices_score_as_the_broadcast_filter(spark):
     assert score_texts(frame(spark, []).limit(0), broadcast_bytes=0).count() == 0
 
 
+def test_a_filter_over_the_broadcast_limit_is_mapped(spark, monkeypatch):
+    import numpy as np
+
+    from docketline.llm import lm_score
+    rows = [(i, prose(i % 97, 40, 300) + f" own{i}") for i in range(300)]
+    ways, files = [], []
+    mapped, broadcast = lm_score.MappedFilter.write, type(spark.sparkContext).broadcast
+    monkeypatch.setattr(lm_score.MappedFilter, "write", lambda f, slices: (files.append(f.path), mapped(f, slices)))
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, x: (ways.append(type(x)), broadcast(sc, x))[1])
+    score = lambda **kw: sorted(map(tuple, score_texts(frame(spark, rows, 4), table_words=100, **kw).collect()), key=repr)
+    found = score(broadcast_bytes=64 << 10)                                  # larger than the broadcast limit: no worker loads it
+    assert len(files) == 1 and lm_score.LogFrequencyFilter not in ways
+    assert not any(map(os.path.exists, files))                               # and it goes when it was read
+    assert found == score(broadcast_bytes=64 << 20, mapped=0) == score(broadcast_bytes=0)
+    assert lm_score.LogFrequencyFilter in ways and len(files) == 1
+    starts = np.array([0, 2, 3])
+    f = lm_score.MappedFilter(f"{os.path.dirname(files[0])}/own", 1, starts)
+    mapped(f, [{"bucket": 1, "slice": np.array([7], np.uint64).tobytes()}])
+    assert f.value.words.tolist() == [0, 0, 7] and isinstance(f.value.words.base, np.memmap)
+    os.unlink(f.path)
+
+
 def test_scores_without_rows(spark):
     assert score_texts(frame(spark, []).limit(0)).count() == 0
     none = [i for i in range(200) if held(i)][:3]
